@@ -46,3 +46,35 @@ def event_days(events: DataFrame) -> DataFrame:
     """events -> (user_id, report_date, value) with exact amounts."""
     return events.select("user_id", to_day("ts").alias("report_date"),
                          money("value").alias("value"))
+
+
+def event_panel_days(events: DataFrame) -> DataFrame:
+    """Per (user_id, report_date): exact value sum and event count."""
+    from dayflow.functions.clean import MONEY_SUM
+    return (event_days(events).groupBy("user_id", "report_date")
+            .agg(F.sum("value").cast(MONEY_SUM).alias("value_sum"),
+                 F.count(F.lit(1)).alias("n_events")))
+
+
+def nation_daily(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Per (c_nationkey, report_date): exact purchase and redeem totals.
+
+    orders x customer is a fact x dimension equi-join on the customer key;
+    Spark picks broadcast or sort-merge from the measured size (AQE).
+    """
+    from dayflow.functions.clean import MONEY_SUM
+    fl = order_flows(orders)
+    cust = customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+    return (fl.join(cust, "user_id", "inner")
+              .groupBy("c_nationkey", "report_date")
+              .agg(F.sum("purchase").cast(MONEY_SUM).alias("purchase"),
+                   F.sum("redeem").cast(MONEY_SUM).alias("redeem")))
+
+
+def weekday_exog(lineitem: DataFrame, column: str, out: str) -> DataFrame:
+    """Exogenous business-day series: exact daily average of ``column`` on Mon-Fri only."""
+    from dayflow.operators.flows import exact_avg
+    d = to_day("l_shipdate")
+    return (lineitem.select(d.alias("report_date"), F.col(column))
+            .filter(~F.dayofweek("report_date").isin(1, 7))
+            .groupBy("report_date").agg(exact_avg(F.col(column)).alias(out)))
