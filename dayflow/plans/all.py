@@ -1,4 +1,4 @@
 """Import every query module so the registry is complete."""
 
-from dayflow.plans import flow_queries, panel_queries  # noqa: F401
+from dayflow.plans import feature_queries, flow_queries, panel_queries  # noqa: F401
 from dayflow.plans.registry import ORACLE, QUERIES  # noqa: F401
