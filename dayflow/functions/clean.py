@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 # The reference's validation rule for integer amounts.
 DIGITS = r"^\d+$"
-# Signed decimal amounts such as "-5" or "1.50".
-DECIMAL_AMOUNT = r"^-?\d+(\.\d+)?$"
+# Signed decimal amounts such as "-5", "1.50" or "1.0E7" (Java double text).
+DECIMAL_AMOUNT = r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$"
 
 MONEY = "decimal(18,2)"        # input amount type
 MONEY_SUM = "decimal(38,2)"    # type of every money sum (exact, engine-independent)

@@ -244,3 +244,108 @@ def point_overwrite(spark, sf_dir):
     upd = r.groupBy(*KEYS, "report_date").agg(*[
         F.max(F.when(F.col("target") == t, F.col("forecast"))).alias(t) for t in TARGETS])
     return panel.upsert(hist, upd, [*KEYS, "report_date"], list(TARGETS))
+
+
+# --- splits -------------------------------------------------------------------
+def _split_summary(df):
+    return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                   F.countDistinct(*KEYS).alias("n_series"),
+                                   F.min("report_date").alias("first_day"),
+                                   F.max("report_date").alias("last_day"))
+
+
+@register("split_mod", f"""
+SELECT CASE WHEN datediff('day', DATE '1970-01-01', report_date) % {SPLIT_K} = 0
+            THEN 'test' ELSE 'train' END AS split,
+       COUNT(*) AS n_rows, COUNT(DISTINCT c_nationkey) AS n_series,
+       MIN(report_date) AS first_day, MAX(report_date) AS last_day
+FROM ({NATION_DAILY_SQL}) nd GROUP BY 1
+""")
+def split_mod(spark, sf_dir):
+    """Deterministic day-modulo train / test split of the (nation, day) rows."""
+    nd = nation_daily(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    return _split_summary(model.split_mod(nd, "report_date", SPLIT_K))
+
+
+@register("split_time", f"""
+SELECT CASE WHEN report_date > (SELECT MAX(report_date) FROM ({NATION_DAILY_SQL}) m)
+                                - {HOLDOUT_DAYS}
+            THEN 'test' ELSE 'train' END AS split,
+       COUNT(*) AS n_rows, COUNT(DISTINCT c_nationkey) AS n_series,
+       MIN(report_date) AS first_day, MAX(report_date) AS last_day
+FROM ({NATION_DAILY_SQL}) nd GROUP BY 1
+""")
+def split_time(spark, sf_dir):
+    """Time holdout: the last 60 days are the test set."""
+    nd = nation_daily(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    return _split_summary(model.split_time(nd, "report_date", HOLDOUT_DAYS))
+
+
+# --- Spark ML multi-feature models (no SQL form: rows-only + tests) -------------
+CONFIGS = {"wide": model.WIDE_PARAMS, "slim": model.SLIM_PARAMS}
+
+
+def assembled_features(spark, sf_dir):
+    """Feature frame (trend + calendar + 14 lags of both targets), complete rows,
+    split label, assembled vector; checkpointed once so the per-target fits read
+    a materialised table instead of re-running the lineage."""
+    ff = model.feature_frame(nation_panel(spark, sf_dir), KEYS, "report_date", SPEC)
+    ff = model.split_mod(model.complete_rows(ff, SPEC), "report_date", SPLIT_K)
+    out = model.assemble(ff, SPEC).select(*KEYS, "report_date", "split", "features",
+                                          *TARGETS)
+    return out.checkpoint(eager=True)
+
+
+def fit_config(spark, sf_dir, config="slim"):
+    data = assembled_features(spark, sf_dir)
+    models = model.fit_targets(data.filter(F.col("split") == "train"), SPEC, CONFIGS[config])
+    return data, models
+
+
+@register("ols_multi")
+def ols_multi(spark, sf_dir):
+    """Pooled linear models per target (wide: no penalty; slim: ridge), test metrics."""
+    data = assembled_features(spark, sf_dir)
+    train = data.filter(F.col("split") == "train")
+    test = data.filter(F.col("split") == "test")
+    out = None
+    for name, params in CONFIGS.items():
+        models = model.fit_targets(train, SPEC, params)
+        pred = model.score_models(models, test, KEYS, "report_date")
+        m = model.regression_metrics(pred, ["target"]).withColumn("config", F.lit(name))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("model_coefficients")
+def model_coefficients(spark, sf_dir):
+    """(target, term, value) of the slim models: intercept + 35 coefficients each."""
+    _, models = fit_config(spark, sf_dir, "slim")
+    return model.coefficients_frame(spark, models, SPEC)
+
+
+@register("assemble_features")
+def assemble_features(spark, sf_dir):
+    """The assembled feature vectors as arrays (one row per complete nation-day)."""
+    from pyspark.ml.functions import vector_to_array
+    data = assembled_features(spark, sf_dir)
+    return data.select(*KEYS, "report_date", "split",
+                       vector_to_array("features").alias("features"))
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """Save one model per target, load the set back (fail fast if one is missing), score."""
+    data, models = fit_config(spark, sf_dir, "slim")
+    root = save_models(models, scratch_path(spark, "models"))
+    loaded = load_models(root, TARGETS)
+    test = data.filter(F.col("split") == "test")
+    return model.score_models(loaded, test, KEYS, "report_date")
+
+
+@register("rollout_var")
+def rollout_var(spark, sf_dir):
+    """30-day forecast of both targets per nation with the multi-feature models."""
+    _, models = fit_config(spark, sf_dir, "slim")
+    return rollout.rollout_linear(nation_panel(spark, sf_dir), KEYS, "report_date", SPEC,
+                                  rollout.model_coefficients(models), HORIZON)
