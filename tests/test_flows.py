@@ -1,0 +1,47 @@
+import datetime as dt
+import decimal
+
+from pyspark.sql import functions as F
+
+from dayflow.operators import filters, flows
+
+D = dt.date
+
+
+def test_daily_totals_nulls_count_as_zero(spark):
+    df = spark.createDataFrame([(D(2014, 8, 1), 1.25, None), (D(2014, 8, 1), None, 2.0)],
+                               "d date, p double, r double")
+    r = flows.daily_totals(df, "d", {"p": "p", "r": "r"}).first()
+    assert (r["p"], r["r"]) == (decimal.Decimal("1.25"), decimal.Decimal("2.00"))
+
+
+def test_active_days_threshold_is_inclusive(spark):
+    rows = [(1, D(2014, 8, i)) for i in (1, 2, 3, 4, 5, 5)] + [(2, D(2014, 8, i)) for i in (1, 2)]
+    df = spark.createDataFrame(rows, "u int, d date")
+    out = flows.active_days(df, "u", "d", 5).collect()
+    assert [(r["u"], r["active_days"]) for r in out] == [(1, 5)]
+
+
+def test_top_k_ties_are_deterministic(spark):
+    rows = [(1, 10, 5.0), (1, 11, 5.0), (1, 12, 5.0), (1, 13, 1.0), (2, 20, 3.0)]
+    df = spark.createDataFrame(rows, "city int, user int, flow double")
+    out = flows.top_k_per_group(df, "city", "flow", 2, tie_break=["user"]).collect()
+    assert sorted((r["city"], r["user"], r["rank"]) for r in out) == \
+        [(1, 10, 1), (1, 11, 2), (2, 20, 1)]
+
+
+def test_month_and_prefix_filters(spark):
+    rows = [(D(2014, 7, 31),), (D(2014, 8, 1),), (D(2014, 8, 31),), (D(2014, 9, 1),)]
+    df = spark.createDataFrame(rows, "d date").withColumn(
+        "s", F.date_format("d", "yyyyMMdd")).withColumn("i", F.col("s").cast("int"))
+    for col in ("d", "s", "i"):
+        assert filters.month_filter(df, col, "201408").count() == 2
+        assert filters.prefix_filter(df, col, "201408").count() == 2
+    dec = filters.month_filter(df, "d", "2014-12")
+    assert dec.count() == 0
+
+
+def test_exact_avg(spark):
+    df = spark.createDataFrame([(1, 0.1), (1, 0.2), (1, 0.4)], "g int, v double")
+    r = flows.avg_by_group(df, "g", "v", "a").first()
+    assert r["a"] == 0.7 / 3
