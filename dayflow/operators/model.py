@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dayflow.functions.calendar import WEEKEND_SUN_SAT, calendar_columns, trend_columns
@@ -136,12 +136,29 @@ def regression_metrics(pred: DataFrame, group_cols: Sequence[str], label: str =
 
 
 def ols_lag1(long_df: DataFrame, group_cols: Sequence[str], y: str = "y",
-             x: str = "x") -> DataFrame:
-    """Per group simple OLS of y on x (``regr_slope`` / ``regr_intercept``)."""
+             x: str = "x", last_day: str | None = None) -> DataFrame:
+    """Per group simple OLS of y on x (``regr_slope`` / ``regr_intercept``).
+
+    With ``last_day`` the same aggregate also returns the series' last day
+    (under that name) and its ``y`` as ``y0``: the start state of a rollout.
+    """
+    extra = []
+    if last_day:
+        extra = [F.max(last_day).alias(last_day), F.max_by(y, last_day).alias("y0")]
     return long_df.groupBy(*group_cols).agg(
         F.count(F.when(F.col(y).isNotNull(), F.col(x))).alias("n_obs"),
         F.regr_slope(y, x).alias("slope"),
-        F.regr_intercept(y, x).alias("intercept"))
+        F.regr_intercept(y, x).alias("intercept"), *extra)
+
+
+def score_lag1(long_df: DataFrame, group_cols: Sequence[str], y: str = "y",
+               x: str = "x", out: str = "prediction") -> DataFrame:
+    """In-sample ``intercept + slope * x`` with the per-group fit as a window aggregate."""
+    w = Window.partitionBy(*group_cols)
+    return long_df.withColumns({
+        "slope": F.regr_slope(y, x).over(w),
+        "intercept": F.regr_intercept(y, x).over(w),
+    }).withColumn(out, F.col("intercept") + F.col("slope") * F.col(x))
 
 
 def split_mod(df: DataFrame, date_col: str, k: int = 5, test_bucket: int = 0,

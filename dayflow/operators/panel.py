@@ -25,25 +25,74 @@ from pyspark.sql import functions as F
 
 
 def day_bounds(df: DataFrame, date_col: str) -> tuple[Column, Column]:
-    """(first day, last day) of ``df`` as scalar-subquery columns."""
-    first = df.select(F.min(F.col(date_col).cast("date"))).scalar()
-    last = df.select(F.max(F.col(date_col).cast("date"))).scalar()
-    return first, last
+    """(first day, last day) of ``df`` as scalar-subquery columns (use one of
+    them, or :func:`day_range`: each scalar subquery is its own scan)."""
+    d = F.col(date_col).cast("date")
+    return df.select(F.min(d)).scalar(), df.select(F.max(d)).scalar()
 
 
-def date_spine(spark: SparkSession, start: Column | str, end: Column | str,
+def day_range(df: DataFrame, date_col: str, start_offset: int = 0, end_offset: int = 0,
+              after_last: bool = False) -> Column:
+    """Array of consecutive days as ONE scalar subquery (one scan of ``date_col``).
+
+    Default: first day + ``start_offset`` .. last day + ``end_offset``.
+    ``after_last``: last day + ``start_offset`` .. last day + ``end_offset``
+    (a horizon).  The array has one element per day of the range: bounded by
+    the calendar, not by the data volume.
+    """
+    d = F.col(date_col).cast("date")
+    lo = F.max(d) if after_last else F.min(d)
+    seq = F.sequence(F.date_add(lo, start_offset), F.date_add(F.max(d), end_offset))
+    return df.select(seq).scalar()
+
+
+def date_spine(spark: SparkSession, start: Column | str, end: Column | str | None = None,
                out: str = "report_date") -> DataFrame:
-    """One row per day of the inclusive range ``[start, end]``."""
-    s = F.lit(start).cast("date") if isinstance(start, str) else start
-    e = F.lit(end).cast("date") if isinstance(end, str) else end
-    return spark.range(1).select(F.explode(F.sequence(s, e)).alias(out))
+    """One row per day: of the inclusive range ``[start, end]``, or of a day array."""
+    if end is None:
+        days = start
+    else:
+        s = F.lit(start).cast("date") if isinstance(start, str) else start
+        e = F.lit(end).cast("date") if isinstance(end, str) else end
+        days = F.sequence(s, e)
+    return spark.range(1).select(F.explode(days).alias(out))
 
 
-def panel_spine(keys_df: DataFrame, keys: Sequence[str], start: Column, end: Column,
+def panel_spine(keys_df: DataFrame, keys: Sequence[str], days: Column,
                 out: str = "report_date") -> DataFrame:
-    """Every (key, day) of ``[start, end]`` for each distinct key row."""
+    """Every (key, day) for each distinct key row; ``days`` is an array of dates
+    (see :func:`day_range`).  A Generate per key row, not a cross join."""
     ks = keys_df.select(*keys).distinct()
-    return ks.select(*keys, F.explode(F.sequence(start, end)).alias(out))
+    return ks.select(*keys, F.explode(days).alias(out))
+
+
+def spine_join(spine: DataFrame, values: DataFrame, keys: Sequence[str], date_col: str,
+               fill: Mapping[str, Any] | None = None) -> DataFrame:
+    """Values placed on a (keys, day) spine: the spine LEFT JOIN values, with
+    ``fill`` for the days a series has no value.  ``values`` must be unique per
+    (keys, day) (an aggregated panel).
+
+    Written as UNION ALL + group-by instead of a join: a join needs both sides
+    hash-partitioned on *all* join keys (keys, day), while an aggregate and a
+    later ``partitionBy(keys)`` window both accept a partitioning on the series
+    keys alone - so the dense panel and the window over it share one shuffle.
+    """
+    fill = dict(fill or {})
+    v_cols = [c for c in values.columns if c not in (*keys, date_col)]
+    s = spine.select(*keys, date_col, F.lit(True).alias("__spine"),
+                     *[F.lit(None).cast(values.schema[c].dataType).alias(c) for c in v_cols])
+    v = values.select(*keys, date_col, F.lit(False).alias("__spine"), *v_cols)
+    u = s.unionByName(v)
+    if keys:
+        u = u.repartition(*[F.col(k) for k in keys])
+    aggs = []
+    for c in v_cols:
+        e = F.max(c)
+        if c in fill:
+            e = F.coalesce(e, F.lit(fill[c]).cast(values.schema[c].dataType))
+        aggs.append(e.alias(c))
+    out = u.groupBy(*keys, date_col).agg(F.max("__spine").alias("__spine"), *aggs)
+    return out.filter(F.col("__spine")).select(*keys, date_col, *v_cols)
 
 
 def left_join_sentinel(facts: DataFrame, dim: DataFrame, on: str | Sequence[str],
@@ -57,10 +106,14 @@ def left_join_sentinel(facts: DataFrame, dim: DataFrame, on: str | Sequence[str]
 
 
 def segment_counts(df: DataFrame, keys: Sequence[str], segment_col: str,
-                   segments: Mapping[str, Any]) -> DataFrame:
-    """Per key: number of rows in each named segment (``sum(when(seg = v, 1))``)."""
+                   segments: Mapping[str, Any], weight: str | None = None) -> DataFrame:
+    """Per key: number of rows in each named segment (``sum(when(seg = v, 1))``).
+
+    With ``weight`` each row counts as that many rows (a pre-aggregated count).
+    """
+    one = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     return df.groupBy(*keys).agg(*[
-        F.sum(F.when(F.col(segment_col) == F.lit(v), F.lit(1)).otherwise(F.lit(0)))
+        F.sum(F.when(F.col(segment_col) == F.lit(v), one).otherwise(F.lit(0).cast("bigint")))
          .alias(name)
         for name, v in segments.items()
     ])
@@ -114,10 +167,8 @@ def horizon_rows(history: DataFrame, keys: Sequence[str], date_col: str, horizon
                                                        F.date_add("__end", horizon)))
                            .alias(date_col))
     else:
-        _, last = day_bounds(history, date_col)
-        base = history.select(*keys).distinct().select(
-            *keys, F.explode(F.sequence(F.date_add(last, 1), F.date_add(last, horizon)))
-            .alias(date_col))
+        days = day_range(history, date_col, 1, horizon, after_last=True)
+        base = history.select(*keys).distinct().select(*keys, F.explode(days).alias(date_col))
     values = [c for c in history.columns if c not in (*keys, date_col)]
     return base.select(*keys, date_col, *[
         F.lit(fill.get(c)).cast(history.schema[c].dataType).alias(c) for c in values])

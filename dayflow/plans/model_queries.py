@@ -93,12 +93,22 @@ FROM ({ROLLOUT_SQL}) r GROUP BY c_nationkey, report_date
 
 
 # --- spark side ---------------------------------------------------------------
+def nation_daily_table(spark, sf_dir):
+    """The (nation, day) totals, materialised once in the shared checkpoint dir.
+
+    The table is small (series x days) while its input is the whole orders x
+    customer join; checkpointing cuts the lineage so the day bounds, the spine
+    and the fits read it instead of re-running that aggregation.
+    """
+    nd = nation_daily(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    return nd.checkpoint(eager=True)
+
+
 def nation_panel(spark, sf_dir):
     """Dense (nation, day) panel of purchase / redeem totals."""
-    nd = nation_daily(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
-    first, last = panel.day_bounds(nd, "report_date")
-    spine = panel.panel_spine(nd, KEYS, first, last)
-    return spine.join(nd, [*KEYS, "report_date"], "left").fillna({"purchase": 0, "redeem": 0})
+    nd = nation_daily_table(spark, sf_dir)
+    spine = panel.panel_spine(nd, KEYS, panel.day_range(nd, "report_date"))
+    return panel.spine_join(spine, nd, KEYS, "report_date", {"purchase": 0, "redeem": 0})
 
 
 def _long(spark, sf_dir):
@@ -114,20 +124,16 @@ def _fits(long_df):
 
 
 def _scored(spark, sf_dir):
-    lg = _long(spark, sf_dir)
-    f = _fits(lg)
-    return lg.join(f, [*KEYS, "target"]).select(
-        *KEYS, "target", "report_date", "y",
-        (F.col("intercept") + F.col("slope") * F.col("x")).alias("prediction"))
+    # fit and score in one pass: the fit is a window aggregate over the whole
+    # series partition, so no aggregate-then-join-back is needed
+    return model.score_lag1(_long(spark, sf_dir), [*KEYS, "target"]).select(
+        *KEYS, "target", "report_date", "y", "prediction")
 
 
 def _rollout_ar(spark, sf_dir):
-    lg = _long(spark, sf_dir)
-    f = _fits(lg)
-    last = lg.select(F.max("report_date")).scalar()
-    start = (lg.filter(F.col("report_date") == last)
-               .select(*KEYS, "target", "report_date", F.col("y").alias("y0"))
-               .join(f, [*KEYS, "target"]))
+    # one aggregate per series gives the fit, the last day and its value
+    start = model.ols_lag1(_long(spark, sf_dir), [*KEYS, "target"],
+                           last_day="report_date")
     return rollout.rollout_ar1(start, [*KEYS, "target"], "report_date", HORIZON)
 
 

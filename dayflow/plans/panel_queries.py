@@ -74,8 +74,8 @@ def _event_days(spark, sf_dir):
 
 def _event_spine(spark, sf_dir, extra_days):
     days = _event_days(spark, sf_dir)
-    first, last = panel.day_bounds(days, "report_date")
-    return days, panel.panel_spine(days, ["user_id"], first, F.date_add(last, extra_days))
+    rng = panel.day_range(days, "report_date", 0, extra_days)
+    return days, panel.panel_spine(days, ["user_id"], rng)
 
 
 @register("daily_panel", """
@@ -101,12 +101,17 @@ def daily_panel(spark, sf_dir):
 
 
 def _segment_counts(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"), to_day("o_orderdate").alias("report_date"))
+    # count orders per (customer, day) before the join: a hot customer reaches
+    # the join as one row per day, and the dimension is joined once per pair
+    o = (table(spark, sf_dir, "orders")
+         .select(F.col("o_custkey").alias("c_custkey"),
+                 to_day("o_orderdate").alias("report_date"))
+         .groupBy("c_custkey", "report_date").agg(F.count(F.lit(1)).alias("n")))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = panel.left_join_sentinel(o, cust, "c_custkey",
                                       {"c_mktsegment": UNKNOWN_SEGMENT})
-    return panel.segment_counts(joined, ["report_date"], "c_mktsegment", SEGMENTS)
+    return panel.segment_counts(joined, ["report_date"], "c_mktsegment", SEGMENTS,
+                                weight="n")
 
 
 @register("segment_counts", SEGMENT_SQL)
@@ -150,8 +155,8 @@ FROM ({spine_sql(0)}) s LEFT JOIN ({EVENT_DAYS_SQL}) d
 def fillna_measures(spark, sf_dir):
     """Dense (user, day) panel; days without events get 0 measures."""
     days, spine = _event_spine(spark, sf_dir, 0)
-    out = spine.join(days, ["user_id", "report_date"], "left")
-    return out.fillna({"value_sum": 0, "n_events": 0})
+    return panel.spine_join(spine, days, ["user_id"], "report_date",
+                            {"value_sum": 0, "n_events": 0})
 
 
 @register("date_spine", f"""
@@ -160,8 +165,7 @@ SELECT DISTINCT report_date FROM ({spine_sql(HORIZON)}) s
 def date_spine(spark, sf_dir):
     """One row per day from the first event day to the last + 30."""
     days = _event_days(spark, sf_dir)
-    first, last = panel.day_bounds(days, "report_date")
-    return panel.date_spine(spark, first, F.date_add(last, HORIZON))
+    return panel.date_spine(spark, panel.day_range(days, "report_date", 0, HORIZON))
 
 
 @register("panel_spine", spine_sql(HORIZON))
@@ -202,7 +206,7 @@ WINDOW w AS (PARTITION BY s.user_id ORDER BY s.report_date
 def forward_fill(spark, sf_dir):
     """Per user: last observed value carried forward over the (user, day) spine."""
     days, spine = _event_spine(spark, sf_dir, FILL_HORIZON)
-    p = spine.join(days, ["user_id", "report_date"], "left")
+    p = panel.spine_join(spine, days, ["user_id"], "report_date")
     return panel.forward_fill(p, ["user_id"], "report_date", ["value_sum", "n_events"])
 
 

@@ -42,8 +42,7 @@ def test_spines_and_horizon_cross_month_end(spark):
     hist = spark.createDataFrame(
         [(1, D(2014, 8, 29), 1.0), (1, D(2014, 8, 31), 2.0), (2, D(2014, 8, 30), 3.0)],
         "k int, d date, v double")
-    first, last = panel.day_bounds(hist, "d")
-    sp = panel.panel_spine(hist, ["k"], first, last)
+    sp = panel.panel_spine(hist, ["k"], panel.day_range(hist, "d"))
     assert sp.count() == 6
     h = panel.horizon_union(hist, ["k"], "d", 3)
     fut = h.filter(F.col("v").isNull()).orderBy("k", "d").collect()
