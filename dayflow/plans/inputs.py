@@ -76,10 +76,12 @@ def nation_daily(orders: DataFrame, customer: DataFrame) -> DataFrame:
                    F.sum("redeem").cast(MONEY_SUM).alias("redeem")))
 
 
-def weekday_exog(lineitem: DataFrame, column: str, out: str) -> DataFrame:
-    """Exogenous business-day series: exact daily average of ``column`` on Mon-Fri only."""
+def weekday_exog(lineitem: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Exogenous business-day series: exact daily averages (out name -> column),
+    Mon-Fri only, all computed in one scan and one aggregate."""
     from dayflow.operators.flows import exact_avg
     d = to_day("l_shipdate")
-    return (lineitem.select(d.alias("report_date"), F.col(column))
+    return (lineitem.select(d.alias("report_date"), *set(columns.values()))
             .filter(~F.dayofweek("report_date").isin(1, 7))
-            .groupBy("report_date").agg(exact_avg(F.col(column)).alias(out)))
+            .groupBy("report_date")
+            .agg(*[exact_avg(F.col(c)).alias(out) for out, c in columns.items()]))

@@ -111,8 +111,9 @@ def nation_panel(spark, sf_dir):
     return panel.spine_join(spine, nd, KEYS, "report_date", {"purchase": 0, "redeem": 0})
 
 
-def _long(spark, sf_dir):
-    p = lag_features(nation_panel(spark, sf_dir), KEYS, "report_date", TARGETS, (1,))
+def _long(spark, sf_dir, panel_df=None):
+    panel_df = panel_df if panel_df is not None else nation_panel(spark, sf_dir)
+    p = lag_features(panel_df, KEYS, "report_date", TARGETS, (1,))
     pairs = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("y"),
                                F.col(f"{t}_1").cast("double").alias("x")) for t in TARGETS])
     return p.select(*KEYS, "report_date", F.explode(pairs).alias("p")).select(
@@ -130,9 +131,9 @@ def _scored(spark, sf_dir):
         *KEYS, "target", "report_date", "y", "prediction")
 
 
-def _rollout_ar(spark, sf_dir):
+def _rollout_ar(spark, sf_dir, panel_df=None):
     # one aggregate per series gives the fit, the last day and its value
-    start = model.ols_lag1(_long(spark, sf_dir), [*KEYS, "target"],
+    start = model.ols_lag1(_long(spark, sf_dir, panel_df), [*KEYS, "target"],
                            last_day="report_date")
     return rollout.rollout_ar1(start, [*KEYS, "target"], "report_date", HORIZON)
 
@@ -245,8 +246,11 @@ FROM h LEFT JOIN f ON h.c_nationkey = f.c_nationkey AND h.report_date = f.report
 """)
 def point_overwrite(spark, sf_dir):
     """History + horizon placeholders, with forecasts written into the horizon rows."""
-    hist = panel.horizon_union(nation_panel(spark, sf_dir), KEYS, "report_date", HORIZON)
-    r = rollout_ar(spark, sf_dir)
+    # the panel feeds the history, the horizon keys / days and the rollout:
+    # materialise it once instead of re-running its lineage for each use
+    p = nation_panel(spark, sf_dir).checkpoint(eager=True)
+    hist = panel.horizon_union(p, KEYS, "report_date", HORIZON)
+    r = _rollout_ar(spark, sf_dir, p).withColumn("forecast", F.round("forecast", 2))
     upd = r.groupBy(*KEYS, "report_date").agg(*[
         F.max(F.when(F.col("target") == t, F.col("forecast"))).alias(t) for t in TARGETS])
     return panel.upsert(hist, upd, [*KEYS, "report_date"], list(TARGETS))
@@ -269,7 +273,7 @@ FROM ({NATION_DAILY_SQL}) nd GROUP BY 1
 """)
 def split_mod(spark, sf_dir):
     """Deterministic day-modulo train / test split of the (nation, day) rows."""
-    nd = nation_daily(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    nd = nation_daily_table(spark, sf_dir)
     return _split_summary(model.split_mod(nd, "report_date", SPLIT_K))
 
 
@@ -283,7 +287,7 @@ FROM ({NATION_DAILY_SQL}) nd GROUP BY 1
 """)
 def split_time(spark, sf_dir):
     """Time holdout: the last 60 days are the test set."""
-    nd = nation_daily(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    nd = nation_daily_table(spark, sf_dir)
     return _split_summary(model.split_time(nd, "report_date", HOLDOUT_DAYS))
 
 
@@ -291,19 +295,20 @@ def split_time(spark, sf_dir):
 CONFIGS = {"wide": model.WIDE_PARAMS, "slim": model.SLIM_PARAMS}
 
 
-def assembled_features(spark, sf_dir):
+def assembled_features(spark, sf_dir, panel_df=None):
     """Feature frame (trend + calendar + 14 lags of both targets), complete rows,
     split label, assembled vector; checkpointed once so the per-target fits read
     a materialised table instead of re-running the lineage."""
-    ff = model.feature_frame(nation_panel(spark, sf_dir), KEYS, "report_date", SPEC)
+    panel_df = panel_df if panel_df is not None else nation_panel(spark, sf_dir)
+    ff = model.feature_frame(panel_df, KEYS, "report_date", SPEC)
     ff = model.split_mod(model.complete_rows(ff, SPEC), "report_date", SPLIT_K)
     out = model.assemble(ff, SPEC).select(*KEYS, "report_date", "split", "features",
                                           *TARGETS)
     return out.checkpoint(eager=True)
 
 
-def fit_config(spark, sf_dir, config="slim"):
-    data = assembled_features(spark, sf_dir)
+def fit_config(spark, sf_dir, config="slim", panel_df=None):
+    data = assembled_features(spark, sf_dir, panel_df)
     models = model.fit_targets(data.filter(F.col("split") == "train"), SPEC, CONFIGS[config])
     return data, models
 
@@ -352,6 +357,7 @@ def model_roundtrip(spark, sf_dir):
 @register("rollout_var")
 def rollout_var(spark, sf_dir):
     """30-day forecast of both targets per nation with the multi-feature models."""
-    _, models = fit_config(spark, sf_dir, "slim")
-    return rollout.rollout_linear(nation_panel(spark, sf_dir), KEYS, "report_date", SPEC,
+    p = nation_panel(spark, sf_dir).checkpoint(eager=True)   # used by the fit and the rollout
+    _, models = fit_config(spark, sf_dir, "slim", p)
+    return rollout.rollout_linear(p, KEYS, "report_date", SPEC,
                                   rollout.model_coefficients(models), HORIZON)

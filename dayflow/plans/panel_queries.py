@@ -68,6 +68,9 @@ GROUP BY CAST(l_shipdate AS DATE)
 """
 
 
+EXOG_COLUMNS = {"avg_discount": "l_discount", "avg_tax": "l_tax"}
+
+
 def _event_days(spark, sf_dir):
     return event_panel_days(table(spark, sf_dir, "events"))
 
@@ -224,8 +227,7 @@ def exog_join_ffill(spark, sf_dir):
     """(nation, day) panel + two business-day series, forward filled per nation."""
     p = nation_daily(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
     li = table(spark, sf_dir, "lineitem")
-    joined = panel.join_daily_series(
-        p, [weekday_exog(li, "l_discount", "avg_discount"),
-            weekday_exog(li, "l_tax", "avg_tax")], "report_date")
+    # both series come from lineitem: one scan, one aggregate, one broadcast join
+    joined = panel.join_daily_series(p, [weekday_exog(li, EXOG_COLUMNS)], "report_date")
     return panel.forward_fill(joined, ["c_nationkey"], "report_date",
                               ["avg_discount", "avg_tax"])
