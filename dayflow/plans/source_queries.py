@@ -67,3 +67,16 @@ def sink_roundtrip_overwrite(spark, sf_dir):
     write_csv(top_n(spark, sf_dir), path)
     write_csv(daily_flow(spark, sf_dir), path, mode="overwrite")
     return read_csv(spark, path, DAILY_FLOW_SCHEMA)
+
+
+@register("stream_daily_flow", DAILY_FLOW_SQL)
+def stream_daily_flow_q(spark, sf_dir):
+    """Daily totals maintained by a Structured Streaming query over the orders
+    file (availableNow trigger, checkpointed), read back from its result table."""
+    from dayflow.streaming.daily_flow import file_stream, run_complete_to_table, \
+        stream_daily_flow
+    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+    src = file_stream(spark, sf_dir, schema, name_glob="orders.parquet")
+    root = scratch_path(spark, "stream-daily-flow")
+    run_complete_to_table(stream_daily_flow(src), f"{root}/table", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/table")
