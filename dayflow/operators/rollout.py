@@ -9,9 +9,14 @@ is one distributed job and parallel across series:
   series' row, then ``posexplode``: JVM-side, no Python, no shuffle.
 * ``rollout_linear``: the general model (trend + calendar + exact-date lags of
   every target), where all targets of day t read only values of days < t.
-  Future date terms are computed in Spark with the same expressions used in
-  training; each series' last ``max(lags)`` rows plus its horizon rows form
-  one bounded group for ``applyInPandas``, which runs the recursion with numpy.
+  Default engine ``"sql"``: each series' last ``max(lags)`` days become a
+  ``map<date, array<double>>`` (one bounded ``collect_list`` per series), and
+  ``aggregate(sequence(1, H), map, step)`` adds one day per step: the date
+  terms are the training expressions applied to the step's date, exact-date
+  lags are map lookups (null when the day is absent), and every target is a
+  dot product with literal coefficient arrays.  JVM-side, no Python.
+  Engine ``"pandas"``: the same recursion in numpy, one bounded
+  ``applyInPandas`` group per series (history tail + horizon rows).
 """
 
 from __future__ import annotations
@@ -81,24 +86,36 @@ def _linear_step_fn(keys: Sequence[str], date_col: str, spec: FeatureSpec,
     return step
 
 
-def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
-                   spec: FeatureSpec, coefs: Mapping[str, tuple[float, Sequence[float]]],
-                   horizon: int) -> DataFrame:
-    """Forecast every target ``horizon`` days past each series' last day.
-
-    ``coefs[target] = (intercept, [coefficient per spec.feature_names()])``.
-    Lag measures must be targets (their future values are the forecasts).
-    """
+def _history_tail(history: DataFrame, keys: Sequence[str], date_col: str,
+                  spec: FeatureSpec) -> DataFrame:
     missing = [m for m in spec.lag_measures if m not in spec.targets]
     if missing:
         raise ValueError(f"lag measures {missing} are not forecast targets")
     depth = max(spec.lags)
     measures = sorted(set(spec.targets) | set(spec.lag_measures))
     w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc())
-    tail = (history.select(*keys, date_col, *[F.col(m).cast("double").alias(m)
-                                               for m in measures])
+    # rank filter -> WindowGroupLimit: at most `depth` rows per series leave a task
+    return (history.select(*keys, date_col, *[F.col(m).cast("double").alias(m)
+                                              for m in measures])
             .withColumn("__rn", F.row_number().over(w))
             .filter(F.col("__rn") <= depth).drop("__rn"))
+
+
+def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
+                   spec: FeatureSpec, coefs: Mapping[str, tuple[float, Sequence[float]]],
+                   horizon: int, engine: str = "sql") -> DataFrame:
+    """Forecast every target ``horizon`` days past each series' last day.
+
+    ``coefs[target] = (intercept, [coefficient per spec.feature_names()])``.
+    Lag measures must be targets (their future values are the forecasts).
+    Output: keys, ``date_col``, ``step`` (1..horizon), one double per target.
+    """
+    tail = _history_tail(history, keys, date_col, spec)
+    if engine == "sql":
+        return _rollout_linear_sql(tail, keys, date_col, spec, coefs, horizon)
+    if engine != "pandas":
+        raise ValueError(f"unknown engine {engine!r}")
+    measures = sorted(set(spec.targets) | set(spec.lag_measures))
     ends = tail.groupBy(*keys).agg(F.max(date_col).alias("__end"))
     future = ends.select(*keys, F.explode(F.sequence(F.date_add("__end", 1),
                                                      F.date_add("__end", horizon)))
@@ -117,6 +134,46 @@ def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
         _linear_step_fn(keys, date_col, spec, coefs), schema=schema)
 
 
+def _rollout_linear_sql(tail: DataFrame, keys: Sequence[str], date_col: str,
+                        spec: FeatureSpec, coefs: Mapping[str, tuple[float, Sequence[float]]],
+                        horizon: int) -> DataFrame:
+    targets = list(spec.targets)
+    pos = {t: i + 1 for i, t in enumerate(targets)}           # 1-based array slots
+    names = spec.feature_names()
+    for t in targets:
+        if len(coefs[t][1]) != len(names):
+            raise ValueError(f"{t}: {len(coefs[t][1])} coefficients for {len(names)} features")
+    weights = {t: F.array(*[F.lit(float(w)) for w in coefs[t][1]]) for t in targets}
+    state = tail.groupBy(*keys).agg(
+        F.max(date_col).alias("__end"),
+        F.map_from_entries(F.collect_list(F.struct(
+            F.col(date_col), F.array(*[F.col(t) for t in targets])))).alias("__vals"))
+    end = F.col("__end")
+
+    def step(vals, i):
+        d = F.date_add(end, i)
+        terms = spec.date_terms(d)
+        lags = [F.try_element_at(F.try_element_at(vals, F.date_sub(d, lag)), F.lit(pos[m]))
+                for m in spec.lag_measures for lag in spec.lags]
+        x = F.array(*[terms[n] for n in names[:len(names) - len(lags)]], *lags)
+        preds = F.array(*[
+            F.lit(float(coefs[t][0])) + F.aggregate(
+                F.zip_with(weights[t], x, lambda w, v: w * v), F.lit(0.0), lambda a, b: a + b)
+            for t in targets])
+        return F.map_concat(vals, F.create_map(d, preds))
+
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("__vals"), step)
+    days = F.transform(F.sequence(F.lit(1), F.lit(horizon)),
+                       lambda i: F.struct(i.alias("step"), F.date_add(end, i).alias("d")))
+    # the recursion is evaluated once per series, in its own projection, before
+    # the horizon rows are generated from it
+    rolled = state.select(*keys, "__end", path.alias("__path"))
+    out = rolled.select(*keys, "__path", F.explode(days).alias("__h"))
+    return out.select(*keys, F.col("__h.d").alias(date_col), F.col("__h.step").alias("step"),
+                      *[F.element_at(F.element_at("__path", F.col("__h.d")), pos[t]).alias(t)
+                        for t in targets])
+
+
 def model_coefficients(models: Mapping[str, object]) -> dict[str, tuple[float, list[float]]]:
     """``{target: (intercept, coefficients)}`` from fitted Spark ML linear models."""
     return {t: (float(m.intercept), [float(v) for v in m.coefficients.toArray()])

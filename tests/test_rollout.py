@@ -49,8 +49,9 @@ def _brute_force(hist_rows, spec, coefs, horizon):
     return out
 
 
+@pytest.mark.parametrize("engine", ["sql", "pandas"])
 @pytest.mark.parametrize("n_days", [20, 33])
-def test_rollout_linear_matches_day_by_day_loop(spark, n_days):
+def test_rollout_linear_matches_day_by_day_loop(spark, n_days, engine):
     spec = model.FeatureSpec(targets=("p", "r"), lag_measures=("p", "r"), lags=(1, 2, 7))
     rng = np.random.default_rng(7)
     nf = len(spec.feature_names())
@@ -65,7 +66,7 @@ def test_rollout_linear_matches_day_by_day_loop(spark, n_days):
             rows.append((k, d, rec["p"], rec["r"]))
             hist[k].append((d, rec))
     df = spark.createDataFrame(rows, "k int, d date, p double, r double")
-    out = rollout.rollout_linear(df, ["k"], "d", spec, coefs, 12).collect()
+    out = rollout.rollout_linear(df, ["k"], "d", spec, coefs, 12, engine=engine).collect()
     for k in (1, 2):
         got = sorted((r for r in out if r["k"] == k), key=lambda r: r["d"])
         want = _brute_force(hist[k], spec, coefs, 12)
@@ -80,3 +81,15 @@ def test_rollout_linear_requires_lag_measures_as_targets(spark):
     df = spark.createDataFrame([(1, D(2014, 1, 1), 1.0, 1.0)], "k int, d date, p double, q double")
     with pytest.raises(ValueError):
         rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [0.0] * 9)}, 3)
+
+
+def test_rollout_linear_sql_null_when_lag_missing(spark):
+    # a gap inside the lag window makes the first forecasts null (exact-date lags)
+    spec = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=(1, 3), calendar=(),
+                             trend=None)
+    rows = [(1, D(2014, 8, 1), 1.0), (1, D(2014, 8, 3), 2.0)]      # Aug 2 missing
+    df = spark.createDataFrame(rows, "k int, d date, p double")
+    out = rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [1.0, 1.0])}, 3)
+    got = [r["p"] for r in out.orderBy("d").collect()]
+    # Aug 4 reads Aug 3 and Aug 1 -> 3.0; Aug 5 reads Aug 4 and Aug 2 (missing) -> null
+    assert got[0] == 3.0 and got[1] is None
