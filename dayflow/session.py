@@ -13,6 +13,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Where the fallback root is remembered when the session names none
+# (spark.checkpoint.dir itself cannot be changed on a running session).
+FALLBACK_CONF = "dayflow.scratch.root"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -38,13 +41,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root; set a local one only if none is configured."""
+    """Return the shared checkpoint root.
+
+    The cluster's ``spark.checkpoint.dir`` is used when set.  Only when the
+    session names none (local tests) is a local fallback chosen; it is recorded
+    under ``dayflow.scratch.root`` and given to ``setCheckpointDir``.
+    """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    if not root:
+        root = spark.conf.get(FALLBACK_CONF, None)
     if not root:
         root = os.path.join(os.environ.get("DAYFLOW_SCRATCH", "/tmp"), "dayflow-checkpoints")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        spark.conf.set(FALLBACK_CONF, root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
