@@ -62,9 +62,17 @@ def exact_avg(value: Column) -> Column:
 
 
 def avg_by_group(joined: DataFrame, group_col: str, value_col: str,
-                 out: str = "avg_value") -> DataFrame:
-    """``groupBy(group).agg(avg(value))`` with the exact average."""
-    return joined.groupBy(group_col).agg(exact_avg(F.col(value_col)).alias(out))
+                 out: str = "avg_value", weight: str | None = None) -> DataFrame:
+    """``groupBy(group).agg(avg(value))`` with the exact average.
+
+    With ``weight`` each row stands for that many rows (a pre-aggregated count):
+    ``sum(value * n) / sum(n)``, still exact.
+    """
+    if weight is None:
+        return joined.groupBy(group_col).agg(exact_avg(F.col(value_col)).alias(out))
+    v = F.col(value_col).cast(MONEY) * F.col(weight).cast("bigint")
+    return joined.groupBy(group_col).agg(
+        (F.sum(v).cast("double") / F.sum(F.col(weight).cast("bigint"))).alias(out))
 
 
 def flow_by_entity(facts: DataFrame, entity: str, flow: Column, dim: DataFrame,

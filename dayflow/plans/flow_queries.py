@@ -106,12 +106,15 @@ def avg_balance_by_city(spark, sf_dir):
     """Average customer balance per city over the orders of one day."""
     orders = table(spark, sf_dir, "orders")
     day = orders.filter(filters.in_closed(orders, "o_orderdate", BALANCE_DAY, BALANCE_DAY))
+    # one row per customer before the join (a customer with many orders that
+    # day is one weighted row), then the exact weighted average per city
+    per_cust = day.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     cust = table(spark, sf_dir, "customer")
-    joined = day.select("o_custkey").join(
+    joined = per_cust.join(
         cust.select(F.col("c_custkey").alias("o_custkey"),
                     F.col("c_nationkey").alias("city_id"), "c_acctbal"),
         "o_custkey", "inner")
-    return (flows.avg_by_group(joined, "city_id", "c_acctbal", "avg_balance")
+    return (flows.avg_by_group(joined, "city_id", "c_acctbal", "avg_balance", weight="n")
             .orderBy(F.col("avg_balance").desc()))
 
 

@@ -45,3 +45,12 @@ def test_exact_avg(spark):
     df = spark.createDataFrame([(1, 0.1), (1, 0.2), (1, 0.4)], "g int, v double")
     r = flows.avg_by_group(df, "g", "v", "a").first()
     assert r["a"] == 0.7 / 3
+
+
+def test_weighted_exact_avg_equals_row_avg(spark):
+    rows = [(1, 10.10), (1, 10.10), (1, 10.10), (1, 0.05), (2, -3.3)]
+    flat = spark.createDataFrame(rows, "g int, v double")
+    pre = flat.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    a = {r["g"]: r["a"] for r in flows.avg_by_group(flat, "g", "v", "a").collect()}
+    b = {r["g"]: r["a"] for r in flows.avg_by_group(pre, "g", "v", "a", weight="n").collect()}
+    assert a == b
