@@ -361,3 +361,20 @@ def rollout_var(spark, sf_dir):
     _, models = fit_config(spark, sf_dir, "slim", p)
     return rollout.rollout_linear(p, KEYS, "report_date", SPEC,
                                   rollout.model_coefficients(models), HORIZON)
+
+
+@register("forecast_job")
+def forecast_job_q(spark, sf_dir):
+    """The whole workflow: train + save, load + 30-day forecast, filled feature
+    matrix written as CSV (overwrite), submission written headerless and read back."""
+    from dayflow.plans import jobs
+    p = nation_panel(spark, sf_dir).checkpoint(eager=True)
+    root = scratch_path(spark, "forecast-job")
+    jobs.train_job(p, KEYS, "report_date", SPEC, model.SLIM_PARAMS, f"{root}/models", SPLIT_K)
+    fc, matrix = jobs.forecast_job(p, KEYS, "report_date", SPEC, f"{root}/models", HORIZON)
+    write_csv(matrix, f"{root}/filled", mode="overwrite")
+    sub = jobs.submission(fc, KEYS, "report_date", {t: t for t in TARGETS})
+    write_csv(sub, f"{root}/submission", header=False)
+    return read_csv(spark, f"{root}/submission",
+                    "c_nationkey int, report_date string, purchase bigint, redeem bigint",
+                    header=False)
