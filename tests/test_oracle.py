@@ -3,7 +3,7 @@
 import pytest
 
 from dayflow.plans.all import ORACLE, QUERIES
-from dayflow.plans.compare import compare
+from compare import compare
 
 from conftest import SF001
 

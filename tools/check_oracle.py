@@ -7,9 +7,10 @@ import sys
 import time
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
+sys.path.insert(0, __file__.rsplit("/", 1)[0])
 
 from dayflow.plans.all import ORACLE, QUERIES  # noqa: E402
-from dayflow.plans.compare import compare  # noqa: E402
+from compare import compare  # noqa: E402
 from dayflow.session import local_session  # noqa: E402
 
 
