@@ -63,6 +63,9 @@ def feature_frame(panel: DataFrame, keys: Sequence[str], date_col: str,
                   spec: FeatureSpec) -> DataFrame:
     """Panel + date terms + exact-date lags; measures and targets as doubles."""
     measures = sorted(set(spec.targets) | set(spec.lag_measures))
+    missing = [c for c in [*keys, date_col, *measures] if c not in panel.columns]
+    if missing:
+        raise ValueError(f"feature_frame: unknown columns {missing}")
     typed = panel.select(*keys, date_col, *[F.col(m).cast("double").alias(m) for m in measures])
     lagged = lag_features(typed, keys, date_col, spec.lag_measures, spec.lags)
     return lagged.withColumns(spec.date_terms(date_col))

@@ -24,6 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def require_columns(df: DataFrame, columns: Sequence[str], what: str = "operator") -> None:
+    """Fail at plan-build time when expected columns are absent."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what}: unknown columns {missing}")
+
+
 def day_bounds(df: DataFrame, date_col: str) -> tuple[Column, Column]:
     """(first day, last day) of ``df`` as scalar-subquery columns (use one of
     them, or :func:`day_range`: each scalar subquery is its own scan)."""
@@ -131,9 +138,7 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str,
 
     Unknown column names raise (the reference silently skipped a misspelt one).
     """
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"forward_fill: unknown columns {missing}")
+    require_columns(df, [*keys, order_col, *columns], "forward_fill")
     w = (Window.partitionBy(*keys).orderBy(order_col)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
@@ -188,6 +193,8 @@ def upsert(df: DataFrame, updates: DataFrame, on: Sequence[str],
     One left join replaces a chain of ``when(key == k, v)`` rewrites (one
     projection per point in the reference's loop).
     """
+    require_columns(df, [*on, *columns], "upsert target")
+    require_columns(updates, [*on, *columns], "upsert updates")
     u = updates.select(*on, F.lit(True).alias("__hit"),
                        *[F.col(c).alias(f"__new_{c}") for c in columns])
     joined = df.join(u, list(on), "left")

@@ -74,3 +74,41 @@ def test_complete_rows_drop_series_heads(spark):
     spec = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=(1, 14))
     ff = model.complete_rows(model.feature_frame(_panel(spark, 20), ["k"], "d", spec), spec)
     assert ff.count() == 2 * (20 - 14)
+
+
+def test_ols_residuals_orthogonal_to_features(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=60)
+    y = 1.0 + 0.4 * x + rng.normal(scale=0.2, size=60)
+    df = spark.createDataFrame([(1, float(a), float(b)) for a, b in zip(x, y)],
+                               "k int, x double, y double")
+    s = model.score_lag1(df, ["k"]).withColumn("res", F.col("y") - F.col("prediction"))
+    r = s.agg(F.sum("res").alias("s0"), F.sum(F.col("res") * F.col("x")).alias("s1")).first()
+    assert abs(r["s0"]) < 1e-9 and abs(r["s1"]) < 1e-9
+
+
+def test_unpenalised_fit_residuals_orthogonal(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in (1, 2, 3):
+        for i in range(80):
+            rows.append((k, D(2014, 1, 1) + dt.timedelta(days=i),
+                         float(rng.normal(100, 10)), float(rng.normal(50, 5))))
+    panel = spark.createDataFrame(rows, "k int, d date, p double, r double")
+    spec = model.FeatureSpec(targets=("p",), lag_measures=("p", "r"), lags=(1, 2),
+                             calendar=("weekday_sin", "month_cos"))
+    ff = model.complete_rows(model.feature_frame(panel, ["k"], "d", spec), spec)
+    data = model.assemble(ff, spec)
+    m = model.fit_targets(data, spec, model.WIDE_PARAMS)["p"]
+    pdf = m.transform(data).select("features", "p", "prediction").toPandas()
+    X = np.vstack([v.toArray() for v in pdf["features"]])
+    res = (pdf["p"] - pdf["prediction"]).to_numpy()
+    scale = np.abs(X).max(axis=0) * np.abs(res).max() * len(res)
+    assert np.all(np.abs(X.T @ res) <= 1e-6 * scale)
+    assert abs(res.sum()) <= 1e-6 * np.abs(res).max() * len(res)
+
+
+def test_feature_frame_requires_columns(spark):
+    spec = model.FeatureSpec(targets=("p", "missing"), lag_measures=("p",), lags=(1,))
+    with pytest.raises(ValueError):
+        model.feature_frame(_panel(spark), ["k"], "d", spec)
