@@ -102,6 +102,41 @@ def spine_join(spine: DataFrame, values: DataFrame, keys: Sequence[str], date_co
     return out.filter(F.col("__spine")).select(*keys, date_col, *v_cols)
 
 
+def dense_panel(values: DataFrame, keys: Sequence[str], date_col: str, days: Column,
+                fill: Mapping[str, Any] | None = None) -> DataFrame:
+    """Every (key, day in ``days``) for each key of ``values``, with the values
+    placed on it (``fill`` for days a series has no value).  ``values`` must be
+    unique per (keys, day).  Same result as ``spine_join(panel_spine(...), ...)``.
+
+    Only one marker row per key and the (sparse) values are shuffled; the spine
+    is generated after the shuffle, inside each key's partition, so the
+    keys x days rows never cross the network.  The aggregate and any later
+    ``partitionBy(keys)`` window reuse that one partitioning.
+    """
+    if not keys:
+        return spine_join(values.select().distinct().select(F.explode(days).alias(date_col)),
+                          values, keys, date_col, fill)
+    fill = dict(fill or {})
+    v_cols = [c for c in values.columns if c not in (*keys, date_col)]
+    date_t = values.schema[date_col].dataType
+    markers = values.select(*keys).distinct().select(
+        *keys, F.lit(None).cast(date_t).alias(date_col), F.lit(True).alias("__spine"),
+        *[F.lit(None).cast(values.schema[c].dataType).alias(c) for c in v_cols])
+    vals = values.select(*keys, date_col, F.lit(False).alias("__spine"), *v_cols)
+    u = markers.unionByName(vals).repartition(*[F.col(k) for k in keys])
+    u = u.select(*keys, F.explode(F.when(F.col("__spine"), days)
+                                  .otherwise(F.array(F.col(date_col)))).alias(date_col),
+                 "__spine", *v_cols)
+    aggs = []
+    for c in v_cols:
+        e = F.max(c)
+        if c in fill:
+            e = F.coalesce(e, F.lit(fill[c]).cast(values.schema[c].dataType))
+        aggs.append(e.alias(c))
+    out = u.groupBy(*keys, date_col).agg(F.max("__spine").alias("__spine"), *aggs)
+    return out.filter(F.col("__spine")).select(*keys, date_col, *v_cols)
+
+
 def left_join_sentinel(facts: DataFrame, dim: DataFrame, on: str | Sequence[str],
                        sentinels: Mapping[str, Any]) -> DataFrame:
     """Fact LEFT JOIN dimension; unmatched attribute values become sentinels."""

@@ -107,8 +107,8 @@ def nation_daily_table(spark, sf_dir):
 def nation_panel(spark, sf_dir):
     """Dense (nation, day) panel of purchase / redeem totals."""
     nd = nation_daily_table(spark, sf_dir)
-    spine = panel.panel_spine(nd, KEYS, panel.day_range(nd, "report_date"))
-    return panel.spine_join(spine, nd, KEYS, "report_date", {"purchase": 0, "redeem": 0})
+    return panel.dense_panel(nd, KEYS, "report_date", panel.day_range(nd, "report_date"),
+                             {"purchase": 0, "redeem": 0})
 
 
 def _long(spark, sf_dir, panel_df=None):

@@ -157,9 +157,10 @@ FROM ({spine_sql(0)}) s LEFT JOIN ({EVENT_DAYS_SQL}) d
 """)
 def fillna_measures(spark, sf_dir):
     """Dense (user, day) panel; days without events get 0 measures."""
-    days, spine = _event_spine(spark, sf_dir, 0)
-    return panel.spine_join(spine, days, ["user_id"], "report_date",
-                            {"value_sum": 0, "n_events": 0})
+    days = _event_days(spark, sf_dir)
+    return panel.dense_panel(days, ["user_id"], "report_date",
+                             panel.day_range(days, "report_date"),
+                             {"value_sum": 0, "n_events": 0})
 
 
 @register("date_spine", f"""
@@ -208,8 +209,9 @@ WINDOW w AS (PARTITION BY s.user_id ORDER BY s.report_date
 """)
 def forward_fill(spark, sf_dir):
     """Per user: last observed value carried forward over the (user, day) spine."""
-    days, spine = _event_spine(spark, sf_dir, FILL_HORIZON)
-    p = panel.spine_join(spine, days, ["user_id"], "report_date")
+    days = _event_days(spark, sf_dir)
+    p = panel.dense_panel(days, ["user_id"], "report_date",
+                          panel.day_range(days, "report_date", 0, FILL_HORIZON))
     return panel.forward_fill(p, ["user_id"], "report_date", ["value_sum", "n_events"])
 
 

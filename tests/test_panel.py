@@ -72,3 +72,18 @@ def test_segment_counts(spark):
                                "d date, sex int")
     r = panel.segment_counts(df, ["d"], "sex", {"male": 1, "female": 0}).first()
     assert (r["male"], r["female"]) == (1, 1)
+
+
+def test_dense_panel_equals_spine_join(spark):
+    vals = spark.createDataFrame(
+        [(1, D(2014, 8, 30), 1.0), (1, D(2014, 9, 2), 2.0), (2, D(2014, 8, 31), 3.0)],
+        "k int, d date, v double")
+    days = panel.day_range(vals, "d", 0, 1)
+    a = panel.dense_panel(vals, ["k"], "d", days, {"v": 0.0})
+    b = panel.spine_join(panel.panel_spine(vals, ["k"], days, out="d"), vals, ["k"], "d",
+                         {"v": 0.0})
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert a.count() == 2 * 5
+    g = panel.dense_panel(vals.drop("k").groupBy("d").agg({"v": "sum"}), [], "d",
+                          panel.day_range(vals, "d"))
+    assert g.count() == 4
