@@ -5,10 +5,12 @@ A panel is a DataFrame keyed by ``keys + [date]``.  ``keys=()`` is the
 reference's single global series; any number of series share the same code.
 
 Scale notes
-* Spines are generated per key row with ``explode(sequence(...))`` - a
+* Spines are generated per key row with ``explode`` of a day array - a
   Generate, not a cross join; output size is exactly keys x days.
-* Global bounds (first/last day) are scalar subqueries: one tiny aggregate,
-  evaluated once, inlined as a literal.
+  ``dense_panel`` generates them after the key shuffle, so they are never
+  shuffled themselves.
+* The day range is one scalar subquery returning the array of days (one narrow
+  scan), evaluated once and inlined.
 * Windows partition by the series keys.  With no keys the window holds one
   row per day (a days-sized, data-independent bound), never raw facts.
 * Exogenous daily series are broadcast: one row per day, bounded by the
@@ -73,6 +75,19 @@ def panel_spine(keys_df: DataFrame, keys: Sequence[str], days: Column,
     return ks.select(*keys, F.explode(days).alias(out))
 
 
+def _place(u: DataFrame, values: DataFrame, keys: Sequence[str], date_col: str,
+           v_cols: Sequence[str], fill: Mapping[str, Any]) -> DataFrame:
+    """Spine rows (``__spine``) + value rows -> one row per spine (key, day)."""
+    aggs = []
+    for c in v_cols:
+        e = F.max(c)
+        if c in fill:
+            e = F.coalesce(e, F.lit(fill[c]).cast(values.schema[c].dataType))
+        aggs.append(e.alias(c))
+    out = u.groupBy(*keys, date_col).agg(F.max("__spine").alias("__spine"), *aggs)
+    return out.filter(F.col("__spine")).select(*keys, date_col, *v_cols)
+
+
 def spine_join(spine: DataFrame, values: DataFrame, keys: Sequence[str], date_col: str,
                fill: Mapping[str, Any] | None = None) -> DataFrame:
     """Values placed on a (keys, day) spine: the spine LEFT JOIN values, with
@@ -92,14 +107,7 @@ def spine_join(spine: DataFrame, values: DataFrame, keys: Sequence[str], date_co
     u = s.unionByName(v)
     if keys:
         u = u.repartition(*[F.col(k) for k in keys])
-    aggs = []
-    for c in v_cols:
-        e = F.max(c)
-        if c in fill:
-            e = F.coalesce(e, F.lit(fill[c]).cast(values.schema[c].dataType))
-        aggs.append(e.alias(c))
-    out = u.groupBy(*keys, date_col).agg(F.max("__spine").alias("__spine"), *aggs)
-    return out.filter(F.col("__spine")).select(*keys, date_col, *v_cols)
+    return _place(u, values, keys, date_col, v_cols, fill)
 
 
 def dense_panel(values: DataFrame, keys: Sequence[str], date_col: str, days: Column,
@@ -113,9 +121,9 @@ def dense_panel(values: DataFrame, keys: Sequence[str], date_col: str, days: Col
     keys x days rows never cross the network.  The aggregate and any later
     ``partitionBy(keys)`` window reuse that one partitioning.
     """
-    if not keys:
-        return spine_join(values.select().distinct().select(F.explode(days).alias(date_col)),
-                          values, keys, date_col, fill)
+    if not keys:    # one global series: the spine is one row per day
+        spine = values.sparkSession.range(1).select(F.explode(days).alias(date_col))
+        return spine_join(spine, values, keys, date_col, fill)
     fill = dict(fill or {})
     v_cols = [c for c in values.columns if c not in (*keys, date_col)]
     date_t = values.schema[date_col].dataType
@@ -127,14 +135,7 @@ def dense_panel(values: DataFrame, keys: Sequence[str], date_col: str, days: Col
     u = u.select(*keys, F.explode(F.when(F.col("__spine"), days)
                                   .otherwise(F.array(F.col(date_col)))).alias(date_col),
                  "__spine", *v_cols)
-    aggs = []
-    for c in v_cols:
-        e = F.max(c)
-        if c in fill:
-            e = F.coalesce(e, F.lit(fill[c]).cast(values.schema[c].dataType))
-        aggs.append(e.alias(c))
-    out = u.groupBy(*keys, date_col).agg(F.max("__spine").alias("__spine"), *aggs)
-    return out.filter(F.col("__spine")).select(*keys, date_col, *v_cols)
+    return _place(u, values, keys, date_col, v_cols, fill)
 
 
 def left_join_sentinel(facts: DataFrame, dim: DataFrame, on: str | Sequence[str],
