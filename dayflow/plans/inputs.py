@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayflow.functions.clean import MONEY, money, to_day
+from dayflow.functions.clean import MONEY, MONEY_SUM, money, to_day
+from dayflow.operators.flows import exact_avg
 from dayflow.sources.tables import load
 
 PURCHASE_STATUS = ("O", "P")
@@ -50,7 +51,6 @@ def event_days(events: DataFrame) -> DataFrame:
 
 def event_panel_days(events: DataFrame) -> DataFrame:
     """Per (user_id, report_date): exact value sum and event count."""
-    from dayflow.functions.clean import MONEY_SUM
     return (event_days(events).groupBy("user_id", "report_date")
             .agg(F.sum("value").cast(MONEY_SUM).alias("value_sum"),
                  F.count(F.lit(1)).alias("n_events")))
@@ -65,7 +65,6 @@ def nation_daily(orders: DataFrame, customer: DataFrame) -> DataFrame:
     then an equi-join on the customer key (AQE picks broadcast or sort-merge
     from the measured size) and the final sum regroups by nation.
     """
-    from dayflow.functions.clean import MONEY_SUM
     per_cust_day = (order_flows(orders).groupBy("user_id", "report_date")
                     .agg(F.sum("purchase").alias("purchase"),
                          F.sum("redeem").alias("redeem")))
@@ -79,7 +78,6 @@ def nation_daily(orders: DataFrame, customer: DataFrame) -> DataFrame:
 def weekday_exog(lineitem: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Exogenous business-day series: exact daily averages (out name -> column),
     Mon-Fri only, all computed in one scan and one aggregate."""
-    from dayflow.operators.flows import exact_avg
     d = to_day("l_shipdate")
     return (lineitem.select(d.alias("report_date"), *set(columns.values()))
             .filter(~F.dayofweek("report_date").isin(1, 7))
