@@ -1,7 +1,7 @@
 """Column-expression builders (JVM-side, whole-stage-codegen friendly)."""
 
 from dayflow.functions.clean import (  # noqa: F401
-    DECIMAL_AMOUNT, DIGITS, MONEY, MONEY_SUM, money, money_sum, parse_amount,
+    DECIMAL_AMOUNT, DIGITS, MONEY, MONEY_SUM, add_amounts, money, money_sum, parse_amount,
     parse_yyyymmdd, to_day,
 )
 from dayflow.functions.calendar import (  # noqa: F401

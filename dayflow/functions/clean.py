@@ -52,3 +52,18 @@ def to_day(c: str | Column) -> Column:
 def parse_yyyymmdd(c: str | Column) -> Column:
     """``yyyyMMdd`` int or string -> date (null when malformed)."""
     return F.try_to_date(_c(c).cast("string"), "yyyyMMdd")
+
+
+def add_amounts(*cols: str | Column, coalesce_nulls: bool = False) -> Column:
+    """Row-wise sum of amounts (``total_flow = purchase + redeem``).
+
+    By default a null addend makes the row null (and SUM then skips it), as
+    SQL ``a + b`` does; ``coalesce_nulls`` treats a missing addend as 0.
+    """
+    terms = [_c(c) for c in cols]
+    if coalesce_nulls:
+        terms = [F.coalesce(t, F.lit(0)) for t in terms]
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out

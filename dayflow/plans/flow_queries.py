@@ -7,7 +7,9 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from dayflow.functions.clean import DIGITS, MONEY_SUM, parse_amount, parse_yyyymmdd, to_day
+from dayflow.functions.clean import (
+    DIGITS, MONEY_SUM, add_amounts, parse_amount, parse_yyyymmdd, to_day,
+)
 from dayflow.functions.fmt import format_amount, yyyymmdd
 from dayflow.operators import filters, flows
 from dayflow.plans.inputs import event_days, order_flows, table
@@ -121,7 +123,7 @@ def avg_balance_by_city(spark, sf_dir):
 def _user_month_flow(spark, sf_dir):
     fl = filters.month_filter(_order_flows(spark, sf_dir), "o_orderdate", FLOW_MONTH)
     cust = table(spark, sf_dir, "customer")
-    out = flows.flow_by_entity(fl, "user_id", F.col("purchase") + F.col("redeem"), cust,
+    out = flows.flow_by_entity(fl, "user_id", add_amounts("purchase", "redeem"), cust,
                                "c_custkey", [F.col("c_nationkey").alias("city_id")])
     return out.select("city_id", "user_id", "total_flow")
 
@@ -238,7 +240,7 @@ def flow_expr(spark, sf_dir):
     """Per-row total flow = purchase + redeem."""
     fl = order_flows(table(spark, sf_dir, "orders"), keep=("o_orderkey",))
     return fl.select("o_orderkey",
-                     (F.col("purchase") + F.col("redeem")).cast(MONEY_SUM).alias("total_flow"))
+                     add_amounts("purchase", "redeem").cast(MONEY_SUM).alias("total_flow"))
 
 
 @register("clean_numeric", """

@@ -53,8 +53,12 @@ def forecast_job(panel_df: DataFrame, keys: Sequence[str], date_col: str,
 
 
 def submission(forecasts: DataFrame, keys: Sequence[str], date_col: str,
-               columns: Mapping[str, str]) -> DataFrame:
+               columns: Mapping[str, str], floor: float | None = None) -> DataFrame:
     """Horizon extract: keys, yyyyMMdd date, forecasts truncated to bigint
-    (``columns``: output name -> target)."""
+    (``columns``: output name -> target).  Forecasts are not clamped unless
+    ``floor`` is given (a linear model can forecast negative amounts)."""
+    def value(t):
+        c = F.col(t)
+        return F.greatest(c, F.lit(float(floor))) if floor is not None else c
     return forecasts.select(*keys, yyyymmdd(date_col).alias(date_col),
-                            *[F.col(t).cast("bigint").alias(n) for n, t in columns.items()])
+                            *[value(t).cast("bigint").alias(n) for n, t in columns.items()])

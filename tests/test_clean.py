@@ -3,7 +3,7 @@ import decimal
 
 from pyspark.sql import functions as F
 
-from dayflow.functions.clean import DECIMAL_AMOUNT, parse_amount, parse_yyyymmdd
+from dayflow.functions.clean import DECIMAL_AMOUNT, add_amounts, parse_amount, parse_yyyymmdd
 from dayflow.functions.fmt import format_amount, yyyymmdd
 
 
@@ -38,3 +38,14 @@ def test_format_and_render(spark):
     r = df.select(format_amount("x", 2).alias("a"), yyyymmdd("d").alias("s"),
                   yyyymmdd("d", as_long=True).alias("n")).first()
     assert r == ("1,234,567.50", "20140901", 20140901)
+
+
+def test_add_amounts_null_semantics(spark):
+    # string amounts are parsed first (ANSI would reject string arithmetic)
+    df = spark.createDataFrame([("5", "7"), ("5", None), ("x", "2")], "a string, b string")
+    a, b = parse_amount("a", default=None), parse_amount("b", default=None)
+    rows = df.select(add_amounts(a, b).alias("s"),
+                     add_amounts(a, b, coalesce_nulls=True).alias("c")).collect()
+    assert [(r["s"], r["c"]) for r in rows] == [(12, 12), (None, 5), (None, 2)]
+    total = df.select(add_amounts(a, b).alias("s")).agg(F.sum("s")).first()[0]
+    assert total == 12          # SUM skips the null rows

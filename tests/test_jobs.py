@@ -35,3 +35,11 @@ def test_forecast_job_fills_lag_cells(spark, tmp_path):
                 assert row[f"p_{lag}"] == pytest.approx(want)
     sub = jobs.submission(fc, ["k"], "d", {"purchase": "p"}).collect()
     assert len(sub) == 20 and sub[0]["d"].isdigit()
+
+
+def test_submission_floor(spark):
+    fc = spark.createDataFrame([(1, D(2014, 9, 1), -5.7, 3.9)], "k int, d date, p double, r double")
+    r = jobs.submission(fc, ["k"], "d", {"purchase": "p", "redeem": "r"}).first()
+    assert (r["d"], r["purchase"], r["redeem"]) == ("20140901", -5, 3)
+    r = jobs.submission(fc, ["k"], "d", {"purchase": "p"}, floor=0).first()
+    assert r["purchase"] == 0
