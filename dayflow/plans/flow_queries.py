@@ -257,3 +257,62 @@ def clean_numeric(spark, sf_dir):
     k_text = F.regexp_extract("props", r"(\d+)", 1)
     return ev.select("event_id", parse_amount(k_text, DIGITS).alias("k"),
                      parse_amount("props", DIGITS).alias("props_num"))
+
+
+# --- the same jobs as SQL text (S3, S4) -----------------------------------------
+@register("sql_topk_per_group", TOPK_SQL)
+def sql_topk_per_group(spark, sf_dir):
+    """Top 3 users per city by August-2000 flow, written as parameterised SQL text
+    over DataFrame bindings."""
+    from dayflow.operators.sql import run_sql
+    text = """
+    WITH per_user AS (             -- one row per user before the dimension join
+      SELECT user_id, SUM(purchase + redeem) AS flow
+      FROM {flows}
+      WHERE o_orderdate >= CAST(:start AS TIMESTAMP_NTZ)
+        AND o_orderdate < CAST(:stop AS TIMESTAMP_NTZ)
+      GROUP BY user_id)
+    SELECT city_id, user_id, total_flow, rank FROM (
+      SELECT c.c_nationkey AS city_id, p.user_id,
+             CAST(p.flow AS DECIMAL(38,2)) AS total_flow,
+             ROW_NUMBER() OVER (PARTITION BY c.c_nationkey
+                                ORDER BY p.flow DESC, p.user_id) AS rank
+      FROM per_user p JOIN {customer} c ON p.user_id = c.c_custkey) ranked
+    WHERE rank <= :k
+    """
+    return run_sql(spark, text, {"start": "2000-08-01", "stop": "2000-09-01", "k": TOP_K},
+                   flows=_order_flows(spark, sf_dir),
+                   customer=table(spark, sf_dir, "customer"))
+
+
+@register("sql_avg_balance_by_city", """
+SELECT c.c_nationkey AS city_id,
+       CAST(SUM(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(c.c_acctbal)
+         AS avg_balance
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE CAST(o.o_orderdate AS DATE) = DATE '1998-03-01'
+GROUP BY c.c_nationkey
+""")
+def sql_avg_balance_by_city(spark, sf_dir):
+    """Average balance per city on one day, as SQL text over registered temp views."""
+    from dayflow.operators.sql import run_sql, temp_views
+    v = temp_views({"orders": table(spark, sf_dir, "orders"),
+                    "customer": table(spark, sf_dir, "customer")})
+    text = f"""
+    WITH per_customer AS (         -- one weighted row per customer before the join
+      SELECT o_custkey, COUNT(*) AS n FROM {v['orders']}
+      WHERE o_orderdate >= CAST(:day AS TIMESTAMP_NTZ)
+        AND o_orderdate < CAST(:day AS TIMESTAMP_NTZ) + INTERVAL 1 DAY
+      GROUP BY o_custkey)
+    SELECT c.c_nationkey AS city_id,
+           CAST(SUM(CAST(c.c_acctbal AS DECIMAL(18,2)) * p.n) AS DOUBLE) / SUM(p.n)
+             AS avg_balance
+    FROM per_customer p JOIN {v['customer']} c ON p.o_custkey = c.c_custkey
+    GROUP BY c.c_nationkey
+    ORDER BY avg_balance DESC
+    """
+    try:
+        return run_sql(spark, text, {"day": BALANCE_DAY.isoformat()})
+    finally:   # the returned plan is already analysed: the names are no longer needed
+        for name in v.values():
+            spark.catalog.dropTempView(name)
