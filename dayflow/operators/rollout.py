@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayflow.operators.model import FeatureSpec
+from dayflow.operators.panel import require_columns
 
 
 def rollout_ar1(start: DataFrame, keys: Sequence[str], date_col: str, horizon: int,
@@ -93,6 +94,7 @@ def _history_tail(history: DataFrame, keys: Sequence[str], date_col: str,
         raise ValueError(f"lag measures {missing} are not forecast targets")
     depth = max(spec.lags)
     measures = sorted(set(spec.targets) | set(spec.lag_measures))
+    require_columns(history, [*keys, date_col, *measures], "rollout history")
     w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc())
     # rank filter -> WindowGroupLimit: at most `depth` rows per series leave a task
     return (history.select(*keys, date_col, *[F.col(m).cast("double").alias(m)
