@@ -62,3 +62,34 @@ def test_rollout_ar_has_no_python(spark):
     p = _plan(QUERIES["rollout_ar"](spark, SF001))
     assert "ArrowEvalPython" not in p and "FlatMapGroupsInPandas" not in p
     assert "Generate posexplode" in p
+
+
+def _exchange_inputs(plan: str):
+    """(exchange line, first operator line below it) pairs of a plan string."""
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line and i + 1 < len(lines):
+            yield line, lines[i + 1]
+
+
+def test_fact_rows_are_pre_aggregated_before_dimension_joins(spark):
+    # a key holding a third of all rows leaves each map task as one partial row:
+    # the exchange under each aggregate key is fed by a partial aggregate
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, key in (("user_month_flow", "user_id"), ("segment_counts", "c_custkey"),
+                          ("avg_balance_by_city", "o_custkey"),
+                          ("exog_join_ffill", "user_id")):
+            plan = _plan(QUERIES[name](spark, SF001))
+            fed = [below for ex, below in _exchange_inputs(plan)
+                   if f"hashpartitioning({key}#" in ex and "partial_" in below]
+            assert fed, name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_sql_text_parameters_reach_the_scan(spark):
+    p = _plan(QUERIES["sql_topk_per_group"](spark, SF001))
+    assert "GreaterThanOrEqual(o_orderdate,2000-08-01" in p and "WindowGroupLimit" in p
