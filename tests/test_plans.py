@@ -26,8 +26,11 @@ def test_scan_is_column_pruned(spark):
 
 
 def test_topk_uses_window_group_limit(spark):
-    p = _plan(QUERIES["topk_per_group"](spark, SF001))
-    assert "WindowGroupLimit" in p
+    # a partial limit below the group shuffle: a hot city ships k rows per map task
+    lines = _plan(QUERIES["topk_per_group"](spark, SF001)).splitlines()
+    ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(city_id" in line)
+    assert "WindowGroupLimit" in lines[ex + 1] and lines[ex + 1].rstrip().endswith("Partial")
+    assert "WindowGroupLimit" in lines[ex - 1] and lines[ex - 1].rstrip().endswith("Final")
 
 
 def test_lag_features_is_one_window_no_join(spark):
