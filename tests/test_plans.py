@@ -29,8 +29,11 @@ def test_topk_uses_window_group_limit(spark):
     # a partial limit below the group shuffle: a hot city ships k rows per map task
     lines = _plan(QUERIES["topk_per_group"](spark, SF001)).splitlines()
     ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(city_id" in line)
-    assert "WindowGroupLimit" in lines[ex + 1] and lines[ex + 1].rstrip().endswith("Partial")
-    assert "WindowGroupLimit" in lines[ex - 1] and lines[ex - 1].rstrip().endswith("Final")
+    final = [i for i, line in enumerate(lines)
+             if "WindowGroupLimit" in line and line.rstrip().endswith("Final")]
+    partial = [i for i, line in enumerate(lines)
+               if "WindowGroupLimit" in line and line.rstrip().endswith("Partial")]
+    assert final and partial and final[0] < ex < partial[0]
 
 
 def test_lag_features_is_one_window_no_join(spark):
