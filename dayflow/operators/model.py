@@ -90,14 +90,26 @@ def assemble(df: DataFrame, spec: FeatureSpec, out: str = "features",
 
 def fit_targets(train: DataFrame, spec: FeatureSpec,
                 params: Mapping[str, object] = SLIM_PARAMS,
-                features_col: str = "features") -> dict:
-    """One ``LinearRegression`` per target over an assembled, materialised frame."""
+                features_col: str = "features", parallelism: int | None = None) -> dict:
+    """One ``LinearRegression`` per target over an assembled, materialised frame.
+
+    The fits are independent, so they are submitted as concurrent Spark jobs
+    (``parallelism`` threads, default one per target) - the pattern of
+    ``CrossValidator(parallelism=...)``: per-job scheduling overhead overlaps
+    and a cluster is kept busy even when one fit's data is small.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.regression import LinearRegression
-    models = {}
-    for t in spec.targets:
-        lr = LinearRegression(featuresCol=features_col, labelCol=t, **params)
-        models[t] = lr.fit(train)
-    return models
+
+    def fit(t):
+        return t, LinearRegression(featuresCol=features_col, labelCol=t, **params).fit(train)
+
+    n = parallelism or len(spec.targets)
+    if n <= 1:
+        return dict(fit(t) for t in spec.targets)
+    with ThreadPoolExecutor(max_workers=n) as pool:
+        return dict(pool.map(fit, spec.targets))
 
 
 def coefficients_frame(spark: SparkSession, models: Mapping[str, object],

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from dayflow.functions.fmt import yyyymmdd
 from dayflow.operators import model, panel, rollout
+from dayflow.session import materialize
 from dayflow.sources.models import load_models, save_models
 
 
@@ -28,9 +29,9 @@ def train_job(panel_df: DataFrame, keys: Sequence[str], date_col: str,
     ``(models, test metrics per target)``."""
     ff = model.feature_frame(panel_df, keys, date_col, spec)
     ff = model.split_mod(model.complete_rows(ff, spec), date_col, split_k)
-    data = (model.assemble(ff, spec)
-            .select(*keys, date_col, "split", "features", *spec.targets)
-            .checkpoint(eager=True))
+    data = materialize(model.assemble(ff, spec)
+                       .select(*keys, date_col, "split", "features", *spec.targets),
+                       "train-features")
     models = model.fit_targets(data.filter(F.col("split") == "train"), spec, params)
     save_models(models, models_dir)
     pred = model.score_models(models, data.filter(F.col("split") == "test"), keys, date_col)

@@ -15,16 +15,21 @@ from dayflow.operators.lags import lag_features
 from dayflow.plans.inputs import nation_daily, table
 from dayflow.plans.panel_queries import NATION_DAILY_SQL
 from dayflow.plans.registry import register
-from dayflow.session import scratch_path
+from dayflow.session import materialize, scratch_path
 from dayflow.sources.files import read_csv, write_csv
 from dayflow.sources.models import load_models, save_models
 
 KEYS = ["c_nationkey"]
-TARGETS = ("purchase", "redeem")
+TARGETS = ("purchase", "redeem")          # the flows (per-series AR queries, extract)
+EXOG = ("avg_discount", "avg_tax")        # business-day series, forward filled
 HORIZON = 30
 SPLIT_K = 5           # one day in five is held out
 HOLDOUT_DAYS = 60     # time split: the last 60 days
-SPEC = model.FeatureSpec(targets=TARGETS, lag_measures=TARGETS)
+# The multi-feature models have the reference's slim shape: 4 targets (2 flows
+# + 2 exogenous daily series), trend + 4 calendar terms + 14 lags of every
+# target = 61 features.
+SPEC = model.FeatureSpec(targets=TARGETS + EXOG, lag_measures=TARGETS + EXOG,
+                         calendar=("weekday_sin", "month_sin", "is_weekend", "is_holiday"))
 
 # --- oracle fragments -------------------------------------------------------
 NATION_PANEL_SQL = f"""
@@ -94,14 +99,14 @@ FROM ({ROLLOUT_SQL}) r GROUP BY c_nationkey, report_date
 
 # --- spark side ---------------------------------------------------------------
 def nation_daily_table(spark, sf_dir):
-    """The (nation, day) totals, materialised once in the shared checkpoint dir.
+    """The (nation, day) totals, written once below the shared checkpoint root.
 
     The table is small (series x days) while its input is the whole orders x
-    customer join; checkpointing cuts the lineage so the day bounds, the spine
+    customer join; materialising cuts the lineage so the day range, the spine
     and the fits read it instead of re-running that aggregation.
     """
     nd = nation_daily(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
-    return nd.checkpoint(eager=True)
+    return materialize(nd, "nation-daily")
 
 
 def nation_panel(spark, sf_dir):
@@ -111,6 +116,18 @@ def nation_panel(spark, sf_dir):
                              {"purchase": 0, "redeem": 0})
 
 
+def model_panel(spark, sf_dir):
+    """Dense (nation, day) flows + the two business-day series, forward filled
+    per nation.  The daily series are broadcast (one row per day) and the
+    window reuses the panel's nation partitioning."""
+    from dayflow.plans.inputs import weekday_exog
+    from dayflow.plans.panel_queries import EXOG_COLUMNS
+    p = panel.join_daily_series(
+        nation_panel(spark, sf_dir),
+        [weekday_exog(table(spark, sf_dir, "lineitem"), EXOG_COLUMNS)], "report_date")
+    return panel.forward_fill(p, KEYS, "report_date", list(EXOG))
+
+
 def _long(spark, sf_dir, panel_df=None):
     panel_df = panel_df if panel_df is not None else nation_panel(spark, sf_dir)
     p = lag_features(panel_df, KEYS, "report_date", TARGETS, (1,))
@@ -248,7 +265,7 @@ def point_overwrite(spark, sf_dir):
     """History + horizon placeholders, with forecasts written into the horizon rows."""
     # the panel feeds the history, the horizon keys / days and the rollout:
     # materialise it once instead of re-running its lineage for each use
-    p = nation_panel(spark, sf_dir).checkpoint(eager=True)
+    p = materialize(nation_panel(spark, sf_dir), "nation-panel")
     hist = panel.horizon_union(p, KEYS, "report_date", HORIZON)
     r = _rollout_ar(spark, sf_dir, p).withColumn("forecast", F.round("forecast", 2))
     upd = r.groupBy(*KEYS, "report_date").agg(*[
@@ -296,15 +313,15 @@ CONFIGS = {"wide": model.WIDE_PARAMS, "slim": model.SLIM_PARAMS}
 
 
 def assembled_features(spark, sf_dir, panel_df=None):
-    """Feature frame (trend + calendar + 14 lags of both targets), complete rows,
-    split label, assembled vector; checkpointed once so the per-target fits read
-    a materialised table instead of re-running the lineage."""
-    panel_df = panel_df if panel_df is not None else nation_panel(spark, sf_dir)
+    """Feature frame (trend + calendar + 14 lags of all four targets), complete rows,
+    split label, assembled vector; materialised once so the per-target fits read
+    a written table instead of re-running the lineage."""
+    panel_df = panel_df if panel_df is not None else model_panel(spark, sf_dir)
     ff = model.feature_frame(panel_df, KEYS, "report_date", SPEC)
     ff = model.split_mod(model.complete_rows(ff, SPEC), "report_date", SPLIT_K)
     out = model.assemble(ff, SPEC).select(*KEYS, "report_date", "split", "features",
-                                          *TARGETS)
-    return out.checkpoint(eager=True)
+                                          *SPEC.targets)
+    return materialize(out, "features")
 
 
 def fit_config(spark, sf_dir, config="slim", panel_df=None):
@@ -330,14 +347,14 @@ def ols_multi(spark, sf_dir):
 
 @register("model_coefficients")
 def model_coefficients(spark, sf_dir):
-    """(target, term, value) of the slim models: intercept + 35 coefficients each."""
+    """(target, term, value) of the slim models: intercept + 61 coefficients each."""
     _, models = fit_config(spark, sf_dir, "slim")
     return model.coefficients_frame(spark, models, SPEC)
 
 
 @register("assemble_features")
 def assemble_features(spark, sf_dir):
-    """The assembled feature vectors as arrays (one row per complete nation-day)."""
+    """The assembled 61-feature vectors as arrays (one row per complete nation-day)."""
     from pyspark.ml.functions import vector_to_array
     data = assembled_features(spark, sf_dir)
     return data.select(*KEYS, "report_date", "split",
@@ -349,15 +366,15 @@ def model_roundtrip(spark, sf_dir):
     """Save one model per target, load the set back (fail fast if one is missing), score."""
     data, models = fit_config(spark, sf_dir, "slim")
     root = save_models(models, scratch_path(spark, "models"))
-    loaded = load_models(root, TARGETS)
+    loaded = load_models(root, SPEC.targets)
     test = data.filter(F.col("split") == "test")
     return model.score_models(loaded, test, KEYS, "report_date")
 
 
 @register("rollout_var")
 def rollout_var(spark, sf_dir):
-    """30-day forecast of both targets per nation with the multi-feature models."""
-    p = nation_panel(spark, sf_dir).checkpoint(eager=True)   # used by the fit and the rollout
+    """30-day forecast of all four targets per nation with the multi-feature models."""
+    p = materialize(model_panel(spark, sf_dir), "model-panel")   # read by the fit and the rollout
     _, models = fit_config(spark, sf_dir, "slim", p)
     return rollout.rollout_linear(p, KEYS, "report_date", SPEC,
                                   rollout.model_coefficients(models), HORIZON)
@@ -368,7 +385,7 @@ def forecast_job_q(spark, sf_dir):
     """The whole workflow: train + save, load + 30-day forecast, filled feature
     matrix written as CSV (overwrite), submission written headerless and read back."""
     from dayflow.plans import jobs
-    p = nation_panel(spark, sf_dir).checkpoint(eager=True)
+    p = materialize(model_panel(spark, sf_dir), "model-panel")
     root = scratch_path(spark, "forecast-job")
     jobs.train_job(p, KEYS, "report_date", SPEC, model.SLIM_PARAMS, f"{root}/models", SPLIT_K)
     fc, matrix = jobs.forecast_job(p, KEYS, "report_date", SPEC, f"{root}/models", HORIZON)

@@ -64,3 +64,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory below the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/dayflow/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` once as Parquet below the shared checkpoint
+    root and return the re-read table.
+
+    Unlike ``Dataset.checkpoint``, whose reliable write recomputes an uncached
+    plan a second time, the plan runs once; the result is durable (it survives
+    executor loss) and later scans get Parquet column pruning and statistics.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
