@@ -109,7 +109,9 @@ def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
     """Forecast every target ``horizon`` days past each series' last day.
 
     ``coefs[target] = (intercept, [coefficient per spec.feature_names()])``.
-    Lag measures must be targets (their future values are the forecasts).
+    Lag measures must be targets (their future values are the forecasts), and
+    ``history`` must hold at most one row per (keys, day).  A lag that falls on
+    a missing day makes that forecast null (exact-date semantics).
     Output: keys, ``date_col``, ``step`` (1..horizon), one double per target.
     """
     tail = _history_tail(history, keys, date_col, spec)
