@@ -182,14 +182,18 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str,
 
 def join_daily_series(panel: DataFrame, series: Sequence[DataFrame],
                       date_col: str) -> DataFrame:
-    """Left-join exogenous daily series (one row per day each) onto a panel.
+    """Left-join exogenous daily series onto a panel.
 
-    Each series is broadcast: it holds one row per calendar day, so its size is
-    bounded by the date range, not by the panel.
+    Each series is first reduced to one row per day (``max`` of each value
+    column; a no-op when the days are already unique), so the broadcast side
+    is bounded by the number of calendar days in its range - a bound that does
+    not grow with the fact data - and the panel is never shuffled for it.
     """
     out = panel
     for s in series:
-        out = out.join(F.broadcast(s), date_col, "left")
+        vals = [c for c in s.columns if c != date_col]
+        per_day = s.groupBy(date_col).agg(*[F.max(c).alias(c) for c in vals])
+        out = out.join(F.broadcast(per_day), date_col, "left")
     return out
 
 

@@ -87,3 +87,10 @@ def test_dense_panel_equals_spine_join(spark):
     g = panel.dense_panel(vals.drop("k").groupBy("d").agg({"v": "sum"}), [], "d",
                           panel.day_range(vals, "d"))
     assert g.count() == 4
+
+
+def test_join_daily_series_one_row_per_day(spark):
+    p = spark.createDataFrame([(1, D(2014, 1, 1)), (2, D(2014, 1, 1))], "k int, d date")
+    dup = spark.createDataFrame([(D(2014, 1, 1), 1.0), (D(2014, 1, 1), 2.0)], "d date, x double")
+    out = panel.join_daily_series(p, [dup], "d").collect()
+    assert len(out) == 2 and {r["x"] for r in out} == {2.0}
