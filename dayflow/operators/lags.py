@@ -27,7 +27,12 @@ def lag_name(measure: str, i: int) -> str:
 
 def lag_features(df: DataFrame, keys: Sequence[str], date_col: str,
                  measures: Sequence[str], lags: Sequence[int] = DEFAULT_LAGS) -> DataFrame:
-    """Add ``<measure>_<i>`` = value of ``measure`` exactly ``i`` days earlier."""
+    """Add ``<measure>_<i>`` = value of ``measure`` exactly ``i`` days earlier.
+
+    ``df`` is a panel: at most one row per (keys, day) - aggregate facts first
+    (a hot key then holds at most one row per day, so no window partition grows
+    with the fact volume).
+    """
     order = F.unix_date(F.col(date_col).cast("date"))
     base = Window.partitionBy(*keys).orderBy(order)
     packed = F.struct(*[F.col(m).alias(m) for m in measures])

@@ -172,7 +172,9 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str,
                  columns: Sequence[str]) -> DataFrame:
     """Each column's last non-null value up to the current row, per series.
 
-    Unknown column names raise (the reference silently skipped a misspelt one).
+    Meant for panels (one row per series and day), so a window partition is
+    bounded by the number of days.  Unknown column names raise (the reference
+    silently skipped a misspelt one).
     """
     require_columns(df, [*keys, order_col, *columns], "forward_fill")
     w = (Window.partitionBy(*keys).orderBy(order_col)
