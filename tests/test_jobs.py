@@ -43,3 +43,41 @@ def test_submission_floor(spark):
     assert (r["d"], r["purchase"], r["redeem"]) == ("20140901", -5, 3)
     r = jobs.submission(fc, ["k"], "d", {"purchase": "p"}, floor=0).first()
     assert r["purchase"] == 0
+
+
+def test_single_global_series_end_to_end(spark, tmp_path):
+    """keys=[]: the reference's one global daily series, through every step."""
+    import datetime as _dt
+    from pyspark.sql import functions as F
+    from dayflow.functions.calendar import HOLIDAYS_2013_2014
+    from dayflow.operators import flows, panel
+
+    facts = []
+    for i in range(120):
+        d = _dt.date(2014, 3, 1) + _dt.timedelta(days=i)
+        if i % 9 == 4:
+            continue                                    # a few days without rows
+        facts += [(u, d, 100 + (i * u) % 37, 50 + (i + u) % 11) for u in (1, 2, 3)]
+    bal = spark.createDataFrame(facts, "user_id int, report_date date, p int, r int")
+    daily = flows.daily_totals(bal, "report_date", {"p": "p", "r": "r"})
+    rates = spark.createDataFrame(
+        [(_dt.date(2014, 3, 1) + _dt.timedelta(days=i), 3.0 + i / 100) for i in range(120)
+         if (_dt.date(2014, 3, 1) + _dt.timedelta(days=i)).isoweekday() <= 5],
+        "report_date date, rate double")
+    dense = panel.dense_panel(daily, [], "report_date", panel.day_range(daily, "report_date"),
+                              {"p": 0, "r": 0})
+    dense = panel.forward_fill(panel.join_daily_series(dense, [rates], "report_date"), [],
+                               "report_date", ["rate"])
+    assert dense.count() == 120 and dense.filter(F.col("rate").isNull()).count() <= 2
+    spec = model.FeatureSpec(targets=("p", "r", "rate"), lag_measures=("p", "r", "rate"),
+                             holidays=HOLIDAYS_2013_2014)
+    models, metrics = jobs.train_job(dense, [], "report_date", spec, model.SLIM_PARAMS,
+                                     str(tmp_path / "g"))
+    assert metrics.count() == 3
+    fc, filled = jobs.forecast_job(dense, [], "report_date", spec, str(tmp_path / "g"), 30)
+    rows = fc.orderBy("report_date").collect()
+    assert len(rows) == 30 and rows[0]["report_date"] == _dt.date(2014, 6, 29)
+    assert all(r["p"] is not None for r in rows)
+    assert filled.count() == 150
+    sub = jobs.submission(fc, [], "report_date", {"purchase": "p", "redeem": "r"}).collect()
+    assert sub[0]["report_date"].startswith("2014") and len(sub) == 30
