@@ -29,8 +29,26 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True,
-              sep: str = ",", single_file: bool = False) -> str:
-    """CSV sink.  ``mode`` as in Spark (default: fail if the path exists)."""
+              sep: str = ",", single_file: bool = False,
+              partition_by: list[str] | None = None) -> str:
+    """CSV sink.  ``mode`` as in Spark (default: fail if the path exists).
+
+    ``partition_by`` writes one directory per value (e.g. a month column), so
+    later reads filtered on it prune whole directories (PartitionFilters).
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
+    w = out.write.mode(mode).option("header", str(header).lower()).option("sep", sep)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.csv(path)
+    return path
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
+                  partition_by: list[str] | None = None) -> str:
+    """Parquet sink for intermediates and results (optionally partitioned)."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return path

@@ -24,3 +24,17 @@ def test_headerless_single_file_and_modes(spark, tmp_path):
     assert back.count() == 10
     write_csv(df.limit(3), path, mode="overwrite", header=False)
     assert read_csv(spark, path, "id bigint, v bigint", header=False).count() == 3
+
+
+def test_partitioned_sink_prunes_on_read(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from dayflow.sources.files import write_parquet
+    days = spark.range(90).select(F.date_add(F.lit("2014-06-01").cast("date"),
+                                             F.col("id").cast("int")).alias("d"))
+    df = days.withColumn("month", F.date_format("d", "yyyyMM")).withColumn("v", F.lit(1))
+    path = write_parquet(df, str(tmp_path / "p"), partition_by=["month"])
+    back = spark.read.parquet(path).filter(F.col("month") == 201407)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and back.count() == 31
+    csv = write_csv(df, str(tmp_path / "c"), partition_by=["month"])
+    assert read_csv(spark, csv, "d date, v int, month int").filter("month = 201407").count() == 31
