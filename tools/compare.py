@@ -28,6 +28,28 @@ def _norm(v):
     return v
 
 
+_DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE",
+               "string": "VARCHAR", "boolean": "BOOLEAN", "float": "FLOAT",
+               "smallint": "SMALLINT", "tinyint": "TINYINT", "timestamp_ntz": "TIMESTAMP"}
+
+
+def spark_types(df) -> dict:
+    out = {}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        out[f.name] = _DUCK_TYPES.get(t, t.upper())
+    return out
+
+
+def duck_types(sql: str, sf_dir: str) -> dict:
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    rel = con.sql(sql)
+    return dict(zip(rel.columns, [str(x) for x in rel.types]))
+
+
 def spark_rows(df):
     cols = sorted(df.columns)
     rows = df.select(*cols).collect()
@@ -51,6 +73,10 @@ def compare(df, sql: str, sf_dir: str) -> tuple[bool, str]:
     dc, dr = duck_rows(sql, sf_dir)
     if sc != dc:
         return False, f"columns differ: spark={sc} duckdb={dc}"
+    st, dt = spark_types(df), duck_types(sql, sf_dir)
+    if st != dt:
+        diff = {c: (st[c], dt.get(c)) for c in st if st[c] != dt.get(c)}
+        return False, f"column types differ: {diff}"
     if len(sr) != len(dr):
         return False, f"row counts differ: spark={len(sr)} duckdb={len(dr)}"
     a, b = Counter(sr), Counter(dr)
