@@ -7,13 +7,15 @@ the first days of each series.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from dayflow.functions.fmt import yyyymmdd
 from dayflow.operators import model, panel, rollout
 from dayflow.operators.lags import lag_features
-from dayflow.plans.inputs import nation_daily, table
-from dayflow.plans.panel_queries import NATION_DAILY_SQL
+from dayflow.plans import jobs
+from dayflow.plans.inputs import nation_daily, table, weekday_exog
+from dayflow.plans.panel_queries import EXOG_COLUMNS, NATION_DAILY_SQL
 from dayflow.plans.registry import register
 from dayflow.session import materialize, scratch_path
 from dayflow.sources.files import read_csv, write_csv
@@ -120,8 +122,6 @@ def model_panel(spark, sf_dir):
     """Dense (nation, day) flows + the two business-day series, forward filled
     per nation.  The daily series are broadcast (one row per day) and the
     window reuses the panel's nation partitioning."""
-    from dayflow.plans.inputs import weekday_exog
-    from dayflow.plans.panel_queries import EXOG_COLUMNS
     p = panel.join_daily_series(
         nation_panel(spark, sf_dir),
         [weekday_exog(table(spark, sf_dir, "lineitem"), EXOG_COLUMNS)], "report_date")
@@ -355,7 +355,6 @@ def model_coefficients(spark, sf_dir):
 @register("assemble_features")
 def assemble_features(spark, sf_dir):
     """The assembled 61-feature vectors as arrays (one row per complete nation-day)."""
-    from pyspark.ml.functions import vector_to_array
     data = assembled_features(spark, sf_dir)
     return data.select(*KEYS, "report_date", "split",
                        vector_to_array("features").alias("features"))
@@ -384,7 +383,6 @@ def rollout_var(spark, sf_dir):
 def forecast_job_q(spark, sf_dir):
     """The whole workflow: train + save, load + 30-day forecast, filled feature
     matrix written as CSV (overwrite), submission written headerless and read back."""
-    from dayflow.plans import jobs
     p = materialize(model_panel(spark, sf_dir), "model-panel")
     root = scratch_path(spark, "forecast-job")
     jobs.train_job(p, KEYS, "report_date", SPEC, model.SLIM_PARAMS, f"{root}/models", SPLIT_K)

@@ -15,6 +15,7 @@ from dayflow.plans.inputs import table
 from dayflow.plans.registry import register
 from dayflow.session import scratch_path
 from dayflow.sources.files import read_csv, string_schema, write_csv
+from dayflow.streaming.daily_flow import file_stream, run_complete_to_table, stream_daily_flow
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
 ORDER_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
@@ -73,8 +74,6 @@ def sink_roundtrip_overwrite(spark, sf_dir):
 def stream_daily_flow_q(spark, sf_dir):
     """Daily totals maintained by a Structured Streaming query over the orders
     file (availableNow trigger, checkpointed), read back from its result table."""
-    from dayflow.streaming.daily_flow import file_stream, run_complete_to_table, \
-        stream_daily_flow
     schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
     src = file_stream(spark, sf_dir, schema, name_glob="orders.parquet")
     root = scratch_path(spark, "stream-daily-flow")
