@@ -11,13 +11,14 @@ training - which yields exactly the cells the reference's loop rewrote.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayflow.functions.fmt import yyyymmdd
-from dayflow.operators import model, panel, rollout
+from dayflow.operators import filters, model, panel, rollout
 from dayflow.session import materialize
 from dayflow.sources.models import load_models, save_models
 
@@ -54,12 +55,17 @@ def forecast_job(panel_df: DataFrame, keys: Sequence[str], date_col: str,
 
 
 def submission(forecasts: DataFrame, keys: Sequence[str], date_col: str,
-               columns: Mapping[str, str], floor: float | None = None) -> DataFrame:
-    """Horizon extract: keys, yyyyMMdd date, forecasts truncated to bigint
-    (``columns``: output name -> target).  Forecasts are not clamped unless
-    ``floor`` is given (a linear model can forecast negative amounts)."""
+               columns: Mapping[str, str], floor: float | None = None,
+               first: _dt.date | None = None, last: _dt.date | None = None) -> DataFrame:
+    """Horizon extract: rows of ``[first, last]`` (when given), keys, yyyyMMdd
+    date, forecasts truncated to bigint (``columns``: output name -> target).
+    Forecasts are not clamped unless ``floor`` is given (a linear model can
+    forecast negative amounts)."""
     def value(t):
         c = F.col(t)
         return F.greatest(c, F.lit(float(floor))) if floor is not None else c
+    if first is not None or last is not None:
+        forecasts = forecasts.filter(filters.in_closed(
+            forecasts, date_col, first or _dt.date.min, last or _dt.date(9999, 12, 30)))
     return forecasts.select(*keys, yyyymmdd(date_col).alias(date_col),
                             *[value(t).cast("bigint").alias(n) for n, t in columns.items()])

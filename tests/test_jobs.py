@@ -81,3 +81,11 @@ def test_single_global_series_end_to_end(spark, tmp_path):
     assert filled.count() == 150
     sub = jobs.submission(fc, [], "report_date", {"purchase": "p", "redeem": "r"}).collect()
     assert sub[0]["report_date"].startswith("2014") and len(sub) == 30
+
+
+def test_submission_date_window(spark):
+    rows = [(1, D(2014, 8, 31) + dt.timedelta(days=i), float(i), 1.0) for i in range(5)]
+    fc = spark.createDataFrame(rows, "k int, d date, p double, r double")
+    out = jobs.submission(fc, ["k"], "d", {"purchase": "p"}, first=D(2014, 9, 1),
+                          last=D(2014, 9, 3)).collect()
+    assert sorted(r["d"] for r in out) == ["20140901", "20140902", "20140903"]
