@@ -7,15 +7,42 @@ driver).  Prints ONE JSON line:
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
+def _event_metrics(event_dir: str) -> dict:
+    """Per job group (= query): shuffle bytes written and input bytes read,
+    summed over its tasks, from the Spark event log."""
+    stage_group, shuffle, read = {}, defaultdict(int), defaultdict(int)
+    for path in glob.glob(os.path.join(event_dir, "*")):
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    m = ev.get("Task Metrics") or {}
+                    if group:
+                        shuffle[group] += (m.get("Shuffle Write Metrics") or {}).get(
+                            "Shuffle Bytes Written", 0)
+                        read[group] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
+    return {g: {"shuffle_mb": round(shuffle[g] / 2**20, 3), "input_mb": round(read[g] / 2**20, 3)}
+            for g in set(shuffle) | set(read)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -26,7 +53,13 @@ def main() -> None:
     from dayflow.operators import model
     from dayflow.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app_name="dayflow-bench")
+    event_dir = tempfile.mkdtemp(prefix="dayflow-bench-events-")
+    eventlog = os.environ.get("BENCH_EVENTLOG", "1") != "0"
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir,
+             "spark.eventLog.compress": "false",
+             "spark.eventLog.rolling.enabled": "false"} if eventlog else {}
+    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app_name="dayflow-bench",
+                          extra=extra)
     names = only or list(QUERIES)
 
     # warm-up (JIT, file listing cache): not counted
@@ -34,6 +67,7 @@ def main() -> None:
 
     times: dict[str, float] = {}
     for name in names:
+        spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
@@ -41,6 +75,7 @@ def main() -> None:
         print(f"# {name}: {times[name]:.2f}s", file=sys.stderr, flush=True)
 
     # model fitting throughput, comparable to the reference's per-model save gaps
+    spark.sparkContext.setJobGroup("model_fits", "model_fits")
     data = model_queries.assembled_features(spark, sf_dir)
     train = data.filter("split = 'train'")
     fit = {}
@@ -49,6 +84,12 @@ def main() -> None:
         model.fit_targets(train, model_queries.SPEC, params)
         fit[cfg] = round((time.perf_counter() - t0) / len(model_queries.SPEC.targets), 3)
 
+    spark.stop()
+    try:
+        data_moved = _event_metrics(event_dir)
+    except Exception as e:  # the timings stand without the event-log summary
+        print(f"# event log not summarised: {e}", file=sys.stderr)
+        data_moved = {}
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_sec",
@@ -62,8 +103,8 @@ def main() -> None:
         "n_features": len(model_queries.SPEC.feature_names()),
         "sf": float(sf.group(1)) if sf else sf_dir,
         "cpus": int(cpus),
+        "data_moved": {n: data_moved.get(n, {}) for n in names},
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -19,7 +19,7 @@ FALLBACK_CONF = "dayflow.scratch.root"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "dayflow") -> SparkSession:
+                  app_name: str = "dayflow", extra: dict | None = None) -> SparkSession:
     """Session for tests and the local bench (AQE on, UI off, UTC)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("DAYFLOW_DRIVER_MEMORY", "8g"))
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
