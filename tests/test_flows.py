@@ -54,3 +54,12 @@ def test_weighted_exact_avg_equals_row_avg(spark):
     a = {r["g"]: r["a"] for r in flows.avg_by_group(flat, "g", "v", "a").collect()}
     b = {r["g"]: r["a"] for r in flows.avg_by_group(pre, "g", "v", "a", weight="n").collect()}
     assert a == b
+
+
+def test_nation_daily_pre_aggregate_same_result(spark):
+    from conftest import SF001
+    from dayflow.plans.inputs import nation_daily, table
+    o, c = table(spark, SF001, "orders"), table(spark, SF001, "customer")
+    a = sorted(map(tuple, nation_daily(o, c).collect()))
+    b = sorted(map(tuple, nation_daily(o, c, pre_aggregate=True).collect()))
+    assert a == b and len(a) > 1000

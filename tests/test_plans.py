@@ -78,15 +78,18 @@ def _exchange_inputs(plan: str):
             yield line, lines[i + 1]
 
 
-def test_fact_rows_are_pre_aggregated_before_dimension_joins(spark):
+def test_aggregates_are_partial_before_their_shuffle(spark):
     # a key holding a third of all rows leaves each map task as one partial row:
-    # the exchange under each aggregate key is fed by a partial aggregate
+    # the exchange of each grouping is fed by a partial aggregate.  Where the
+    # grouping key is the join key, facts are aggregated before the join and the
+    # join reuses that partitioning; otherwise the join comes first (one fact
+    # shuffle) and the aggregate after it is partial.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        for name, key in (("user_month_flow", "user_id"), ("segment_counts", "c_custkey"),
+        for name, key in (("user_month_flow", "user_id"), ("segment_counts", "report_date"),
                           ("avg_balance_by_city", "o_custkey"),
-                          ("exog_join_ffill", "user_id")):
+                          ("exog_join_ffill", "c_nationkey")):
             plan = _plan(QUERIES[name](spark, SF001))
             fed = [below for ex, below in _exchange_inputs(plan)
                    if f"hashpartitioning({key}#" in ex and "partial_" in below]
