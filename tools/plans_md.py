@@ -7,14 +7,15 @@ import re
 import sys
 
 NOTES = {
-    "segment_counts": "orders counted per (customer, day) before the join (partial agg), "
-                      "then summed per day",
+    "segment_counts": "join first (orders cross the network once; AQE splits a hot "
+                      "customer), then partial counts per day before the small day shuffle",
+    "segment_ratio": "as segment_counts",
     "fillna_measures": "spine generated after the user shuffle (dense_panel); SinglePartition "
                        "= final step of the day-range scalar subquery",
     "forward_fill": "the same user shuffle feeds the panel aggregate and the window",
-    "exog_join_ffill": "lineitem scanned once for both series, broadcast (one row per day); "
-                       "the window re-shuffles only the small (nation, day) aggregate, which "
-                       "keeps its map-side partial aggregation",
+    "exog_join_ffill": "orders joined to customers once, (nation, day) sums partial before "
+                       "their shuffle; lineitem scanned once for both series, broadcast (one "
+                       "row per day); the window reuses the (nation) partitioning",
     "lag_features": "14 lags x 2 measures: one Window, one sort, no join",
     "lag_self_join": "the reference's formulation, kept only as a cross-check of lag_features",
     "avg_balance_by_city": "orders of the day counted per customer before the join; range "
