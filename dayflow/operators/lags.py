@@ -7,8 +7,11 @@ Window operator: every lag is a one-day RANGE frame over the same sort
 (``partitionBy(keys).orderBy(unix_date(d))``), taking ``first`` of a struct
 of all measures, so 14 lags x many measures cost one shuffle and one sort.
 
-``lag_self_join`` is the reference's formulation (one left join per lag on
-``d - i``) kept as a cross-check; it shuffles once per lag.
+``lag_self_join`` is the reference's formulation - match each row with the
+row of day ``d - i`` - kept as an independent cross-check.  By default it is
+planned as ONE shuffle: every row is emitted once per lag shifted to ``d + i``,
+unioned with the base rows and grouped by (keys, day); ``method="join"`` runs
+the literal chain of one left join per lag (two shuffles per lag).
 """
 
 from __future__ import annotations
@@ -43,8 +46,13 @@ def lag_features(df: DataFrame, keys: Sequence[str], date_col: str,
 
 
 def lag_self_join(df: DataFrame, keys: Sequence[str], date_col: str,
-                  measures: Sequence[str], lags: Sequence[int] = DEFAULT_LAGS) -> DataFrame:
-    """Same result as :func:`lag_features`, by one left self-join per lag."""
+                  measures: Sequence[str], lags: Sequence[int] = DEFAULT_LAGS,
+                  method: str = "shift") -> DataFrame:
+    """Same result as :func:`lag_features`, by exact-date matching of day ``d - i``."""
+    if method == "shift":
+        return _lag_shift_union(df, keys, date_col, measures, lags)
+    if method != "join":
+        raise ValueError(f"unknown method {method!r}")
     src = df.select(*keys, date_col, *measures)
     out = df
     for i in lags:
@@ -53,3 +61,27 @@ def lag_self_join(df: DataFrame, keys: Sequence[str], date_col: str,
         out = out.join(shifted, [*keys, date_col], "left")
     cols = [lag_name(m, i) for i in lags for m in measures]
     return out.select(*df.columns, *cols)
+
+
+def _lag_shift_union(df: DataFrame, keys: Sequence[str], date_col: str,
+                     measures: Sequence[str], lags: Sequence[int]) -> DataFrame:
+    others = [c for c in df.columns if c not in (*keys, date_col)]
+    m_types = {m: df.schema[m].dataType for m in measures}
+    base = df.select(*keys, date_col, F.lit(1).alias("__base"), F.lit(0).alias("__lag"),
+                     *others, *[F.lit(None).cast(m_types[m]).alias(f"__m_{m}")
+                                for m in measures])
+    shifts = F.array(*[F.struct(F.lit(i).alias("lag"),
+                                F.date_add(F.col(date_col), i).alias("day")) for i in lags])
+    shifted = (df.select(*keys, F.explode(shifts).alias("__s"),
+                         *[F.col(m).alias(f"__m_{m}") for m in measures])
+                 .select(*keys, F.col("__s.day").alias(date_col), F.lit(0).alias("__base"),
+                         F.col("__s.lag").alias("__lag"),
+                         *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in others],
+                         *[f"__m_{m}" for m in measures]))
+    grouped = base.unionByName(shifted).groupBy(*keys, date_col).agg(
+        F.max("__base").alias("__base"),
+        *[F.max_by(c, "__base").alias(c) for c in others],
+        *[F.max(F.when(F.col("__lag") == i, F.col(f"__m_{m}"))).alias(lag_name(m, i))
+          for i in lags for m in measures])
+    cols = [lag_name(m, i) for i in lags for m in measures]
+    return grouped.filter(F.col("__base") == 1).select(*df.columns, *cols)

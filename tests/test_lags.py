@@ -21,9 +21,17 @@ def _gapped(spark):
 def test_window_lags_equal_self_joins(spark):
     df = _gapped(spark)
     w = lags.lag_features(df, ["k"], "d", ["a", "b"])
-    j = lags.lag_self_join(df, ["k"], "d", ["a", "b"])
-    assert w.columns == j.columns
-    assert sorted(w.collect()) == sorted(j.collect())
+    for method in ("shift", "join"):
+        j = lags.lag_self_join(df, ["k"], "d", ["a", "b"], method=method)
+        assert w.columns == j.columns
+        assert sorted(w.collect()) == sorted(j.collect())
+
+
+def test_shift_self_join_is_one_shuffle(spark):
+    df = _gapped(spark)
+    plan = lags.lag_self_join(df, ["k"], "d", ["a", "b"])._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_exact_date_lag_is_null_at_gaps(spark):

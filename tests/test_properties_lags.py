@@ -19,5 +19,6 @@ def test_window_lags_equal_self_join(spark, rows, lag_set):
     df = spark.createDataFrame([(k, base + dt.timedelta(days=o), float(v)) for k, o, v in rows],
                                "k int, d date, v double")
     a = lags.lag_features(df, ["k"], "d", ["v"], tuple(lag_set)).collect()
-    b = lags.lag_self_join(df, ["k"], "d", ["v"], tuple(lag_set)).collect()
-    assert sorted(a) == sorted(b)
+    for method in ("shift", "join"):
+        b = lags.lag_self_join(df, ["k"], "d", ["v"], tuple(lag_set), method=method).collect()
+        assert sorted(a) == sorted(b)
