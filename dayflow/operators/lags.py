@@ -65,20 +65,20 @@ def lag_self_join(df: DataFrame, keys: Sequence[str], date_col: str,
 
 def _lag_shift_union(df: DataFrame, keys: Sequence[str], date_col: str,
                      measures: Sequence[str], lags: Sequence[int]) -> DataFrame:
+    # one pass over the input: each row is emitted as itself (lag 0, carrying
+    # every column) and once per lag shifted to day + i (carrying the measures)
     others = [c for c in df.columns if c not in (*keys, date_col)]
-    m_types = {m: df.schema[m].dataType for m in measures}
-    base = df.select(*keys, date_col, F.lit(1).alias("__base"), F.lit(0).alias("__lag"),
-                     *others, *[F.lit(None).cast(m_types[m]).alias(f"__m_{m}")
-                                for m in measures])
-    shifts = F.array(*[F.struct(F.lit(i).alias("lag"),
+    copies = F.array(F.struct(F.lit(0).alias("lag"), F.col(date_col).alias("day")),
+                     *[F.struct(F.lit(i).alias("lag"),
                                 F.date_add(F.col(date_col), i).alias("day")) for i in lags])
-    shifted = (df.select(*keys, F.explode(shifts).alias("__s"),
-                         *[F.col(m).alias(f"__m_{m}") for m in measures])
-                 .select(*keys, F.col("__s.day").alias(date_col), F.lit(0).alias("__base"),
-                         F.col("__s.lag").alias("__lag"),
-                         *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in others],
-                         *[f"__m_{m}" for m in measures]))
-    grouped = base.unionByName(shifted).groupBy(*keys, date_col).agg(
+    rows = df.select(*keys, *others, F.explode(copies).alias("__s"))
+    is_base = (F.col("__s.lag") == 0)
+    rows = rows.select(*keys, F.col("__s.day").alias(date_col),
+                       F.col("__s.lag").alias("__lag"),
+                       is_base.cast("int").alias("__base"),
+                       *[F.when(is_base, F.col(c)).alias(c) for c in others],
+                       *[F.when(~is_base, F.col(m)).alias(f"__m_{m}") for m in measures])
+    grouped = rows.groupBy(*keys, date_col).agg(
         F.max("__base").alias("__base"),
         *[F.max_by(c, "__base").alias(c) for c in others],
         *[F.max(F.when(F.col("__lag") == i, F.col(f"__m_{m}"))).alias(lag_name(m, i))

@@ -17,9 +17,9 @@ NOTES = {
                        "their shuffle; lineitem scanned once for both series, broadcast (one "
                        "row per day); the window reuses the (nation) partitioning",
     "lag_features": "14 lags x 2 measures: one Window, one sort, no join",
-    "lag_self_join": "cross-check of lag_features: shifted copies + one group-by (no joins); "
-                     "the two other exchanges build its input panel (the literal 14-join "
-                     "chain is method='join')",
+    "lag_self_join": "cross-check of lag_features: one pass emits base + shifted copies, "
+                     "one group-by (no joins); the other exchange builds its input panel; "
+                     "the literal 14-join chain is method='join'",
     "avg_balance_by_city": "orders of the day counted per customer before the join; range "
                            "partitioning is the presentation sort",
     "sql_avg_balance_by_city": "SQL text, same plan shape as avg_balance_by_city",
