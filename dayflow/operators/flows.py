@@ -40,8 +40,18 @@ def daily_totals(facts: DataFrame, date_col: str, measures: Mapping[str, Column
 
 
 def active_days(facts: DataFrame, entity: str, day_col: str, min_days: int = 5,
-                out: str = "active_days") -> DataFrame:
-    """Entities with at least ``min_days`` distinct active days (``>=``, as in the reference)."""
+                out: str = "active_days", approx_rsd: float | None = None) -> DataFrame:
+    """Entities with at least ``min_days`` distinct active days (``>=``, as in the reference).
+
+    Exact by default (distinct (entity, day) pairs, partially aggregated before
+    the shuffle).  ``approx_rsd`` uses ``approx_count_distinct`` instead: a
+    mergeable HyperLogLog++ sketch per entity, relative standard deviation
+    ``approx_rsd``.
+    """
+    if approx_rsd is not None:
+        cnt = F.approx_count_distinct(day_col, rsd=approx_rsd)
+        return (facts.groupBy(entity).agg(cnt.alias(out))
+                     .filter(F.col(out) >= F.lit(min_days)))
     per_day = facts.select(entity, day_col).distinct()
     return (per_day.groupBy(entity).agg(F.count(F.lit(1)).alias(out))
                    .filter(F.col(out) >= F.lit(min_days)))

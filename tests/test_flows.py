@@ -63,3 +63,13 @@ def test_nation_daily_pre_aggregate_same_result(spark):
     a = sorted(map(tuple, nation_daily(o, c).collect()))
     b = sorted(map(tuple, nation_daily(o, c, pre_aggregate=True).collect()))
     assert a == b and len(a) > 1000
+
+
+def test_active_days_approx_close_to_exact(spark):
+    rows = [(u, D(2014, 8, 1 + (u * 7 + i) % 31)) for u in range(40) for i in range(25)]
+    df = spark.createDataFrame(rows, "u int, d date")
+    exact = {r["u"]: r["active_days"] for r in flows.active_days(df, "u", "d", 1).collect()}
+    approx = {r["u"]: r["active_days"]
+              for r in flows.active_days(df, "u", "d", 1, approx_rsd=0.01).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[u] - exact[u]) <= 1 for u in exact)
