@@ -13,7 +13,7 @@ from dayflow.functions.clean import (
 from dayflow.functions.fmt import format_amount, yyyymmdd
 from dayflow.operators import filters, flows
 from dayflow.operators.sql import run_sql, temp_views
-from dayflow.plans.inputs import event_days, order_flows, table
+from dayflow.plans.inputs import order_flows, table
 from dayflow.plans.registry import register
 
 # Parameters of the flow jobs on the driver tables.

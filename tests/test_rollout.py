@@ -2,9 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from dayflow.functions.calendar import calendar_columns
 from dayflow.operators import model, rollout
 
 D = dt.date
