@@ -100,18 +100,24 @@ def calendar_columns(date_col: str | Column, pi: float = PI_APPROX,
     }
 
 
-def trend_columns(date_col: str | Column) -> dict[str, Column]:
+def trend_columns(date_col: str | Column, session_timestamp: bool = False) -> dict[str, Column]:
     """Trend encodings of a date.
 
     ``trend_days``: days since 1970-01-01 (zone-free, the default feature);
     ``trend_seconds``: seconds at UTC midnight (the timestamp form, without
     the session-time-zone dependence); ``trend_yyyymmdd``: the integer form,
-    which jumps at month ends (kept for compatibility).
+    which jumps at month ends (kept for compatibility).  ``session_timestamp``
+    adds ``trend_unix_timestamp`` = ``unix_timestamp`` of local midnight in
+    the session time zone (the reference's form; equal to ``trend_seconds``
+    only when the session zone is UTC).
     """
     d = _c(date_col)
     days = F.unix_date(d)
-    return {
+    out = {
         "trend_days": days,
         "trend_seconds": days.cast("bigint") * F.lit(86400),
         "trend_yyyymmdd": F.date_format(d, "yyyyMMdd").cast("bigint"),
     }
+    if session_timestamp:
+        out["trend_unix_timestamp"] = F.unix_timestamp(d.cast("timestamp"))
+    return out

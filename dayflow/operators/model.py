@@ -187,6 +187,16 @@ def split_mod(df: DataFrame, date_col: str, k: int = 5, test_bucket: int = 0,
     return df.withColumn(out, F.when(b == test_bucket, F.lit("test")).otherwise(F.lit("train")))
 
 
+def split_random(df: DataFrame, test_fraction: float = 0.2, seed: int = 1234,
+                 out: str = "split") -> DataFrame:
+    """Compatibility with a seeded 80/20 ``randomSplit``: each row is 'test' with
+    probability ``test_fraction``.  Like ``randomSplit`` it depends on the
+    partitioning and ignores time order (it leaks the future into training);
+    prefer :func:`split_mod` or :func:`split_time`."""
+    return df.withColumn(out, F.when(F.rand(seed) < test_fraction, F.lit("test"))
+                         .otherwise(F.lit("train")))
+
+
 def split_time(df: DataFrame, date_col: str, test_days: int, out: str = "split") -> DataFrame:
     """Time holdout: the last ``test_days`` days (after the global last day - n) are 'test'."""
     last = df.select(F.max(F.col(date_col).cast("date"))).scalar()

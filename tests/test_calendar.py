@@ -42,3 +42,16 @@ def test_trend_columns(spark):
     rows = df.select(*[e.alias(n) for n, e in cal.trend_columns("d").items()]).collect()
     assert rows[0] == (1, 86400, 19700102)
     assert rows[1]["trend_days"] == (dt.date(2014, 9, 1) - dt.date(1970, 1, 1)).days
+
+
+def test_trend_session_timestamp_follows_time_zone(spark):
+    df = spark.createDataFrame([(dt.date(2014, 9, 1),)], "d date")
+    cols = cal.trend_columns("d", session_timestamp=True)
+    r = df.select(*[e.alias(n) for n, e in cols.items()]).first()
+    assert r["trend_unix_timestamp"] == r["trend_seconds"]        # session zone is UTC
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        r = df.select(*[e.alias(n) for n, e in cols.items()]).first()
+        assert r["trend_unix_timestamp"] == r["trend_seconds"] - 8 * 3600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -112,3 +112,9 @@ def test_feature_frame_requires_columns(spark):
     spec = model.FeatureSpec(targets=("p", "missing"), lag_measures=("p",), lags=(1,))
     with pytest.raises(ValueError):
         model.feature_frame(_panel(spark), ["k"], "d", spec)
+
+
+def test_split_random_fraction(spark):
+    df = spark.range(20000).select(F.col("id"))
+    n = model.split_random(df, 0.2, seed=4254).filter("split = 'test'").count()
+    assert 3600 < n < 4400
