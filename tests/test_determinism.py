@@ -25,3 +25,17 @@ def test_same_rows_for_any_partitioning(spark, name):
             spark.conf.set("spark.sql.shuffle.partitions", "8")
             spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert out[0] == out[1]
+
+
+@pytest.mark.parametrize("name", ["daily_flow", "active_days_per_user", "date_spine",
+                                  "trend_feature", "lag_features", "stream_daily_flow"])
+def test_same_rows_in_any_session_time_zone(spark, name):
+    # timestamp_ntz facts, unix_date trends and date spines are zone-free
+    out = []
+    for tz in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            out.append(sorted(map(tuple, QUERIES[name](spark, SF001).collect()), key=repr))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out[0] == out[1]
