@@ -33,13 +33,6 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str = "operator
         raise ValueError(f"{what}: unknown columns {missing}")
 
 
-def day_bounds(df: DataFrame, date_col: str) -> tuple[Column, Column]:
-    """(first day, last day) of ``df`` as scalar-subquery columns (use one of
-    them, or :func:`day_range`: each scalar subquery is its own scan)."""
-    d = F.col(date_col).cast("date")
-    return df.select(F.min(d)).scalar(), df.select(F.max(d)).scalar()
-
-
 def day_range(df: DataFrame, date_col: str, start_offset: int = 0, end_offset: int = 0,
               after_last: bool = False) -> Column:
     """Array of consecutive days as ONE scalar subquery (one scan of ``date_col``).
