@@ -33,8 +33,10 @@ def annual_holiday_calendar(days, date_col: str = "report_date",
     """
     years = days.select(F.year(date_col).alias("y")).distinct()
     md = F.array(*[F.lit(x) for x in month_days])
-    return years.select(F.explode(md).alias("md"), "y").select(
-        F.to_date(F.concat_ws("-", F.col("y").cast("string"), F.col("md"))).alias("date"))
+    # try_to_date: a month-day absent from some year (02-29) is skipped, not an error
+    day = F.try_to_date(F.concat_ws("-", F.col("y").cast("string"), F.col("md")), "yyyy-MM-dd")
+    return (years.select(F.explode(md).alias("md"), "y").select(day.alias("date"))
+                 .filter(F.col("date").isNotNull()))
 
 
 CAL_SQL = """

@@ -55,3 +55,12 @@ def test_trend_session_timestamp_follows_time_zone(spark):
         assert r["trend_unix_timestamp"] == r["trend_seconds"] - 8 * 3600
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_annual_calendar_skips_missing_days(spark):
+    from dayflow.plans.feature_queries import annual_holiday_calendar
+    days = spark.createDataFrame([(dt.date(2015, 3, 1),), (dt.date(2016, 3, 1),)],
+                                 "report_date date")
+    got = sorted(r[0] for r in annual_holiday_calendar(days, month_days=("02-29", "01-01"))
+                 .collect())
+    assert got == [dt.date(2015, 1, 1), dt.date(2016, 1, 1), dt.date(2016, 2, 29)]
