@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 
 def model_path(root: str, target: str) -> str:
@@ -10,20 +11,27 @@ def model_path(root: str, target: str) -> str:
 
 
 def save_models(models: Mapping[str, object], root: str, overwrite: bool = True) -> str:
-    for t, m in models.items():
+    """Save each target's model under ``root`` (independent writes, run concurrently)."""
+    def save(item):
+        t, m = item
         w = m.write()
         (w.overwrite() if overwrite else w).save(model_path(root, t))
+
+    with ThreadPoolExecutor(max_workers=max(1, len(models))) as pool:
+        list(pool.map(save, models.items()))
     return root
 
 
 def load_models(root: str, targets: Sequence[str]) -> dict:
     """Load every target's model; a missing one fails fast with its path."""
     from pyspark.ml.regression import LinearRegressionModel
-    out = {}
-    for t in targets:
+
+    def load(t):
         p = model_path(root, t)
         try:
-            out[t] = LinearRegressionModel.load(p)
+            return t, LinearRegressionModel.load(p)
         except Exception as e:  # re-raise with the missing target named
             raise FileNotFoundError(f"model for target {t!r} not loadable at {p}") from e
-    return out
+
+    with ThreadPoolExecutor(max_workers=max(1, len(targets))) as pool:
+        return dict(pool.map(load, targets))
