@@ -21,7 +21,6 @@ is one distributed job and parallel across series:
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -56,37 +55,48 @@ def rollout_ar1(start: DataFrame, keys: Sequence[str], date_col: str, horizon: i
 def _linear_step_fn(keys: Sequence[str], date_col: str, spec: FeatureSpec,
                     coefs: Mapping[str, tuple[float, Sequence[float]]]):
     targets = list(spec.targets)
+    tpos = {t: j for j, t in enumerate(targets)}
     date_terms = ([spec.trend] if spec.trend else []) + list(spec.calendar)
-    lag_pairs = [(m, i) for m in spec.lag_measures for i in spec.lags]
+    lag_cols = np.array([tpos[m] for m in spec.lag_measures for _ in spec.lags], dtype=int)
+    lag_days = np.array([i for _ in spec.lag_measures for i in spec.lags], dtype=int)
     icpt = np.array([coefs[t][0] for t in targets], dtype=float)
     weights = np.array([list(coefs[t][1]) for t in targets], dtype=float)  # (T, F)
 
     def step(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(date_col)
-        hist = pdf[~pdf["__future"]]
-        fut = pdf[pdf["__future"]]
-        known: dict[str, dict] = {m: {} for m in set(targets) | set(spec.lag_measures)}
-        for m in known:
-            if m in hist:
-                known[m] = {d: (None if pd.isna(v) else float(v))
-                            for d, v in zip(hist[date_col], hist[m])}
-        rows = []
-        for n, (_, r) in enumerate(fut.iterrows(), start=1):
-            d = r[date_col]
-            lagv = [known[m].get(d - _dt.timedelta(days=i)) for m, i in lag_pairs]
-            x = [r[c] for c in date_terms] + lagv
-            if any(v is None or pd.isna(v) for v in x):
-                pred = [None] * len(targets)
-            else:
-                pred = list(icpt + weights @ np.asarray(x, dtype=float))
-            for t, p in zip(targets, pred):   # simultaneous update: after all targets
-                known[t][d] = p
-            rows.append([r[k] for k in keys] + [d, n] + pred)
-        return pd.DataFrame(rows, columns=[*keys, date_col, "step", *targets])
+        day = pd.to_datetime(pdf[date_col]).to_numpy().astype("datetime64[D]").astype(np.int64)
+        base = day.min()
+        fut = pdf["__future"].to_numpy(dtype=bool)
+        # values by day offset (NaN = no row / null), history first, forecasts appended
+        vals = np.full((day.max() - base + 1, len(targets)), np.nan)
+        vals[day[~fut] - base] = pdf.loc[~fut, targets].to_numpy(dtype=float)
+        terms = pdf.loc[fut, date_terms].to_numpy(dtype=float)
+        out = np.full((int(fut.sum()), len(targets)), np.nan)
+        for n, k in enumerate(day[fut] - base):
+            src = k - lag_days
+            lagv = np.full(len(lag_days), np.nan)
+            ok = src >= 0
+            lagv[ok] = vals[src[ok], lag_cols[ok]]
+            x = np.concatenate([terms[n], lagv])
+            if not np.isnan(x).any():      # a missing exact-date lag leaves the day null
+                out[n] = icpt + weights @ x
+            vals[k] = out[n]               # simultaneous update: after all targets
+        res = pdf.loc[fut, [*keys, date_col]].reset_index(drop=True)
+        res["step"] = np.arange(1, len(res) + 1, dtype=np.int32)
+        for j, t in enumerate(targets):
+            res[t] = pd.Series(out[:, j]).astype("Float64")      # NaN -> null
+        return res
 
     return step
 
 
+# Largest targets x features per step for the SQL engine.  Higher-order
+# functions are interpreted, so per-step cost grows with this product; beyond it
+# the numpy engine is faster (measured: 4 x 61 terms SQL 1.3 s vs pandas 10 s;
+# 26 x 371 terms SQL ~45 s vs pandas ~20 s, 1,500 series x 30 days).
+SQL_MAX_TERMS = 2048
+
+
 def _history_tail(history: DataFrame, keys: Sequence[str], date_col: str,
                   spec: FeatureSpec) -> DataFrame:
     missing = [m for m in spec.lag_measures if m not in spec.targets]
@@ -105,7 +115,7 @@ def _history_tail(history: DataFrame, keys: Sequence[str], date_col: str,
 
 def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
                    spec: FeatureSpec, coefs: Mapping[str, tuple[float, Sequence[float]]],
-                   horizon: int, engine: str = "sql") -> DataFrame:
+                   horizon: int, engine: str = "auto") -> DataFrame:
     """Forecast every target ``horizon`` days past each series' last day.
 
     ``coefs[target] = (intercept, [coefficient per spec.feature_names()])``.
@@ -115,6 +125,9 @@ def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
     Output: keys, ``date_col``, ``step`` (1..horizon), one double per target.
     """
     tail = _history_tail(history, keys, date_col, spec)
+    if engine == "auto":
+        engine = "sql" if len(spec.targets) * len(spec.feature_names()) <= SQL_MAX_TERMS \
+            else "pandas"
     if engine == "sql":
         return _rollout_linear_sql(tail, keys, date_col, spec, coefs, horizon)
     if engine != "pandas":
@@ -147,23 +160,29 @@ def _rollout_linear_sql(tail: DataFrame, keys: Sequence[str], date_col: str,
     for t in targets:
         if len(coefs[t][1]) != len(names):
             raise ValueError(f"{t}: {len(coefs[t][1])} coefficients for {len(names)} features")
-    weights = {t: F.array(*[F.lit(float(w)) for w in coefs[t][1]]) for t in targets}
+    # literal coefficient matrix (targets x features) and intercepts; constant-folded
+    weights = F.array(*[F.array(*[F.lit(float(w)) for w in coefs[t][1]]) for t in targets])
+    icpts = F.array(*[F.lit(float(coefs[t][0])) for t in targets])
     state = tail.groupBy(*keys).agg(
         F.max(date_col).alias("__end"),
         F.map_from_entries(F.collect_list(F.struct(
             F.col(date_col), F.array(*[F.col(t) for t in targets])))).alias("__vals"))
     end = F.col("__end")
 
+    def predict(xv):
+        # every target from one feature vector: b_t + sum_j w_tj * x_j
+        return F.zip_with(icpts, weights, lambda b, w: b + F.aggregate(
+            F.zip_with(w, xv, lambda c, v: c * v), F.lit(0.0), lambda acc, v: acc + v))
+
     def step(vals, i):
         d = F.date_add(end, i)
         terms = spec.date_terms(d)
         lags = [F.try_element_at(F.try_element_at(vals, F.date_sub(d, lag)), F.lit(pos[m]))
                 for m in spec.lag_measures for lag in spec.lags]
         x = F.array(*[terms[n] for n in names[:len(names) - len(lags)]], *lags)
-        preds = F.array(*[
-            F.lit(float(coefs[t][0])) + F.aggregate(
-                F.zip_with(weights[t], x, lambda w, v: w * v), F.lit(0.0), lambda a, b: a + b)
-            for t in targets])
+        # bind the feature vector to a lambda variable so it is built once per
+        # step, not once per target (no common-subexpression elimination in lambdas)
+        preds = F.element_at(F.transform(F.array(x), predict), 1)
         return F.map_concat(vals, F.create_map(d, preds))
 
     path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("__vals"), step)
