@@ -91,3 +91,17 @@ def test_rollout_linear_sql_null_when_lag_missing(spark):
     got = [r["p"] for r in out.orderBy("d").collect()]
     # Aug 4 reads Aug 3 and Aug 1 -> 3.0; Aug 5 reads Aug 4 and Aug 2 (missing) -> null
     assert got[0] == 3.0 and got[1] is None
+
+
+def test_auto_engine_by_spec_size(spark):
+    df = spark.createDataFrame([(1, D(2014, 1, 1), 1.0)], "k int, d date, p double")
+
+    def plan(n_lags):
+        spec = model.FeatureSpec(targets=("p",), lag_measures=("p",),
+                                 lags=tuple(range(1, n_lags + 1)))
+        nf = len(spec.feature_names())
+        out = rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [0.0] * nf)}, 2)
+        return out._jdf.queryExecution().executedPlan().toString()
+
+    assert "FlatMapGroupsInPandas" not in plan(14)            # 1 x 21 terms: SQL
+    assert "FlatMapGroupsInPandas" in plan(rollout.SQL_MAX_TERMS)   # wide: numpy engine
