@@ -27,11 +27,12 @@ def parse_amount(c: str | Column, pattern: str = DIGITS, to: str = "bigint",
                  default: int | None = 0) -> Column:
     """Validate-then-parse: ``to`` value when ``c`` matches ``pattern`` else ``default``.
 
-    A null input takes the default as well (the reference's ``na.fill`` step).
+    A null input, and a well-formed value beyond the range of ``to`` (whose
+    cast fails), take the default as well (the reference's ``na.fill`` step).
     """
     c = _c(c).cast("string")
     fallback = F.lit(default).cast(to) if default is not None else F.lit(None).cast(to)
-    return F.when(c.rlike(pattern), c.try_cast(to)).otherwise(fallback)
+    return F.when(c.rlike(pattern), F.coalesce(c.try_cast(to), fallback)).otherwise(fallback)
 
 
 def money(c: str | Column) -> Column:

@@ -247,9 +247,10 @@ def flow_expr(spark, sf_dir):
 @register("clean_numeric", """
 SELECT event_id,
        CASE WHEN regexp_matches(regexp_extract(props, '(\\d+)', 1), '^\\d+$')
-            THEN TRY_CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) ELSE 0 END AS k,
-       CASE WHEN regexp_matches(props, '^\\d+$') THEN TRY_CAST(props AS BIGINT) ELSE 0 END
-         AS props_num
+            THEN COALESCE(TRY_CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT), 0)
+            ELSE 0 END AS k,
+       CASE WHEN regexp_matches(props, '^\\d+$') THEN COALESCE(TRY_CAST(props AS BIGINT), 0)
+            ELSE 0 END AS props_num
 FROM events
 """)
 def clean_numeric(spark, sf_dir):

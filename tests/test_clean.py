@@ -49,3 +49,10 @@ def test_add_amounts_null_semantics(spark):
     assert [(r["s"], r["c"]) for r in rows] == [(12, 12), (None, 5), (None, 2)]
     total = df.select(add_amounts(a, b).alias("s")).agg(F.sum("s")).first()[0]
     assert total == 12          # SUM skips the null rows
+
+
+def test_parse_amount_out_of_range_takes_default(spark):
+    df = spark.createDataFrame([("99999999999999999999",), ("3000000000",)], "s string")
+    got = [tuple(r) for r in df.select(parse_amount("s").alias("b"),
+                                       parse_amount("s", to="int").alias("i")).collect()]
+    assert got == [(0, 0), (3000000000, 0)]
