@@ -104,6 +104,7 @@ def main() -> None:
         "sf": float(sf.group(1)) if sf else sf_dir,
         "cpus": int(cpus),
         "data_moved": {n: data_moved.get(n, {}) for n in names},
+        "n_queries": len(names),
     }))
 
 

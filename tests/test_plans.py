@@ -64,10 +64,13 @@ def test_user_flow_aggregates_before_join(spark):
     assert opt.index("Join") < opt.rindex("Aggregate")
 
 
-def test_rollout_ar_has_no_python(spark):
+def test_rollouts_have_no_python(spark):
     p = _plan(QUERIES["rollout_ar"](spark, SF001))
     assert "ArrowEvalPython" not in p and "FlatMapGroupsInPandas" not in p
     assert "Generate posexplode" in p
+    # 4 targets x 61 features: the automatic engine choice is the SQL one
+    p = _plan(QUERIES["rollout_var"](spark, SF001))
+    assert "FlatMapGroupsInPandas" not in p and "ArrowEvalPython" not in p
 
 
 def _exchange_inputs(plan: str):
