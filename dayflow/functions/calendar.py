@@ -100,7 +100,8 @@ def calendar_columns(date_col: str | Column, pi: float = PI_APPROX,
     }
 
 
-def trend_columns(date_col: str | Column, session_timestamp: bool = False) -> dict[str, Column]:
+def trend_columns(date_col: str | Column, session_timestamp: bool = False,
+                  zone: str | None = None) -> dict[str, Column]:
     """Trend encodings of a date.
 
     ``trend_days``: days since 1970-01-01 (zone-free, the default feature);
@@ -109,7 +110,7 @@ def trend_columns(date_col: str | Column, session_timestamp: bool = False) -> di
     which jumps at month ends (kept for compatibility).  ``session_timestamp``
     adds ``trend_unix_timestamp`` = ``unix_timestamp`` of local midnight in
     the session time zone (the reference's form; equal to ``trend_seconds``
-    only when the session zone is UTC).
+    only when the session zone is UTC); ``zone`` adds it for a named zone.
     """
     d = _c(date_col)
     days = F.unix_date(d)
@@ -118,6 +119,11 @@ def trend_columns(date_col: str | Column, session_timestamp: bool = False) -> di
         "trend_seconds": days.cast("bigint") * F.lit(86400),
         "trend_yyyymmdd": F.date_format(d, "yyyyMMdd").cast("bigint"),
     }
-    if session_timestamp:
+    if zone is not None:
+        utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), d.cast("timestamp_ntz"))
+        out["trend_unix_timestamp"] = (
+            F.unix_date(utc.cast("date")).cast("bigint") * 86400
+            + F.hour(utc) * 3600 + F.minute(utc) * 60 + F.second(utc))
+    elif session_timestamp:
         out["trend_unix_timestamp"] = F.unix_timestamp(d.cast("timestamp"))
     return out

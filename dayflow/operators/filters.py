@@ -12,7 +12,9 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, LongType, StringType
+from pyspark.sql.types import (
+    DateType, IntegerType, LongType, StringType, TimestampNTZType, TimestampType,
+)
 
 
 def _bound(df: DataFrame, col: str, day: _dt.date) -> Column:
@@ -51,16 +53,42 @@ def month_filter(df: DataFrame, col: str, yyyymm: str) -> DataFrame:
     return df.filter(in_half_open(df, col, start, end))
 
 
-def prefix_filter(df: DataFrame, col: str, prefix: str) -> DataFrame:
-    """``col LIKE 'prefix%'``.  On date-like columns a yyyyMM / yyyy prefix becomes a range."""
+def _prefix_days(digits: str) -> list[tuple[_dt.date, _dt.date]]:
+    """Closed day ranges of the dates whose yyyyMMdd form starts with ``digits``
+    (years 1 to 9998; neighbouring days are merged)."""
+    years = [y for y in range(1, 9999) if f"{y:04d}".startswith(digits[:4])]
+    if len(digits) <= 4:
+        return [(_dt.date(years[0], 1, 1), _dt.date(years[-1], 12, 31))] if years else []
+    one = _dt.timedelta(days=1)
+    out: list[tuple[_dt.date, _dt.date]] = []
+    for y in years:                          # one year: its four digits are given
+        for k in range((_dt.date(y + 1, 1, 1) - _dt.date(y, 1, 1)).days):
+            d = _dt.date(y, 1, 1) + k * one
+            if f"{d.year:04d}{d.month:02d}{d.day:02d}".startswith(digits):
+                if out and out[-1][1] + one == d:
+                    out[-1] = (out[-1][0], d)
+                else:
+                    out.append((d, d))
+    return out
+
+
+def prefix_filter(df: DataFrame, col: str, prefix: str, as_date: bool = False) -> DataFrame:
+    """``col LIKE 'prefix%'`` on the column's text.
+
+    Date and timestamp columns are matched on their yyyyMMdd form (dashes in the
+    prefix are ignored), written as day ranges so that the scan can use them;
+    any prefix length works.  Integer columns are matched on their digits; with
+    ``as_date`` they hold yyyyMMdd and the prefix becomes ranges too.
+    """
     t = df.schema[col].dataType
+    dated = isinstance(t, (DateType, TimestampType, TimestampNTZType))
     digits = prefix.replace("-", "")
-    if not isinstance(t, StringType) and digits.isdigit() and len(digits) in (4, 6, 8):
-        y = int(digits[:4])
-        if len(digits) == 4:
-            return df.filter(in_half_open(df, col, _dt.date(y, 1, 1), _dt.date(y + 1, 1, 1)))
-        if len(digits) == 6:
-            return month_filter(df, col, digits)
-        day = _dt.date(y, int(digits[4:6]), int(digits[6:8]))
-        return df.filter(in_closed(df, col, day, day))
-    return df.filter(F.col(col).startswith(prefix))
+    if dated or (as_date and isinstance(t, (IntegerType, LongType))):
+        if not digits:
+            return df.filter(F.col(col).isNotNull())
+        keep = F.lit(False)
+        if digits.isdigit() and len(digits) <= 8:
+            for first, last in _prefix_days(digits):
+                keep = keep | in_closed(df, col, first, last)
+        return df.filter(keep)
+    return df.filter(F.col(col).cast("string").startswith(prefix))

@@ -62,27 +62,33 @@ def row_count(df: DataFrame, out: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(out))
 
 
-def exact_avg(value: Column) -> Column:
-    """Average of an amount: exact decimal sum, then one double division.
+def exact_avg(value: Column, scale: int = 2) -> Column:
+    """Average of values with at most ``scale`` decimals: exact decimal sum, then
+    one double division (null without values).
 
     Bit-for-bit reproducible across engines and partitionings, unlike a double
-    running sum whose last bits depend on the order of addition.
+    running sum whose last bits depend on the order of addition.  Values are
+    rounded to ``scale`` first: 2 fits money; give rates and yields their own.
     """
-    return F.sum(value.cast(MONEY)).cast("double") / F.count(value)
+    n = F.count(value)
+    return F.when(n > 0, F.sum(value.cast(f"decimal({16 + scale},{scale})")).cast("double") / n)
 
 
 def avg_by_group(joined: DataFrame, group_col: str, value_col: str,
-                 out: str = "avg_value", weight: str | None = None) -> DataFrame:
+                 out: str = "avg_value", weight: str | None = None,
+                 scale: int = 2) -> DataFrame:
     """``groupBy(group).agg(avg(value))`` with the exact average.
 
     With ``weight`` each row stands for that many rows (a pre-aggregated count):
-    ``sum(value * n) / sum(n)``, still exact.
+    ``sum(value * n) / sum(n)``, still exact.  Null values count in neither sum.
     """
     if weight is None:
-        return joined.groupBy(group_col).agg(exact_avg(F.col(value_col)).alias(out))
-    v = F.col(value_col).cast(MONEY) * F.col(weight).cast("bigint")
+        return joined.groupBy(group_col).agg(exact_avg(F.col(value_col), scale).alias(out))
+    value = F.col(value_col).cast(f"decimal({16 + scale},{scale})")
+    n = F.when(value.isNotNull(), F.col(weight).cast("bigint"))
+    total = F.sum(n)
     return joined.groupBy(group_col).agg(
-        (F.sum(v).cast("double") / F.sum(F.col(weight).cast("bigint"))).alias(out))
+        F.when(total > 0, F.sum(value * n).cast("double") / total).alias(out))
 
 
 def flow_by_entity(facts: DataFrame, entity: str, flow: Column, dim: DataFrame,

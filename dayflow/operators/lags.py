@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_LAGS = tuple(range(1, 15))
+TWO_ROWS = "lags: more than one row for a key and day"
 
 
 def lag_name(measure: str, i: int) -> str:
@@ -32,15 +33,17 @@ def lag_features(df: DataFrame, keys: Sequence[str], date_col: str,
                  measures: Sequence[str], lags: Sequence[int] = DEFAULT_LAGS) -> DataFrame:
     """Add ``<measure>_<i>`` = value of ``measure`` exactly ``i`` days earlier.
 
-    ``df`` is a panel: at most one row per (keys, day) - aggregate facts first
-    (a hot key then holds at most one row per day, so no window partition grows
-    with the fact volume).
+    ``df`` is a panel: one row per (keys, day), a second raises - aggregate facts
+    first (a hot key then holds at most one row per day, so no window partition
+    grows with the fact volume).
     """
     order = F.unix_date(F.col(date_col).cast("date"))
     base = Window.partitionBy(*keys).orderBy(order)
     packed = F.struct(*[F.col(m).alias(m) for m in measures])
     frames = {f"__lag{i}": F.first(packed).over(base.rangeBetween(-i, -i)) for i in lags}
-    out = df.withColumns(frames)
+    out = df.withColumns(frames | {"__same": F.count(F.lit(1)).over(base.rangeBetween(0, 0))})
+    out = out.withColumn(date_col, F.when(F.col("__same") > 1, F.raise_error(F.lit(TWO_ROWS)))
+                         .otherwise(F.col(date_col)))
     unpacked = [F.col(f"__lag{i}")[m].alias(lag_name(m, i)) for i in lags for m in measures]
     return out.select(*df.columns, *unpacked)
 
@@ -78,8 +81,10 @@ def _lag_shift_union(df: DataFrame, keys: Sequence[str], date_col: str,
                        is_base.cast("int").alias("__base"),
                        *[F.when(is_base, F.col(c)).alias(c) for c in others],
                        *[F.when(~is_base, F.col(m)).alias(f"__m_{m}") for m in measures])
+    n = F.sum("__base")
     grouped = rows.groupBy(*keys, date_col).agg(
-        F.max("__base").alias("__base"),
+        F.when(n > 1, F.raise_error(F.lit(TWO_ROWS)).cast("bigint")).otherwise(n)
+        .alias("__base"),
         *[F.max_by(c, "__base").alias(c) for c in others],
         *[F.max(F.when(F.col("__lag") == i, F.col(f"__m_{m}"))).alias(lag_name(m, i))
           for i in lags for m in measures])

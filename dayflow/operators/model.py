@@ -19,7 +19,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dayflow.functions.calendar import WEEKEND_SUN_SAT, calendar_columns, trend_columns
+from dayflow.functions.calendar import (
+    PI_APPROX, WEEKEND_SUN_SAT, calendar_columns, trend_columns,
+)
 from dayflow.operators.lags import DEFAULT_LAGS, lag_features, lag_name
 
 CALENDAR_TERMS = ("weekday_sin", "weekday_cos", "month_sin", "month_cos", "is_weekend",
@@ -40,6 +42,8 @@ class FeatureSpec:
     trend: str | None = "trend_days"
     weekend_days: tuple[int, ...] = WEEKEND_SUN_SAT
     holidays: tuple[str, ...] = field(default=())
+    workday_overrides: tuple[str, ...] = field(default=())
+    pi: float = PI_APPROX
 
     def lag_columns(self) -> list[str]:
         return [lag_name(m, i) for m in self.lag_measures for i in self.lags]
@@ -50,11 +54,14 @@ class FeatureSpec:
 
     def date_terms(self, date_col: str | Column) -> dict[str, Column]:
         """Trend + calendar feature expressions of a date column (as doubles)."""
-        cal = calendar_columns(date_col, weekend_days=self.weekend_days,
-                               holidays=self.holidays)
+        cal = calendar_columns(date_col, self.pi, self.weekend_days, self.workday_overrides,
+                               self.holidays)
         out = {}
         if self.trend:
-            out[self.trend] = trend_columns(date_col)[self.trend].cast("double")
+            trends = trend_columns(date_col, session_timestamp=True)
+            if self.trend not in trends:
+                raise ValueError(f"unknown trend {self.trend!r}: one of {sorted(trends)}")
+            out[self.trend] = trends[self.trend].cast("double")
         out.update({c: cal[c].cast("double") for c in self.calendar})
         return out
 
@@ -125,16 +132,19 @@ def coefficients_frame(spark: SparkSession, models: Mapping[str, object],
 
 def score_models(models: Mapping[str, object], df: DataFrame, keys: Sequence[str],
                  date_col: str, features_col: str = "features") -> DataFrame:
-    """Long predictions (keys, date, target, label, prediction) of every model."""
-    parts = []
-    for t, m in models.items():
-        p = m.transform(df.select(*keys, date_col, features_col, t))
-        parts.append(p.select(*keys, date_col, F.lit(t).alias("target"),
-                              F.col(t).alias("label"), F.col("prediction")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Long predictions (keys, date, target, label, prediction) of every model.
+
+    The models are chained over one frame, a prediction column each, and the
+    columns are turned into rows once: one scan of ``df`` for any number of models.
+    """
+    wide = df.select(*keys, date_col, features_col, *models)
+    for k, m in enumerate(models.values()):
+        wide = m.copy({m.predictionCol: f"__p{k}"}).transform(wide)
+    rows = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("label"),
+                              F.col(f"__p{k}").alias("prediction"))
+                     for k, t in enumerate(models)])
+    return (wide.select(*keys, date_col, F.explode(rows).alias("__r"))
+            .select(*keys, date_col, "__r.target", "__r.label", "__r.prediction"))
 
 
 def regression_metrics(pred: DataFrame, group_cols: Sequence[str], label: str = "label",
@@ -199,7 +209,7 @@ def split_random(df: DataFrame, test_fraction: float = 0.2, seed: int = 1234,
 
 def split_time(df: DataFrame, date_col: str, test_days: int, out: str = "split") -> DataFrame:
     """Time holdout: the last ``test_days`` days (after the global last day - n) are 'test'."""
-    last = df.select(F.max(F.col(date_col).cast("date"))).scalar()
-    cutoff = F.date_sub(last, test_days)
-    return df.withColumn(out, F.when(F.col(date_col) > cutoff, F.lit("test"))
+    day = F.col(date_col).cast("date")
+    cutoff = F.date_sub(df.select(F.max(day)).scalar(), test_days)
+    return df.withColumn(out, F.when(day > cutoff, F.lit("test"))
                          .otherwise(F.lit("train")))

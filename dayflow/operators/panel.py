@@ -24,6 +24,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], what: str = "operator") -> None:
@@ -33,6 +34,12 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str = "operator
         raise ValueError(f"{what}: unknown columns {missing}")
 
 
+def _unique(count: Column, value: Column, what: str) -> Column:
+    """``value``, or an error where ``count`` rows (more than one) stand for it."""
+    return F.when(count > 1, F.raise_error(F.lit(f"{what}: more than one row for a key and day"))
+                  ).otherwise(value)
+
+
 def day_range(df: DataFrame, date_col: str, start_offset: int = 0, end_offset: int = 0,
               after_last: bool = False) -> Column:
     """Array of consecutive days as ONE scalar subquery (one scan of ``date_col``).
@@ -70,10 +77,13 @@ def panel_spine(keys_df: DataFrame, keys: Sequence[str], days: Column,
 
 def _place(u: DataFrame, values: DataFrame, keys: Sequence[str], date_col: str,
            v_cols: Sequence[str], fill: Mapping[str, Any]) -> DataFrame:
-    """Spine rows (``__spine``) + value rows -> one row per spine (key, day)."""
+    """Spine rows (``__spine``) + value rows -> one row per spine (key, day).
+
+    Two value rows for one (key, day) raise."""
     aggs = []
+    n_values = F.count_if(~F.col("__spine"))
     for c in v_cols:
-        e = F.max(c)
+        e = _unique(n_values, F.max(c), "panel values")
         if c in fill:
             e = F.coalesce(e, F.lit(fill[c]).cast(values.schema[c].dataType))
         aggs.append(e.alias(c))
@@ -85,7 +95,7 @@ def spine_join(spine: DataFrame, values: DataFrame, keys: Sequence[str], date_co
                fill: Mapping[str, Any] | None = None) -> DataFrame:
     """Values placed on a (keys, day) spine: the spine LEFT JOIN values, with
     ``fill`` for the days a series has no value.  ``values`` must be unique per
-    (keys, day) (an aggregated panel).
+    (keys, day) (an aggregated panel): a second row raises.
 
     Written as UNION ALL + group-by instead of a join: a join needs both sides
     hash-partitioned on *all* join keys (keys, day), while an aggregate and a
@@ -107,7 +117,9 @@ def dense_panel(values: DataFrame, keys: Sequence[str], date_col: str, days: Col
                 fill: Mapping[str, Any] | None = None) -> DataFrame:
     """Every (key, day in ``days``) for each key of ``values``, with the values
     placed on it (``fill`` for days a series has no value).  ``values`` must be
-    unique per (keys, day).  Same result as ``spine_join(panel_spine(...), ...)``.
+    unique per (keys, day): a second row raises.  ``values`` is read for its
+    keys and its rows: pass a written table, not an unwritten aggregate.  Same
+    result as ``spine_join(panel_spine(...), ...)``.
 
     Only one marker row per key and the (sparse) values are shuffled; the spine
     is generated after the shuffle, inside each key's partition, so the
@@ -179,15 +191,20 @@ def join_daily_series(panel: DataFrame, series: Sequence[DataFrame],
                       date_col: str) -> DataFrame:
     """Left-join exogenous daily series onto a panel.
 
-    Each series is first reduced to one row per day (``max`` of each value
-    column; a no-op when the days are already unique), so the broadcast side
-    is bounded by the number of calendar days in its range - a bound that does
-    not grow with the fact data - and the panel is never shuffled for it.
+    A series has one row per day; a second row for a day raises, and its
+    ``date_col`` must be a date.  So the broadcast side is bounded by the number
+    of calendar days in its range - a bound that does not grow with the fact
+    data - and the panel is never shuffled for it.
     """
     out = panel
     for s in series:
+        if not isinstance(s.schema[date_col].dataType, DateType):
+            raise ValueError(f"join_daily_series: {date_col} must be a date, not "
+                             f"{s.schema[date_col].dataType.simpleString()}")
         vals = [c for c in s.columns if c != date_col]
-        per_day = s.groupBy(date_col).agg(*[F.max(c).alias(c) for c in vals])
+        n = F.count(F.lit(1))
+        per_day = s.groupBy(date_col).agg(*[_unique(n, F.max(c), "daily series").alias(c)
+                                            for c in vals])
         out = out.join(F.broadcast(per_day), date_col, "left")
     return out
 
@@ -226,12 +243,13 @@ def upsert(df: DataFrame, updates: DataFrame, on: Sequence[str],
     """Bulk point overwrite: where ``updates`` has a row for the key, take its values.
 
     One left join replaces a chain of ``when(key == k, v)`` rewrites (one
-    projection per point in the reference's loop).
+    projection per point in the reference's loop).  Two updates for one key raise.
     """
     require_columns(df, [*on, *columns], "upsert target")
     require_columns(updates, [*on, *columns], "upsert updates")
-    u = updates.select(*on, F.lit(True).alias("__hit"),
-                       *[F.col(c).alias(f"__new_{c}") for c in columns])
+    n = F.count(F.lit(1))
+    u = updates.groupBy(*on).agg(_unique(n, F.lit(True), "upsert updates").alias("__hit"),
+                                 *[F.max(c).alias(f"__new_{c}") for c in columns])
     joined = df.join(u, list(on), "left")
     return joined.withColumns({
         c: F.when(F.col("__hit"), F.col(f"__new_{c}").cast(df.schema[c].dataType))

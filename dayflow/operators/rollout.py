@@ -16,7 +16,10 @@ is one distributed job and parallel across series:
   lags are map lookups (null when the day is absent), and every target is a
   dot product with literal coefficient arrays.  JVM-side, no Python.
   Engine ``"pandas"``: the same recursion in numpy, one bounded
-  ``applyInPandas`` group per series (history tail + horizon rows).
+  ``applyInPandas`` group per series (history tail + horizon rows); faster for
+  very wide specs, and only used when asked for.
+  Both engines keep one contract: unique (keys, day) rows or an error, NaN
+  measures count as null, coefficient counts are checked when the plan is built.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StructField, StructType
 
 from dayflow.operators.model import FeatureSpec
 from dayflow.operators.panel import require_columns
@@ -90,11 +94,8 @@ def _linear_step_fn(keys: Sequence[str], date_col: str, spec: FeatureSpec,
     return step
 
 
-# Largest targets x features per step for the SQL engine.  Higher-order
-# functions are interpreted, so per-step cost grows with this product; beyond it
-# the numpy engine is faster (measured: 4 x 61 terms SQL 1.3 s vs pandas 10 s;
-# 26 x 371 terms SQL ~45 s vs pandas ~20 s, 1,500 series x 30 days).
-SQL_MAX_TERMS = 2048
+ENGINES = ("sql", "pandas")
+DUPLICATE_DAYS = "rollout history has more than one row for a (key, day)"
 
 
 def _history_tail(history: DataFrame, keys: Sequence[str], date_col: str,
@@ -106,34 +107,42 @@ def _history_tail(history: DataFrame, keys: Sequence[str], date_col: str,
     measures = sorted(set(spec.targets) | set(spec.lag_measures))
     require_columns(history, [*keys, date_col, *measures], "rollout history")
     w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc())
+    value = {m: F.col(m).cast("double") for m in measures}
     # rank filter -> WindowGroupLimit: at most `depth` rows per series leave a task
-    return (history.select(*keys, date_col, *[F.col(m).cast("double").alias(m)
-                                              for m in measures])
+    tail = (history.select(*keys, F.col(date_col).cast("date").alias(date_col),
+                           *[F.when(~F.isnan(c), c).alias(m) for m, c in value.items()])
             .withColumn("__rn", F.row_number().over(w))
             .filter(F.col("__rn") <= depth).drop("__rn"))
+    same_day = F.count(F.lit(1)).over(Window.partitionBy(*keys, date_col))
+    return tail.withColumn("__n", same_day).withColumn(
+        date_col, F.when(F.col("__n") > 1, F.raise_error(F.lit(DUPLICATE_DAYS)).cast("date"))
+        .otherwise(F.col(date_col))).drop("__n")
 
 
 def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
                    spec: FeatureSpec, coefs: Mapping[str, tuple[float, Sequence[float]]],
-                   horizon: int, engine: str = "auto") -> DataFrame:
+                   horizon: int, engine: str = "sql") -> DataFrame:
     """Forecast every target ``horizon`` days past each series' last day.
 
     ``coefs[target] = (intercept, [coefficient per spec.feature_names()])``.
-    Lag measures must be targets (their future values are the forecasts), and
-    ``history`` must hold at most one row per (keys, day).  A lag that falls on
-    a missing day makes that forecast null (exact-date semantics).
+    Lag measures must be targets (their future values are the forecasts).  Two
+    rows for one (keys, day) raise; a lag that falls on a missing day, a null
+    or a NaN makes that forecast null (exact-date semantics).  ``keys=[]`` is
+    one global series.  ``engine``: "sql" or "pandas", same results.
     Output: keys, ``date_col``, ``step`` (1..horizon), one double per target.
     """
+    if engine not in ENGINES:
+        raise ValueError(f"unknown engine {engine!r}")
+    n_features = len(spec.feature_names())
+    for t in spec.targets:
+        if len(coefs[t][1]) != n_features:
+            raise ValueError(f"{t}: {len(coefs[t][1])} coefficients for {n_features} features")
     tail = _history_tail(history, keys, date_col, spec)
-    if engine == "auto":
-        engine = "sql" if len(spec.targets) * len(spec.feature_names()) <= SQL_MAX_TERMS \
-            else "pandas"
     if engine == "sql":
         return _rollout_linear_sql(tail, keys, date_col, spec, coefs, horizon)
-    if engine != "pandas":
-        raise ValueError(f"unknown engine {engine!r}")
     measures = sorted(set(spec.targets) | set(spec.lag_measures))
-    ends = tail.groupBy(*keys).agg(F.max(date_col).alias("__end"))
+    ends = (tail.groupBy(*keys).agg(F.max(date_col).alias("__end"))
+            .filter(F.col("__end").isNotNull()))
     future = ends.select(*keys, F.explode(F.sequence(F.date_add("__end", 1),
                                                      F.date_add("__end", horizon)))
                          .alias(date_col))
@@ -144,9 +153,9 @@ def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
     past = tail.select(*keys, date_col, F.lit(False).alias("__future"), *measures,
                        *[F.lit(None).cast("double").alias(n) for n in terms])
     both = past.unionByName(future)
-    key_fields = ", ".join(f"{k} {history.schema[k].dataType.simpleString()}" for k in keys)
-    schema = (f"{key_fields}, {date_col} date, step int, "
-              + ", ".join(f"{t} double" for t in spec.targets))
+    schema = StructType([*[history.schema[k] for k in keys], StructField(date_col, DateType()),
+                         StructField("step", IntegerType()),
+                         *[StructField(t, DoubleType()) for t in spec.targets]])
     return both.groupBy(*keys).applyInPandas(
         _linear_step_fn(keys, date_col, spec, coefs), schema=schema)
 
@@ -157,9 +166,6 @@ def _rollout_linear_sql(tail: DataFrame, keys: Sequence[str], date_col: str,
     targets = list(spec.targets)
     pos = {t: i + 1 for i, t in enumerate(targets)}           # 1-based array slots
     names = spec.feature_names()
-    for t in targets:
-        if len(coefs[t][1]) != len(names):
-            raise ValueError(f"{t}: {len(coefs[t][1])} coefficients for {len(names)} features")
     # literal coefficient matrix (targets x features) and intercepts; constant-folded
     weights = F.array(*[F.array(*[F.lit(float(w)) for w in coefs[t][1]]) for t in targets])
     icpts = F.array(*[F.lit(float(coefs[t][0])) for t in targets])
@@ -167,6 +173,7 @@ def _rollout_linear_sql(tail: DataFrame, keys: Sequence[str], date_col: str,
         F.max(date_col).alias("__end"),
         F.map_from_entries(F.collect_list(F.struct(
             F.col(date_col), F.array(*[F.col(t) for t in targets])))).alias("__vals"))
+    state = state.filter(F.col("__end").isNotNull())       # keys=[] over an empty history
     end = F.col("__end")
 
     def predict(xv):

@@ -17,7 +17,14 @@ from dayflow.plans.registry import register
 # month-day pairs; the annual calendar repeats them for every year in the data.
 ANNUAL_HOLIDAYS = ("01-01", "05-01", "05-02", "05-03", "10-01", "10-02", "10-03",
                    "10-04", "10-05", "10-06", "10-07")
+TREND_ZONE = "Asia/Shanghai"       # a fixed zone, so the result needs no session setting
 LAG_MEASURES = ("value_sum", "n_events")
+# Holidays and working-day overrides that occur in the driver data (1995-2001),
+# beside the reference's 2013-2014 dates: both branches of every flag are seen.
+DATA_HOLIDAYS = ("1996-01-01", "1997-10-01", "1998-05-01", "1999-10-02", "2000-05-03")
+DATA_WORKDAYS = ("1998-05-02", "1999-10-01", "2000-09-30")      # Saturday, Friday, Saturday
+HOLIDAYS = cal.HOLIDAYS_2013_2014 + DATA_HOLIDAYS
+WORKDAYS = cal.WORKDAY_OVERRIDES_2014 + DATA_WORKDAYS
 
 
 def _order_days(spark, sf_dir):
@@ -53,17 +60,19 @@ SELECT report_date,
     AS month_sin,
   ROUND(cos(CAST(6.28318 AS DOUBLE) * CAST(month(report_date) AS INTEGER) / 12), 9)
     AS month_cos,
-  CASE WHEN dayofweek(report_date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+  CASE WHEN report_date IN (SELECT CAST(unnest([{work}]) AS DATE)) THEN 0
+       WHEN dayofweek(report_date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
   CASE WHEN report_date IN (SELECT CAST(unnest([{hol}]) AS DATE)) THEN 1 ELSE 0 END AS is_holiday
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders) d
-""".replace("{hol}", ", ".join(f"'{d}'" for d in cal.HOLIDAYS_2013_2014))
+""".replace("{hol}", ", ".join(f"'{d}'" for d in HOLIDAYS)) \
+   .replace("{work}", ", ".join(f"'{d}'" for d in WORKDAYS))
 
 
 @register("calendar_features", CAL_SQL)
 def calendar_features(spark, sf_dir):
     """Calendar block per order day (cyclic terms rounded to 1e-9)."""
     d = _order_days(spark, sf_dir)
-    cols = cal.calendar_columns("report_date", holidays=cal.HOLIDAYS_2013_2014)
+    cols = cal.calendar_columns("report_date", holidays=HOLIDAYS, workday_overrides=WORKDAYS)
     for c in ("weekday_sin", "weekday_cos", "month_sin", "month_cos"):
         cols[c] = F.round(cols[c], 9)
     return d.select("report_date", *[e.alias(n) for n, e in cols.items()])
@@ -72,17 +81,17 @@ def calendar_features(spark, sf_dir):
 @register("weekend_flag", """
 SELECT report_date,
   CASE WHEN dayofweek(report_date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
-  CASE WHEN report_date IN (DATE '2014-05-04', DATE '2014-09-28') THEN 0
+  CASE WHEN report_date IN (SELECT CAST(unnest([{work}]) AS DATE)) THEN 0
        WHEN dayofweek(report_date) IN (5, 6) THEN 1 ELSE 0 END AS is_weekend_fri_sat
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders) d
-""")
+""".replace("{work}", ", ".join(f"'{d}'" for d in WORKDAYS)))
 def weekend_flag(spark, sf_dir):
     """Weekend flag: calendar weekend (Sat, Sun) and the reference's (Fri, Sat) + overrides."""
     d = _order_days(spark, sf_dir)
     return d.select(
         "report_date",
         cal.weekend_flag("report_date", cal.WEEKEND_SUN_SAT).alias("is_weekend"),
-        cal.weekend_flag("report_date", cal.WEEKEND_REFERENCE, cal.WORKDAY_OVERRIDES_2014)
+        cal.weekend_flag("report_date", cal.WEEKEND_REFERENCE, WORKDAYS)
         .alias("is_weekend_fri_sat"))
 
 
@@ -92,12 +101,12 @@ SELECT report_date,
     AS is_holiday,
   CASE WHEN strftime(report_date, '%m-%d') IN ({ann}) THEN 1 ELSE 0 END AS is_annual_holiday
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders) d
-""".replace("{hol}", ", ".join(f"'{d}'" for d in cal.HOLIDAYS_2013_2014))
+""".replace("{hol}", ", ".join(f"'{d}'" for d in HOLIDAYS))
    .replace("{ann}", ", ".join(f"'{d}'" for d in ANNUAL_HOLIDAYS)))
 def holiday_flag(spark, sf_dir):
     """Holiday flags: the fixed date list (isin) and an annual calendar table (broadcast join)."""
     d = _order_days(spark, sf_dir)
-    d = d.withColumn("is_holiday", cal.holiday_flag("report_date", cal.HOLIDAYS_2013_2014))
+    d = d.withColumn("is_holiday", cal.holiday_flag("report_date", HOLIDAYS))
     return cal.join_holiday_calendar(d, "report_date", annual_holiday_calendar(d),
                                      out="is_annual_holiday")
 
@@ -106,14 +115,17 @@ def holiday_flag(spark, sf_dir):
 SELECT report_date,
   CAST(datediff('day', DATE '1970-01-01', report_date) AS INTEGER) AS trend_days,
   CAST(datediff('day', DATE '1970-01-01', report_date) AS BIGINT) * 86400 AS trend_seconds,
-  CAST(strftime(report_date, '%Y%m%d') AS BIGINT) AS trend_yyyymmdd
+  CAST(strftime(report_date, '%Y%m%d') AS BIGINT) AS trend_yyyymmdd,
+  CAST(epoch(timezone('Asia/Shanghai', report_date::TIMESTAMP)) AS BIGINT)
+    AS trend_unix_timestamp
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders) d
 """)
 def trend_feature(spark, sf_dir):
-    """Trend encodings of each order day (days, UTC seconds, yyyyMMdd)."""
+    """Trend encodings of each order day (days, UTC seconds, yyyyMMdd, and the timestamp
+    of local midnight in a fixed zone)."""
     d = _order_days(spark, sf_dir)
-    return d.select("report_date", *[e.alias(n) for n, e in
-                                     cal.trend_columns("report_date").items()])
+    cols = cal.trend_columns("report_date", zone=TREND_ZONE)
+    return d.select("report_date", *[e.alias(n) for n, e in cols.items()])
 
 
 def _lag_sql() -> str:
@@ -139,6 +151,7 @@ def lag_features(spark, sf_dir):
 
 @register("lag_self_join", LAG_SQL)
 def lag_self_join(spark, sf_dir):
-    """The same lags by 14 left self-joins on day - i (the reference's formulation)."""
+    """The same lags by exact-date matching, as one shifted union and one group-by (a
+    cross-check: 15 rows shuffled for every input row, so never the default path)."""
     days = event_panel_days(table(spark, sf_dir, "events"))
     return lags.lag_self_join(days, ["user_id"], "report_date", LAG_MEASURES)

@@ -305,8 +305,8 @@ def sql_avg_balance_by_city(spark, sf_dir):
         AND o_orderdate < CAST(:day AS TIMESTAMP_NTZ) + INTERVAL 1 DAY
       GROUP BY o_custkey)
     SELECT c.c_nationkey AS city_id,
-           CAST(SUM(CAST(c.c_acctbal AS DECIMAL(18,2)) * p.n) AS DOUBLE) / SUM(p.n)
-             AS avg_balance
+           CAST(SUM(CAST(c.c_acctbal AS DECIMAL(18,2)) * p.n) AS DOUBLE)
+             / SUM(CASE WHEN c.c_acctbal IS NOT NULL THEN p.n END) AS avg_balance
     FROM per_customer p JOIN {v['customer']} c ON p.o_custkey = c.c_custkey
     GROUP BY c.c_nationkey
     ORDER BY avg_balance DESC

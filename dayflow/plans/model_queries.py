@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from dayflow.functions.clean import MONEY_SUM, money, to_day
 from dayflow.functions.fmt import yyyymmdd
 from dayflow.operators import model, panel, rollout
 from dayflow.operators.lags import lag_features
 from dayflow.plans import jobs
 from dayflow.plans.inputs import nation_daily, table, weekday_exog
-from dayflow.plans.panel_queries import EXOG_COLUMNS, NATION_DAILY_SQL
+from dayflow.plans.feature_queries import DATA_HOLIDAYS
+from dayflow.plans.panel_queries import EXOG_COLUMNS, NATION_DAILY_SQL, exog_sql
 from dayflow.plans.registry import register
 from dayflow.session import materialize, scratch_path
 from dayflow.sources.files import read_csv, write_csv
@@ -31,7 +33,26 @@ HOLDOUT_DAYS = 60     # time split: the last 60 days
 # + 2 exogenous daily series), trend + 4 calendar terms + 14 lags of every
 # target = 61 features.
 SPEC = model.FeatureSpec(targets=TARGETS + EXOG, lag_measures=TARGETS + EXOG,
-                         calendar=("weekday_sin", "month_sin", "is_weekend", "is_holiday"))
+                         calendar=("weekday_sin", "month_sin", "is_weekend", "is_holiday"),
+                         holidays=DATA_HOLIDAYS)
+# The reference's wide shape: 26 targets of one global series, trend + 6 calendar
+# terms + 14 lags of every target = 371 features.
+WIDE_EXOG = {"avg_discount": "l_discount", "avg_tax": "l_tax", "avg_quantity": "l_quantity"}
+WIDE_LINES = tuple(f"{m}_{f}" for f in ("a", "n", "r", "f")
+                   for m in ("quantity", "price", "discount", "tax"))
+WIDE_ORDERS = ("purchase", "redeem", "n_orders", "priority_1", "priority_2", "priority_3",
+               "priority_4")
+WIDE_TARGETS = WIDE_LINES + WIDE_ORDERS + tuple(WIDE_EXOG)
+WIDE_SPEC = model.FeatureSpec(targets=WIDE_TARGETS, lag_measures=WIDE_TARGETS,
+                              holidays=DATA_HOLIDAYS)
+# Two features and no penalty: a fit that SQL can solve, so the whole job has an oracle.
+SMALL_SPEC = model.FeatureSpec(targets=TARGETS, lag_measures=TARGETS, lags=(1,), calendar=(),
+                               trend=None)
+# Documented fixed coefficients of the rollout check: weekend, lags 1, 2, 7 of both.
+FIXED_SPEC = model.FeatureSpec(targets=TARGETS, lag_measures=TARGETS, lags=(1, 2, 7),
+                               calendar=("is_weekend",), trend=None)
+FIXED_COEFS = {"purchase": (1000.0, [-250.0, 0.25, 0.125, 0.25, 0.0625, -0.125, 0.0]),
+               "redeem": (500.0, [125.0, 0.0625, 0.0, -0.125, 0.25, 0.25, 0.125])}
 
 # --- oracle fragments -------------------------------------------------------
 NATION_PANEL_SQL = f"""
@@ -308,19 +329,19 @@ def split_time(spark, sf_dir):
     return _split_summary(model.split_time(nd, "report_date", HOLDOUT_DAYS))
 
 
-# --- Spark ML multi-feature models (no SQL form: rows-only + tests) -------------
+# --- Spark ML multi-feature models ---------------------------------------------
 CONFIGS = {"wide": model.WIDE_PARAMS, "slim": model.SLIM_PARAMS}
 
 
-def assembled_features(spark, sf_dir, panel_df=None):
-    """Feature frame (trend + calendar + 14 lags of all four targets), complete rows,
+def assembled_features(spark, sf_dir, panel_df=None, spec=SPEC, keys=KEYS):
+    """Feature frame (trend + calendar + lags of all targets), complete rows,
     split label, assembled vector; materialised once so the per-target fits read
     a written table instead of re-running the lineage."""
     panel_df = panel_df if panel_df is not None else model_panel(spark, sf_dir)
-    ff = model.feature_frame(panel_df, KEYS, "report_date", SPEC)
-    ff = model.split_mod(model.complete_rows(ff, SPEC), "report_date", SPLIT_K)
-    out = model.assemble(ff, SPEC).select(*KEYS, "report_date", "split", "features",
-                                          *SPEC.targets)
+    ff = model.feature_frame(panel_df, keys, "report_date", spec)
+    ff = model.split_mod(model.complete_rows(ff, spec), "report_date", SPLIT_K)
+    out = model.assemble(ff, spec).select(*keys, "report_date", "split", "features",
+                                          *spec.targets)
     return materialize(out, "features")
 
 
@@ -330,6 +351,46 @@ def fit_config(spark, sf_dir, config="slim", panel_df=None):
     return data, models
 
 
+def _features_sql() -> str:
+    """The feature frame as SQL: panel, forward-filled series, date terms, lags by
+    exact-date joins; complete rows only."""
+    lag_cols = [f"CAST(l{i}.{m} AS DOUBLE) AS {m}_{i}" for m in SPEC.lag_measures
+                for i in SPEC.lags]
+    joins = "\n".join(f"LEFT JOIN mp l{i} ON l{i}.c_nationkey = p.c_nationkey "
+                      f"AND l{i}.report_date = p.report_date - {i}" for i in SPEC.lags)
+    complete = " AND ".join(f"{n} IS NOT NULL" for n in SPEC.lag_columns())
+    days = ", ".join(f"DATE '{d}'" for d in SPEC.holidays)
+    return f"""
+WITH np AS ({NATION_PANEL_SQL}),
+mp AS (
+  SELECT p.c_nationkey, p.report_date, p.purchase, p.redeem,
+    LAST_VALUE(x1.avg_discount IGNORE NULLS) OVER w AS avg_discount,
+    LAST_VALUE(x2.avg_tax IGNORE NULLS) OVER w AS avg_tax
+  FROM np p
+  LEFT JOIN ({exog_sql('l_discount', 'avg_discount')}) x1 ON p.report_date = x1.report_date
+  LEFT JOIN ({exog_sql('l_tax', 'avg_tax')}) x2 ON p.report_date = x2.report_date
+  WINDOW w AS (PARTITION BY p.c_nationkey ORDER BY p.report_date
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ff AS (
+  SELECT p.c_nationkey, p.report_date,
+    CASE WHEN datediff('day', DATE '1970-01-01', p.report_date) % {SPLIT_K} = 0
+         THEN 'test' ELSE 'train' END AS split,
+    CAST(datediff('day', DATE '1970-01-01', p.report_date) AS DOUBLE) AS trend_days,
+    sin(CAST(6.28318 AS DOUBLE) * CAST(dayofweek(p.report_date) + 1 AS INTEGER) / 7)
+      AS weekday_sin,
+    sin(CAST(6.28318 AS DOUBLE) * CAST(month(p.report_date) AS INTEGER) / 12) AS month_sin,
+    CASE WHEN dayofweek(p.report_date) IN (0, 6) THEN 1.0::DOUBLE ELSE 0.0 END AS is_weekend,
+    CASE WHEN p.report_date IN ({days}) THEN 1.0::DOUBLE ELSE 0.0 END AS is_holiday,
+    {", ".join(lag_cols)}
+  FROM mp p
+  {joins})
+SELECT * FROM ff WHERE {complete}
+"""
+
+
+FEATURES_SQL = _features_sql()
+
+
 @register("ols_multi")
 def ols_multi(spark, sf_dir):
     """Pooled linear models per target (wide: no penalty; slim: ridge), test metrics."""
@@ -352,22 +413,35 @@ def model_coefficients(spark, sf_dir):
     return model.coefficients_frame(spark, models, SPEC)
 
 
-@register("assemble_features")
+@register("assemble_features", "SELECT c_nationkey, report_date, split, "
+          + ", ".join(f"ROUND({n}, 6) AS {n}" for n in SPEC.feature_names())
+          + f" FROM ({FEATURES_SQL}) f")
 def assemble_features(spark, sf_dir):
-    """The assembled 61-feature vectors as arrays (one row per complete nation-day)."""
+    """The assembled 61-feature vectors, one column per entry (rounded to 1e-6)."""
     data = assembled_features(spark, sf_dir)
-    return data.select(*KEYS, "report_date", "split",
-                       vector_to_array("features").alias("features"))
+    v = vector_to_array("features")
+    return data.select(*KEYS, "report_date", "split", *[
+        F.round(F.get(v, F.lit(k)), 6).alias(n) for k, n in enumerate(SPEC.feature_names())])
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", f"""
+SELECT t.target, COUNT(*) AS n_scored, COUNT(*) AS n_equal
+FROM ({FEATURES_SQL}) f, (SELECT unnest({list(SPEC.targets)}) AS target) t
+WHERE f.split = 'test' GROUP BY t.target
+""")
 def model_roundtrip(spark, sf_dir):
-    """Save one model per target, load the set back (fail fast if one is missing), score."""
+    """Save one model per target, load the set back (fail fast if one is missing): test
+    rows scored per target, and on how many the saved and the fitted model agree."""
     data, models = fit_config(spark, sf_dir, "slim")
     root = save_models(models, scratch_path(spark, "models"))
     loaded = load_models(root, SPEC.targets)
     test = data.filter(F.col("split") == "test")
-    return model.score_models(loaded, test, KEYS, "report_date")
+    fitted, again = (model.score_models(m, test, KEYS, "report_date") for m in (models, loaded))
+    both = fitted.join(again.withColumnRenamed("prediction", "loaded").drop("label"),
+                       [*KEYS, "report_date", "target"])
+    return both.groupBy("target").agg(
+        F.count("prediction").alias("n_scored"),
+        F.count_if(F.col("prediction") == F.col("loaded")).alias("n_equal"))
 
 
 @register("rollout_var")
@@ -384,12 +458,194 @@ def forecast_job_q(spark, sf_dir):
     """The whole workflow: train + save, load + 30-day forecast, filled feature
     matrix written as CSV (overwrite), submission written headerless and read back."""
     p = materialize(model_panel(spark, sf_dir), "model-panel")
-    root = scratch_path(spark, "forecast-job")
-    jobs.train_job(p, KEYS, "report_date", SPEC, model.SLIM_PARAMS, f"{root}/models", SPLIT_K)
-    fc, matrix = jobs.forecast_job(p, KEYS, "report_date", SPEC, f"{root}/models", HORIZON)
+    return _job(spark, p, SPEC, model.SLIM_PARAMS, "forecast-job")
+
+
+def _job(spark, p, spec, params, name):
+    root = scratch_path(spark, name)
+    jobs.train_job(p, KEYS, "report_date", spec, params, f"{root}/models", SPLIT_K)
+    fc, matrix = jobs.forecast_job(p, KEYS, "report_date", spec, f"{root}/models", HORIZON)
     write_csv(matrix, f"{root}/filled", mode="overwrite")
     sub = jobs.submission(fc, KEYS, "report_date", {t: t for t in TARGETS})
     write_csv(sub, f"{root}/submission", header=False)
     return read_csv(spark, f"{root}/submission",
                     "c_nationkey int, report_date string, purchase bigint, redeem bigint",
                     header=False)
+
+
+# --- the small job: fit, coefficients, metrics, rollout and submission with an oracle ---
+SMALL_TRAIN_SQL = f"""
+SELECT a.c_nationkey, a.report_date, CAST(a.purchase AS DOUBLE) AS purchase,
+       CAST(a.redeem AS DOUBLE) AS redeem, CAST(b.purchase AS DOUBLE) AS x1,
+       CAST(b.redeem AS DOUBLE) AS x2,
+       datediff('day', DATE '1970-01-01', a.report_date) % {SPLIT_K} = 0 AS test
+FROM ({NATION_PANEL_SQL}) a JOIN ({NATION_PANEL_SQL}) b
+  ON a.c_nationkey = b.c_nationkey AND b.report_date = a.report_date - 1
+"""
+SMALL_FIT_SQL = f"""
+WITH t AS (
+  SELECT 'purchase' AS target, purchase AS y, x1, x2 FROM ({SMALL_TRAIN_SQL}) a WHERE NOT test
+  UNION ALL
+  SELECT 'redeem', redeem, x1, x2 FROM ({SMALL_TRAIN_SQL}) b WHERE NOT test),
+m AS (
+  SELECT target, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS s11,
+    var_pop(x2) AS s22, covar_pop(x1, x2) AS s12, covar_pop(y, x1) AS s1, covar_pop(y, x2) AS s2
+  FROM t GROUP BY target),
+b AS (
+  SELECT *, (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12) AS b1,
+    (s2 * s11 - s1 * s12) / (s11 * s22 - s12 * s12) AS b2 FROM m)
+SELECT target, b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b
+"""
+SMALL_ROLL_SQL = f"""
+WITH RECURSIVE
+np AS ({NATION_PANEL_SQL}),
+f AS ({SMALL_FIT_SQL}),
+k AS (SELECT p.b0 AS p0, p.b1 AS p1, p.b2 AS p2, q.b0 AS r0, q.b1 AS r1, q.b2 AS r2
+      FROM f p, f q WHERE p.target = 'purchase' AND q.target = 'redeem'),
+r(c_nationkey, step, report_date, purchase, redeem) AS (
+  SELECT c_nationkey, 0, report_date, CAST(purchase AS DOUBLE), CAST(redeem AS DOUBLE) FROM np
+  WHERE report_date = (SELECT MAX(report_date) FROM np)
+  UNION ALL
+  SELECT r.c_nationkey, r.step + 1, r.report_date + 1,
+    k.p0 + k.p1 * r.purchase + k.p2 * r.redeem, k.r0 + k.r1 * r.purchase + k.r2 * r.redeem
+  FROM r, k WHERE r.step < {HORIZON})
+SELECT c_nationkey, CAST(report_date AS DATE) AS report_date, purchase, redeem
+FROM r WHERE step > 0
+"""
+
+
+def _small_fit(spark, sf_dir):
+    data = assembled_features(spark, sf_dir, nation_panel(spark, sf_dir), SMALL_SPEC)
+    models = model.fit_targets(data.filter(F.col("split") == "train"), SMALL_SPEC,
+                               model.WIDE_PARAMS)
+    return data, models
+
+
+@register("ols_small", f"""
+SELECT target, 'intercept' AS term, ROUND(b0, 3) AS value FROM ({SMALL_FIT_SQL}) a
+UNION ALL SELECT target, 'purchase_1', ROUND(b1, 8) FROM ({SMALL_FIT_SQL}) b
+UNION ALL SELECT target, 'redeem_1', ROUND(b2, 8) FROM ({SMALL_FIT_SQL}) c
+""")
+def ols_small(spark, sf_dir):
+    """Coefficients of the unpenalised two-feature models (pooled over nations)."""
+    _, models = _small_fit(spark, sf_dir)
+    out = model.coefficients_frame(spark, models, SMALL_SPEC)
+    return out.withColumn("value", F.when(F.col("term") == "intercept", F.round("value", 3))
+                          .otherwise(F.round("value", 8)))
+
+
+@register("score_small", f"""
+WITH s AS (
+  SELECT f.target, CASE f.target WHEN 'purchase' THEN t.purchase ELSE t.redeem END AS y,
+         f.b0 + f.b1 * t.x1 + f.b2 * t.x2 AS p
+  FROM ({SMALL_TRAIN_SQL}) t, ({SMALL_FIT_SQL}) f WHERE t.test)
+SELECT target, COUNT(*) AS n, ROUND(sqrt(avg((y - p) * (y - p))), 3) AS rmse,
+       ROUND(1 - sum((y - p) * (y - p)) / (var_pop(y) * COUNT(*)), 8) AS r2
+FROM s GROUP BY target
+""")
+def score_small(spark, sf_dir):
+    """Test metrics of the two-feature models after a save and load round trip."""
+    data, models = _small_fit(spark, sf_dir)
+    root = save_models(models, scratch_path(spark, "small-models"))
+    pred = model.score_models(load_models(root, SMALL_SPEC.targets),
+                              data.filter(F.col("split") == "test"), KEYS, "report_date")
+    m = model.regression_metrics(pred, ["target"])
+    return m.select("target", "n", F.round("rmse", 3).alias("rmse"), F.round("r2", 8).alias("r2"))
+
+
+@register("forecast_small", f"""
+SELECT c_nationkey, strftime(report_date, '%Y%m%d') AS report_date,
+       CAST(TRUNC(purchase) AS BIGINT) AS purchase, CAST(TRUNC(redeem) AS BIGINT) AS redeem
+FROM ({SMALL_ROLL_SQL}) r
+""")
+def forecast_small(spark, sf_dir):
+    """The whole job on the two-feature spec: train + save, load + 30-day forecast, matrix
+    as CSV, submission written headerless and read back."""
+    p = materialize(nation_panel(spark, sf_dir), "small-panel")
+    return _job(spark, p, SMALL_SPEC, model.WIDE_PARAMS, "forecast-small")
+
+
+def _fixed_sql() -> str:
+    state = [f"{t[0]}{i}" for t in TARGETS for i in range(1, 8)]
+    last = "(SELECT MAX(report_date) FROM np)"
+    start = ", ".join(f"MAX(CASE WHEN report_date = {last} - {i - 1} "
+                      f"THEN CAST({t} AS DOUBLE) END) AS {t[0]}{i}"
+                      for t in TARGETS for i in range(1, 8))
+    step = {}
+    for t in TARGETS:
+        b, w = FIXED_COEFS[t]
+        terms = [f"({b})", f"({w[0]}) * (CASE WHEN dayofweek(r.report_date + 1) IN (0, 6) "
+                           f"THEN 1 ELSE 0 END)"]
+        terms += [f"({w[1 + 3 * j + k]}) * r.{m[0]}{i}" for j, m in enumerate(TARGETS)
+                  for k, i in enumerate(FIXED_SPEC.lags)]
+        step[t] = " + ".join(terms)
+    shifted = ", ".join([step["purchase"], *[f"r.p{i}" for i in range(1, 7)],
+                         step["redeem"], *[f"r.r{i}" for i in range(1, 7)]])
+    return f"""
+WITH RECURSIVE np AS ({NATION_PANEL_SQL}),
+r(c_nationkey, step, report_date, {", ".join(state)}) AS (
+  SELECT c_nationkey, 0, {last}, {start} FROM np GROUP BY c_nationkey
+  UNION ALL
+  SELECT r.c_nationkey, r.step + 1, r.report_date + 1, {shifted} FROM r WHERE r.step < {HORIZON})
+SELECT c_nationkey, CAST(report_date AS DATE) AS report_date, CAST(step AS INTEGER) AS step,
+       ROUND(p1, 4) AS purchase, ROUND(r1, 4) AS redeem
+FROM r WHERE step > 0
+"""
+
+
+@register("rollout_fixed", _fixed_sql())
+def rollout_fixed(spark, sf_dir):
+    """30-day rollout of both flows per nation under documented coefficients, lags 1, 2, 7."""
+    r = rollout.rollout_linear(materialize(nation_panel(spark, sf_dir), "nation-panel"), KEYS,
+                               "report_date", FIXED_SPEC, FIXED_COEFS, HORIZON)
+    return r.select(*KEYS, "report_date", "step", *[F.round(t, 4).alias(t) for t in TARGETS])
+
+
+# --- the wide pipeline: 26 targets x 371 features of one global series ---------------
+def wide_panel(spark, sf_dir):
+    """26 daily measures of the whole business, one row per day of the orders' range."""
+    o = table(spark, sf_dir, "orders")
+    price = money("o_totalprice")
+    total = lambda cond: F.sum(F.when(cond, price).otherwise(0)).cast(MONEY_SUM)
+    orders = o.groupBy(to_day("o_orderdate").alias("report_date")).agg(
+        total(F.col("o_orderstatus").isin("O", "P")).alias("purchase"),
+        total(F.col("o_orderstatus") == "F").alias("redeem"),
+        F.count(F.lit(1)).alias("n_orders"),
+        *[total(F.col("o_orderpriority").startswith(f"{k}-")).alias(f"priority_{k}")
+          for k in (1, 2, 3, 4)])
+    li = table(spark, sf_dir, "lineitem")
+    value = {"quantity": "l_quantity", "price": "l_extendedprice", "discount": "l_discount",
+             "tax": "l_tax"}
+    part = {f: F.col("l_returnflag") == f.upper() for f in "anr"} | {"f": F.col("l_linestatus") == "F"}
+    lines = li.groupBy(to_day("l_shipdate").alias("report_date")).agg(*[
+        F.sum(F.when(cond, money(c)).otherwise(0)).cast(MONEY_SUM).alias(f"{m}_{f}")
+        for f, cond in part.items() for m, c in value.items()])
+    orders = materialize(orders, "wide-orders")
+    days = panel.dense_panel(orders, [], "report_date", panel.day_range(orders, "report_date"),
+                             {c: 0 for c in WIDE_ORDERS})
+    days = panel.join_daily_series(days, [lines, weekday_exog(li, WIDE_EXOG)], "report_date")
+    days = days.withColumns({c: F.coalesce(c, F.lit(0)) for c in WIDE_LINES})
+    return materialize(panel.forward_fill(days, [], "report_date", list(WIDE_EXOG)), "wide-panel")
+
+
+def wide_fit(spark, sf_dir, panel_df):
+    data = assembled_features(spark, sf_dir, panel_df, WIDE_SPEC, [])
+    return data, model.fit_targets(data.filter(F.col("split") == "train"), WIDE_SPEC,
+                                   model.WIDE_PARAMS, parallelism=8)
+
+
+@register("ols_wide")
+def ols_wide(spark, sf_dir):
+    """26 unpenalised models of 371 features: test metrics per target."""
+    data, models = wide_fit(spark, sf_dir, wide_panel(spark, sf_dir))
+    pred = model.score_models(models, data.filter(F.col("split") == "test"), [], "report_date")
+    return model.regression_metrics(pred, ["target"])
+
+
+@register("rollout_wide")
+def rollout_wide(spark, sf_dir):
+    """30-day forecast of all 26 targets of the one global series (numpy engine)."""
+    p = wide_panel(spark, sf_dir)
+    _, models = wide_fit(spark, sf_dir, p)
+    return rollout.rollout_linear(p, [], "report_date", WIDE_SPEC,
+                                  rollout.model_coefficients(models), HORIZON, engine="pandas")

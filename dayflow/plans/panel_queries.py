@@ -10,6 +10,7 @@ from dayflow.functions.clean import MONEY_SUM, money, to_day
 from dayflow.operators import panel
 from dayflow.plans.inputs import event_panel_days, nation_daily, table, weekday_exog
 from dayflow.plans.registry import register
+from dayflow.session import materialize
 
 HORIZON = 30          # forecast window after the last observed day
 FILL_HORIZON = 7      # spine end for the forward-fill panel (last day + 7)
@@ -72,7 +73,9 @@ EXOG_COLUMNS = {"avg_discount": "l_discount", "avg_tax": "l_tax"}
 
 
 def _event_days(spark, sf_dir):
-    return event_panel_days(table(spark, sf_dir, "events"))
+    """The (user, day) aggregate, written once: the panels read it for its keys, its
+    day range and its rows, the events only here."""
+    return materialize(event_panel_days(table(spark, sf_dir, "events")), "event-days")
 
 
 def _event_spine(spark, sf_dir, extra_days):

@@ -15,7 +15,9 @@ from dayflow.plans.inputs import table
 from dayflow.plans.registry import register
 from dayflow.session import scratch_path
 from dayflow.sources.files import read_csv, string_schema, write_csv
-from dayflow.streaming.daily_flow import file_stream, run_complete_to_table, stream_daily_flow
+from dayflow.streaming.daily_flow import (
+    latest, run_complete_to_table, stream_daily_flow, table_stream,
+)
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
 ORDER_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
@@ -73,9 +75,8 @@ def sink_roundtrip_overwrite(spark, sf_dir):
 @register("stream_daily_flow", DAILY_FLOW_SQL)
 def stream_daily_flow_q(spark, sf_dir):
     """Daily totals maintained by a Structured Streaming query over the orders
-    file (availableNow trigger, checkpointed), read back from its result table."""
-    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
-    src = file_stream(spark, sf_dir, schema, name_glob="orders.parquet")
+    table, a file or a directory (availableNow trigger, checkpointed), read back from its result table."""
+    src = table_stream(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
     root = scratch_path(spark, "stream-daily-flow")
     run_complete_to_table(stream_daily_flow(src), f"{root}/table", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/table")
+    return latest(spark, f"{root}/table")

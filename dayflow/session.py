@@ -8,6 +8,7 @@ intermediate tables below it.  A local default is set only when it is unset.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,8 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root.
 
     The cluster's ``spark.checkpoint.dir`` is used when set.  Only when the
-    session names none (local tests) is a local fallback chosen; it is recorded
-    under ``dayflow.scratch.root`` and given to ``setCheckpointDir``.
+    session names none *and* runs on a ``local`` master is a local fallback
+    chosen; it is recorded under ``dayflow.scratch.root`` and given to
+    ``setCheckpointDir``.  On any other master a missing setting raises: a
+    folder of one machine cannot hold what all executors share.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
@@ -55,6 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get(FALLBACK_CONF, None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all "
+                             f"executors of {master} share")
         root = os.path.join(os.environ.get("DAYFLOW_SCRATCH", "/tmp"), "dayflow-checkpoints")
         spark.conf.set(FALLBACK_CONF, root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -63,9 +70,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory below the shared checkpoint root."""
+    """A fresh, unique directory below this application's scratch root."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application writes its intermediate tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/dayflow/{name}-{uuid.uuid4().hex}"
+    return f"{root}/dayflow/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove every intermediate table that this application has written.
+
+    Results that still read them become unreadable, so only the caller can say
+    when: call it once results are written elsewhere.  Returns whether there
+    was anything to remove.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(path, True)
 
 
 def materialize(df, name: str):

@@ -19,13 +19,25 @@ def string_schema(columns: list[str]) -> StructType:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              header: bool = True, sep: str = ",", infer: bool = False) -> DataFrame:
-    """CSV scan.  With ``schema`` no inference pass runs; ``infer`` is a fallback."""
+    """CSV scan.  With ``schema`` no inference pass runs; ``infer`` is a fallback.
+
+    With a header, the columns of ``schema`` are found by name: the file may have
+    more columns and another order.  A declared column that the header lacks
+    raises.  Without a header they are taken by position.
+    """
     reader = spark.read.option("header", str(header).lower()).option("sep", sep)
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", str(infer).lower()).csv(path)
+    if not header:
+        return reader.schema(schema).csv(path)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    names = reader.csv(path).columns            # reads the header line only
+    if missing := [f.name for f in schema.fields if f.name not in names]:
+        raise ValueError(f"read_csv: no columns {missing} in {path}: {names}")
+    declared = {f.name: f for f in schema.fields}
+    whole = StructType([declared.get(n, StructField(n, StringType())) for n in names])
+    return reader.schema(whole).csv(path).select(*schema.fieldNames())
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True,

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 
 def model_path(root: str, target: str) -> str:
+    # Fixed value: the directory name of the reference's saved models.
     return f"{root.rstrip('/')}/linear_regression_model_{target}"
 
 

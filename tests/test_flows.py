@@ -73,3 +73,32 @@ def test_active_days_approx_close_to_exact(spark):
               for r in flows.active_days(df, "u", "d", 1, approx_rsd=0.01).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[u] - exact[u]) <= 1 for u in exact)
+
+
+def test_prefixes_of_any_length(spark):
+    days = [D(2014, 7, 1) + dt.timedelta(days=i) for i in range(40)]
+    df = spark.createDataFrame([(d,) for d in days], "d date") \
+        .withColumn("t", F.col("d").cast("timestamp_ntz") + F.expr("INTERVAL 5 HOURS")) \
+        .withColumn("i", F.date_format("d", "yyyyMMdd").cast("int"))
+    for prefix, want in (("", 40), ("2", 40), ("20140", 40), ("2014070", 9), ("2014-08-0", 9),
+                         ("201407", 31), ("20140805", 1), ("2014073", 2), ("2015", 0), ("x", 0),
+                         ("201408099", 0)):
+        for col in ("d", "t"):
+            assert filters.prefix_filter(df, col, prefix).count() == want, (col, prefix)
+        if prefix.isdigit():
+            assert filters.prefix_filter(df, "i", prefix, as_date=True).count() == want, prefix
+    ids = spark.createDataFrame([(2014,), (20141,), (2014999999,), (20140101,), (1,)], "id bigint")
+    assert filters.prefix_filter(ids, "id", "2014").count() == 4
+    assert filters.prefix_filter(ids, "id", "2014", as_date=True).count() == 1
+    plan = filters.prefix_filter(df, "d", "201407")._jdf.queryExecution().optimizedPlan().toString()
+    assert "StartsWith" not in plan
+
+
+def test_averages_of_rates_and_weights(spark):
+    df = spark.createDataFrame([(1, 2.4645, 1), (1, 1.5724, 1)], "g int, v double, w int")
+    assert flows.avg_by_group(df, "g", "v", "a", scale=4).first()["a"] == 2.01845
+    w = spark.createDataFrame([(1, 10.0, 1), (1, None, 3)], "g int, v double, w int")
+    assert flows.avg_by_group(w, "g", "v", "a", weight="w").first()["a"] == 10.0
+    none = spark.createDataFrame([(1, None, 3)], "g int, v double, w int")
+    assert flows.avg_by_group(none, "g", "v", "a", weight="w").first()["a"] is None
+    assert flows.avg_by_group(none, "g", "v", "a").first()["a"] is None

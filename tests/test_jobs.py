@@ -89,3 +89,83 @@ def test_submission_date_window(spark):
     out = jobs.submission(fc, ["k"], "d", {"purchase": "p"}, first=D(2014, 9, 1),
                           last=D(2014, 9, 3)).collect()
     assert sorted(r["d"] for r in out) == ["20140901", "20140902", "20140903"]
+
+
+def test_forecasts_of_ragged_series_are_kept(spark, tmp_path):
+    rows = []
+    for k, n in ((1, 60), (2, 50)):
+        rows += [(k, D(2014, 6, 1) + dt.timedelta(days=i), 100.0 + 3 * i + i % 5, 9.0 + i % 4)
+                 for i in range(n)]
+    p = spark.createDataFrame(rows, "k int, d date, p double, r double")
+    spec = model.FeatureSpec(targets=("p", "r"), lag_measures=("p", "r"), lags=(1, 2), calendar=())
+    jobs.train_job(p, ["k"], "d", spec, model.SLIM_PARAMS, str(tmp_path / "m"))
+    fc, matrix = jobs.forecast_job(p, ["k"], "d", spec, str(tmp_path / "m"), 5)
+    assert fc.count() == 10
+    m = {(r["k"], r["d"]): r["p"] for r in matrix.collect()}
+    f = {(r["k"], r["d"]): r["p"] for r in fc.collect()}
+    assert len(m) == 120 and all(m[key] == v and v is not None for key, v in f.items())
+    assert min(d for k, d in f if k == 2) == D(2014, 7, 21)
+
+
+def test_training_window_and_split_choice(spark, tmp_path):
+    rows = [(1, D(2014, 1, 1) + dt.timedelta(days=i), float(i % 9 + i)) for i in range(80)]
+    p = spark.createDataFrame(rows, "k int, d date, p double")
+    spec = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=(1, 14), calendar=())
+    _, metrics = jobs.train_job(p, ["k"], "d", spec, model.SLIM_PARAMS, str(tmp_path / "w"),
+                                split=lambda df: model.split_time(df, "d", 7),
+                                first=D(2014, 1, 15), last=D(2014, 2, 28))
+    assert metrics.first()["n"] == 7
+
+
+def test_raw_tables_to_submission(spark, tmp_path):
+    """The FIXTURES tables as CSV: panel job, training window, forecast, submission."""
+    import csv
+    from pyspark.sql import functions as F
+    from dayflow.functions.calendar import (
+        HOLIDAYS_2013_2014, WEEKEND_REFERENCE, WORKDAY_OVERRIDES_2014,
+    )
+    from dayflow.functions.clean import parse_amount, parse_yyyymmdd
+    from dayflow.sources.files import read_csv, string_schema, write_csv
+    measures = ["total_purchase_amt", "total_redeem_amt", "category1"]
+    days = [D(2014, 3, 1) + dt.timedelta(days=i) for i in range(150)]
+
+    def save(name, head, rows):
+        with open(tmp_path / name, "w", newline="") as f:
+            csv.writer(f).writerows([head, *rows])
+        return read_csv(spark, str(tmp_path / name), string_schema(head))
+
+    balance = save("balance.csv", ["user_id", "report_date", "tBalance", *measures],
+                   [(u, f"{d:%Y%m%d}", 5, 100 + i * u % 37, 50 + (i + u) % 11, "" if i % 3 else 4)
+                    for i, d in enumerate(days) for u in (1, 2, 3)])
+    profile = save("profile.csv", ["user_id", "sex", "city"], [(1, 1, 9), (2, 0, 9)])
+    rates = save("rates.csv", ["mfd_date", "Interest_O_N"],
+                 [(f"{d:%Y%m%d}", 2 + i / 1000) for i, d in enumerate(days) if d.isoweekday() < 6])
+    facts = balance.select("user_id", parse_yyyymmdd("report_date").alias("report_date"),
+                           *[parse_amount(m).alias(m) for m in measures])
+    people = profile.select("user_id", parse_amount("sex", to="int", default=None).alias("sex"))
+    series = rates.select(parse_yyyymmdd("mfd_date").alias("report_date"),
+                          F.col("Interest_O_N").cast("double").alias("rate"))
+    day = jobs.panel_job(facts, people, "user_id", "report_date", measures, "sex",
+                         {"male": 1, "female": 0, "unknown": 2}, [series], ("male", "female"))
+    assert day.count() == 150
+    r = day.filter("report_date = '2014-03-02'").first()
+    assert (r.male, r.female, r.unknown, r.segment_ratio) == (1, 1, 1, 1.0)
+    assert int(r.total_purchase_amt) == sum(100 + u % 37 for u in (1, 2, 3))
+    longer = jobs.panel_job(facts, people, "user_id", "report_date", measures, "sex", {"male": 1},
+                            [series], last=D(2014, 8, 10))
+    tail = longer.filter("report_date > '2014-07-28'").collect()
+    assert len(tail) == 13 and all(x.rate is not None and x.male is None for x in tail)
+    targets = ("total_purchase_amt", "total_redeem_amt", "rate")
+    spec = model.FeatureSpec(targets=targets, lag_measures=targets, holidays=HOLIDAYS_2013_2014,
+                             weekend_days=WEEKEND_REFERENCE,
+                             workday_overrides=WORKDAY_OVERRIDES_2014,
+                             trend="trend_unix_timestamp")
+    jobs.train_job(day, [], "report_date", spec, model.SLIM_PARAMS, str(tmp_path / "models"),
+                   first=D(2014, 3, 16), last=D(2014, 7, 28))
+    fc, filled = jobs.forecast_job(day, [], "report_date", spec, str(tmp_path / "models"), 30)
+    sub = jobs.submission(fc, [], "report_date", {"purchase": "total_purchase_amt",
+                                                  "redeem": "total_redeem_amt"})
+    out = write_csv(sub, str(tmp_path / "submission"), header=False, single_file=True)
+    back = read_csv(spark, out, "report_date string, purchase bigint, redeem bigint", header=False)
+    assert back.count() == 30 and back.agg(F.min("report_date")).first()[0] == "20140729"
+    assert filled.count() == 180 and back.filter("purchase is null").count() == 0

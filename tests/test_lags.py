@@ -50,3 +50,15 @@ def test_window_lags_plan_has_no_join(spark):
     assert "Join" not in plan
     assert plan.count("Window [") + plan.count("Window(") >= 1
     assert "Exchange hashpartitioning(k" in plan
+
+
+def test_second_row_for_a_day_raises(spark):
+    import datetime as dt
+
+    import pytest
+    from dayflow.operators import lags
+    df = spark.createDataFrame([(1, dt.date(2014, 1, 1), 1.0), (1, dt.date(2014, 1, 1), 2.0)],
+                               "k int, d date, v double")
+    for fn in (lags.lag_features, lags.lag_self_join):
+        with pytest.raises(Exception, match="more than one row"):
+            fn(df, ["k"], "d", ["v"], (1,)).collect()

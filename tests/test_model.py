@@ -118,3 +118,46 @@ def test_split_random_fraction(spark):
     df = spark.range(20000).select(F.col("id"))
     n = model.split_random(df, 0.2, seed=4254).filter("split = 'test'").count()
     assert 3600 < n < 4400
+
+
+def test_split_time_on_timestamps(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2014, 1, 1, 8) + dt.timedelta(days=i),) for i in range(10)]
+    df = spark.createDataFrame(rows, "d timestamp")
+    out = model.split_time(df, "d", 3)
+    assert out.filter("split = 'test'").count() == 3
+
+
+def test_spec_options_reach_the_features(spark):
+    import datetime as dt
+
+    import pytest
+    df = spark.createDataFrame([(dt.date(2014, 5, 4), 1.0)], "d date, v double")
+    base = dict(targets=("v",), lag_measures=("v",), lags=(1,))
+    get = lambda **k: df.select(*[e.alias(n) for n, e in model.FeatureSpec(
+        **base, **k).date_terms("d").items()]).first()
+    assert get()["is_weekend"] == 1 and get(workday_overrides=("2014-05-04",))["is_weekend"] == 0
+    assert get(pi=3.0)["weekday_sin"] != get()["weekday_sin"]
+    assert get(trend="trend_unix_timestamp")["trend_unix_timestamp"] is not None
+    with pytest.raises(ValueError, match="unknown trend"):
+        get(trend="nope")
+
+
+def test_all_models_score_in_one_scan(spark, tmp_path):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    rows = [(int(i), *map(float, rng.normal(size=4))) for i in range(60)]
+    df = spark.createDataFrame(rows, "d int, a double, b double, x double, z double")
+    from pyspark.ml.feature import VectorAssembler
+    va = VectorAssembler(inputCols=["x", "z"], outputCol="features")
+    va.transform(df).write.parquet(str(tmp_path / "f"))
+    data = spark.read.parquet(str(tmp_path / "f"))
+    spec = model.FeatureSpec(targets=("a", "b"), lag_measures=("a",), lags=(1,))
+    models = model.fit_targets(data, spec, model.WIDE_PARAMS)
+    out = model.score_models(models, data, [], "d")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    for t in ("a", "b"):
+        want = {r.d: (r[t], r.prediction) for r in models[t].transform(data).collect()}
+        got = {r.d: (r.label, r.prediction) for r in out.filter(out.target == t).collect()}
+        assert got == want

@@ -89,8 +89,29 @@ def test_dense_panel_equals_spine_join(spark):
     assert g.count() == 4
 
 
-def test_join_daily_series_one_row_per_day(spark):
+TWO = "more than one row"
+
+
+def test_join_daily_series_raises_on_a_second_row_for_a_day(spark):
     p = spark.createDataFrame([(1, D(2014, 1, 1)), (2, D(2014, 1, 1))], "k int, d date")
-    dup = spark.createDataFrame([(D(2014, 1, 1), 1.0), (D(2014, 1, 1), 2.0)], "d date, x double")
-    out = panel.join_daily_series(p, [dup], "d").collect()
-    assert len(out) == 2 and {r["x"] for r in out} == {2.0}
+    dup = spark.createDataFrame([(D(2014, 1, 1), 1.0, 9.0), (D(2014, 1, 1), 5.0, 2.0)],
+                                "d date, x double, y double")
+    with pytest.raises(Exception, match=TWO):
+        panel.join_daily_series(p, [dup], "d").collect()
+    one = panel.join_daily_series(p, [dup.limit(1)], "d").collect()
+    assert [(r["x"], r["y"]) for r in one] == [(1.0, 9.0)] * 2
+    with pytest.raises(ValueError, match="must be a date"):
+        panel.join_daily_series(p, [dup.withColumn("d", F.col("d").cast("timestamp"))], "d")
+
+
+def test_panel_and_upsert_raise_on_second_rows(spark):
+    vals = spark.createDataFrame([(1, D(2014, 1, 1), 1.0), (1, D(2014, 1, 1), 5.0)],
+                                 "k int, d date, v double")
+    days = panel.day_range(vals, "d")
+    with pytest.raises(Exception, match=TWO):
+        panel.dense_panel(vals, ["k"], "d", days).collect()
+    spine = panel.panel_spine(vals, ["k"], days, out="d")
+    with pytest.raises(Exception, match=TWO):
+        panel.spine_join(spine, vals, ["k"], "d").collect()
+    with pytest.raises(Exception, match=TWO):
+        panel.upsert(vals.limit(1), vals, ["k", "d"], ["v"]).collect()

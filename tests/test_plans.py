@@ -105,3 +105,17 @@ def test_aggregates_are_partial_before_their_shuffle(spark):
 def test_sql_text_parameters_reach_the_scan(spark):
     p = _plan(QUERIES["sql_topk_per_group"](spark, SF001))
     assert "GreaterThanOrEqual(o_orderdate,2000-08-01" in p and "WindowGroupLimit" in p
+
+
+def test_facts_are_scanned_once(spark):
+    # the (user, day) aggregate is written once; the panels never scan events again
+    for name in ("fillna_measures", "forward_fill", "horizon_union", "panel_spine", "date_spine"):
+        assert "props" not in _optimized(QUERIES[name](spark, SF001))
+        files = _plan(QUERIES[name](spark, SF001))
+        assert "events.parquet" not in files, name
+
+
+def test_feature_frame_is_scanned_once_per_model_set(spark):
+    opt = _optimized(QUERIES["ols_multi"](spark, SF001))
+    assert opt.count("Relation [") == 2          # one per configuration
+    assert _optimized(QUERIES["ols_wide"](spark, SF001)).count("Relation [") == 1

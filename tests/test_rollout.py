@@ -93,15 +93,65 @@ def test_rollout_linear_sql_null_when_lag_missing(spark):
     assert got[0] == 3.0 and got[1] is None
 
 
-def test_auto_engine_by_spec_size(spark):
+def test_engine_is_chosen_by_argument_only(spark):
     df = spark.createDataFrame([(1, D(2014, 1, 1), 1.0)], "k int, d date, p double")
+    spec = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=tuple(range(1, 3000)))
+    coefs = {"p": (0.0, [0.0] * len(spec.feature_names()))}
+    plan = lambda e: rollout.rollout_linear(
+        df, ["k"], "d", spec, coefs, 2, **e)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan({})
+    assert "FlatMapGroupsInPandas" in plan({"engine": "pandas"})
+    with pytest.raises(ValueError, match="engine"):
+        plan({"engine": "auto"})
+
+
+ENGINES = ["sql", "pandas"]
+
+
+def _wide():
+    from dayflow.plans.model_queries import WIDE_SPEC, WIDE_TARGETS
+    assert len(WIDE_TARGETS) == 26 and len(WIDE_SPEC.feature_names()) == 371
+    rng = np.random.default_rng(3)
+    coefs = {t: (float(rng.normal()), list(rng.normal(scale=0.01, size=371)))
+             for t in WIDE_TARGETS}
+    days = [D(2014, 1, 1) + dt.timedelta(days=i) for i in range(20)]
+    vals = rng.normal(size=(20, 26)) * 100
+    return WIDE_SPEC, WIDE_TARGETS, coefs, [(d, *map(float, v)) for d, v in zip(days, vals)]
+
+
+def test_wide_spec_of_one_global_series(spark):
+    spec, targets, coefs, rows = _wide()
+    df = spark.createDataFrame(rows, "d date, " + ", ".join(f"{t} double" for t in targets))
+    sql, pandas = ([tuple(r) for r in rollout.rollout_linear(
+        df, [], "d", spec, coefs, 3, engine=e).orderBy("d").collect()] for e in ENGINES)
+    assert len(sql) == 3 and [r[:2] for r in sql] == [r[:2] for r in pandas]
+    assert np.allclose([r[2:] for r in sql], [r[2:] for r in pandas])
+
+
+@pytest.mark.parametrize("engine", ENGINES)
+def test_duplicate_days_and_coefficients_raise(spark, engine):
+    spec = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=(1,), calendar=(),
+                             trend=None)
+    df = spark.createDataFrame([(1, D(2014, 1, 1), 1.0), (1, D(2014, 1, 2), 2.0)],
+                               "k int, d date, p double")
+    ok = rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [1.0])}, 2, engine=engine)
+    assert [r.p for r in ok.orderBy("d").collect()] == [2.0, 2.0]
+    wide = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=(1, 2), calendar=(),
+                             trend=None)
+    with pytest.raises(Exception, match="more than one row"):
+        rollout.rollout_linear(df.union(df), ["k"], "d", wide, {"p": (0.0, [1.0, 1.0])}, 2,
+                               engine=engine).collect()
+    with pytest.raises(ValueError, match="coefficients"):
+        rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [1.0, 2.0])}, 2, engine=engine)
 
-    def plan(n_lags):
-        spec = model.FeatureSpec(targets=("p",), lag_measures=("p",),
-                                 lags=tuple(range(1, n_lags + 1)))
-        nf = len(spec.feature_names())
-        out = rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [0.0] * nf)}, 2)
-        return out._jdf.queryExecution().executedPlan().toString()
 
-    assert "FlatMapGroupsInPandas" not in plan(14)            # 1 x 21 terms: SQL
-    assert "FlatMapGroupsInPandas" in plan(rollout.SQL_MAX_TERMS)   # wide: numpy engine
+@pytest.mark.parametrize("engine", ENGINES)
+def test_nan_counts_as_null(spark, engine):
+    spec = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=(1, 2), calendar=(),
+                             trend=None)
+    df = spark.createDataFrame([(1, D(2014, 1, 1), 1.0), (1, D(2014, 1, 2), float("nan"))],
+                               "k int, d date, p double")
+    got = rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [1.0, 1.0])}, 2, engine=engine)
+    assert [r.p for r in got.orderBy("d").collect()] == [None, None]
+    assert rollout.rollout_linear(df.filter("false").drop("k"), [], "d", spec,
+                                  {"p": (0.0, [1.0, 1.0])}, 2, engine=engine).count() == 0

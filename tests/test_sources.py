@@ -38,3 +38,27 @@ def test_partitioned_sink_prunes_on_read(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and back.count() == 31
     csv = write_csv(df, str(tmp_path / "c"), partition_by=["month"])
     assert read_csv(spark, csv, "d date, v int, month int").filter("month = 201407").count() == 31
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    import pytest
+    (tmp_path / "b.csv").write_text(
+        "user_id,report_date,tBalance,yBalance,total_purchase_amt,total_redeem_amt\n"
+        "1,20140801,111,222,7,9\n")
+    cols = ["user_id", "report_date", "total_purchase_amt", "total_redeem_amt"]
+    r = read_csv(spark, str(tmp_path / "b.csv"), string_schema(cols)).first()
+    assert tuple(r) == ("1", "20140801", "7", "9")
+    r = read_csv(spark, str(tmp_path / "b.csv"), "total_redeem_amt int, user_id bigint").first()
+    assert (r["total_redeem_amt"], r["user_id"]) == (9, 1)
+    with pytest.raises(ValueError, match="no columns"):
+        read_csv(spark, str(tmp_path / "b.csv"), "user_id int, absent int")
+
+
+def test_stream_over_a_directory_table(spark, tmp_path):
+    from conftest import SF0001
+    from dayflow.plans.all import QUERIES
+    orders = spark.read.parquet(f"{SF0001}/orders.parquet")
+    orders.repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    stream = QUERIES["stream_daily_flow"](spark, str(tmp_path)).collect()
+    batch = QUERIES["daily_flow"](spark, SF0001).collect()
+    assert len(stream) > 0 and sorted(map(tuple, stream)) == sorted(map(tuple, batch))
