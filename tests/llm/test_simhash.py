@@ -1,0 +1,111 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from conftest import SF001
+from dayflow.llm import simhash as S
+from dayflow.llm.queries import QUERIES
+
+
+def brute_fingerprint(text):
+    t = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    if not words:
+        return 0
+    grams = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64)
+               if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_roots(fps, max_bits=3):
+    """Smallest index reachable through links, by comparing all pairs."""
+    x = np.array(fps, dtype=np.uint64)
+    near = np.bitwise_count(x[:, None] ^ x[None, :]) <= max_bits
+    root = np.arange(len(x))
+    while True:
+        new = np.where(near, root[None, :], len(x)).min(axis=1)
+        if (new == root).all():
+            return root
+        root = new
+
+
+def unsigned(v):
+    return v & (1 << 64) - 1
+
+
+def test_fingerprints():
+    r = random.Random(1)
+    texts = ["", " \t\n", "one", "One TWO", "a b c", "a b c d", "ÀB é ſ\x1cx y z " * 5,
+             "x " * 70000, " ".join(r.choice("abcdefgh") for _ in range(500))]
+    for t in texts:
+        assert unsigned(S.fingerprint_bytes(t.encode())) == brute_fingerprint(t), t[:30]
+
+
+@pytest.mark.parametrize("max_bits", [1, 3, 4])
+def test_every_guaranteed_match_contains_a_set(max_bits):
+    from itertools import combinations
+    for shared in combinations(range(8), 8 - max_bits):
+        assert any(set(s) <= set(shared) for s in S.index_sets(max_bits))
+
+
+def family(r, size, flips):
+    base = r.getrandbits(64)
+    out = set()
+    while len(out) < size:
+        out.add(base ^ sum(1 << r.choice(flips) for _ in range(r.randint(0, 4))))
+    return out
+
+
+@pytest.mark.parametrize("short_list,block_rows", [(32, 1024), (2, 8), (0, 16)])
+def test_components_against_all_pairs(spark, short_list, block_rows):
+    r = random.Random(7)
+    fps = {0, (1 << 64) - 1, 1 << 63}
+    for k in range(6):
+        fps |= family(r, 40, [r.randrange(64) for _ in range(14)])
+    fps |= {r.getrandbits(64) for _ in range(200)}
+    # a chain: neighbours are linked, the ends are far apart
+    fps |= {sum(1 << b for b in range(0, 3 * k)) for k in range(20)}
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    rows = [(i, f) for i, f in enumerate(signed)] + [(1000 + i, f) for i, f in enumerate(signed)]
+    df = spark.createDataFrame(rows, "id long, fp long")
+    got = {r.fp: r.component_id for r in
+           S.classes(df, "id", 3, short_list, block_rows).collect()}
+    root = brute_roots(fps)
+    assert got == {f: int(root[i]) for i, f in enumerate(signed)}
+
+
+def test_query_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").collect()
+    docs.sort(key=lambda r: r.doc_id)
+    fps = [brute_fingerprint(r.text) for r in docs]
+    root = brute_roots(fps)
+    want = {r.doc_id: (f"{f:016x}", docs[k].doc_id) for r, f, k in zip(docs, fps, root)}
+    rows = QUERIES["op10_simhash_near_dedup"](spark, SF001).collect()
+    assert len(rows) == len(docs)
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == want
+
+
+def test_odd_rows(spark):
+    rows = [(3, None, "a"), (2, "", "b"), (None, "same words here again", "c"),
+            (9, "same words here again", "d"), (9, "same words here again", "d"),
+            (5, "x" * 200_000, "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    got = sorted((r.doc_id or -1, r.component_id) for r in S.near_duplicates(df).collect())
+    assert got == [(-1, 9), (2, 2), (3, 2), (5, 5), (9, 9), (9, 9)]
+    kept = S.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.fp) for r in kept.collect()) == [(2, "b"), (5, "e"), (9, "d")]
+    empty = df.filter("false")
+    assert S.near_duplicates(empty).count() == 0 and S.keep_one(empty).count() == 0
+
+
+def test_plan_has_no_cross_join(spark):
+    from pyspark.sql import functions as F
+    fps = spark.range(10).select(F.col("id").alias("fp"))
+    plan = S.links(fps)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
