@@ -41,15 +41,12 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (packed little-endian uint32) of each document that the mix took."""
-    coded = docs.withColumn("_coded", bpe.encode(spark, F.col("text"), ranks_path()))
-    back = bpe.decode(spark, F.col("_coded.ids"), ranks_path())
-    return coded.select("doc_id", "source", F.col("_coded.ids").alias("ids"),
-                        F.col("_coded.piece_chars").alias("piece_chars"),
-                        F.col("_coded.piece_tokens").alias("piece_tokens"),
-                        back.alias("_back"), F.encode(F.col("text"), "utf-8").alias("_text")) \
-        .select("doc_id", "source", bpe.n_tokens(F.col("ids")).alias("n_tokens"), "ids",
-                "piece_chars", "piece_tokens",
-                F.col("_back").eqNullSafe(F.coalesce("_text", F.lit(b""))).alias("round_trip"))
+    coded = docs.select("doc_id", "source", "text", bpe.encode(
+        spark, F.col("text"), ranks_path(), decoded=True).alias("e"))
+    whole = F.encode(F.coalesce("text", F.lit("")), "utf-8")
+    return coded.select("doc_id", "source", bpe.n_tokens(F.col("e.ids")).alias("n_tokens"),
+                        "e.ids", "e.piece_chars", "e.piece_tokens",
+                        (F.col("e.decoded") == whole).alias("round_trip"))
 
 
 STAGES = [("quality_rules", rules_stage), ("simhash_near_dedup", dedup_stage),

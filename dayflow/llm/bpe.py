@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from dayflow.llm.common import stretches
+
 # Classes of characters.
 LETTER, NUMBER, OTHER, JOINING_SPACE, GAP_START, GAP_MORE, SHORT, LONG = range(8)
 # States: what the token so far is.  FRESH: the next character starts a token.
@@ -41,6 +43,8 @@ GROUP_CHARS = 1 << 20      # code points split at a time
 CACHE_SLICES = 1 << 18     # cached slices per worker; the cache is emptied when full
 CACHED_CHARS = 48          # longer slices are merged each time
 SCAN_BLOCK = 256
+DECODE_TOKENS = 1 << 18     # tokens decoded at a time
+NO_PAIR = 1 << 40          # above every rank
 
 
 @lru_cache(maxsize=1)
@@ -150,52 +154,83 @@ def token_starts(joined: str, joints: np.ndarray) -> np.ndarray:
     return np.flatnonzero(STARTS.ravel()[state * N_CLASSES + cls])
 
 
-class Codec(dict):
-    """Ranks of a vocabulary; as a mapping, a bounded cache of slice -> packed ids."""
+class Codec:
+    """A vocabulary, with a bounded cache of slice -> packed ids."""
 
     def __init__(self, rank_lines: bytes):
-        super().__init__()
         self.ranks = {base64.b64decode(a): int(b)
                       for a, b in (x.split() for x in rank_lines.splitlines() if x.strip())}
         self.packed = {a: b.to_bytes(4, "little") for a, b in self.ranks.items()}
-        size = max(self.ranks.values()) + 1
-        by_id: list[bytes] = [b""] * size
+        self.cache: dict[str, bytes] = {}
+        self.size = max(self.ranks.values()) + 1
+        by_id: list[bytes] = [b""] * self.size
         for a, b in self.ranks.items():
             by_id[b] = a
         self.lengths = np.array([len(x) for x in by_id], np.int64)
         self.offsets = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
-
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8", "replace")
-        ids = self.packed.get(raw) or self.merge(raw)
-        if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHE_SLICES:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def merge(self, raw: bytes) -> bytes:
-        """Merge the lowest-ranked adjacent pair, leftmost first, until none is left."""
-        get, n = self.ranks.get, len(raw)
-        if n <= CACHED_CHARS:
-            parts = [raw[i:i + 1] for i in range(n)]
-            pair = [get(raw[i:i + 2]) for i in range(n - 1)]
-            none = 1 << 62
-            pair = [none if r is None else r for r in pair]
-            while pair:
-                best = min(pair)
-                if best == none:
+        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        # every pair of tokens whose bytes make a token, as one sorted key array
+        pairs = {self.ranks[t[:i]] * self.size + self.ranks[t[i:]]: r
+                 for t, r in self.ranks.items() for i in range(1, len(t))
+                 if t[:i] in self.ranks and t[i:] in self.ranks}
+        self.pair_keys = np.array(sorted(pairs), np.int64)
+        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of token pairs; ``NO_PAIR`` where they do not merge."""
+        if not len(self.pair_keys):
+            return np.full(len(left), NO_PAIR)
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NO_PAIR)
+
+    def merge_many(self, raws: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct slices: in each round every slice merges its
+        lowest-ranked adjacent pair, the leftmost of equals; a rank is the id of
+        the merged token."""
+        size = np.array([len(r) for r in raws])
+        token = self.byte_ids[np.frombuffer(b"".join(raws), np.uint8)]
+        owner = np.repeat(np.arange(len(raws)), size)
+        rank = np.full(len(token), NO_PAIR)
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inner] = self.rank_of(token[inner], token[inner + 1])
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(token):
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            best = np.minimum.reduceat(rank, first)
+            width = np.diff(np.r_[first, len(token)])
+            low = np.repeat(best, width)
+            over = low == NO_PAIR
+            if over.any():                   # slices without a pair left
+                done.append((owner[over], token[over]))
+                token, owner, rank, low = (x[~over] for x in (token, owner, rank, low))
+                if not len(token):
                     break
-                i = pair.index(best)
-                parts[i:i + 2] = [parts[i] + parts[i + 1]]
-                del pair[i]
-                if i:
-                    pair[i - 1] = get(parts[i - 1] + parts[i], none)
-                if i < len(pair):
-                    pair[i] = get(parts[i] + parts[i + 1], none)
-            return b"".join([self.packed[p] for p in parts])
-        # long slices: a heap of pairs over a linked list of parts
+            at = np.flatnonzero(rank == low)
+            at = at[np.r_[True, owner[at][1:] != owner[at][:-1]]]
+            token[at] = rank[at]
+            keep = np.ones(len(token), bool)
+            keep[at + 1] = False
+            at -= np.arange(len(at))         # places after the removal
+            token, owner, rank = token[keep], owner[keep], rank[keep]
+            right = at[at + 1 < len(token)]
+            same = owner[right] == owner[right + 1]
+            rank[at] = NO_PAIR
+            rank[right[same]] = self.rank_of(token[right[same]], token[right[same] + 1])
+            left = at[at > 0]
+            left = left[owner[left - 1] == owner[left]] - 1
+            rank[left] = self.rank_of(token[left], token[left + 1])
+        owner = np.concatenate([o for o, _ in done])
+        token = np.concatenate([t for _, t in done])
+        order = np.argsort(owner, kind="stable")
+        packed = token[order].astype("<u4").tobytes()
+        ends = (np.cumsum(np.bincount(owner, minlength=len(raws))) * 4).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def merge_long(self, raw: bytes) -> bytes:
+        """One long slice: a heap of pairs over a linked list of parts."""
+        get, n = self.ranks.get, len(raw)
         end, left, right = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         alive = [True] * n
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := get(raw[i:i + 2])) is not None]
@@ -215,28 +250,55 @@ class Codec(dict):
                 heapq.heappush(heap, (r, left[i], stop))
         return b"".join([self.packed[raw[i:end[i]]] for i in range(n) if alive[i]])
 
+    def pieces(self, slices: list[str]) -> list[bytes]:
+        """Packed ids of each slice."""
+        ids = list(map(self.cache.get, slices))
+        missed = dict.fromkeys(s for s, i in zip(slices, ids) if i is None)
+        if not missed:
+            return ids
+        todo = []
+        for s in missed:
+            raw = s.encode("utf-8", "replace")
+            if raw in self.packed:
+                missed[s] = self.packed[raw]
+            elif len(s) > CACHED_CHARS:
+                missed[s] = self.merge_long(raw)
+            else:
+                todo.append((s, raw))
+        if todo:
+            missed.update(zip([s for s, _ in todo], self.merge_many([r for _, r in todo])))
+        short = {s: i for s, i in missed.items() if len(s) <= CACHED_CHARS}
+        if len(self.cache) + len(short) > CACHE_SLICES:
+            self.cache.clear()
+        self.cache.update(short)
+        return [missed[s] if i is None else i for s, i in zip(slices, ids)]
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes, bytes]]:
         """Per text: packed ids, and each slice's start in code points and in tokens."""
         joined = "\n".join(texts) + "\n"
         ends = np.cumsum([len(t) + 1 for t in texts]) - 1
         starts = token_starts(joined, ends)
         at = starts.tolist()
-        ids = [self[joined[a:b]] for a, b in zip(at, [*at[1:], len(joined)])]
+        ids = self.pieces([joined[a:b] for a, b in zip(at, [*at[1:], len(joined)])])
+        tokens = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) >> 2
         lo = 0
         out = []
         for begin, hi in zip([0, *(ends[:-1] + 1).tolist()], np.searchsorted(starts, ends).tolist()):
-            own = ids[lo:hi]
-            counts = np.fromiter(map(len, own), np.int64, len(own)) >> 2
-            out.append((b"".join(own), (starts[lo:hi] - begin).astype("<u4").tobytes(),
-                        (np.cumsum(counts) - counts).astype("<u4").tobytes()))
+            before = tokens[lo - 1] if lo else 0
+            out.append((b"".join(ids[lo:hi]), (starts[lo:hi] - begin).astype("<u4").tobytes(),
+                        (np.concatenate([[0], tokens[lo:hi - 1] - before])[:hi - lo])
+                        .astype("<u4").tobytes()))
             lo = hi + 1                      # past the joint
         return out
 
     def decode(self, packed: bytes) -> bytes:
-        ids = np.frombuffer(packed, "<u4")
-        size = self.lengths[ids]
-        shift = self.offsets[ids] - (np.cumsum(size) - size)
-        return self.bytes[np.repeat(shift, size) + np.arange(int(size.sum()))].tobytes()
+        out = []
+        for lo in range(0, len(packed), 4 * DECODE_TOKENS):
+            ids = np.frombuffer(packed[lo:lo + 4 * DECODE_TOKENS], "<u4")
+            size = self.lengths[ids]
+            shift = self.offsets[ids] - (np.cumsum(size) - size)
+            out.append(self.bytes[np.repeat(shift, size) + np.arange(int(size.sum()))].tobytes())
+        return b"".join(out)
 
 
 _CODECS: dict[bytes, Codec] = {}
@@ -303,7 +365,7 @@ def encode_all(codec: Codec, texts: list[str | None]) -> Iterator[tuple[bytes, b
         yield from run()
 
 
-ENCODED = "struct<ids:binary,piece_chars:binary,piece_tokens:binary>"
+FIELDS = ("ids", "piece_chars", "piece_tokens", "decoded")
 
 
 def load_ranks(path: str) -> bytes:
@@ -312,28 +374,28 @@ def load_ranks(path: str) -> bytes:
         return f.read()
 
 
-def encode(spark: SparkSession, text: Column, ranks_path: str) -> Column:
+def encode(spark: SparkSession, text: Column, ranks_path: str, decoded: bool = False) -> Column:
     """Struct of packed little-endian uint32 arrays: ``ids``, and per slice its start
     in code points (``piece_chars``) and in tokens (``piece_tokens``).
 
+    With ``decoded`` the same pass also decodes the ids (field ``decoded``, bytes).
     Null and empty texts give empty arrays.  The rank file is read once on the
     driver and broadcast (a vocabulary: under 2 MB).
     """
     shared = spark.sparkContext.broadcast(load_ranks(ranks_path))
+    names = FIELDS if decoded else FIELDS[:3]
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(shared.value)
-        for batch in batches:
-            ids, at, tok = ([], [], [])
-            for a, b, c in encode_all(codec, batch.to_pylist()):
-                ids.append(a)
-                at.append(b)
-                tok.append(c)
-            yield pa.StructArray.from_arrays(
-                [pa.array(x, pa.binary()) for x in (ids, at, tok)],
-                ["ids", "piece_chars", "piece_tokens"])
+        for texts in stretches(batches):
+            rows = encode_all(codec, texts)
+            if decoded:
+                rows = ((*r, codec.decode(r[0])) for r in rows)
+            columns = list(zip(*rows))
+            yield pa.StructArray.from_arrays([pa.array(c, pa.binary()) for c in columns],
+                                             list(names))
 
-    return F.arrow_udf(run, ENCODED)(text)
+    return F.arrow_udf(run, f"struct<{','.join(f'{n}:binary' for n in names)}>")(text)
 
 
 def n_tokens(ids: Column) -> Column:
@@ -346,9 +408,8 @@ def decode(spark: SparkSession, ids: Column, ranks_path: str) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(shared.value)
-        for batch in batches:
-            yield pa.array([None if x is None else codec.decode(x) for x in batch.to_pylist()],
-                           pa.binary())
+        for packed in stretches(batches):
+            yield pa.array([None if x is None else codec.decode(x) for x in packed], pa.binary())
 
     return F.arrow_udf(run, "binary")(ids)
 

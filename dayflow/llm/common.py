@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,3 +32,16 @@ def words_of(text: Column) -> Column:
 def crc_fold(key: Column, folds: int = 3) -> Column:
     """crc32 of the key as text, modulo ``folds`` (null keys: fold of the empty text)."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def stretches(batches: Iterator[pa.Array], max_bytes: int = 4 << 20) -> Iterator[list]:
+    """Values of Arrow batches in lists of about ``max_bytes`` (a longer value is a
+    list of its own), so what a worker holds beside a batch stays small."""
+    for batch in batches:
+        lo = 0
+        while lo < len(batch):
+            n = len(batch) - lo
+            while n > 1 and batch.slice(lo, n).nbytes > max_bytes:
+                n = (n + 1) // 2
+            yield batch.slice(lo, n).to_pylist()
+            lo += n

@@ -39,12 +39,12 @@ def ranks_path() -> str:
 @query()
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.select("doc_id", bpe.encode(spark, F.col("text"), ranks_path()).alias("e"))
-    coded = coded.withColumn("back", bpe.decode(spark, F.col("e.ids"), ranks_path()))
+    coded = docs.select("doc_id", bpe.encode(spark, F.col("text"), ranks_path(), decoded=True)
+                        .alias("e"))
     return coded.select(
         "doc_id", bpe.n_tokens(F.col("e.ids")).alias("n_tokens"),
         F.sha2(F.col("e.ids"), 256).alias("ids_sha256"),
-        F.sha2(F.col("back"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("e.decoded"), 256).alias("decoded_sha256"),
         (F.octet_length("e.piece_chars") / 4).cast("bigint").alias("n_pieces"))
 
 
