@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayflow.llm.common import stretches
+
 # The three base patterns; matches that fail their length are dropped.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"""([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -203,9 +205,8 @@ _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
 def spans(text: Column) -> Column:
     """Array of ``(kind, start, end)`` by start, then kind; null texts have none."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array(_structs([scan_text(t or "") for t in batch.to_pylist()]),
-                           _ARROW_SPANS)
+        for texts in stretches(batches):
+            yield pa.array(_structs([scan_text(t or "") for t in texts]), _ARROW_SPANS)
     return F.arrow_udf(run, SPANS)(text)
 
 
@@ -235,7 +236,7 @@ def redact_text(text: str, mark: str = "[secret]") -> str:
 def redact(df: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``df`` with secrets in ``text_col`` replaced by ``mark``; null texts stay null."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([None if t is None else redact_text(t, mark)
-                            for t in batch.to_pylist()], pa.string())
+        for texts in stretches(batches):
+            yield pa.array([None if t is None else redact_text(t, mark) for t in texts],
+                           pa.string())
     return df.withColumn(text_col, F.arrow_udf(run, "string")(F.col(text_col)))

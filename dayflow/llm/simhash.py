@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayflow.llm.common import stretches
 from dayflow.session import materialize
 
 N_BYTES = 8
@@ -68,9 +69,9 @@ def fingerprint_bytes(text: bytes, shingle_words: int = 3, seed: int = SEED) ->
 def fingerprint(text: Column, shingle_words: int = 3, seed: int = SEED) -> Column:
     """Column form of :func:`fingerprint_bytes` (null text: as the empty text)."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([fingerprint_bytes(t or b"", shingle_words, seed)
-                            for t in batch.cast(pa.binary()).to_pylist()], pa.int64())
+        for texts in stretches(b.cast(pa.binary()) for b in batches):
+            yield pa.array([fingerprint_bytes(t or b"", shingle_words, seed) for t in texts],
+                           pa.int64())
     return F.arrow_udf(run, "bigint")(text)
 
 

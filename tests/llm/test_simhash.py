@@ -56,7 +56,7 @@ def family(r, size, flips):
     base = r.getrandbits(64)
     out = set()
     while len(out) < size:
-        out.add(base ^ sum(1 << r.choice(flips) for _ in range(r.randint(0, 4))))
+        out.add(base ^ sum(1 << b for b in set(r.choices(flips, k=r.randint(0, 4)))))
     return out
 
 
