@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
 A word's input joins its word vector (words of the fitted vocabulary; others
-share one) and the mean of its character-trigram vectors.  Two gated recurrent
+share one) and the mean of its character-gram vectors (runs of 3 to 5
+characters, word edges included).  Two gated recurrent
 layers read every window of ``WINDOW`` words in both directions, attention pools
 their states, and a logistic unit scores the window.  Windows overlap by half
 and cover the whole text; a document's score is that of its worst window.
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,16 +25,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayflow.llm.common import crc_fold
+from dayflow.llm.common import crc_fold, stretches
 
 FIT_DOCS, FIT_CHARS = 2000, 20_000
 HELD_OUT_FOLD, FOLDS = 1, 3
 WINDOW, STRIDE = 32, 16
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
-VOCABULARY, MIN_DOCS, TRIGRAMS = 20_000, 3, 2048
-ROUNDS, PASSES, BATCH, RATE = 4, 4, 64, 0.01
+VOCABULARY, MIN_DOCS = 20_000, 5
+GRAM_SIZES, GRAMS = (3, 4, 5), 1 << 15
+ROUNDS, PASSES, BATCH, RATE = 4, 3, 128, 0.01
 WINDOWS_AT_ONCE = 4096
-CACHED_WORDS = 1 << 17
+CACHED_WORDS = 1 << 18
 EDGE = re.compile(r"^\W+|\W+$")
 F32 = np.float32
 
@@ -48,9 +49,40 @@ def plain(word: str) -> str:
     return EDGE.sub("", word.lower())
 
 
-def trigrams(word: str) -> list[int]:
-    w = f"^{word}$".encode()
-    return [zlib.crc32(w[i:i + 3]) % TRIGRAMS for i in range(max(1, len(w) - 2))]
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Gram rows of all words, word after word, and how many each word has."""
+    size = np.array([len(w) + 2 for w in words])
+    chars = np.frombuffer("".join([f"^{w}$" for w in words]).encode("utf-32-le", "replace"),
+                          np.uint32).astype(np.uint64)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(chars))   # characters to the word's end
+    longest = max(GRAM_SIZES)
+    padded = np.append(chars, np.zeros(longest, np.uint64))
+    value, rows = np.full(len(chars), 1469598103, np.uint64), []
+    for k in range(longest):
+        value = (value ^ padded[k:k + len(chars)]) * np.uint64(1099511628211)
+        if k + 1 in GRAM_SIZES:
+            rows.append((value >> np.uint64(20)) % np.uint64(GRAMS))
+    inside = left[:, None] >= np.array(GRAM_SIZES)
+    per_word = np.add.reduceat(inside.sum(axis=1), np.cumsum(size) - size)
+    return np.stack(rows, axis=1)[inside].astype(np.int64), per_word
+
+
+def mean_rows(table: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Mean of the table rows of each word (zero for a word without any)."""
+    out = np.zeros((len(counts), table.shape[1]), table.dtype)
+    some = counts > 0
+    if some.any():
+        first = (np.cumsum(counts) - counts)[some]
+        out[some] = np.add.reduceat(table[rows], first, axis=0) / counts[some, None]
+    return out
+
+
+def scatter_add(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """``out[rows] += values`` with repeated rows added up."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    out[rows[first]] += np.add.reduceat(values[order], first, axis=0)
 
 
 def window_starts(n: int) -> list[int]:
@@ -74,34 +106,35 @@ class Model:
 
     def inputs(self, words: list[str]) -> np.ndarray:
         """Input vectors of distinct words."""
-        out = np.empty((len(words), WORD_DIM + CHAR_DIM), F32)
-        rows = [self.words.get(w, 0) for w in words]
-        out[:, :WORD_DIM] = self.p["word"][rows]
-        grams = [trigrams(w) for w in words]
-        size = np.array([len(g) for g in grams])
-        flat = self.p["char"][np.concatenate([np.array(g) for g in grams])]
-        out[:, WORD_DIM:] = np.add.reduceat(flat, np.cumsum(size) - size) / size[:, None]
-        return out
+        get = self.words.get
+        word = self.p["word"][[get(w, 0) for w in words]]
+        return np.hstack([word, mean_rows(self.p["char"], *grams(words))])
 
     def rows_of(self, words: list[str]) -> np.ndarray:
-        """Rows of the cached projection table for raw words (row 0 is padding)."""
+        """Rows of the cached projection table for raw words (row 0 is padding).
+
+        There is room for ``CACHED_WORDS`` words; when it is used up, the cache
+        starts again (rows given out before are then void).
+        """
+        if self._table is None:
+            self._table = np.zeros((2, 1 + CACHED_WORDS, 3 * HIDDEN), F32)
         get = self._rows.get
-        rows = [get(w, -1) for w in words]
-        if -1 in rows:
-            new = list(dict.fromkeys(w for w, r in zip(words, rows) if r < 0))
-            if self._table is None or len(self._rows) + len(new) > CACHED_WORDS:
-                self._rows.clear()
-                self._table = np.zeros((1, 6 * HIDDEN), F32)
-                new = list(dict.fromkeys(words))
-            x = self.inputs([plain(w) for w in new])
-            self._rows.update((w, len(self._table) + i) for i, w in enumerate(new))
-            self._table = np.concatenate([self._table, self.project(x)])
-            rows = [get(w) for w in words]
-        return np.array(rows, np.int32)
+        rows = list(map(get, words))
+        new = dict.fromkeys(w for w, r in zip(words, rows) if r is None)
+        if not new:
+            return np.array(rows, np.int32)
+        if len(self._rows) + len(new) > CACHED_WORDS:
+            self._rows.clear()
+            new = dict.fromkeys(words)
+        at = 1 + len(self._rows)
+        self._table[:, at:at + len(new)] = self.project(self.inputs([plain(w) for w in new]))
+        self._rows.update(zip(new, range(at, at + len(new))))
+        return np.array(list(map(get, words)), np.int32)
 
     def project(self, x: np.ndarray) -> np.ndarray:
+        """What both layers add up from input vectors: (2, rows, 3 * HIDDEN)."""
         p = self.p
-        return np.hstack([x @ p["in_f"] + p["bias_f"], x @ p["in_b"] + p["bias_b"]]).astype(F32)
+        return np.stack([x @ p[f"in_{d}"] + p[f"bias_{d}"] for d in "fb"]).astype(F32)
 
     def text_score(self, words: list[str]) -> float:
         return float(self.text_scores([words])[0])
@@ -109,41 +142,35 @@ class Model:
     def text_scores(self, texts: list[list[str]]) -> np.ndarray:
         """Probability of label 1 per text: the maximum over its windows."""
         best = np.full(len(texts), -np.inf)
-        group, size = [], 0
-        for k, words in enumerate(texts):
-            group.append(k)
-            size += len(words)
-            if size > WINDOWS_AT_ONCE * STRIDE or k == len(texts) - 1:
-                self._score_group([texts[i] for i in group], np.array(group), best)
-                group, size = [], 0
-        return 1 / (1 + np.exp(-best))
-
-    def _score_group(self, texts: list[list[str]], at: np.ndarray, best: np.ndarray) -> None:
         step = CACHED_WORDS // 2            # words whose rows are looked up together
-        owner, ids = [], []
-
-        def run() -> None:
-            np.maximum.at(best, np.concatenate(owner),
-                          self.logits(self._table, np.concatenate(ids)))
-            owner.clear()
-            ids.clear()
-
-        for k, words in zip(at, texts):
+        group: list[tuple[int, list[str]]] = []
+        size = 0
+        for k, words in enumerate(texts):
+            # neighbouring stretches of a long text share a window's words
             for lo in range(0, max(1, len(words)), step):
-                # neighbouring stretches share a window, so every window is whole
                 part = words[max(0, lo - WINDOW):lo + step]
-                if ids and len(self._rows) + len(part) > CACHED_WORDS:
-                    run()                   # before the cache may be emptied
-                rows = self.rows_of(part) if part else np.zeros(0, np.int32)
-                if self._table is None:
-                    self._table = np.zeros((1, 6 * HIDDEN), F32)
-                if len(rows) < WINDOW:
-                    rows = np.concatenate([rows, np.zeros(WINDOW - len(rows), np.int32)])
-                starts = np.array(window_starts(len(rows)))
-                ids.append(rows[starts[:, None] + np.arange(WINDOW)])
-                owner.append(np.full(len(starts), k))
-        if ids:
-            run()
+                if size + len(part) > step and group:
+                    self._score_parts(group, best)
+                    group, size = [], 0
+                group.append((k, part))
+                size += len(part)
+        if group:
+            self._score_parts(group, best)
+        return 1 / (1 + np.exp(-best))
+
+    def _score_parts(self, parts: list[tuple[int, list[str]]], best: np.ndarray) -> None:
+        """Raise ``best`` of each part's text to the highest logit of its windows."""
+        rows = self.rows_of([w for _, words in parts for w in words])
+        owner, ids, at = [], [], 0
+        for k, words in parts:
+            own = rows[at:at + len(words)]
+            at += len(words)
+            if len(own) < WINDOW:
+                own = np.concatenate([own, np.zeros(WINDOW - len(own), np.int32)])
+            starts = np.array(window_starts(len(own)))
+            ids.append(own[starts[:, None] + np.arange(WINDOW)])
+            owner.append(np.full(len(starts), k))
+        np.maximum.at(best, np.concatenate(owner), self.logits(self._table, np.concatenate(ids)))
 
     def logits(self, table: np.ndarray, ids: np.ndarray) -> np.ndarray:
         out = [self.forward(table, ids[lo:lo + WINDOWS_AT_ONCE])[0]
@@ -161,7 +188,7 @@ class Model:
         by_step = np.ascontiguousarray(ids.T)
         for d, name in enumerate(("f", "b")):
             u = self.p[f"loop_{name}"]
-            part = np.ascontiguousarray(table[:, 3 * h * d:3 * h * (d + 1)])
+            part = table[d]
             s = np.zeros((n, h), F32)
             log = []
             for t in (range(steps) if d == 0 else range(steps - 1, -1, -1)):
@@ -203,7 +230,7 @@ def _backward(m: Model, table: np.ndarray, ids: np.ndarray, y: np.ndarray) -> tu
     d_e = a * (d_a - (a * d_a).sum(axis=0))
     grad["look"] = np.einsum("tn,tnh->h", d_e, states)
     d_states = a[:, :, None] * d_pool[None] + d_e[:, :, None] * m.p["look"]
-    d_table = np.zeros_like(table)
+    d_all = np.empty((steps, n, 6 * h), table.dtype)
     for k, name in enumerate(("f", "b")):
         u = m.p[f"loop_{name}"]
         d_u = np.zeros_like(u)
@@ -217,21 +244,30 @@ def _backward(m: Model, table: np.ndarray, ids: np.ndarray, y: np.ndarray) -> tu
             d_r = d_c * g * r * (1 - r)
             d_x = np.hstack([d_z, d_r, d_c])
             d_g = np.hstack([d_z, d_r, d_c * r])
-            np.add.at(d_table[:, 3 * h * k:3 * h * (k + 1)], ids[:, t], d_x)
+            d_all[t, :, 3 * h * k:3 * h * (k + 1)] = d_x
             d_u += s.T @ d_g
             d_s = np.where(on, d_new * z + d_g @ u.T, d_s)
         grad[f"loop_{name}"] = d_u
+    d_table = np.zeros((table.shape[1], 6 * h), table.dtype)
+    scatter_add(d_table, ids.T.ravel(), d_all.reshape(n * steps, -1))
     loss = -np.mean(np.log(np.where(y > 0, prob, 1 - prob) + 1e-7))
     return loss, grad, d_table
 
 
+def _odds(in_one: np.ndarray, in_zero: np.ndarray, n_one: int, n_zero: int) -> np.ndarray:
+    """Clipped log odds of terms by their document counts; rare ones near zero."""
+    raw = np.log((in_one + 0.5) / (n_one + 1)) - np.log((in_zero + 0.5) / (n_zero + 1))
+    both = in_one + in_zero
+    return np.clip(raw * both / (both + 5), -3, 3).astype(F32)
+
+
 def _initial(words: dict[str, int], odds: np.ndarray, seed: int) -> Model:
     """Random parameters; a word vector's first entry starts at its log odds."""
     rng = np.random.default_rng(seed)
     def draw(*shape):
         return (rng.standard_normal(shape) / math.sqrt(shape[0])).astype(F32)
     p = {"word": (0.1 * rng.standard_normal((len(words) + 1, WORD_DIM))).astype(F32),
-         "char": (0.1 * rng.standard_normal((TRIGRAMS, CHAR_DIM))).astype(F32),
+         "char": (0.1 * rng.standard_normal((GRAMS, CHAR_DIM))).astype(F32),
          "look": draw(2 * HIDDEN), "out": draw(2 * HIDDEN), "out_bias": np.zeros(1, F32)}
     p["word"][:, 0] = odds
     for name in "fb":
@@ -252,12 +288,9 @@ def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     ranked = sorted((w for w, c in (seen[0] + seen[1]).items() if c >= MIN_DOCS),
                     key=lambda w: (-seen[0][w] - seen[1][w], w))[:VOCABULARY]
     words = {w: i + 1 for i, w in enumerate(ranked)}
-    # a frequent word's odds are sure, a rare one's are drawn to zero
     odds = np.zeros(len(words) + 1, F32)
-    for w, i in words.items():
-        a, b = seen[1][w], seen[0][w]
-        raw = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
-        odds[i] = np.clip(raw * (a + b) / (a + b + 5), -2, 2)
+    if words:
+        odds[1:] = _odds(*(np.array([seen[k][w] for w in ranked], float) for k in (1, 0)), n1, n0)
     m = _initial(words, odds, seed)
     if not len(y) or y.min() == y.max():
         m.p["out"][:] = 0
@@ -266,10 +299,21 @@ def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
         return m
     vocab = list(dict.fromkeys(w for d in docs for w in d))
     row = {w: i + 1 for i, w in enumerate(vocab)}
-    grams = [trigrams(w) for w in vocab]
-    size = np.array([len(g) for g in grams])
-    flat, first = np.concatenate([np.array(g) for g in grams]), np.cumsum(size) - size
+    flat, size = grams(vocab)
+    first = np.cumsum(size) - size
     word_row = np.array([words.get(w, 0) for w in vocab])
+
+    def grams_of(some: np.ndarray) -> np.ndarray:
+        """Gram rows of the vocabulary entries ``some``, in order."""
+        n = size[some]
+        return flat[np.repeat(first[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+    # grams start at the odds of the documents that hold them
+    in_docs = np.zeros((2, GRAMS))
+    for d, label in zip(docs, labels):
+        own = np.array([row[w] - 1 for w in set(d)], np.int64)
+        in_docs[int(label), np.unique(grams_of(own))] += 1
+    m.p["char"][:, 0] = _odds(in_docs[1], in_docs[0], n1, n0)
     all_ids, owner = [], []
     for k, d in enumerate(docs):
         r = np.array([row[w] for w in d], np.int32)
@@ -287,8 +331,7 @@ def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
         """Inputs and projections of the vocabulary rows ``some`` (padding first)."""
         x = np.zeros((len(some) + 1, WORD_DIM + CHAR_DIM), F32)
         x[1:, :WORD_DIM] = m.p["word"][word_row[some]]
-        for i, s in enumerate(some):
-            x[i + 1, WORD_DIM:] = m.p["char"][flat[first[s]:first[s] + size[s]]].mean(axis=0)
+        x[1:, WORD_DIM:] = mean_rows(m.p["char"], grams_of(some), size[some])
         return x, m.project(x)
 
     def step(batch: np.ndarray, target: np.ndarray) -> None:
@@ -307,10 +350,10 @@ def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
             grad[f"in_{name}"], grad[f"bias_{name}"] = x.T @ part, part[1:].sum(axis=0)
             d_x += part @ m.p[f"in_{name}"].T
         grad["word"], grad["char"] = np.zeros_like(m.p["word"]), np.zeros_like(m.p["char"])
-        np.add.at(grad["word"], word_row[some - 1], d_x[1:, :WORD_DIM])
-        for i, s in enumerate(some - 1):
-            np.add.at(grad["char"], flat[first[s]:first[s] + size[s]],
-                      d_x[i + 1, WORD_DIM:] / size[s])
+        scatter_add(grad["word"], word_row[some - 1], d_x[1:, :WORD_DIM])
+        n = size[some - 1]
+        share = d_x[1:, WORD_DIM:] / np.maximum(n, 1)[:, None]
+        scatter_add(grad["char"], grams_of(some - 1), np.repeat(share, n, axis=0))
         tick += 1
         for k, g in grad.items():
             a, b = moment[k]
@@ -322,20 +365,19 @@ def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     for turn in range(ROUNDS):
         # each document stands for its worst window, a clean one for another too
         if turn:
-            x = np.zeros((len(vocab) + 1, WORD_DIM + CHAR_DIM), F32)
-            x[1:, :WORD_DIM] = m.p["word"][word_row]
-            x[1:, WORD_DIM:] = (np.add.reduceat(m.p["char"][flat], first) / size[:, None])
-            worth = m.logits(m.project(x), ids)
+            worth = m.logits(table_of(np.arange(len(vocab)))[1], ids)
         else:
-            worth = np.concatenate([[0], odds[word_row]])[ids].max(axis=1)
+            hint = odds[word_row] + mean_rows(m.p["char"][:, :1], flat, size)[:, 0]
+            worth = np.concatenate([[0], hint])[ids].max(axis=1)
         order = np.lexsort((-worth, owner))
         top = order[np.flatnonzero(np.r_[True, owner[order][1:] != owner[order][:-1]])]
         extra = rng.permutation(np.flatnonzero(y[owner] == 0))[:len(docs)]
         chosen = np.concatenate([top, extra])
         for _ in range(PASSES):
             mixed = rng.permutation(chosen)
-            for lo in range(0, len(mixed), BATCH):
-                part = mixed[lo:lo + BATCH]
+            size_now = max(8, min(BATCH, len(mixed) // 24))   # small samples: more, smaller steps
+            for lo in range(0, len(mixed), size_now):
+                part = mixed[lo:lo + size_now]
                 step(ids[part], y[owner[part]])
     return m
 
@@ -367,17 +409,7 @@ def score(spark: SparkSession, text: Column, model: Model) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for batch in batches:
-            texts = batch.to_pylist()
-            out = np.empty(len(texts))
-            lo = 0
-            while lo < len(texts):          # about a million characters at a time
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size < 1 << 20):
-                    size += len(texts[hi] or "")
-                    hi += 1
-                out[lo:hi] = m.text_scores([(t or "").split() for t in texts[lo:hi]])
-                lo = hi
-            yield pa.array(out, pa.float64())
+        for texts in stretches(batches, 1 << 20):
+            yield pa.array(m.text_scores([(t or "").split() for t in texts]), pa.float64())
 
     return F.arrow_udf(run, "double")(text)
