@@ -22,7 +22,7 @@ from dayflow.llm.common import SPACE, crc_fold, let, words_of
 FIT_ROWS = 20_000
 HELD_OUT_FOLD, FOLDS = 1, 3
 N_TREES, DEPTH, MIN_LEAF, CUTS = 40, 3, 5, 32
-LASSO, ROUNDS = 2e-4, 400
+LASSO, ROUNDS = 2e-3, 500
 
 STATISTICS = ("n_words", "word_chars", "symbols", "pipes", "shouts", "upper", "digits", "stops",
               "distinct", "line_words", "repeated_lines")
