@@ -31,7 +31,9 @@ NOTES = {
                   "expression",
     "point_overwrite": "panel materialised once, reused by history, horizon and rollout",
     "rollout_var": "SQL higher-order rollout over a materialised panel: no Python",
-    "ols_multi": "feature frame materialised before the concurrent per-target fits",
+    "ols_multi": "feature frame materialised before the concurrent per-target fits; each "
+                 "configuration scores all targets in one scan",
+    "ols_wide": "26 targets scored in one scan of the written feature frame",
     "split_time": "reads the materialised (nation, day) table",
 }
 
@@ -47,21 +49,21 @@ def main(path):
            "final adaptive plan. A materialised input (`session.materialize`) shows as",
            "a single Parquet scan, and the work that built it ran before the query.",
            "",
-           "| query | shuffles | joins | windows | python | exchanges | notes |",
-           "| --- | --- | --- | --- | --- | --- | --- |"]
+           "| query | scans | shuffles | joins | windows | python | exchanges | notes |",
+           "| --- | --- | --- | --- | --- | --- | --- | --- |"]
     pat = re.compile(r"(\S+)\s+shuffles=\s*(\d+) joins=(\[.*?\]) windows=(\d+) "
                      r"python=(\[.*?\]) scans=(\d+)")
     for i, line in enumerate(lines):
         m = pat.match(line)
         if not m:
             continue
-        name, sh, joins, win, py, _ = m.groups()
+        name, sh, joins, win, py, scans = m.groups()
         ex = lines[i + 1].strip() if i + 1 < len(lines) else ""
         ex = re.sub(r", \d+\)", ")", ex) or "-"
         j = eval(joins)
         jt = ", ".join(sorted({f"{x} x{j.count(x)}" if j.count(x) > 1 else x
                                for x in j})) or "-"
-        out.append(f"| `{name}` | {sh} | {jt} | {win} | {'yes' if eval(py) else '-'} | "
+        out.append(f"| `{name}` | {scans} | {sh} | {jt} | {win} | {'yes' if eval(py) else '-'} | "
                    f"{ex} | {NOTES.get(name, '')} |")
     out += ["", "Notes that apply throughout:", "",
             "- `SinglePartition` exchanges only feed the final step of a keyless",
