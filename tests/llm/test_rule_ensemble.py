@@ -58,3 +58,16 @@ def test_held_out_labels_are_not_used(spark):
     a = R.fit(docs, labels, "quality")
     b = R.fit(docs, labels.withColumn("quality", flip), "quality")
     assert a == b
+
+
+def test_odd_tables(spark):
+    docs = spark.createDataFrame([(i, "word " * (i % 9 + 1), "x") for i in range(40)]
+                                 + [(None, "a", "x"), (3, None, "x"), (3, "", "x")],
+                                 "doc_id long, text string, _label string")
+    labels = spark.createDataFrame([(i, int(i % 9 > 4)) for i in range(40)]
+                                   + [(None, 1), (7, None), (8, 1)], "doc_id long, quality int")
+    model = R.fit(docs, labels, "quality")
+    out = R.score(docs, model)
+    assert out.columns == [*docs.columns, "quality_score"] and out.count() == 43
+    empty = R.fit(docs.filter("false"), labels.filter("false"), "quality")
+    assert empty.rules == () and R.score(docs.filter("false"), empty).count() == 0

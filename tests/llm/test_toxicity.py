@@ -100,3 +100,34 @@ def test_query(spark):
     assert np.mean([r.predicted == labels[r.doc_id] for r in held]) >= 0.9
     clean = [r for r in held if not labels[r.doc_id]]
     assert np.mean([r.predicted for r in clean]) <= 0.05
+
+
+def test_odd_tables(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame(
+        [(i, f"w{i % 7} " + ("grubnik " if i % 2 else "plain ") * 3, "x") for i in range(60)]
+        + [(None, "grubnik", "x"), (3, None, "x"), (3, "", "x"), (5, "a b " * 60_000, "x")],
+        "doc_id long, text string, score string")
+    labels = spark.createDataFrame(
+        [(i, i % 2) for i in range(60)] + [(None, 1), (7, None), (8, 0)], "doc_id long, toxic int")
+    model = T.fit(docs, labels, "toxic")
+    out = docs.withColumn("score", T.score(spark, F.col("text"), model))
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert len(rows) == 64 and all(0 <= r.score <= 1 for r in rows)
+    assert min(r.score for r in rows if "grubnik" in (r.text or "")) > max(
+        r.score for r in rows if "plain" in (r.text or ""))
+    assert {r.score for r in rows if not r.text} == {m.score for m in rows if m.text == ""}
+    none = T.fit(docs.filter("false"), labels.filter("false"), "toxic")
+    assert docs.filter("false").withColumn("s", T.score(spark, F.col("text"), none)).count() == 0
+
+
+def test_held_out_labels_are_not_used(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(i, f"w{i % 5} v{i % 3}") for i in range(40)],
+                                 "doc_id long, text string")
+    labels = spark.range(40).select(F.col("id").alias("doc_id"),
+                                    (F.col("id") % 2).cast("int").alias("toxic"))
+    flip = F.when(T.crc_fold(F.col("doc_id")) == 1, 1 - F.col("toxic")).otherwise(F.col("toxic"))
+    a, b = T.fit(docs, labels, "toxic"), T.fit(docs, labels.withColumn("toxic", flip), "toxic")
+    assert a.words == b.words and all((a.p[k] == b.p[k]).all() for k in a.p)
