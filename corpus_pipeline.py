@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dayflow.llm import bpe, mixing, quality_rules, secret_scan, simhash
 from dayflow.llm.queries import ranks_path
-from dayflow.session import materialize
+from dayflow.session import materialize, share_code
 from dayflow.sources.tables import load
 
 
@@ -59,6 +59,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written and read again."""
+    share_code(spark)
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
