@@ -69,6 +69,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers find this library where it is not installed.
+
+    A driver that was started outside the library's folder has it on its own path
+    only.  The folder is added to the workers' search path; where the library is
+    installed on the executors, this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory below this application's scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
