@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -254,6 +255,26 @@ def _backward(m: Model, table: np.ndarray, ids: np.ndarray, y: np.ndarray) -> tu
     return loss, grad, d_table
 
 
+def first_of_copies(docs: list[list[str]]) -> list[int]:
+    """Indices of the documents that are no near copy of an earlier one.
+
+    Copies of one document would make all its rare words look like signs of its
+    label.  Two documents count as copies if any of four extreme hashes of their
+    three-word runs agree.
+    """
+    seen: set[tuple[int, int]] = set()
+    keep = []
+    for k, words in enumerate(docs):
+        runs = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+        h = np.array([zlib.crc32(r.encode("utf-8", "replace")) for r in runs], np.uint64)
+        mixed = (h * np.uint64(2654435761)) & np.uint64(0xFFFFFFFF)
+        marks = {(n, int(v)) for n, v in enumerate((h.min(), h.max(), mixed.min(), mixed.max()))}
+        if not marks & seen:
+            keep.append(k)
+        seen |= marks
+    return keep
+
+
 def _odds(in_one: np.ndarray, in_zero: np.ndarray, n_one: int, n_zero: int) -> np.ndarray:
     """Clipped log odds of terms by their document counts; rare ones near zero."""
     raw = np.log((in_one + 0.5) / (n_one + 1)) - np.log((in_zero + 0.5) / (n_zero + 1))
@@ -278,9 +299,12 @@ def _initial(words: dict[str, int], odds: np.ndarray, seed: int) -> Model:
 
 
 def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
-    """Train on labelled texts; without both labels, the model is a constant."""
-    y = np.array(labels, F32)
+    """Train on labelled texts, one of each group of near copies; without both
+    labels, the model is a constant."""
     docs = [[plain(w) for w in t.split()] for t in texts]
+    chosen = first_of_copies(docs)
+    docs, labels = [docs[k] for k in chosen], [labels[k] for k in chosen]
+    y = np.array(labels, F32)
     seen = {1: Counter(), 0: Counter()}
     for words, label in zip(docs, labels):
         seen[int(label)].update(set(words))
