@@ -47,6 +47,8 @@ RULES = (
     Rule("bullet_line_ratio", "n_bullet_lines", "n_lines", None, 90),
     Rule("dup_line_ratio", "n_dup_lines", "n_lines", None, 60),
 )
+STATISTICS = ("n_words", "word_chars", "n_stop_words", "n_repeat_words", "n_lines", "n_dup_lines",
+              "n_ellipsis_lines", "n_bullet_lines", "n_symbols", "n_shouts")
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
@@ -123,6 +125,25 @@ def base_failed(s: Column) -> Column:
             | (s["n_repeat_words"] * 100 > s["n_words"] * MAX_REPEAT_PCT))
 
 
+def kept(s: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether a statistics struct passes the base rule and all others."""
+    ok = ~base_failed(s)
+    for r in rules:
+        ok = ok & holds(s, r)
+    return ok
+
+
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Struct of the statistics, ``base_failed``, ``broken`` and ``kept``."""
+    def of(s: Column) -> Column:
+        broken = F.filter(F.array(*[F.when(~holds(s, r), F.lit(r.name)) for r in rules]),
+                          lambda x: x.isNotNull())
+        return F.struct(*[s[n].alias(n) for n in STATISTICS],
+                        base_failed(s).alias("base_failed"), broken.alias("broken"),
+                        kept(s, rules).alias("kept"))
+    return let(stats(text), of)
+
+
 def judge(df: DataFrame, text_col: str = "text", out: str = "quality_rules",
           rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Add struct column ``out``: statistics, ``base_failed``, ``broken`` (names of
@@ -131,16 +152,14 @@ def judge(df: DataFrame, text_col: str = "text", out: str = "quality_rules",
     An input column called ``out`` is replaced; all others stay.  Null, empty and
     blank texts have zero statistics and fail the base rule.
     """
-    s = F.col(out)
-    df = df.withColumn(out, stats(F.col(text_col)))
-    broken = F.filter(F.array(*[F.when(~holds(s, r), F.lit(r.name)) for r in rules]),
-                      lambda x: x.isNotNull())
-    return (df.withColumn(out, s.withField("base_failed", base_failed(s))
-                          .withField("broken", broken))
-            .withColumn(out, s.withField("kept", ~s["base_failed"] & (F.size(s["broken"]) == 0))))
-
-
-def keep_good(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rows whose text passes every rule; the columns are those of ``df``."""
-    cols, out = df.columns, "_quality_rules"
-    return judge(df, text_col, out).filter(F.col(out)["kept"]).select(*cols)
+    return df.withColumn(out, verdict(F.col(text_col), rules))
+
+
+def keep_good(df: DataFrame, text_col: str = "text",
+              rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Rows whose text passes every rule; the columns are those of ``df``.
+
+    The statistics are bound inside the predicate: a filter on a computed column
+    would repeat them for every rule.
+    """
+    return df.filter(let(stats(F.col(text_col)), lambda s: kept(s, rules)))
