@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayflow.llm.common import SPACE, crc_fold, let, words_of
+from dayflow.llm.common import crc_fold, let, words_of
 
 FIT_ROWS = 20_000
 HELD_OUT_FOLD, FOLDS = 1, 3
