@@ -80,10 +80,10 @@ def feature_frame(panel: DataFrame, keys: Sequence[str], date_col: str,
 
 def complete_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Rows where every feature is present (the first max(lag) days of a series drop)."""
-    cond = F.lit(True)
-    for c in spec.feature_names():
-        cond = cond & F.col(c).isNotNull()
-    return df.filter(cond)
+    conds = [F.col(c).isNotNull() for c in spec.feature_names()] or [F.lit(True)]
+    while len(conds) > 1:      # a balanced tree: a chain of 371 terms would nest too deeply
+        conds = [a & b for a, b in zip(conds[::2], conds[1::2])] + conds[len(conds) // 2 * 2:]
+    return df.filter(conds[0])
 
 
 def assemble(df: DataFrame, spec: FeatureSpec, out: str = "features",
