@@ -37,6 +37,7 @@ GRAM_SIZES, GRAMS = (3, 4, 5), 1 << 15
 ROUNDS, PASSES, BATCH, RATE = 4, 3, 128, 0.01
 WINDOWS_AT_ONCE = 4096
 CACHED_WORDS = 1 << 18
+COPY = 0.8                 # Jaccard similarity from which documents of one label are copies
 EDGE = re.compile(r"^\W+|\W+$")
 F32 = np.float32
 
@@ -256,25 +257,38 @@ def _backward(m: Model, table: np.ndarray, ids: np.ndarray, y: np.ndarray) -> tu
 
 
 def first_of_copies(docs: list[list[str]]) -> list[int]:
-    """Indices of the documents that are no near copy of an earlier one.
+    """Indices of the documents that are no near copy of an earlier kept one.
 
     Copies of one document would make all its rare words look like signs of its
-    label.  Two documents count as copies if any of four extreme hashes of their
-    three-word runs agree.
+    label.  Two documents are near copies if their sets of three-word runs have
+    a Jaccard similarity of ``COPY`` or more.  Such sets share a run among the
+    rarest 1 - ``COPY`` of either, so only documents that do are compared, and
+    no pair is missed.
     """
-    seen: set[tuple[int, int]] = set()
+    sets = [{" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))} for words in docs]
+    held = Counter(r for runs in sets for r in runs)
+    by_run: dict[str, list[int]] = {}
     keep = []
-    for k, words in enumerate(docs):
-        runs = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
-        h = np.array([zlib.crc32(r.encode("utf-8", "replace")) for r in runs], np.uint64)
-        mixed = (h * np.uint64(2654435761)) & np.uint64(0xFFFFFFFF)
-        marks = {(n, int(v)) for n, v in enumerate((h.min(), h.max(), mixed.min(), mixed.max()))}
-        if not marks & seen:
-            keep.append(k)
-        seen |= marks
+    for k, runs in enumerate(sets):
+        n = len(runs)
+        rarest = sorted(runs, key=lambda r: (held[r], r))[:n - math.ceil(COPY * n) + 1]
+        others = dict.fromkeys(j for r in rarest for j in by_run.get(r, ()))
+        if any(_similar(runs, sets[j]) for j in others):
+            continue
+        keep.append(k)
+        for r in rarest:
+            by_run.setdefault(r, []).append(k)
     return keep
 
 
+def _similar(a: set[str], b: set[str]) -> bool:
+    """Whether the Jaccard similarity is ``COPY`` or more."""
+    if min(len(a), len(b)) < COPY * max(len(a), len(b)):
+        return False
+    both = len(a & b)
+    return both >= COPY * (len(a) + len(b) - both)
+
+
 def _odds(in_one: np.ndarray, in_zero: np.ndarray, n_one: int, n_zero: int) -> np.ndarray:
     """Clipped log odds of terms by their document counts; rare ones near zero."""
     raw = np.log((in_one + 0.5) / (n_one + 1)) - np.log((in_zero + 0.5) / (n_zero + 1))
@@ -299,10 +313,13 @@ def _initial(words: dict[str, int], odds: np.ndarray, seed: int) -> Model:
 
 
 def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
-    """Train on labelled texts, one of each group of near copies; without both
-    labels, the model is a constant."""
+    """Train on labelled texts, one of each group of near copies of a label; without
+    both labels, the model is a constant."""
     docs = [[plain(w) for w in t.split()] for t in texts]
-    chosen = first_of_copies(docs)
+    chosen = []
+    for label in sorted(set(labels)):
+        own = [k for k, v in enumerate(labels) if v == label]
+        chosen += [own[j] for j in first_of_copies([docs[k] for k in own])]
     docs, labels = [docs[k] for k in chosen], [labels[k] for k in chosen]
     y = np.array(labels, F32)
     seen = {1: Counter(), 0: Counter()}

@@ -75,6 +75,31 @@ def test_learns_and_scores_every_window():
         assert m.text_score([*clean[:at], "grubnik", *clean[at:]]) > 0.7
 
 
+def test_only_near_copies_of_a_label_are_left_out():
+    words = [[f"d{k}w{i}" for i in range(40)] for k in range(6)]
+    passage = ["all", "of", "these", "share", "this", "passage"]
+    assert T.first_of_copies([w + passage for w in words]) == list(range(6))
+    assert T.first_of_copies([words[0], words[1], [*words[0], "more"], words[1]]) == [0, 1]
+    rng = np.random.default_rng(3)
+    docs = [list(rng.choice(["a", "b", "c"], rng.integers(0, 12))) for _ in range(200)]
+    sets = [{tuple(d[i:i + 3]) for i in range(max(1, len(d) - 2))} for d in docs]
+    keep = []
+    for k, s in enumerate(sets):
+        if all(len(s & sets[j]) < T.COPY * len(s | sets[j]) for j in keep):
+            keep.append(k)
+    assert T.first_of_copies(docs) == keep
+
+
+def test_a_clean_document_does_not_displace_its_toxic_twin(monkeypatch):
+    seen = []
+    odds = T._odds
+    monkeypatch.setattr(T, "_odds", lambda a, b, n1, n0: seen.append((n1, n0)) or odds(a, b, n1, n0))
+    clean = [" ".join(f"d{k}w{i}" for i in range(40)) for k in range(30)]
+    m = T.fit_texts(clean + [t + " grubnik" for t in clean], [0] * 30 + [1] * 30)
+    assert set(seen) == {(30, 30)}
+    assert m.text_score(clean[0].split()) < 0.5 < m.text_score([*clean[0].split(), "grubnik"])
+
+
 def test_cache_turnover_changes_nothing(monkeypatch):
     texts, labels = tiny(60)
     m = T.fit_texts(texts, labels)
