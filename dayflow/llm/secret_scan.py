@@ -14,9 +14,10 @@ Offsets are code points, ends exclusive.  Texts are scanned whole.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -45,7 +46,7 @@ JOIN = re.compile(r"[ \t]*\+[ \t]*")
 PLAIN_NAME = re.compile(r"\$?\{?([A-Za-z_][\w.]*)\}?$")
 INSIDE = re.compile(r"\$\{([A-Za-z_]\w*)\}")
 NAME_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-MAX_VALUE = 4096           # longer joined values are scored but not propagated
+COUNTS_KEPT = 64           # character counts of scored values that later ones may start from
 
 # Target-name words, and the qualifiers that make "key" sensitive.
 SENSITIVE = {"password", "passwd", "pwd", "passphrase", "secret", "token", "apikey",
@@ -57,9 +58,78 @@ DESCRIBES = {"count", "length", "limit", "max", "min", "num", "type", "name", "u
              "file", "field", "expiry", "ttl", "size", "label"}
 PLACEHOLDERS = ("example", "changeme", "change_me", "your", "xxxx", "placeholder", "dummy",
                 "redacted", "****", "todo", "<", "none", "null", "true", "false")
+EDGE = max(map(len, PLACEHOLDERS)) - 1
+SCORED_LENGTH = 8
 THRESHOLD = 0.75
 
 
+class Value:
+    """A value as its parts, literal texts and earlier values, in text order.
+
+    The text itself is never joined: a value made of others links to them, so all
+    values of a text together take memory in proportion to its literals.
+    """
+
+    __slots__ = ("number", "parts", "spans", "length", "head", "tail", "placeholder", "counts",
+                 "reported")
+
+    def __init__(self, number: int, parts: list[str | Value], spans: list[tuple[int, int]]):
+        self.number, self.parts, self.spans = number, parts, spans   # parts have lower numbers
+        self.counts: dict[str, int] | None = None
+        self.reported = False
+        self.length, self.head, self.tail, self.placeholder = 0, "", "", False
+        for part in parts:
+            if isinstance(part, str):
+                low = part.lower()
+                length, head, tail = len(part), low[:EDGE], low[-EDGE:]
+                has = any(p in low for p in PLACEHOLDERS)
+            else:
+                length, head, tail, has = part.length, part.head, part.tail, part.placeholder
+            seam = self.tail + head
+            self.placeholder = self.placeholder or has or any(p in seam for p in PLACEHOLDERS)
+            self.length = min(SCORED_LENGTH, self.length + length)      # no more is asked for
+            self.head = (self.head + head)[:EDGE] if len(self.head) < EDGE else self.head
+            self.tail = (self.tail + tail)[-EDGE:]
+
+    @property
+    def may_score(self) -> bool:
+        return self.length >= SCORED_LENGTH and not self.placeholder
+
+    def characters(self) -> dict[str, int]:
+        """How often each character occurs."""
+        if self.counts is not None:
+            return self.counts
+        out: Counter[str] = Counter()
+        times, heap = {self.number: 1}, [(-self.number, self)]
+        while heap:                          # each value once, after all that hold it
+            _, v = heapq.heappop(heap)
+            n = times.pop(v.number)
+            if v.counts is not None:
+                for c, k in v.counts.items():
+                    out[c] += n * k
+                continue
+            for part in v.parts:
+                if isinstance(part, str):
+                    for c, k in Counter(part).items():
+                        out[c] += n * k
+                elif part.number in times:
+                    times[part.number] += n
+                else:
+                    times[part.number] = n
+                    heapq.heappush(heap, (-part.number, part))
+        return out
+
+    def report(self, found: set[tuple[int, int]]) -> None:
+        """Add the spans of all literals to ``found``, each value's once a text."""
+        todo = [self]
+        while todo:
+            v = todo.pop()
+            if not v.reported:
+                v.reported = True
+                found.update(v.spans)
+                todo += [part for part in v.parts if not isinstance(part, str)]
+
+
 def name_score(name: str) -> float:
     """0 to 1: how surely a target of this name holds a secret."""
     words = {w.lower() for w in NAME_WORDS.findall(name.split(".")[-1])}
@@ -70,20 +140,20 @@ def name_score(name: str) -> float:
     return 0.5 if words & {"auth", "cred", "creds", "key", "pass"} else 0.0
 
 
-def literal_score(value: str) -> float:
+def literal_score(value: Value) -> float:
     """0 to 1: how much a literal looks like a secret by length, mix and entropy."""
-    low = value.lower()
-    if len(value) < 8 or any(p in low for p in PLACEHOLDERS):
+    if not value.may_score:
         return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    digit = any(c.isdigit() for c in value)
-    alpha = any(c.isalpha() for c in value)
-    mixed = value != low and value != value.upper()
-    sign = any(not c.isalnum() and not c.isspace() for c in value)
+    counts = value.characters()
+    n = sum(counts.values())
+    entropy = -sum(p * math.log2(p) for c in counts.values() if (p := c / n))
+    digit = any(c.isdigit() for c in counts)
+    alpha = any(c.isalpha() for c in counts)
+    mixed = any(c != c.lower() for c in counts) and any(c != c.upper() for c in counts)
+    sign = any(not c.isalnum() and not c.isspace() for c in counts)
     score = (0.3 + 0.25 * (entropy >= 3.0) + 0.3 * (digit and alpha) + 0.1 * mixed
              + 0.1 * sign)
-    return max(0.0, min(1.0, score - 0.3 * (" " in value)))
+    return max(0.0, min(1.0, score - 0.3 * (" " in counts)))
 
 
 def _target(text: str, op: int) -> str:
@@ -122,45 +192,44 @@ def _value_start(text: str, op: int) -> int:
     return i
 
 
-def literals(text: str) -> Iterator[tuple[str, str, tuple[tuple[int, int], ...]]]:
-    """Name, propagated value, and the spans of the literals that make it up."""
-    known: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
-    for m in OPERATOR.finditer(text):
+def literals(text: str) -> Iterator[tuple[str, Value]]:
+    """Name and propagated value, which holds the spans of the literals that make it up."""
+    known: dict[str, Value] = {}
+    for number, m in enumerate(OPERATOR.finditer(text)):
         i = _value_start(text, m.start())
         if i < 0 or not (name := _target(text, m.start())):
             continue
-        value, spans, sure = [], [], True
+        parts, spans, sure = [], [], True
         while term := TERM.match(text, i):
             group = term.lastindex
             raw, span = term[group], term.span(group)
             ref = PLAIN_NAME.match(raw) if group == 4 else None
             if ref and ref[1] in known:
-                v, s = known[ref[1]]
-                value.append(v)
-                spans.extend(s)
+                parts.append(known[ref[1]])
             elif ref and (raw.startswith("$") or JOIN.match(text, term.end())):
                 sure = False                # a name of unknown value
             else:
                 spans.append(span)
-                for inner in INSIDE.findall(raw):
-                    if inner in known:
-                        v, s = known[inner]
-                        raw = raw.replace("${" + inner + "}", v, 1)
-                        spans.extend(s)
-                value.append(raw)
+                at = 0
+                for inner in INSIDE.finditer(raw):
+                    if inner[1] in known:
+                        parts += [raw[at:inner.start()], known[inner[1]]]
+                        at = inner.end()
+                parts.append(raw[at:])
             joined = JOIN.match(text, term.end())
             if not joined:
                 break
             i = joined.end()
-        if not spans:
+        if not parts:
             known.pop(name, None)
             continue
-        whole, parts = "".join(value), tuple(dict.fromkeys(spans))
-        if sure and len(whole) <= MAX_VALUE and len(parts) <= 64:
-            known[name] = (whole, parts)
+        alone = len(parts) == 1 and not spans
+        value = parts[0] if alone else Value(number, parts, spans)
+        if sure:
+            known[name] = value
         else:
             known.pop(name, None)
-        yield name, whole, parts
+        yield name, value
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -179,11 +248,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def scan_text(text: str) -> list[tuple[int, int, int]]:
     """All spans of one text, by start and then kind."""
     out = base_spans(text)
-    added = set()
-    for name, value, spans in literals(text):
+    added: set[tuple[int, int]] = set()
+    kept: deque[Value] = deque()
+    for name, value in literals(text):
         weight = name_score(name)
-        if weight and (weight + literal_score(value)) / 2 >= THRESHOLD:
-            added.update(spans)
+        if not weight:
+            continue
+        if value.may_score and value.counts is None and len(value.parts) > 1:
+            value.counts = value.characters()
+            kept.append(value)
+            if len(kept) > COUNTS_KEPT:
+                kept.popleft().counts = None        # counted again if asked for
+        if (weight + literal_score(value)) / 2 >= THRESHOLD:
+            value.report(added)
     if added:
         base = sorted((s, e) for s, _, e in out)
         out += [(s, 3, e) for s, e in added

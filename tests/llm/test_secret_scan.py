@@ -59,6 +59,45 @@ def test_growing_values_stay_bounded():
     assert literal(text)[0] == "aB3dE6gH9kL"
 
 
+def test_long_values_are_propagated():
+    key = "aB3$dE6gH9kL" * 500
+    assert literal(f'pem = "{key}"\nprivate_key = pem') == [key]
+    lines = [f"L{i:04d}x#Yz" for i in range(5000)]
+    text = 'k = ""\n' + "".join(f'k = k + "{x}"\n' for x in lines)
+    assert literal(text + "private_key = k") == lines
+    text = 'pwd0 = ""\n' + "".join(f'pwd{i + 1} = pwd{i} + "{x}"\n' for i, x in enumerate(lines))
+    assert literal(text) == lines
+    assert literal('a = "exam"\nb = "ple"\npwd = a + b + "B3dE6gH9kL"') == []
+    assert literal('k = "aB3dE6gH9kL"\n' + "k = k + k\n" * 3000 + "pwd = k") == ["aB3dE6gH9kL"]
+    text = "".join(f'v{i} = "aB3dE6gH9kL{i}" + v{i - 1}\n' if i else 'v0 = "x#"\n'
+                   for i in range(30_000))
+    assert len(literal(text + "pwd = v29999")) == 29_999
+
+
+def test_score_of_parts_is_that_of_the_joined_text():
+    import random
+    r = random.Random(4)
+    for _ in range(500):
+        made = [S.Value(0, ["aB3$"], [(0, 4)])]
+        joined = ["aB3$"]
+        for n in range(1, 8):
+            parts, text = [], ""
+            for _ in range(r.randint(1, 3)):
+                if r.random() < 0.5:
+                    k = r.randrange(n)
+                    parts.append(made[k])
+                    text += joined[k]
+                else:
+                    parts.append(r.choice(["a", "9", "Exam", "ple", "x" * 3, "kL!", " ", "Q" * 9, ""]))
+                    text += parts[-1]
+            made.append(S.Value(n, parts, [(n, n + 1)]))
+            joined.append(text)
+            got, want = made[-1], S.Value(0, [text], [(0, 1)])
+            assert S.literal_score(got) == S.literal_score(want), text
+            assert got.placeholder == any(p in text.lower() for p in S.PLACEHOLDERS)
+            assert +S.Counter(got.characters()) == +S.Counter(text)
+
+
 def test_redact():
     text = 'x token = "aaaabbbbccccdddd1111" y'
     assert S.redact_text(text) == 'x [secret]" y'
