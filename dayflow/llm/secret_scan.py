@@ -39,7 +39,8 @@ ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 
 OPERATOR = re.compile(r"[:=]")
 NAME_CHARS = re.compile(r"[\w.$-]")
-ANNOTATED = re.compile(r"([A-Za-z_$][\w$]*)[ \t]*:[ \t]*[\w\[\]., ]+$")
+TYPE = re.compile(r"[\w\[\]., ]+")
+TYPED_NAME = re.compile(r"[A-Za-z_$][\w$]*")
 TERM = re.compile(r"""[rbuf]?"((?:[^"\\\n]|\\.)*)"|[rbuf]?'((?:[^'\\\n]|\\.)*)'"""
                   r"""|`([^`\n]*)`|([^\s"'`,;(){}\[\]<>]+)""")
 JOIN = re.compile(r"[ \t]*\+[ \t]*")
@@ -156,8 +157,32 @@ def literal_score(value: Value) -> float:
     return max(0.0, min(1.0, score - 0.3 * (" " in counts)))
 
 
-def _target(text: str, op: int) -> str:
-    """The name that an operator at ``op`` assigns to ('' if none)."""
+def _annotated(text: str, op: int, before: int) -> str:
+    """The name of ``name: type`` in front of ``op`` ('' if none).
+
+    A type holds no operator, so its colon can only be the operator at ``before``,
+    and the stretches read for all operators of a text do not overlap.
+    """
+    if before < 0 or text[before] != ":":
+        return ""
+    between = text[before + 1:op]
+    if "\n" in between or not TYPE.fullmatch(between.rstrip().lstrip(" \t")):
+        return ""
+    end = before
+    while end and text[end - 1] in " \t":
+        end -= 1
+    i = end
+    while i and (text[i - 1] == "$" or text[i - 1] == "_" or text[i - 1].isalnum()):
+        i -= 1
+    m = TYPED_NAME.search(text, i, end)
+    return m[0] if m else ""
+
+
+def _target(text: str, op: int, before: int) -> str:
+    """The name that an operator at ``op`` assigns to ('' if none).
+
+    ``before`` is where the operator in front of it is (-1 if none).
+    """
     i = op
     while i and text[i - 1] in " \t":
         i -= 1
@@ -170,9 +195,8 @@ def _target(text: str, op: int) -> str:
     if quote and (not i or text[i - 1] != quote):
         return ""
     if text[op] == "=" and not quote:
-        line = text.rfind("\n", 0, op) + 1
-        if op - line <= 200 and (m := ANNOTATED.search(text[line:op].rstrip())):
-            return m[1]
+        if typed := _annotated(text, op, before):
+            return typed
     return name if name and (name[0].isalpha() or name[0] in "_$") else ""
 
 
@@ -195,9 +219,11 @@ def _value_start(text: str, op: int) -> int:
 def literals(text: str) -> Iterator[tuple[str, Value]]:
     """Name and propagated value, which holds the spans of the literals that make it up."""
     known: dict[str, Value] = {}
+    op = -1
     for number, m in enumerate(OPERATOR.finditer(text)):
-        i = _value_start(text, m.start())
-        if i < 0 or not (name := _target(text, m.start())):
+        before, op = op, m.start()
+        i = _value_start(text, op)
+        if i < 0 or not (name := _target(text, op, before)):
             continue
         parts, spans, sure = [], [], True
         while term := TERM.match(text, i):

@@ -74,6 +74,31 @@ def test_long_values_are_propagated():
     assert len(literal(text + "pwd = v29999")) == 29_999
 
 
+def test_annotated_targets_at_any_column():
+    for pad in ("", "x;" * 2000, "a b, c " * 2000, "y = 1; " * 2000, "p: int = 1, " * 2000):
+        for t, key in (('apiKey: string = "aB3$dE6gH9kL"', "aB3$dE6gH9kL"),
+                       ("def f(a, api_key : str  = 'Ty7#pL0qWe12')", "Ty7#pL0qWe12")):
+            assert literal(pad + t) == [key], (pad[:8], t)
+    long_type = "Dict[" + "str, " * 200 + "str]"
+    assert literal(f'api_key: {long_type} = "Ty7#pL0qWe12"') == ["Ty7#pL0qWe12"]
+    assert literal('password:\nx = "aB3$dE6gH9kL"') == []
+
+
+def test_annotated_targets_as_by_the_line():
+    import random
+    pattern = re.compile(r"([A-Za-z_$][\w$]*)[ \t]*:[ \t]*[\w\[\]., ]+$")
+    r = random.Random(5)
+    for _ in range(3000):
+        t = "".join(r.choice(["a", "9", "$", "é", ":", "=", " ", "\t", "\n", "[", ",", "(", "key"])
+                    for _ in range(r.randint(1, 14)))
+        before = -1
+        for m in S.OPERATOR.finditer(t):
+            if m[0] == "=":
+                want = pattern.search(t[t.rfind("\n", 0, m.start()) + 1:m.start()].rstrip())
+                assert S._annotated(t, m.start(), before) == (want[1] if want else ""), repr(t)
+            before = m.start()
+
+
 def test_score_of_parts_is_that_of_the_joined_text():
     import random
     r = random.Random(4)
