@@ -290,7 +290,7 @@ def scan_text(text: str) -> list[tuple[int, int, int]]:
     if added:
         base = sorted((s, e) for s, _, e in out)
         out += [(s, 3, e) for s, e in added
-                if e - s >= 4 and not any(b <= s and e <= f for b, f in base)]
+                if e > s and not any(b <= s and e <= f for b, f in base)]
     return sorted(out)
 
 

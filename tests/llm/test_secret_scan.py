@@ -69,9 +69,9 @@ def test_long_values_are_propagated():
     assert literal(text) == lines
     assert literal('a = "exam"\nb = "ple"\npwd = a + b + "B3dE6gH9kL"') == []
     assert literal('k = "aB3dE6gH9kL"\n' + "k = k + k\n" * 3000 + "pwd = k") == ["aB3dE6gH9kL"]
-    text = "".join(f'v{i} = "aB3dE6gH9kL{i}" + v{i - 1}\n' if i else 'v0 = "x#"\n'
+    text = "".join(f'v{i} = "aB3dE6gH9kL{i}" + v{i - 1}\n' if i else 'v0 = "x#yz"\n'
                    for i in range(30_000))
-    assert len(literal(text + "pwd = v29999")) == 29_999
+    assert len(literal(text + "pwd = v29999")) == 30_000
 
 
 def test_annotated_targets_at_any_column():
@@ -99,6 +99,14 @@ def test_annotated_targets_as_by_the_line():
             before = m.start()
 
 
+def test_short_parts_are_reported():
+    text = 'password = "aB3" + "dE6" + "" + "gH9" + "kL!"'
+    assert literal(text) == ["aB3", "dE6", "gH9", "kL!"]
+    assert S.redact_text(text) == ('password = "[secret]" + "[secret]" + "" + "[secret]"'
+                                   ' + "[secret]"')
+    assert literal('a = "x"\npwd = a + "B3$dE6gH9kL"') == ["x", "B3$dE6gH9kL"]
+
+
 def test_score_of_parts_is_that_of_the_joined_text():
     import random
     r = random.Random(4)
