@@ -119,7 +119,8 @@ def schedule(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epoch
     """``(plan, sources)`` for a written table ``sized(rid, key, size, id, tie)``.
 
     ``plan`` has one row for each stretch of a document inside a scheduled block:
-    ``rid``, ``slot``, ``block``, first ``word`` and number of ``words``.
+    ``rid``, ``slot``, ``block``, ``begin`` (place among the source's taken words), first
+    ``word`` and number of ``words``.
     """
     rows, total = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     src = materialize(targets(sized, weights, max_epochs), "mix-sources")
@@ -140,7 +141,8 @@ def schedule(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epoch
         .withColumn("begin", F.greatest("lo", F.col("block") * block_tokens))
         .withColumn("words", F.least("hi", (F.col("block") + 1) * block_tokens)
                     - F.col("begin"))
-        .select("key", "rid", "block", (F.col("begin") - F.col("lo")).alias("word"), "words"))
+        .select("key", "rid", "block", "begin", (F.col("begin") - F.col("lo")).alias("word"),
+                "words"))
     slots = _slots(src, math.ceil(total / block_tokens) if total else 0, block_tokens)
     return pieces.join(slots, ["key", "block"]), src
 
@@ -168,6 +170,22 @@ def mix(df: DataFrame, text_col: str = "text", source_col: str = "source",
                     F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken")))
 
 
+def mix_stream(df: DataFrame, text_col: str = "text", source_col: str = "source",
+               id_col: str = "doc_id", weights: tuple[float, ...] = (5, 2, 1),
+               max_epochs: int = 3, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """The mix in its order: rows ``(slot, key, block, begin, id_col, word, words)``.
+
+    Each row is a stretch of ``words`` words of a document from its word ``word`` on.
+    Sorted by ``slot, key, begin`` (``begin``: the stretch's place among the words
+    taken of its source), the rows read as the mix.
+    """
+    rid = F.monotonically_increasing_id().alias("rid")
+    sized = materialize(df.select(rid, *_sized(df, text_col, source_col, id_col)), "mix-sizes")
+    plan, _ = schedule(sized, weights, max_epochs, block_tokens)
+    return plan.join(sized.select("rid", "id"), "rid").select(
+        "slot", "key", "block", "begin", F.col("id").alias(id_col), "word", "words")
+
+
 def resample(df: DataFrame, text_col: str = "text", source_col: str = "source",
              id_col: str = "doc_id", weights: tuple[float, ...] = (5, 2, 1),
              max_epochs: int = 3) -> DataFrame:

@@ -100,3 +100,21 @@ def test_resample(spark):
     taken = {r.doc_id: r.taken / r["size"] for r in mixing.mix(df).collect()}
     assert all(abs(copies.get(k, 0) - v) <= 0.5 for k, v in taken.items())
     assert max(copies.values()) <= 3
+
+
+def test_stream_is_the_mix_in_schedule_order(spark):
+    rows = [(k, "a" if k % 4 else "b", "w " * (1 + k % 7)) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixing.mix_stream(df, weights=(1, 1), block_tokens=20)
+    got = sorted(out.collect(), key=lambda r: (r.slot, r.key, r.begin))
+    taken = {r.doc_id: r.taken for r in mixing.mix(df, weights=(1, 1), block_tokens=20).collect()}
+    words, ends, met = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in got:
+        assert r.begin == ends[r.key] and r.block == r.begin // 20      # each source in its order
+        assert 0 <= r.word and r.word + r.words <= len(rows[r.doc_id][2].split())
+        ends[r.key] += r.words
+        words[r.doc_id] += r.words
+        met[r.key] += r.words
+        if sum(met.values()) > 200 and r.slot < max(ends.values()) // 20:
+            assert abs(met["0a"] / sum(met.values()) - 0.5) < 0.1       # evenly mixed all along
+    assert all(words[k] == v for k, v in taken.items())
