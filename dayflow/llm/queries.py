@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dayflow.llm import (
     bpe, chat, mixing, quality_rules, rule_ensemble, secret_scan, simhash, topk, toxicity,
-    url_filter,
+    url_filter, whitening,
 )
 from dayflow.llm.common import crc_fold
 from dayflow.sources.tables import load
@@ -231,3 +231,16 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = docs.select("doc_id", toxicity.score(spark, F.col("text"), model).alias("score"))
     return scored.select("doc_id", held_out(), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    rows, model, error = whitening.whiten(vectors, components=16)
+    explained = F.array(*map(F.lit, model.explained)) if model.n else F.array()
+    return (rows.select("vec_id", F.col("whitening.deviation").cast("bigint").alias("deviation"),
+                        F.posexplode("whitening.values").alias("at", "whitened"))
+            .select("vec_id", (F.col("at") + 1).cast("int").alias("component"),
+                    F.lit(model.n).cast("bigint").alias("n"), "deviation", "whitened",
+                    F.get(explained.cast("array<double>"), F.col("at")).alias("explained"),
+                    F.lit(error).alias("identity_error")))
