@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayflow.llm import (
-    bpe, chat, mixing, quality_rules, rule_ensemble, secret_scan, simhash, topk, toxicity,
+    bpe, chat, mixing, pii, quality_rules, rule_ensemble, secret_scan, simhash, topk, toxicity,
     url_filter, whitening,
 )
 from dayflow.llm.common import crc_fold
@@ -233,6 +233,19 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query()
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pii.fit(docs)
+    found = docs.select("doc_id", pii.spans(F.col("text"), model).alias("found"))
+    count = lambda kind: F.size(F.filter(
+        "found", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(k) for k in pii.BASE_KINDS],
+        F.sha2(pii.spans_text(F.col("found"), pii.BASE_KINDS), 256).alias("base_sha256"),
+        pii.spans_text(F.col("found")).alias("spans"))
+
+
 @query()
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
