@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayflow.llm import (
-    bpe, chat, mixing, pii, quality_rules, rule_ensemble, secret_scan, simhash, topk, toxicity,
-    url_filter, whitening,
+    bpe, chat, mixing, pii, prefix_trie, quality_rules, rule_ensemble, secret_scan, simhash, topk,
+    toxicity, url_filter, whitening,
 )
 from dayflow.llm.common import crc_fold
+from dayflow.session import materialize
 from dayflow.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,6 +234,55 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+# Checked by definition: every prefix as a list of turns, ancestors by cutting it.
+OP11_SQL = r"""
+WITH own AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crc AS (
+  SELECT c, t, c - c % 20 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+      lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) % 4 AS h FROM own),
+built AS (
+  SELECT a.c, list_concat(coalesce(b.t, [])[1:a.h], a.t[a.h + 1:]) AS t
+  FROM crc a LEFT JOIN own b ON b.c = a.base),
+member AS (SELECT c, t, unnest(range(len(t) + 1)) AS d FROM built),
+node AS (
+  SELECT t[1:d] AS p, d, count(*) AS n, min(c) AS c,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(t) = d), '')) AS ends
+  FROM member GROUP BY 1, 2),
+child AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS k FROM node WHERE d > 0 GROUP BY 1, 2),
+w AS (
+  SELECT node.*, coalesce(k, 0) AS k, CASE WHEN node.d = 0 THEN 0 ELSE (n - 1) * len(list_filter(
+    regexp_split_to_array(node.p[node.d].t, '[ 	-]+'), lambda x: x <> '')) END AS s
+  FROM node LEFT JOIN child ON child.p = node.p AND child.d = node.d),
+below AS (SELECT p, k, s, unnest(range(d + 1)) AS a FROM w),
+total AS (
+  SELECT p[1:a] AS p, a AS d, count(*) FILTER (k = 0) AS leaves, sum(s) AS saved
+  FROM below GROUP BY 1, 2)
+SELECT w.c AS conv_id, w.d AS depth, up.c AS parent_conv_id, w.n AS n_convs, w.k AS n_children,
+  total.leaves AS n_leaves, total.saved::BIGINT AS saved_tokens, w.ends AS ends_sha256
+FROM w JOIN total ON total.p = w.p AND total.d = w.d
+  LEFT JOIN node up ON up.d = w.d - 1 AND up.p = w.p[1:w.d - 1]
+"""
+
+
+@query(OP11_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = materialize(prefix_trie.turn_arrays(turns), "op11-turns")
+    base = own.filter("conv % 20 = 0").select(
+        F.col("conv").alias("base"), F.slice("turns", 1, 3).alias("head"))
+    h = (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).cast("int")
+    head = F.coalesce("head", F.array())
+    rebuilt = (own.join(base, F.col("conv") - F.col("conv") % 20 == F.col("base"), "left")
+               .select("conv", F.concat(F.slice(head, F.lit(1), h), F.slice(
+                   "turns", h + 1, F.greatest(F.size("turns"), F.lit(1)))).alias("turns")))
+    return prefix_trie.expand(prefix_trie.build(spark, rebuilt))
+
+
 @query()
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
