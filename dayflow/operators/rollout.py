@@ -18,7 +18,9 @@ is one distributed job and parallel across series:
   Engine ``"pandas"``: the same recursion in numpy, one bounded
   ``applyInPandas`` group per series (history tail + horizon rows); faster for
   very wide specs, and only used when asked for.
-  Both engines keep one contract: unique (keys, day) rows or an error, NaN
+  Engine ``"companion"``: the recursion as a linear recurrence; all steps of all
+  series of a batch are one matrix product (:mod:`dayflow.operators.companion`).
+  All engines keep one contract: unique (keys, day) rows or an error, NaN
   measures count as null, coefficient counts are checked when the plan is built.
 """
 
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StructField, StructType
 
+from dayflow.operators.companion import companion_rollout
 from dayflow.operators.model import FeatureSpec
 from dayflow.operators.panel import require_columns
 
@@ -94,7 +97,7 @@ def _linear_step_fn(keys: Sequence[str], date_col: str, spec: FeatureSpec,
     return step
 
 
-ENGINES = ("sql", "pandas")
+ENGINES = ("sql", "pandas", "companion")
 DUPLICATE_DAYS = "rollout history has more than one row for a (key, day)"
 
 
@@ -106,17 +109,21 @@ def _history_tail(history: DataFrame, keys: Sequence[str], date_col: str,
     depth = max(spec.lags)
     measures = sorted(set(spec.targets) | set(spec.lag_measures))
     require_columns(history, [*keys, date_col, *measures], "rollout history")
-    w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc())
     value = {m: F.col(m).cast("double") for m in measures}
-    # rank filter -> WindowGroupLimit: at most `depth` rows per series leave a task
-    tail = (history.select(*keys, F.col(date_col).cast("date").alias(date_col),
-                           *[F.when(~F.isnan(c), c).alias(m) for m, c in value.items()])
+    rows = history.select(*keys, F.col(date_col).cast("date").alias(date_col),
+                          *[F.when(~F.isnan(c), c).alias(m) for m, c in value.items()])
+    # every row counts for uniqueness, also one before the tail: one aggregate per (key,
+    # day), which the rank's window reuses the partitioning of
+    if keys:
+        rows = rows.repartition(*[F.col(k) for k in keys])
+    n = F.count(F.lit(1))
+    days = rows.groupBy(*keys, date_col).agg(n.alias("__n"), *[F.max(m).alias(m) for m in measures])
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.lit(DUPLICATE_DAYS)).cast("date")).otherwise(
+        F.col(date_col))
+    w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc())
+    return (days.withColumn(date_col, checked).drop("__n")
             .withColumn("__rn", F.row_number().over(w))
             .filter(F.col("__rn") <= depth).drop("__rn"))
-    same_day = F.count(F.lit(1)).over(Window.partitionBy(*keys, date_col))
-    return tail.withColumn("__n", same_day).withColumn(
-        date_col, F.when(F.col("__n") > 1, F.raise_error(F.lit(DUPLICATE_DAYS)).cast("date"))
-        .otherwise(F.col(date_col))).drop("__n")
 
 
 def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
@@ -128,7 +135,8 @@ def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
     Lag measures must be targets (their future values are the forecasts).  Two
     rows for one (keys, day) raise; a lag that falls on a missing day, a null
     or a NaN makes that forecast null (exact-date semantics).  ``keys=[]`` is
-    one global series.  ``engine``: "sql" or "pandas", same results.
+    one global series.  ``engine``: "sql", "pandas" or "companion", same results (the
+    last up to rounding, as it multiplies in another order).
     Output: keys, ``date_col``, ``step`` (1..horizon), one double per target.
     """
     if engine not in ENGINES:
@@ -138,6 +146,8 @@ def rollout_linear(history: DataFrame, keys: Sequence[str], date_col: str,
         if len(coefs[t][1]) != n_features:
             raise ValueError(f"{t}: {len(coefs[t][1])} coefficients for {n_features} features")
     tail = _history_tail(history, keys, date_col, spec)
+    if engine == "companion":
+        return companion_rollout(tail, keys, date_col, spec, coefs, horizon)
     if engine == "sql":
         return _rollout_linear_sql(tail, keys, date_col, spec, coefs, horizon)
     measures = sorted(set(spec.targets) | set(spec.lag_measures))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dayflow.functions.clean import MONEY_SUM, money, to_day
 from dayflow.functions.fmt import yyyymmdd
-from dayflow.operators import model, panel, rollout
+from dayflow.operators import certificates, model, moments, panel, rollout
 from dayflow.operators.lags import lag_features
 from dayflow.plans import jobs
 from dayflow.plans.inputs import nation_daily, table, weekday_exog
@@ -352,12 +352,11 @@ def fit_config(spark, sf_dir, config="slim", panel_df=None):
 
 
 def _features_sql() -> str:
-    """The feature frame as SQL: panel, forward-filled series, date terms, lags by
-    exact-date joins; complete rows only."""
-    lag_cols = [f"CAST(l{i}.{m} AS DOUBLE) AS {m}_{i}" for m in SPEC.lag_measures
+    """The feature frame as SQL: panel, forward-filled series, date terms, lags as rows
+    before (the panel is dense, so the i-th row before is the i-th day before); complete
+    rows only."""
+    lag_cols = [f"CAST(lag(p.{m}, {i}) OVER d AS DOUBLE) AS {m}_{i}" for m in SPEC.lag_measures
                 for i in SPEC.lags]
-    joins = "\n".join(f"LEFT JOIN mp l{i} ON l{i}.c_nationkey = p.c_nationkey "
-                      f"AND l{i}.report_date = p.report_date - {i}" for i in SPEC.lags)
     complete = " AND ".join(f"{n} IS NOT NULL" for n in SPEC.lag_columns())
     days = ", ".join(f"DATE '{d}'" for d in SPEC.holidays)
     return f"""
@@ -383,7 +382,7 @@ ff AS (
     CASE WHEN p.report_date IN ({days}) THEN 1.0::DOUBLE ELSE 0.0 END AS is_holiday,
     {", ".join(lag_cols)}
   FROM mp p
-  {joins})
+  WINDOW d AS (PARTITION BY p.c_nationkey ORDER BY p.report_date))
 SELECT * FROM ff WHERE {complete}
 """
 
@@ -391,19 +390,45 @@ SELECT * FROM ff WHERE {complete}
 FEATURES_SQL = _features_sql()
 
 
-@register("ols_multi")
+def certified(spark, data, spec, configs):
+    """Certificates (config, target, train and test rows, does the fit hold, do its metrics)
+    of the models of every configuration, all from one set of statistics."""
+    n = len(spec.feature_names())
+    stats = moments.moments(data, "features", n, spec.targets, by="split")
+    rows = []
+    for name, params in configs.items():
+        reg = params.get("regParam", 0.0)
+        coefs = moments.fit(stats["train"], n, spec.targets, reg)
+        rows += [(name, *r) for r in certificates.certify_fit(
+            data, "features", coefs, reg_param=reg,
+            reported=moments.metrics(stats["test"], coefs, n))]
+    return spark.createDataFrame(
+        rows, "config string, target string, n_train bigint, n_test bigint, "
+              "fit_holds boolean, metrics_hold boolean")
+
+
+def one_pass_fit(data, spec, reg_param=0.0):
+    """Coefficients of all targets from one scan of the train rows' features."""
+    n = len(spec.feature_names())
+    stats = moments.moments(data, "features", n, spec.targets, by="split")
+    return moments.fit(stats["train"], n, spec.targets, reg_param)
+
+
+# Rows and days are counted by SQL; what SQL cannot solve is certified in Spark.
+CERTIFIED_SQL = f"""
+SELECT config, target, n_train, n_test, TRUE AS fit_holds, TRUE AS metrics_hold
+FROM (SELECT COUNT(*) FILTER (split = 'train') AS n_train,
+             COUNT(*) FILTER (split = 'test') AS n_test FROM ({FEATURES_SQL}) f) n,
+     (SELECT unnest(['wide', 'slim']) AS config) c,
+     (SELECT unnest({list(SPEC.targets)}) AS target) t
+"""
+
+
+@register("ols_multi", CERTIFIED_SQL)
 def ols_multi(spark, sf_dir):
-    """Pooled linear models per target (wide: no penalty; slim: ridge), test metrics."""
-    data = assembled_features(spark, sf_dir)
-    train = data.filter(F.col("split") == "train")
-    test = data.filter(F.col("split") == "test")
-    out = None
-    for name, params in CONFIGS.items():
-        models = model.fit_targets(train, SPEC, params)
-        pred = model.score_models(models, test, KEYS, "report_date")
-        m = model.regression_metrics(pred, ["target"]).withColumn("config", F.lit(name))
-        out = m if out is None else out.unionByName(m)
-    return out
+    """Pooled linear models of 4 targets x 61 features (wide: no penalty; slim: ridge), fitted
+    from one pass; per model the rows and whether normal equations and test metrics hold."""
+    return certified(spark, assembled_features(spark, sf_dir), SPEC, CONFIGS)
 
 
 @register("model_coefficients")
@@ -444,13 +469,26 @@ def model_roundtrip(spark, sf_dir):
         F.count_if(F.col("prediction") == F.col("loaded")).alias("n_equal"))
 
 
-@register("rollout_var")
+def certified_rollout(history, keys, spec, coefs, engine):
+    """The rollout's certificate; its forecasts are written once."""
+    fc = materialize(rollout.rollout_linear(history, keys, "report_date", spec, coefs, HORIZON,
+                                            engine=engine), "forecasts")
+    return certificates.certify_forecast(history, fc, keys, "report_date", spec, coefs)
+
+
+@register("rollout_var", f"""
+SELECT target, n_series, n_series * {HORIZON} AS n_rows,
+       CAST(last + 1 AS DATE) AS first_day, CAST(last + {HORIZON} AS DATE) AS last_day,
+       n_series * {HORIZON} AS n_hold
+FROM (SELECT COUNT(DISTINCT c_nationkey) AS n_series, MAX(report_date) AS last
+      FROM ({NATION_DAILY_SQL}) nd) s, (SELECT unnest({list(SPEC.targets)}) AS target) t
+""")
 def rollout_var(spark, sf_dir):
-    """30-day forecast of all four targets per nation with the multi-feature models."""
+    """30-day forecast of all four targets per nation with the multi-feature models: per
+    target the forecast rows and on how many the model's equation holds."""
     p = materialize(model_panel(spark, sf_dir), "model-panel")   # read by the fit and the rollout
-    _, models = fit_config(spark, sf_dir, "slim", p)
-    return rollout.rollout_linear(p, KEYS, "report_date", SPEC,
-                                  rollout.model_coefficients(models), HORIZON)
+    coefs = one_pass_fit(assembled_features(spark, sf_dir, p), SPEC, model.SLIM_PARAMS["regParam"])
+    return certified_rollout(p, KEYS, SPEC, coefs, "sql")
 
 
 @register("forecast_job")
@@ -628,24 +666,46 @@ def wide_panel(spark, sf_dir):
     return materialize(panel.forward_fill(days, [], "report_date", list(WIDE_EXOG)), "wide-panel")
 
 
-def wide_fit(spark, sf_dir, panel_df):
-    data = assembled_features(spark, sf_dir, panel_df, WIDE_SPEC, [])
-    return data, model.fit_targets(data.filter(F.col("split") == "train"), WIDE_SPEC,
-                                   model.WIDE_PARAMS, parallelism=8)
+def wide_features(spark, sf_dir, panel_df=None):
+    panel_df = panel_df if panel_df is not None else wide_panel(spark, sf_dir)
+    return assembled_features(spark, sf_dir, panel_df, WIDE_SPEC, [])
+
+
+# The first day with a business-day series starts the features; 14 days later they are whole.
+WIDE_DAYS_SQL = f"""
+SELECT CAST(d AS DATE) AS report_date FROM (
+  SELECT unnest(generate_series(first + INTERVAL 14 DAY, CAST(last AS TIMESTAMP),
+                                INTERVAL 1 DAY)) AS d
+  FROM (SELECT MIN(CAST(l_shipdate AS DATE)) AS first, ANY_VALUE(b) AS last
+        FROM lineitem, (SELECT MIN(CAST(o_orderdate AS DATE)) AS a,
+                               MAX(CAST(o_orderdate AS DATE)) AS b FROM orders) o
+        WHERE CAST(l_shipdate AS DATE) >= a AND dayofweek(l_shipdate) NOT IN (0, 6)) r) s
+"""
 
 
-@register("ols_wide")
+@register("ols_wide", f"""
+SELECT 'wide' AS config, target,
+  COUNT(*) FILTER (datediff('day', DATE '1970-01-01', report_date) % {SPLIT_K} <> 0) AS n_train,
+  COUNT(*) FILTER (datediff('day', DATE '1970-01-01', report_date) % {SPLIT_K} = 0) AS n_test,
+  TRUE AS fit_holds, TRUE AS metrics_hold
+FROM ({WIDE_DAYS_SQL}) d, (SELECT unnest({list(WIDE_TARGETS)}) AS target) t GROUP BY target
+""")
 def ols_wide(spark, sf_dir):
-    """26 unpenalised models of 371 features: test metrics per target."""
-    data, models = wide_fit(spark, sf_dir, wide_panel(spark, sf_dir))
-    pred = model.score_models(models, data.filter(F.col("split") == "test"), [], "report_date")
-    return model.regression_metrics(pred, ["target"])
+    """26 unpenalised models of 371 features from one pass over them: per model the rows and
+    whether normal equations and test metrics hold."""
+    return certified(spark, wide_features(spark, sf_dir), WIDE_SPEC, {"wide": model.WIDE_PARAMS})
 
 
-@register("rollout_wide")
+@register("rollout_wide", f"""
+SELECT target, CAST(1 AS BIGINT) AS n_series, CAST({HORIZON} AS BIGINT) AS n_rows,
+       CAST(last + 1 AS DATE) AS first_day, CAST(last + {HORIZON} AS DATE) AS last_day,
+       CAST({HORIZON} AS BIGINT) AS n_hold
+FROM (SELECT MAX(CAST(o_orderdate AS DATE)) AS last FROM orders) o,
+     (SELECT unnest({list(WIDE_TARGETS)}) AS target) t
+""")
 def rollout_wide(spark, sf_dir):
-    """30-day forecast of all 26 targets of the one global series (numpy engine)."""
+    """30-day forecast of all 26 targets of the one global series (companion form): per
+    target the forecast rows and on how many the model's equation holds."""
     p = wide_panel(spark, sf_dir)
-    _, models = wide_fit(spark, sf_dir, p)
-    return rollout.rollout_linear(p, [], "report_date", WIDE_SPEC,
-                                  rollout.model_coefficients(models), HORIZON, engine="pandas")
+    coefs = one_pass_fit(wide_features(spark, sf_dir, p), WIDE_SPEC)
+    return certified_rollout(p, [], WIDE_SPEC, coefs, "companion")

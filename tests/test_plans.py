@@ -116,6 +116,10 @@ def test_facts_are_scanned_once(spark):
 
 
 def test_feature_frame_is_scanned_once_per_model_set(spark):
-    opt = _optimized(QUERIES["ols_multi"](spark, SF001))
-    assert opt.count("Relation [") == 2          # one per configuration
-    assert _optimized(QUERIES["ols_wide"](spark, SF001)).count("Relation [") == 1
+    from dayflow.operators import moments
+    from dayflow.plans import model_queries as q
+    for spec, data in ((q.SPEC, q.assembled_features(spark, SF001)),
+                       (q.WIDE_SPEC, q.wide_features(spark, SF001))):
+        n = len(spec.feature_names())
+        states = moments.state_rows(data, "features", n, spec.targets, "split")
+        assert _optimized(states).count("Relation [") == 1

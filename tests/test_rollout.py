@@ -47,7 +47,7 @@ def _brute_force(hist_rows, spec, coefs, horizon):
     return out
 
 
-@pytest.mark.parametrize("engine", ["sql", "pandas"])
+@pytest.mark.parametrize("engine", ["sql", "pandas", "companion"])
 @pytest.mark.parametrize("n_days", [20, 33])
 def test_rollout_linear_matches_day_by_day_loop(spark, n_days, engine):
     spec = model.FeatureSpec(targets=("p", "r"), lag_measures=("p", "r"), lags=(1, 2, 7))
@@ -81,13 +81,15 @@ def test_rollout_linear_requires_lag_measures_as_targets(spark):
         rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [0.0] * 9)}, 3)
 
 
-def test_rollout_linear_sql_null_when_lag_missing(spark):
+@pytest.mark.parametrize("engine", ["sql", "pandas", "companion"])
+def test_null_when_lag_missing(spark, engine):
     # a gap inside the lag window makes the first forecasts null (exact-date lags)
     spec = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=(1, 3), calendar=(),
                              trend=None)
     rows = [(1, D(2014, 8, 1), 1.0), (1, D(2014, 8, 3), 2.0)]      # Aug 2 missing
     df = spark.createDataFrame(rows, "k int, d date, p double")
-    out = rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [1.0, 1.0])}, 3)
+    out = rollout.rollout_linear(df, ["k"], "d", spec, {"p": (0.0, [1.0, 1.0])}, 3,
+                                 engine=engine)
     got = [r["p"] for r in out.orderBy("d").collect()]
     # Aug 4 reads Aug 3 and Aug 1 -> 3.0; Aug 5 reads Aug 4 and Aug 2 (missing) -> null
     assert got[0] == 3.0 and got[1] is None
@@ -105,7 +107,7 @@ def test_engine_is_chosen_by_argument_only(spark):
         plan({"engine": "auto"})
 
 
-ENGINES = ["sql", "pandas"]
+ENGINES = ["sql", "pandas", "companion"]
 
 
 def _wide():
@@ -122,10 +124,12 @@ def _wide():
 def test_wide_spec_of_one_global_series(spark):
     spec, targets, coefs, rows = _wide()
     df = spark.createDataFrame(rows, "d date, " + ", ".join(f"{t} double" for t in targets))
-    sql, pandas = ([tuple(r) for r in rollout.rollout_linear(
+    sql, *others = ([tuple(r) for r in rollout.rollout_linear(
         df, [], "d", spec, coefs, 3, engine=e).orderBy("d").collect()] for e in ENGINES)
-    assert len(sql) == 3 and [r[:2] for r in sql] == [r[:2] for r in pandas]
-    assert np.allclose([r[2:] for r in sql], [r[2:] for r in pandas])
+    assert len(sql) == 3
+    for other in others:
+        assert [r[:2] for r in sql] == [r[:2] for r in other]
+        assert np.allclose([r[2:] for r in sql], [r[2:] for r in other])
 
 
 @pytest.mark.parametrize("engine", ENGINES)
@@ -155,3 +159,53 @@ def test_nan_counts_as_null(spark, engine):
     assert [r.p for r in got.orderBy("d").collect()] == [None, None]
     assert rollout.rollout_linear(df.filter("false").drop("k"), [], "d", spec,
                                   {"p": (0.0, [1.0, 1.0])}, 2, engine=engine).count() == 0
+
+
+@pytest.mark.parametrize("engine", ENGINES)
+@pytest.mark.parametrize("day", [5, 3, 0])      # the last day, the cut of the tail, before it
+def test_a_second_row_for_any_day_raises(spark, engine, day):
+    spec = model.FeatureSpec(targets=("p",), lag_measures=("p",), lags=(1, 2, 3), calendar=(),
+                             trend=None)
+    days = [(D(2014, 1, 1) + dt.timedelta(days=i), float(i)) for i in range(6)]
+    rows = [(k, *d) for k in (1, 2) for d in days]
+    coefs = {"p": (0.0, [1.0, 0.5, 0.25])}
+    ok = spark.createDataFrame(rows, "k int, d date, p double")
+    assert rollout.rollout_linear(ok, ["k"], "d", spec, coefs, 2, engine=engine).count() == 4
+    twice = spark.createDataFrame([*rows, (2, days[day][0], 99.0)], "k int, d date, p double")
+    with pytest.raises(Exception, match="more than one row"):
+        rollout.rollout_linear(twice, ["k"], "d", spec, coefs, 2, engine=engine).collect()
+
+
+def test_companion_form_equals_the_loop_on_both_shapes(spark):
+    """26 x 371 of one series and 4 x 61 of many, 30 days, series of several ends and gaps."""
+    from dayflow.plans.model_queries import SPEC
+    wide, targets, coefs, rows = _wide()
+    hist = [(d, dict(zip(targets, v))) for d, *v in rows]
+    df = spark.createDataFrame(rows, "d date, " + ", ".join(f"{t} double" for t in targets))
+    got = rollout.rollout_linear(df, [], "d", wide, coefs, 30, engine="companion").orderBy("d")
+    want = _brute_force(hist, wide, coefs, 30)
+    for r, (d, p) in zip(got.collect(), want, strict=True):
+        assert r.d == d and np.allclose([r[t] for t in targets], [p[t] for t in targets],
+                                        rtol=1e-8, atol=1e-8)
+    rng = np.random.default_rng(8)
+    slim = {t: (float(rng.normal()), list(rng.normal(scale=0.03, size=61))) for t in SPEC.targets}
+    rows = [(k, D(2014, 1, 1) + dt.timedelta(days=i), *map(float, rng.normal(size=4)))
+            for k in range(6) for i in range(20 + k) if (k, i) != (5, 21)]
+    df = spark.createDataFrame(rows, "k int, d date, " + ", ".join(
+        f"{t} double" for t in SPEC.targets))
+    sql, fast = ({(r.k, r.step): r for r in rollout.rollout_linear(
+        df, ["k"], "d", SPEC, slim, 30, engine=e).collect()} for e in ("sql", "companion"))
+    assert sql.keys() == fast.keys() and any(r[3] is None for r in sql.values())
+    for at, r in sql.items():
+        for a, b in zip(r[1:], fast[at][1:]):
+            assert a == b if not isinstance(a, float) else a == pytest.approx(b, rel=1e-8, abs=1e-9)
+
+
+def test_powers_are_the_companion_matrixs():
+    from dayflow.operators import companion
+    rng = np.random.default_rng(2)
+    lags = rng.normal(size=(4, 3, 3)) * 0.3
+    c = np.zeros((12, 12))
+    c[:3], c[3:, :-3] = np.hstack(list(lags)), np.eye(9)
+    for h, rows in enumerate(companion.powers(lags, 6)):
+        assert np.allclose(rows, np.linalg.matrix_power(c, h)[:3])
