@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 
 from dayflow.operators.lags import lag_features
-from dayflow.operators.model import FeatureSpec
+from dayflow.operators.model import PACKED, FeatureSpec, pack, packed_features
 from dayflow.operators.moments import Coefficients, as_array, matrix
 
 TOLERANCE = 1e-7            # of a fit: correlation of residuals and features
@@ -135,8 +135,8 @@ def certify_forecast(history: DataFrame, forecasts: DataFrame, keys: Sequence[st
     end = F.max(F.when(~F.col("__ahead"), F.col(date_col))).over(Window.partitionBy(*keys))
     near = both.withColumn("__end", end).filter(
         F.col("__ahead") | (F.col(date_col) > F.date_sub("__end", max(spec.lags)))).drop("__end")
-    rows = (lag_features(near, keys, date_col, spec.lag_measures, spec.lags)
-            .filter("__ahead").withColumns(spec.date_terms(date_col)))
+    near = near.withColumn(PACKED, pack(spec, {m: F.col(m) for m in spec.lag_measures}))
+    rows = lag_features(near, keys, date_col, [PACKED], spec.lags).filter("__ahead")
     beta = np.array([coefs[t][1] for t in targets], float).T
     intercepts = np.array([coefs[t][0] for t in targets], float)
 
@@ -155,10 +155,9 @@ def certify_forecast(history: DataFrame, forecasts: DataFrame, keys: Sequence[st
                 [*batch.columns[:len(keys) + 1], pa.array(ok.tolist(), pa.list_(pa.bool_()))],
                 [*keys, date_col, "__ok"])
 
-    x = F.array(*[F.col(n).cast("double") for n in spec.feature_names()])
     schema = StructType([*[rows.schema[c] for c in (*keys, date_col)],
                          StructField("__ok", ArrayType(BooleanType()))])
-    held = (rows.select(*keys, date_col, x.alias("__x"), F.array(*targets).alias("__y"))
+    held = (rows.select(*keys, date_col, packed_features(spec, date_col).alias("__x"), F.array(*targets).alias("__y"))
             .mapInArrow(run, schema))
     one = F.struct(*keys) if keys else F.lit(1)
     names = F.array(*map(F.lit, targets))

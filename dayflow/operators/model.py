@@ -78,6 +78,46 @@ def feature_frame(panel: DataFrame, keys: Sequence[str], date_col: str,
     return lagged.withColumns(spec.date_terms(date_col))
 
 
+def feature_arrays(panel: DataFrame, keys: Sequence[str], date_col: str,
+                   spec: FeatureSpec) -> DataFrame:
+    """Complete rows as keys, date, targets (doubles) and ``features``, one array.
+
+    The values and order of :func:`feature_frame` and :func:`assemble`, built from one
+    array of measures a lag instead of a column a feature: the plan does not grow with the
+    number of measures.
+    """
+    measures = sorted(set(spec.targets) | set(spec.lag_measures))
+    missing = [c for c in [*keys, date_col, *measures] if c not in panel.columns]
+    if missing:
+        raise ValueError(f"feature_arrays: unknown columns {missing}")
+    value = {m: F.col(m).cast("double") for m in measures}
+    typed = panel.select(*keys, date_col, *[value[t].alias(t) for t in spec.targets],
+                         pack(spec, value).alias(PACKED))
+    lagged = lag_features(typed, keys, date_col, [PACKED], spec.lags)
+    out = lagged.select(*keys, date_col, *spec.targets,
+                        packed_features(spec, date_col).alias("features"))
+    return out.filter(~F.exists("features", lambda v: v.isNull() | F.isnan(v)))
+
+
+PACKED = "__measures"
+
+
+def pack(spec: FeatureSpec, value: Mapping[str, Column]) -> Column:
+    """The lag measures as one array."""
+    return F.array(*[value[m] for m in spec.lag_measures]).cast("array<double>")
+
+
+def packed_features(spec: FeatureSpec, date_col: str) -> Column:
+    """The feature array from the date and the lags of the packed measures."""
+    terms = spec.date_terms(date_col)
+    head = F.array(*[terms[n] for n in spec.feature_names()[:len(terms)]]).cast("array<double>")
+    if not spec.lag_measures:
+        return head
+    return F.concat(head, F.flatten(F.transform(
+        F.sequence(F.lit(0), F.lit(len(spec.lag_measures) - 1)),
+        lambda k: F.array(*[F.get(F.col(lag_name(PACKED, i)), k) for i in spec.lags]))))
+
+
 def complete_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Rows where every feature is present (the first max(lag) days of a series drop)."""
     conds = [F.col(c).isNotNull() for c in spec.feature_names()] or [F.lit(True)]

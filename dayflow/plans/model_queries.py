@@ -345,6 +345,12 @@ def assembled_features(spark, sf_dir, panel_df=None, spec=SPEC, keys=KEYS):
     return materialize(out, "features")
 
 
+def packed_features(panel_df, spec, keys):
+    """The same rows as :func:`assembled_features` with the features as one array."""
+    ff = model.feature_arrays(panel_df, keys, "report_date", spec)
+    return materialize(model.split_mod(ff, "report_date", SPLIT_K), "features")
+
+
 def fit_config(spark, sf_dir, config="slim", panel_df=None):
     data = assembled_features(spark, sf_dir, panel_df)
     models = model.fit_targets(data.filter(F.col("split") == "train"), SPEC, CONFIGS[config])
@@ -428,7 +434,7 @@ FROM (SELECT COUNT(*) FILTER (split = 'train') AS n_train,
 def ols_multi(spark, sf_dir):
     """Pooled linear models of 4 targets x 61 features (wide: no penalty; slim: ridge), fitted
     from one pass; per model the rows and whether normal equations and test metrics hold."""
-    return certified(spark, assembled_features(spark, sf_dir), SPEC, CONFIGS)
+    return certified(spark, packed_features(model_panel(spark, sf_dir), SPEC, KEYS), SPEC, CONFIGS)
 
 
 @register("model_coefficients")
@@ -487,7 +493,7 @@ def rollout_var(spark, sf_dir):
     """30-day forecast of all four targets per nation with the multi-feature models: per
     target the forecast rows and on how many the model's equation holds."""
     p = materialize(model_panel(spark, sf_dir), "model-panel")   # read by the fit and the rollout
-    coefs = one_pass_fit(assembled_features(spark, sf_dir, p), SPEC, model.SLIM_PARAMS["regParam"])
+    coefs = one_pass_fit(packed_features(p, SPEC, KEYS), SPEC, model.SLIM_PARAMS["regParam"])
     return certified_rollout(p, KEYS, SPEC, coefs, "sql")
 
 
@@ -655,9 +661,13 @@ def wide_panel(spark, sf_dir):
     value = {"quantity": "l_quantity", "price": "l_extendedprice", "discount": "l_discount",
              "tax": "l_tax"}
     part = {f: F.col("l_returnflag") == f.upper() for f in "anr"} | {"f": F.col("l_linestatus") == "F"}
-    lines = li.groupBy(to_day("l_shipdate").alias("report_date")).agg(*[
-        F.sum(F.when(cond, money(c)).otherwise(0)).cast(MONEY_SUM).alias(f"{m}_{f}")
-        for f, cond in part.items() for m, c in value.items()])
+    # each line is added once, to its day and flags; a day's 16 measures are then sums of a
+    # few rows
+    flags = li.groupBy(to_day("l_shipdate").alias("report_date"), "l_returnflag", "l_linestatus") \
+        .agg(*[F.sum(money(c)).cast(MONEY_SUM).alias(m) for m, c in value.items()])
+    lines = flags.groupBy("report_date").agg(*[
+        F.sum(F.when(cond, F.col(m)).otherwise(0)).cast(MONEY_SUM).alias(f"{m}_{f}")
+        for f, cond in part.items() for m in value])
     orders = materialize(orders, "wide-orders")
     days = panel.dense_panel(orders, [], "report_date", panel.day_range(orders, "report_date"),
                              {c: 0 for c in WIDE_ORDERS})
@@ -668,7 +678,7 @@ def wide_panel(spark, sf_dir):
 
 def wide_features(spark, sf_dir, panel_df=None):
     panel_df = panel_df if panel_df is not None else wide_panel(spark, sf_dir)
-    return assembled_features(spark, sf_dir, panel_df, WIDE_SPEC, [])
+    return packed_features(panel_df, WIDE_SPEC, [])
 
 
 # The first day with a business-day series starts the features; 14 days later they are whole.

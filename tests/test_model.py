@@ -161,3 +161,14 @@ def test_all_models_score_in_one_scan(spark, tmp_path):
         want = {r.d: (r[t], r.prediction) for r in models[t].transform(data).collect()}
         got = {r.d: (r.label, r.prediction) for r in out.filter(out.target == t).collect()}
         assert got == want
+
+
+def test_feature_arrays_equal_the_assembled_vectors(spark):
+    from conftest import SF001
+    from dayflow.plans import model_queries as q
+    p = q.materialize(q.model_panel(spark, SF001), "panel")
+    wide = {(r.c_nationkey, r.report_date): (r.split, r.features.toArray().tolist(), r.purchase)
+            for r in q.assembled_features(spark, SF001, p).collect()}
+    packed = {(r.c_nationkey, r.report_date): (r.split, r.features, r.purchase)
+              for r in q.packed_features(p, q.SPEC, q.KEYS).collect()}
+    assert wide == packed

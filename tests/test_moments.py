@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -108,14 +109,16 @@ def test_reference_shapes_equal_spark_ml(spark):
             (q.SPEC, q.assembled_features(spark, SF001), 0.1),
             (q.WIDE_SPEC, q.wide_features(spark, SF001), 0.0)):
         n = len(spec.feature_names())
-        train = data.filter("split = 'train'")
+        as_vector = data.withColumn("features", array_to_vector(
+            moments.as_array(data, "features")))
+        train = as_vector.filter("split = 'train'")
         opt = moments.state_rows(data, "features", n, spec.targets, "split")
         assert opt._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
         coefs = q.one_pass_fit(data, spec, reg)
         some = spec.targets[:4]
         models = model.fit_targets(train, spec.__class__(**{**spec.__dict__, "targets": some}),
                                    {"regParam": reg, "maxIter": 80, "tol": 1e-9})
-        test = data.filter("split = 'test'").limit(200).collect()
+        test = as_vector.filter("split = 'test'").limit(200).collect()
         x = np.array([r.features.toArray() for r in test])
         for t in some:
             want = x @ models[t].coefficients.toArray() + models[t].intercept
