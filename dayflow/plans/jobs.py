@@ -45,7 +45,7 @@ def train_job(panel_df: DataFrame, keys: Sequence[str], date_col: str,
                        .select(*keys, date_col, "split", "features", *spec.targets),
                        "train-features")
     models = model.fit_targets(data.filter(F.col("split") == "train"), spec, params)
-    save_models(models, models_dir)
+    save_models(models, models_dir, terms=spec.feature_names())
     pred = model.score_models(models, data.filter(F.col("split") == "test"), keys, date_col)
     return models, model.regression_metrics(pred, ["target"])
 
