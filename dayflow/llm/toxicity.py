@@ -7,9 +7,11 @@ layers read every window of ``WINDOW`` words in both directions, attention pools
 their states, and a logistic unit scores the window.  Windows overlap by half
 and cover the whole text; a document's score is that of its worst window.
 
+A word of more than ``LONG_WORD`` characters (texts without white space, joined words)
+is cut into overlapping pieces that are words of their own, so windows cover it too.
+
 Everything is numpy.  Fitting uses a bounded sample of labelled documents
-(``FIT_DOCS`` per label, of at most ``FIT_CHARS`` characters each, by hash
-order); scoring reads whole texts.
+(``FIT_DOCS`` per label, by hash order, of any length); scoring reads whole texts.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from dayflow.llm.common import crc_fold, stretches
 
-FIT_DOCS, FIT_CHARS = 2000, 20_000
+FIT_DOCS = 2000
 HELD_OUT_FOLD, FOLDS = 1, 3
 WINDOW, STRIDE = 32, 16
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
@@ -38,7 +40,8 @@ ROUNDS, PASSES, BATCH, RATE = 4, 3, 128, 0.01
 WINDOWS_AT_ONCE = 4096
 CACHED_WORDS = 1 << 18
 COPY = 0.8                 # Jaccard similarity from which documents of one label are copies
-EDGE = re.compile(r"^\W+|\W+$")
+LONG_WORD, PIECE = 48, 16  # pieces overlap by half
+WORD_CHAR = re.compile(r"\w")
 F32 = np.float32
 
 
@@ -48,7 +51,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def plain(word: str) -> str:
     """A word in lower case without leading and trailing marks."""
-    return EDGE.sub("", word.lower())
+    word = word.lower()
+    first = WORD_CHAR.search(word)
+    if not first:
+        return ""
+    end = len(word)
+    while not (word[end - 1].isalnum() or word[end - 1] == "_"):
+        end -= 1
+    return word[first.start():end]
+
+
+def words_in(text: str) -> list[str]:
+    """Words of a text; long ones as their overlapping pieces."""
+    out = text.split()
+    if len(text) <= LONG_WORD or not any(len(w) > LONG_WORD for w in out):
+        return out
+    return [p for w in out for p in ([w] if len(w) <= LONG_WORD else [
+        w[i:i + PIECE] for i in range(0, len(w) - PIECE // 2, PIECE // 2)])]
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -315,7 +334,7 @@ def _initial(words: dict[str, int], odds: np.ndarray, seed: int) -> Model:
 def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     """Train on labelled texts, one of each group of near copies of a label; without
     both labels, the model is a constant."""
-    docs = [[plain(w) for w in t.split()] for t in texts]
+    docs = [[plain(w) for w in words_in(t)] for t in texts]
     chosen = []
     for label in sorted(set(labels)):
         own = [k for k, v in enumerate(labels) if v == label]
@@ -425,17 +444,16 @@ def fit_texts(texts: list[str], labels: list[int], seed: int = 11) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id",
         text_col: str = "text", fit_docs: int = FIT_DOCS) -> Model:
-    """Fit on at most ``fit_docs`` documents per label outside the held-out fold."""
+    """Fit on at most ``fit_docs`` whole documents per label outside the held-out fold."""
     rows: list[tuple[str, int]] = []
-    short = docs.select(F.col(id_col), F.col(text_col).alias("_text")) \
-                .filter(F.length("_text") <= FIT_CHARS)
+    texts = docs.select(F.col(id_col), F.col(text_col).alias("_text")).filter("_text is not null")
     usable = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .filter(crc_fold(F.col(id_col), FOLDS) != HELD_OUT_FOLD))
     for label in (0, 1):
         order = [F.xxhash64(id_col), F.col(id_col)]
         chosen = (usable.filter(F.col(label_col) == label).select(id_col)
                   .orderBy(*order).limit(fit_docs))
-        got = (short.join(F.broadcast(chosen), id_col)
+        got = (texts.join(F.broadcast(chosen), id_col)
                .orderBy(*order, F.xxhash64("_text")).limit(fit_docs).select("_text").collect())
         rows += [(r["_text"], label) for r in got]
     return fit_texts([t for t, _ in rows], [v for _, v in rows])
@@ -451,6 +469,6 @@ def score(spark: SparkSession, text: Column, model: Model) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         for texts in stretches(batches, 1 << 20):
-            yield pa.array(m.text_scores([(t or "").split() for t in texts]), pa.float64())
+            yield pa.array(m.text_scores([words_in(t or "") for t in texts]), pa.float64())
 
     return F.arrow_udf(run, "double")(text)

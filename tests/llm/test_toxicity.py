@@ -156,3 +156,37 @@ def test_held_out_labels_are_not_used(spark):
     flip = F.when(T.crc_fold(F.col("doc_id")) == 1, 1 - F.col("toxic")).otherwise(F.col("toxic"))
     a, b = T.fit(docs, labels, "toxic"), T.fit(docs, labels.withColumn("toxic", flip), "toxic")
     assert a.words == b.words and all((a.p[k] == b.p[k]).all() for k in a.p)
+
+
+def test_marks_around_words_are_cut_in_linear_time():
+    import re
+    import time
+    began = time.monotonic()
+    assert T.plain("a" + "-" * 1_000_000 + "b") == "a" + "-" * 1_000_000 + "b"
+    assert T.plain("-" * 1_000_000) == ""
+    assert time.monotonic() - began < 1
+    edge = re.compile(r"^\W+|\W+$")
+    for word in ("", "a", "--a--", "_x_", "«Été»!", "a-b", "…", "1.", "ß,", "-é"):
+        assert T.plain(word) == edge.sub("", word.lower())
+
+
+def test_long_words_become_pieces_that_windows_cover():
+    assert T.words_in("a b") == ["a", "b"]
+    whole = "".join(chr(0x4E00 + i) for i in range(500))
+    pieces = T.words_in(f"x {whole} y")
+    assert pieces[0] == "x" and pieces[-1] == "y" and len(pieces) > 32
+    covered = "".join(p[:T.PIECE // 2] for p in pieces[1:-1])
+    assert whole.startswith(covered[:480]) and pieces[-2].endswith(whole[-1])
+    assert all(a[T.PIECE // 2:] == b[:T.PIECE // 2]
+               for a, b in zip(pieces[1:-2], pieces[2:-2]))
+
+
+def test_long_documents_are_fitted_and_found():
+    filler = " ".join(f"wort{i % 50}" for i in range(6000))
+    bad = [f"{filler} {' '.join(['grubnik'] * 4)} wort{i}" for i in range(12)]
+    good = [f"{filler} wort{i} anders{i}" for i in range(12)]
+    m = T.fit_texts(good + bad, [0] * 12 + [1] * 12)
+    assert min(len(t) for t in bad) > 20_000
+    fresh = [f"anders {filler} grubnik grubnik grubnik", f"anders {filler} mehr"]
+    s = m.text_scores([T.words_in(t) for t in fresh])
+    assert s[0] > s[1]
