@@ -17,8 +17,11 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter, deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import accumulate, count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -44,7 +47,7 @@ TYPED_NAME = re.compile(r"[A-Za-z_$][\w$]*")
 TERM = re.compile(r"""[rbuf]?"((?:[^"\\\n]|\\.)*)"|[rbuf]?'((?:[^'\\\n]|\\.)*)'"""
                   r"""|`([^`\n]*)`|([^\s"'`,;(){}\[\]<>]+)""")
 JOIN = re.compile(r"[ \t]*\+[ \t]*")
-PLAIN_NAME = re.compile(r"\$?\{?([A-Za-z_][\w.]*)\}?$")
+PLAIN_NAME = re.compile(r"\$?\{?([A-Za-z_][\w.]*)\}?")
 INSIDE = re.compile(r"\$\{([A-Za-z_]\w*)\}")
 NAME_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 COUNTS_KEPT = 64           # character counts of scored values that later ones may start from
@@ -59,31 +62,101 @@ DESCRIBES = {"count", "length", "limit", "max", "min", "num", "type", "name", "u
              "file", "field", "expiry", "ttl", "size", "label"}
 PLACEHOLDERS = ("example", "changeme", "change_me", "your", "xxxx", "placeholder", "dummy",
                 "redacted", "****", "todo", "<", "none", "null", "true", "false")
+PLACEHOLDER = re.compile("(?=(" + "|".join(map(re.escape, PLACEHOLDERS)) + "))",
+                         re.IGNORECASE | re.ASCII)
 EDGE = max(map(len, PLACEHOLDERS)) - 1
 SCORED_LENGTH = 8
 THRESHOLD = 0.75
 
 
+class Source:
+    """A text and what is asked about its stretches, each found once for the whole text."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self._starts: list[int] | None = None
+        self._ends: list[int] = []
+        self._run, self._at = (-1, -1), -1
+        self._counts: Counter[str] = Counter()
+        self._alike: Counter[int] = Counter()       # how many characters occur so often
+        self._kinds = [0] * 6
+
+    def has_placeholder(self, start: int, end: int) -> bool:
+        """Whether a placeholder lies inside the stretch."""
+        if self._starts is None:
+            found = [m.span(1) for m in PLACEHOLDER.finditer(self.text)]
+            self._starts = [s for s, _ in found]
+            ends = [e for _, e in found]
+            for i in range(len(ends) - 2, -1, -1):  # the earliest end from here on
+                ends[i] = min(ends[i], ends[i + 1])
+            self._ends = ends
+        k = bisect_left(self._starts, start)
+        return k < len(self._ends) and self._ends[k] <= end
+
+    def _add(self, start: int, end: int, sign: int) -> None:
+        for c, k in Counter(self.text[start:end]).items():
+            old = self._counts[c]
+            new = old + sign * k
+            self._counts[c] = new
+            for n, by in ((old, -1), (new, 1)):
+                if n:
+                    self._alike[n] += by
+                    if not self._alike[n]:
+                        del self._alike[n]
+            if not old or not new:
+                for i, held in enumerate(_kinds_of(c)):
+                    self._kinds[i] += sign * held
+
+    def look(self, start: int, end: int) -> Look:
+        """Form of a stretch.  Stretches asked for in turn that share their end, such as the
+        values of ``a=b&a=b&...``, only take away what lies between their starts."""
+        if end != self._run[1] or start < self._at:
+            self._counts, self._alike, self._kinds = Counter(), Counter(), [0] * 6
+            self._add(start, end, 1)
+        else:
+            self._add(self._at, start, -1)
+        self._run, self._at = (start, end), start
+        return Look(end - start, dict(self._alike), [k > 0 for k in self._kinds])
+
+
+def _kinds_of(c: str) -> tuple[bool, ...]:
+    """Digit, letter, not lower, not upper, sign, blank."""
+    return (c.isdigit(), c.isalpha(), c != c.lower(), c != c.upper(),
+            not c.isalnum() and not c.isspace(), c == " ")
+
+
+@dataclass
+class Look:
+    """What a value's score reads: length, how many characters occur how often, kinds."""
+
+    length: int
+    alike: dict[int, int]
+    kinds: list[bool]
+
+
 class Value:
-    """A value as its parts, literal texts and earlier values, in text order.
+    """A value as its parts in text order: stretches of the text and earlier values.
 
     The text itself is never joined: a value made of others links to them, so all
-    values of a text together take memory in proportion to its literals.
+    values of a text together take memory in proportion to their number.
     """
 
-    __slots__ = ("number", "parts", "spans", "length", "head", "tail", "placeholder", "counts",
-                 "reported")
+    __slots__ = ("number", "source", "parts", "spans", "length", "head", "tail", "placeholder",
+                 "counts", "reported")
 
-    def __init__(self, number: int, parts: list[str | Value], spans: list[tuple[int, int]]):
-        self.number, self.parts, self.spans = number, parts, spans   # parts have lower numbers
+    def __init__(self, number: int, source: Source, parts: list[tuple[int, int] | Value],
+                 spans: list[tuple[int, int]]):
+        self.number, self.source = number, source
+        self.parts, self.spans = parts, spans        # parts have lower numbers
         self.counts: dict[str, int] | None = None
         self.reported = False
         self.length, self.head, self.tail, self.placeholder = 0, "", "", False
+        text = source.text
         for part in parts:
-            if isinstance(part, str):
-                low = part.lower()
-                length, head, tail = len(part), low[:EDGE], low[-EDGE:]
-                has = any(p in low for p in PLACEHOLDERS)
+            if isinstance(part, tuple):
+                s, e = part
+                length, head = e - s, text[s:min(e, s + EDGE)].lower()[:EDGE]
+                tail, has = text[max(s, e - EDGE):e].lower()[-EDGE:], source.has_placeholder(s, e)
             else:
                 length, head, tail, has = part.length, part.head, part.tail, part.placeholder
             seam = self.tail + head
@@ -110,8 +183,8 @@ class Value:
                     out[c] += n * k
                 continue
             for part in v.parts:
-                if isinstance(part, str):
-                    for c, k in Counter(part).items():
+                if isinstance(part, tuple):
+                    for c, k in Counter(v.source.text[part[0]:part[1]]).items():
                         out[c] += n * k
                 elif part.number in times:
                     times[part.number] += n
@@ -120,6 +193,14 @@ class Value:
                     heapq.heappush(heap, (-part.number, part))
         return out
 
+    def look(self) -> Look:
+        if len(self.parts) == 1 and isinstance(self.parts[0], tuple):
+            return self.source.look(*self.parts[0])
+        counts = self.characters()
+        kinds = [_kinds_of(c) for c in counts]
+        return Look(sum(counts.values()), dict(Counter(counts.values())),
+                    [any(k) for k in zip(*kinds)])
+
     def report(self, found: set[tuple[int, int]]) -> None:
         """Add the spans of all literals to ``found``, each value's once a text."""
         todo = [self]
@@ -128,7 +209,7 @@ class Value:
             if not v.reported:
                 v.reported = True
                 found.update(v.spans)
-                todo += [part for part in v.parts if not isinstance(part, str)]
+                todo += [part for part in v.parts if not isinstance(part, tuple)]
 
 
 def name_score(name: str) -> float:
@@ -145,16 +226,14 @@ def literal_score(value: Value) -> float:
     """0 to 1: how much a literal looks like a secret by length, mix and entropy."""
     if not value.may_score:
         return 0.0
-    counts = value.characters()
-    n = sum(counts.values())
-    entropy = -sum(p * math.log2(p) for c in counts.values() if (p := c / n))
-    digit = any(c.isdigit() for c in counts)
-    alpha = any(c.isalpha() for c in counts)
-    mixed = any(c != c.lower() for c in counts) and any(c != c.upper() for c in counts)
-    sign = any(not c.isalnum() and not c.isspace() for c in counts)
+    look = value.look()
+    n = look.length
+    entropy = -sum(m * (c / n) * math.log2(c / n) for c, m in look.alike.items())
+    digit, alpha, upper, lower, sign, blank = look.kinds
+    mixed = upper and lower
     score = (0.3 + 0.25 * (entropy >= 3.0) + 0.3 * (digit and alpha) + 0.1 * mixed
              + 0.1 * sign)
-    return max(0.0, min(1.0, score - 0.3 * (" " in counts)))
+    return max(0.0, min(1.0, score - 0.3 * blank))
 
 
 def _annotated(text: str, op: int, before: int) -> str:
@@ -216,46 +295,136 @@ def _value_start(text: str, op: int) -> int:
     return i
 
 
-def literals(text: str) -> Iterator[tuple[str, Value]]:
-    """Name and propagated value, which holds the spans of the literals that make it up."""
-    known: dict[str, Value] = {}
+class Terms:
+    """Terms of a text by where they start; a bare run is read once for all starts in it."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.low = self.high = -1
+        self._after: dict[int, int] = {}
+        self._later: dict[int, tuple | None] = {}
+
+    def first(self, start: int) -> tuple[int, int, int, int] | None:
+        """Group, span and end of the term at ``start``."""
+        # inside a bare run, and not at its last character (which may begin ``b"..."``)
+        if self.low <= start < self.high - 1:
+            return 4, start, self.high, self.high
+        found = self._read(start)
+        if found and found[0] == 4:
+            self.low, self.high = start, found[3]
+        return found
+
+    def _read(self, start: int) -> tuple[int, int, int, int] | None:
+        m = TERM.match(self.text, start)
+        return (m.lastindex, *m.span(m.lastindex), m.end()) if m else None
+
+    def later(self, start: int) -> tuple[int, int, int, int] | None:
+        """The same of a term behind a plus."""
+        if start not in self._later:
+            self._later[start] = self._read(start)
+        return self._later[start]
+
+    def after(self, end: int) -> int:
+        """Where the term joined by a plus behind ``end`` starts, -1 if there is none."""
+        if end not in self._after:
+            m = JOIN.match(self.text, end)
+            self._after[end] = m.end() if m else -1
+        return self._after[end]
+
+
+def literals(text: str) -> Iterator[tuple[str, Callable[[], Value]]]:
+    """Name and propagated value, which holds the spans of the literals that make it up.
+
+    A value of one stretch alone is made when it is asked for; until then it is the stretch.
+    """
+    source, terms = Source(text), Terms(text)
+    known: dict[str, Value | tuple[int, int]] = {}
+    numbers = count()                       # a value is made after its parts
+
+    def made(value: Value | tuple[int, int]) -> Value:
+        if isinstance(value, Value):
+            return value
+        return Value(next(numbers), source, [value], [value])
+
+    def held(name: str) -> Value:
+        known[name] = made(known[name])
+        return known[name]
+
+    tails: dict[int, Value | None] = {}
+
+    def tail(start: int) -> Value | None:
+        """The value of a term behind a plus and all behind it, shared by the values that end
+        in it; None if one of them is or holds a name, which may mean different values."""
+        walk = []
+        while start not in tails:
+            found = terms.later(start)
+            if not found:                   # a plus with nothing behind it ends the value
+                start = -1
+                break
+            group, s, e, end = found
+            if PLAIN_NAME.fullmatch(text, s, e) if group == 4 else INSIDE.search(text, s, e):
+                tails[start] = None
+                break
+            walk.append((start, s, e))
+            then = terms.after(end)
+            if then < 0:
+                start = -1
+                break
+            start = then
+        rest = tails[start] if start >= 0 else None
+        for at, s, e in reversed(walk):
+            if start >= 0 and rest is None:
+                tails[at] = None
+            else:
+                rest = Value(next(numbers), source, [(s, e), *([rest] if rest else ())], [(s, e)])
+                tails[at] = rest
+        return tails[walk[0][0]] if walk else rest
+
     op = -1
-    for number, m in enumerate(OPERATOR.finditer(text)):
+    for m in OPERATOR.finditer(text):
         before, op = op, m.start()
         i = _value_start(text, op)
         if i < 0 or not (name := _target(text, op, before)):
             continue
         parts, spans, sure = [], [], True
-        while term := TERM.match(text, i):
-            group = term.lastindex
-            raw, span = term[group], term.span(group)
-            ref = PLAIN_NAME.match(raw) if group == 4 else None
+        term = terms.first(i)
+        while term:
+            group, s, e, end = term
+            then = terms.after(end)
+            ref = PLAIN_NAME.fullmatch(text, s, e) if group == 4 else None
             if ref and ref[1] in known:
-                parts.append(known[ref[1]])
-            elif ref and (raw.startswith("$") or JOIN.match(text, term.end())):
+                parts.append(held(ref[1]))
+            elif ref and (text[s] == "$" or then >= 0):
                 sure = False                # a name of unknown value
             else:
-                spans.append(span)
-                at = 0
-                for inner in INSIDE.finditer(raw):
+                spans.append((s, e))
+                at = s
+                for inner in INSIDE.finditer(text, s, e) if group != 4 else ():
                     if inner[1] in known:
-                        parts += [raw[at:inner.start()], known[inner[1]]]
+                        parts += [(at, inner.start()), held(inner[1])]
                         at = inner.end()
-                parts.append(raw[at:])
-            joined = JOIN.match(text, term.end())
-            if not joined:
+                parts.append((at, e))
+            if then < 0:
+                break
+            if shared := tail(then):
+                parts.append(shared)
                 break
-            i = joined.end()
+            term = terms.later(then)
         if not parts:
             known.pop(name, None)
             continue
-        alone = len(parts) == 1 and not spans
-        value = parts[0] if alone else Value(number, parts, spans)
+        if len(parts) == 1 and not spans:
+            value = parts[0]
+        elif len(parts) == 1 and spans == parts:
+            value = spans[0]
+        else:
+            value = Value(next(numbers), source, parts, spans)
         if sure:
             known[name] = value
+            yield name, lambda name=name: held(name)
         else:
             known.pop(name, None)
-        yield name, value
+            yield name, lambda value=value: made(value)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -276,10 +445,11 @@ def scan_text(text: str) -> list[tuple[int, int, int]]:
     out = base_spans(text)
     added: set[tuple[int, int]] = set()
     kept: deque[Value] = deque()
-    for name, value in literals(text):
+    for name, get in literals(text):
         weight = name_score(name)
         if not weight:
             continue
+        value = get()
         if value.may_score and value.counts is None and len(value.parts) > 1:
             value.counts = value.characters()
             kept.append(value)
@@ -289,8 +459,10 @@ def scan_text(text: str) -> list[tuple[int, int, int]]:
             value.report(added)
     if added:
         base = sorted((s, e) for s, _, e in out)
-        out += [(s, 3, e) for s, e in added
-                if e > s and not any(b <= s and e <= f for b, f in base)]
+        starts = [s for s, _ in base]
+        furthest = list(accumulate((e for _, e in base), max))
+        covered = lambda s, e: (k := bisect_right(starts, s)) and furthest[k - 1] >= e
+        out += [(s, 3, e) for s, e in added if e > s and not covered(s, e)]
     return sorted(out)
 
 

@@ -111,7 +111,11 @@ def test_score_of_parts_is_that_of_the_joined_text():
     import random
     r = random.Random(4)
     for _ in range(500):
-        made = [S.Value(0, ["aB3$"], [(0, 4)])]
+        pool = ["aB3$", "a", "9", "Exam", "ple", "x" * 3, "kL!", " ", "Q" * 9, ""]
+        source, where = S.Source("|".join(pool)), {}
+        for piece in pool:
+            where[piece] = (at := len("|".join(pool[:len(where)])) + bool(where), at + len(piece))
+        made = [S.Value(0, source, [where["aB3$"]], [(0, 4)])]
         joined = ["aB3$"]
         for n in range(1, 8):
             parts, text = [], ""
@@ -121,16 +125,43 @@ def test_score_of_parts_is_that_of_the_joined_text():
                     parts.append(made[k])
                     text += joined[k]
                 else:
-                    parts.append(r.choice(["a", "9", "Exam", "ple", "x" * 3, "kL!", " ", "Q" * 9, ""]))
-                    text += parts[-1]
-            made.append(S.Value(n, parts, [(n, n + 1)]))
+                    piece = r.choice(pool)
+                    parts.append(where[piece])
+                    text += piece
+            made.append(S.Value(n, source, parts, [(n, n + 1)]))
             joined.append(text)
-            got, want = made[-1], S.Value(0, [text], [(0, 1)])
+            alone = S.Source(text)
+            got, want = made[-1], S.Value(0, alone, [(0, len(text))], [(0, 1)])
             assert S.literal_score(got) == S.literal_score(want), text
             assert got.placeholder == any(p in text.lower() for p in S.PLACEHOLDERS)
             assert +S.Counter(got.characters()) == +S.Counter(text)
 
 
+def test_stretches_that_share_their_end_are_counted_once():
+    import random
+    r = random.Random(6)
+    text = "".join(r.choice("aAbB19 $-é") for _ in range(300))
+    source = S.Source(text)
+    for _ in range(200):
+        s, e = sorted(r.sample(range(301), 2))
+        starts = sorted([s, *r.choices(range(s, e), k=5)])
+        for at in starts:
+            got, want = source.look(at, e), S.Source(text).look(at, e)
+            assert got == want and got.length == e - at
+            assert got.alike == dict(S.Counter(S.Counter(text[at:e]).values()))
+
+
+def test_long_texts_take_linear_time():
+    import time
+    for text in ("a=b&" * 250_000, "".join(f"n{i}=b{i}&" for i in range(80_000)),
+                 "".join(f"password=bAx9Q{i}tZ&" for i in range(20_000)), "a=x + " * 20_000,
+                 'a="x" + ' * 20_000, "a=b&" * 1000 + " " * 500_000, 'a="' * 100_000,
+                 'password = "abc1$%defG"\n' * 10_000):
+        began = time.monotonic()
+        S.scan_text(text)
+        assert time.monotonic() - began < 10, text[:40]
+
+
 def test_redact():
     text = 'x token = "aaaabbbbccccdddd1111" y'
     assert S.redact_text(text) == 'x [secret]" y'
