@@ -98,7 +98,7 @@ def stats(text: Column) -> Column:
         return [
             long(F.size(words), "n_words"),
             long(F.length(F.array_join(words, "")), "word_chars"),
-            long(F.size(F.filter(words, lambda w: w.isin(*ALL_STOP_WORDS))),
+            long(F.size(F.filter(words, lambda w: F.lower(w).isin(*ALL_STOP_WORDS))),
                  "n_stop_words"),
             long(repeated_words(words), "n_repeat_words"),
         ]

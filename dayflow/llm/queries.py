@@ -177,7 +177,7 @@ s AS (SELECT doc_id, len(w)::BIGINT AS n_words,
   (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
   coalesce(n, 0)::BIGINT AS n_repeat_words,
   length(text) - length(replace(text, '!', '')) AS shouts,
-  len(list_filter(w, lambda x: list_contains([{stop}], x))) AS stops, len(l) AS lines,
+  len(list_filter(w, lambda x: list_contains([{stop}], lower(x)))) AS stops, len(l) AS lines,
   len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[ 	-
 ]*$'))) AS dots,
   len(list_filter(l, lambda x: regexp_matches(x, '^[ 	-
@@ -256,7 +256,8 @@ node AS (
 child AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS k FROM node WHERE d > 0 GROUP BY 1, 2),
 w AS (
   SELECT node.*, coalesce(k, 0) AS k, CASE WHEN node.d = 0 THEN 0 ELSE (n - 1) * len(list_filter(
-    regexp_split_to_array(node.p[node.d].t, '[ 	-]+'), lambda x: x <> '')) END AS s
+    regexp_split_to_array(node.p[node.d].t, '[ 	-
+]+'), lambda x: x <> '')) END AS s
   FROM node LEFT JOIN child ON child.p = node.p AND child.d = node.d),
 below AS (SELECT p, k, s, unnest(range(d + 1)) AS a FROM w),
 total AS (

@@ -72,3 +72,12 @@ def test_clean_documents_stay(spark):
         .filter(~F.col("base_failed")).collect()
     assert all(r.kept for r in rows if r.quality == 1)
     assert not any(r.kept for r in rows if r.quality == 0)
+
+
+def test_stop_words_count_in_any_case(spark):
+    from dayflow.llm import quality_rules
+    text = " ".join(f"the w{i}a of x{i}b and" for i in range(30))
+    df = spark.createDataFrame([(1, text), (2, text.upper())], "doc_id long, text string")
+    a, b = quality_rules.judge(df).orderBy("doc_id").collect()
+    assert a.quality_rules.n_stop_words == b.quality_rules.n_stop_words == 90
+    assert a.quality_rules.kept and b.quality_rules.kept
