@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ASCII white space: space and the range tab .. carriage return.
@@ -29,6 +29,14 @@ def words_of(text: Column) -> Column:
                .otherwise(F.split(t, f"[{SPACE}]+")))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of that name."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def crc_fold(key: Column, folds: int = 3) -> Column:
     """crc32 of the key as text, modulo ``folds`` (null keys: fold of the empty text)."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayflow.llm.common import words_of
+from dayflow.llm.common import fresh, words_of
 from dayflow.session import materialize
 
 GOLDEN = (math.sqrt(5) - 1) / 2
@@ -119,8 +119,8 @@ def schedule(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epoch
     """``(plan, sources)`` for a written table ``sized(rid, key, size, id, tie)``.
 
     ``plan`` has one row for each stretch of a document inside a scheduled block:
-    ``rid``, ``slot``, ``block``, ``begin`` (place among the source's taken words), first
-    ``word`` and number of ``words``.
+    ``rid``, ``epoch``, ``slot``, ``block``, ``begin`` (place among the source's taken
+    words), first ``word`` and number of ``words``.
     """
     rows, total = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     src = materialize(targets(sized, weights, max_epochs), "mix-sources")
@@ -141,8 +141,8 @@ def schedule(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epoch
         .withColumn("begin", F.greatest("lo", F.col("block") * block_tokens))
         .withColumn("words", F.least("hi", (F.col("block") + 1) * block_tokens)
                     - F.col("begin"))
-        .select("key", "rid", "block", "begin", (F.col("begin") - F.col("lo")).alias("word"),
-                "words"))
+        .select("key", "rid", "epoch", "block", "begin",
+                (F.col("begin") - F.col("lo")).alias("word"), "words"))
     slots = _slots(src, math.ceil(total / block_tokens) if total else 0, block_tokens)
     return pieces.join(slots, ["key", "block"]), src
 
@@ -156,18 +156,24 @@ def _sized(df: DataFrame, text_col: str, source_col: str, id_col: str) -> list[C
 def mix(df: DataFrame, text_col: str = "text", source_col: str = "source",
         id_col: str = "doc_id", weights: tuple[float, ...] = (5, 2, 1), max_epochs: int = 3,
         block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """One row ``(id_col, size, source_size, target, taken)`` per row of ``df``.
+    """One row ``(id_col, size, source_size, target, taken, first_slot, n_slots)`` per row.
 
+    ``first_slot`` is the document's earliest slot of the schedule (null if it is not
+    taken), ``n_slots`` the number of its slots: sorted by first slot, documents come in
+    the order of the mix.
     Null and empty texts have size 0 and are never taken; a null source is a
     source of its own; repeated rows are rows of their own.  Reruns agree.
     """
     rid = F.monotonically_increasing_id().alias("rid")
     sized = materialize(df.select(rid, *_sized(df, text_col, source_col, id_col)), "mix-sizes")
     plan, src = schedule(sized, weights, max_epochs, block_tokens)
-    taken = plan.groupBy("rid").agg(F.sum("words").alias("taken"))
+    taken = plan.groupBy("rid").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"),
+                                    F.count(F.lit(1)).alias("n_slots"))
+    none = F.lit(0).cast("bigint")
     return (sized.join(taken, "rid", "left").join(src, "key")
             .select(F.col("id").alias(id_col), "size", "source_size", "target",
-                    F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken")))
+                    F.coalesce("taken", none).alias("taken"), "first_slot",
+                    F.coalesce("n_slots", none).alias("n_slots")))
 
 
 def mix_stream(df: DataFrame, text_col: str = "text", source_col: str = "source",
@@ -189,13 +195,15 @@ def mix_stream(df: DataFrame, text_col: str = "text", source_col: str = "source"
 def resample(df: DataFrame, text_col: str = "text", source_col: str = "source",
              id_col: str = "doc_id", weights: tuple[float, ...] = (5, 2, 1),
              max_epochs: int = 3) -> DataFrame:
-    """Rows of ``df`` as often as the mix takes them, whole documents each time.
+    """Rows of ``df`` as often as the mix takes them, whole documents each time, sorted by slot.
 
     A copy stands for every epoch of which the mix takes at least half of the
     document's words (only the document at a source's target is ever taken in
-    part).  All columns are kept.
+    part), at the first slot of that epoch.  All columns are kept; written files are
+    stretches of the mix, in its order by file name.
     """
-    cols, rid, size, tie = df.columns, "_mix_row", "_mix_size", "_mix_tie"
+    cols = df.columns
+    rid, size, tie, slot = (fresh(df, f"_mix_{n}") for n in ("row", "size", "tie", "slot"))
     staged = materialize(
         df.withColumn(size, text_size(F.col(text_col)))
         .withColumn(tie, F.xxhash64(F.col(text_col)))
@@ -204,11 +212,8 @@ def resample(df: DataFrame, text_col: str = "text", source_col: str = "source",
                           _key(F.col(source_col)).alias("key"), F.col(size).alias("size"),
                           F.col(tie).alias("tie"))
     plan, _ = schedule(sized, weights, max_epochs)
-    copies = (plan.groupBy("rid").agg(F.sum("words").alias("taken")).join(
-        sized.select("rid", "size"), "rid")
-        .select(F.col("rid").alias(rid),
-                F.round(F.col("taken") / F.col("size")).cast("int").alias("_mix_copies"))
-        .filter("_mix_copies > 0"))
-    return (staged.join(copies, rid)
-            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-            .select(*cols))
+    copies = (plan.groupBy("rid", "epoch").agg(F.sum("words").alias("taken"),
+                                               F.min("slot").alias("slot"))
+              .join(sized.select("rid", "size"), "rid").filter("2 * taken >= size")
+              .select(F.col("rid").alias(rid), F.col("slot").alias(slot)))
+    return staged.join(copies, rid).orderBy(slot, rid).select(*cols)

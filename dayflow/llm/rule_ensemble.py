@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayflow.llm.common import crc_fold, let, words_of
+from dayflow.llm.common import crc_fold, fresh, let, words_of
 
 FIT_ROWS = 20_000
 HELD_OUT_FOLD, FOLDS = 1, 3
@@ -201,6 +201,6 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
 def score(docs: DataFrame, model: Ensemble, text_col: str = "text",
           out: str = "quality_score") -> DataFrame:
     """``docs`` with column ``out``; null and empty texts are scored as empty texts."""
-    stats = "_rule_statistics"
+    stats = fresh(docs, "_rule_statistics")
     return (docs.withColumn(stats, statistics(F.col(text_col)))
             .withColumn(out, model.score(F.col(stats))).drop(stats))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayflow.llm.common import stretches
+from dayflow.llm.common import fresh, stretches
 from dayflow.session import materialize
 
 N_BYTES = 8
@@ -270,7 +270,7 @@ def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     row number fixed when the fingerprinted table is written.
     """
     cols = df.columns
-    fp, rid = "_simhash_fp", "_simhash_row"
+    fp, rid = fresh(df, "_simhash_fp"), fresh(df, "_simhash_row")
     staged = materialize(df.withColumn(fp, fingerprint(F.col(text_col), shingle_words))
                          .withColumn(rid, F.monotonically_increasing_id()), "simhash-rows")
     narrow = staged.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"),

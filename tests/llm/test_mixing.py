@@ -118,3 +118,57 @@ def test_stream_is_the_mix_in_schedule_order(spark):
         if sum(met.values()) > 200 and r.slot < max(ends.values()) // 20:
             assert abs(met["0a"] / sum(met.values()) - 0.5) < 0.1       # evenly mixed all along
     assert all(words[k] == v for k, v in taken.items())
+
+
+def test_schedule_orders_the_mix(spark):
+    """Documents by first slot: every prefix holds the sources near their target shares."""
+    rows = [(i, "abc"[i % 3], " ".join(["w"] * 40)) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(df, weights=(5, 2, 1), block_tokens=80).collect()
+    target = {rows[r.doc_id][1]: r.target for r in got}
+    total = sum(target.values())
+    taken = sorted((r for r in got if r.taken), key=lambda r: (r.first_slot, r.doc_id))
+    seen, whole = defaultdict(int), 0
+    for r in taken:
+        assert r.n_slots >= 1 and r.first_slot >= 0
+        seen[rows[r.doc_id][1]] += r.taken
+        whole += r.taken
+        if whole > total / 10:
+            for s in "abc":
+                assert abs(seen[s] / whole - target[s] / total) < 0.25
+    assert all(r.first_slot is None and r.n_slots == 0 for r in got if not r.taken)
+    plan = mixing.mix_stream(df, weights=(5, 2, 1), block_tokens=80).collect()
+    first = {}
+    for p in plan:
+        first[p.doc_id] = min(first.get(p.doc_id, p.slot), p.slot)
+    assert first == {r.doc_id: r.first_slot for r in taken}
+    # prefixes of the schedule itself are even: a golden-ratio sequence
+    slots = sorted((p.slot, rows[p.doc_id][1], p.words) for p in plan)
+    seen, whole = defaultdict(int), 0
+    for _, s, n in slots:
+        seen[s] += n
+        whole += n
+        for k in "abc":
+            assert abs(seen[k] - whole * target[k] / total) < 80 * 8
+
+
+def test_resample_comes_in_slot_order(spark):
+    rows = [(i, "abc"[i % 3], " ".join(["w"] * 30)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixing.resample(df).collect()
+    slot = {r.doc_id: r.first_slot for r in mixing.mix(df).collect()}
+    order = [slot[r.doc_id] for r in out]
+    firsts = [s for k, s in enumerate(order) if out[k].doc_id not in {r.doc_id for r in out[:k]}]
+    assert firsts == sorted(firsts)
+
+
+def test_callers_columns_of_any_name_stay(spark):
+    names = ["_mix_row", "_mix_size", "_mix_tie", "_mix_slot", "_mix_copies", "rid", "size", "slot",
+             "taken", "_MIX_ROW_"]
+    df = spark.createDataFrame([(i, "ab"[i % 2], "one two three", *[f"{n}{i}" for n in names])
+                                for i in range(12)],
+                               "doc_id long, source string, text string, "
+                               + ", ".join(f"{n} string" for n in names))
+    out = mixing.resample(df)
+    assert out.columns == df.columns
+    assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)

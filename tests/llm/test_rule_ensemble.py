@@ -71,3 +71,11 @@ def test_odd_tables(spark):
     assert out.columns == [*docs.columns, "quality_score"] and out.count() == 43
     empty = R.fit(docs.filter("false"), labels.filter("false"), "quality")
     assert empty.rules == () and R.score(docs.filter("false"), empty).count() == 0
+
+
+def test_callers_columns_of_any_name_stay(spark):
+    from dayflow.llm import rule_ensemble
+    df = spark.createDataFrame([(1, "a b", "mine")], "doc_id long, text string, _rule_statistics string")
+    out = rule_ensemble.score(df, rule_ensemble.Ensemble(0.0, ()))
+    assert out.columns == [*df.columns, "quality_score"]
+    assert out.first()._rule_statistics == "mine"

@@ -109,3 +109,10 @@ def test_plan_has_no_cross_join(spark):
     fps = spark.range(10).select(F.col("id").alias("fp"))
     plan = S.links(fps)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_callers_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(i, "one two three four", f"f{i}", f"r{i}") for i in range(3)],
+                               "doc_id long, text string, _simhash_fp string, _simhash_row string")
+    got = S.keep_one(df)
+    assert got.columns == df.columns and [tuple(r)[2:] for r in got.collect()] == [("f0", "r0")]
