@@ -6,9 +6,9 @@ numbered placeholder, its reference and the tokens it expands to are recorded.
 
     <turn ROLE>escaped text<part image 0>more text</turn>
 
-Control strings never occur in escaped text: their ``<`` is written ``\\l``, and
-a backslash ``\\b``; in a role ``>`` is ``\\g`` too.  So the output splits at plain
-strings, and ``unescape`` restores every text.
+Every ``<`` of a text is written ``\\l`` and every backslash ``\\b``; in a role or a kind
+``>`` is ``\\g`` too.  So a ``<`` of the output is always markup, however texts are cut
+into parts: the output splits at plain strings, and ``unescape`` restores every text.
 
 Conversations are put together in two levels (blocks of turns, then
 conversations), and offsets are running sums in the same two levels, so the
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 PART = ("struct<kind:string,text:string,ref:string,width:int,height:int,"
         "seconds:double,pages:int>")
 OPEN, CLOSE, END = "<turn ", ">", "</turn>\n"
-CONTROL = r"<(?=/?turn|part )"
+PLACEHOLDER = "<part [^<>]*>"
 LOSS_ROLE = "assistant"
 TURN_BLOCK = 64
 
@@ -34,7 +34,7 @@ DOCUMENT_TOKENS_PER_PAGE = 512
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("\\b")), CONTROL, r"\\l")
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\b")), F.lit("<"), F.lit("\\l"))
 
 
 def unescape(text: Column) -> Column:
@@ -43,8 +43,9 @@ def unescape(text: Column) -> Column:
     return text
 
 
-def _escape_role(role: Column) -> Column:
-    return F.replace(escape(role), F.lit(">"), F.lit("\\g"))
+def _escape_name(name: Column) -> Column:
+    """A role or kind, which stands before a ``>``."""
+    return F.replace(escape(name), F.lit(">"), F.lit("\\g"))
 
 
 def text_parts(text: Column) -> Column:
@@ -71,8 +72,8 @@ def _visit(parts: Column) -> Column:
     """Body of a message: its parts in order, attachments as placeholders."""
     def one(part: Column, i: Column) -> Column:
         return F.when(part["kind"] == "text", escape(F.coalesce(part["text"], F.lit("")))) \
-            .otherwise(F.concat(F.lit("<part "), F.coalesce(part["kind"], F.lit("unknown")),
-                                F.lit(" "), i.cast("string"), F.lit(">")))
+            .otherwise(F.concat(F.lit("<part "), _escape_name(F.coalesce(
+                part["kind"], F.lit("unknown"))), F.lit(" "), i.cast("string"), F.lit(">")))
     return F.array_join(F.transform(parts, one), "")
 
 
@@ -95,7 +96,7 @@ def format_conversations(messages: DataFrame, conv_col: str = "conv_id",
     """
     parts = F.coalesce(F.col(parts_col), F.array().cast(f"array<{PART}>")) if parts_col \
         else text_parts(F.col(text_col))
-    head = F.concat(F.lit(OPEN), _escape_role(F.coalesce(F.col("role"), F.lit(""))),
+    head = F.concat(F.lit(OPEN), _escape_name(F.coalesce(F.col("role"), F.lit(""))),
                     F.lit(CLOSE))
     rows = (messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
                             F.col(role_col).alias("role"), parts.alias("parts"))
@@ -139,22 +140,52 @@ def format_conversations(messages: DataFrame, conv_col: str = "conv_id",
                                          lambda s, a: s + a["tokens"]))
 
 
+def _texts(body: Column) -> Column:
+    """The texts of a body, without its placeholders."""
+    return unescape(F.regexp_replace(body, PLACEHOLDER, ""))
+
+
+def _parts(body: Column) -> Column:
+    """Parts of a body: ``(kind, ordinal, text)``.
+
+    Texts have no ordinal, attachments no text; neighbouring texts are one.
+    """
+    def part(kind: Column, ordinal: Column, text: Column) -> Column:
+        return F.struct(kind.alias("kind"), ordinal.cast("int").alias("ordinal"), text.alias("text"))
+
+    def of(piece: Column, i: Column) -> Column:
+        close = F.position(F.lit(CLOSE), piece)
+        name = F.substring(piece, F.lit(len("part ") + 1), close - len("part ") - 1)
+        kind = F.regexp_replace(name, " [0-9]+$", "")
+        none = F.lit(None).cast("string")
+        text = lambda t: part(F.lit("text"), none, unescape(t))
+        return F.when(i == 0, F.array(text(piece))).otherwise(F.array(
+            part(unescape(kind), F.regexp_extract(name, "([0-9]+)$", 1), none),
+            text(F.substring(piece, close + 1, F.length(piece)))))
+
+    every = F.flatten(F.transform(F.split(body, "<"), of))
+    return F.filter(every, lambda p: p["ordinal"].isNotNull() | (p["text"] != ""))
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Add ``read``: array of ``(role, text, loss_text)`` taken from ``formatted``.
+    """Add ``read``: array of ``(role, text, loss_text, parts)`` taken from ``formatted``.
 
-    Roles and texts are parsed from the markup; ``loss_text`` is what lies at the
-    code points of the loss mask, unescaped (null outside the mask).
+    Roles, texts and parts are parsed from the markup; ``text`` is all text of the turn
+    without its placeholders, ``parts`` has both in order.  ``loss_text`` is the text that
+    lies at the code points of the loss mask, unescaped (null outside the mask).
     """
     pieces = F.split("formatted", END)
 
     def one(p: Column, m: Column) -> Column:
         close = F.position(F.lit(CLOSE), p)
+        body = F.substring(p, close + 1, F.length(p))
         return F.struct(
             unescape(F.substring(p, F.lit(len(OPEN) + 1), close - len(OPEN) - 1)).alias("role"),
-            unescape(F.substring(p, close + 1, F.length(p))).alias("text"),
-            F.when(m["loss"], unescape(F.substring(
+            _texts(body).alias("text"),
+            F.when(m["loss"], _texts(F.substring(
                 p, (m["start"] - m["begin"] + 1).cast("int"),
-                (m["end"] - m["start"]).cast("int")))).alias("loss_text"))
+                (m["end"] - m["start"]).cast("int")))).alias("loss_text"),
+            _parts(body).alias("parts"))
 
     split = formatted.withColumn("pieces", F.slice(pieces, F.lit(1), F.size(pieces) - 1))
     return split.withColumn("read", F.zip_with("pieces", "turns", one)).drop("pieces")

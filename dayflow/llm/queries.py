@@ -82,8 +82,8 @@ WITH rows AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 sized AS (
-  SELECT *, length(regexp_replace(replace(text, '\', '\b'), '<(/?turn|part )', '\\l\1', 'g'))
-    + length(role) + 15 AS n FROM rows)
+  SELECT *, length(replace(replace(text, '\', '\b'), '<', '\l')) + length(role) + 15 AS n
+  FROM rows)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
