@@ -79,3 +79,37 @@ def test_callers_columns_of_any_name_stay(spark):
     out = rule_ensemble.score(df, rule_ensemble.Ensemble(0.0, ()))
     assert out.columns == [*df.columns, "quality_score"]
     assert out.first()._rule_statistics == "mine"
+
+
+def _by_hand(text):
+    """The statistics of one text, computed apart from the column expressions."""
+    import re
+    import unicodedata
+    words = [w for w in re.split("[ \t-\r]+", text) if w]
+    n, chars, lines = max(1, len(words)), max(1, len(text)), text.split("\n")
+    kind = [unicodedata.category(c) for c in text]
+    some = lambda keep: sum(text.count(c) for c in keep)
+    return dict(zip(R.STATISTICS, (
+        len(words), sum(map(len, words)) / n, some("#*$%&<>@~^=_\\") / n, some("|") / n,
+        some("!?") / n, kind.count("Lu") / chars, kind.count("Nd") / chars, some(".,;:") / n,
+        len(set(words)) / n, len(words) / len(lines), 1 - len(set(lines)) / len(lines))))
+
+
+def test_query_against_statistics_and_rules_by_hand(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet")
+    model = R.fit(docs, labels, "quality")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = {r.doc_id: r for r in QUERIES["op2_quality_classifier"](spark, SF001).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        stats = _by_hand(text)
+        total = model.intercept
+        for tests, weight in model.rules:
+            if all(stats[t.statistic] > t.cut if t.above else stats[t.statistic] <= t.cut
+                   for t in tests):
+                total += weight
+        want = 1 / (1 + np.exp(-total))
+        assert abs(got[i].score - want) < 1e-9, i
+        assert got[i].predicted == (got[i].score >= 0.5)
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)

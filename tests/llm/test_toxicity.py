@@ -190,3 +190,49 @@ def test_long_documents_are_fitted_and_found():
     fresh = [f"anders {filler} grubnik grubnik grubnik", f"anders {filler} mehr"]
     s = m.text_scores([T.words_in(t) for t in fresh])
     assert s[0] > s[1]
+
+
+def test_scores_are_the_worst_window_of_an_independent_loop():
+    """Every window of every text, one word and one unit at a time, in plain floats."""
+    import math
+    rng = np.random.default_rng(7)
+    vocab = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rng.choice(vocab, n)) for n in (1, 5, 31, 32, 33, 90, 200)] + [""]
+    good = [" ".join(rng.choice(vocab, 60)) for _ in range(20)]
+    m = T.fit_texts(good + [t + " grubnik grubnik" for t in good], [0] * 20 + [1] * 20)
+    texts.append(texts[5] + " grubnik " + texts[6])
+    p = {k: v.astype(float) for k, v in m.p.items()}
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    h = T.HIDDEN
+
+    def vector(word):
+        rows, _ = T.grams([T.plain(word)])
+        char = np.mean([p["char"][r] for r in rows], axis=0) if len(rows) else np.zeros(T.CHAR_DIM)
+        return np.concatenate([p["word"][m.words.get(T.plain(word), 0)], char])
+
+    def run(words, name):
+        s, out = [0.0] * h, []
+        for w in words if name == "f" else words[::-1]:
+            x = vector(w) @ p[f"in_{name}"] + p[f"bias_{name}"]
+            g = np.array(s) @ p[f"loop_{name}"]
+            z = [sigmoid(x[i] + g[i]) for i in range(h)]
+            r = [sigmoid(x[h + i] + g[h + i]) for i in range(h)]
+            c = [math.tanh(x[2 * h + i] + r[i] * g[2 * h + i]) for i in range(h)]
+            s = [(1 - z[i]) * c[i] + z[i] * s[i] for i in range(h)]
+            out.append(s)
+        return out if name == "f" else out[::-1]
+
+    def logit(words):
+        if not words:
+            return p["out_bias"][0]
+        states = np.hstack([run(words, "f"), run(words, "b")])
+        e = states @ p["look"]
+        a = np.exp(e - e.max())
+        return (a / a.sum()) @ states @ p["out"] + p["out_bias"][0]
+
+    for text in texts:
+        words = T.words_in(text)
+        starts = sorted({*range(0, max(1, len(words) - T.WINDOW), T.STRIDE),
+                         max(0, len(words) - T.WINDOW)})
+        want = max(sigmoid(logit(words[s:s + T.WINDOW])) for s in starts)
+        assert abs(m.text_score(words) - want) < 1e-3, (len(words), want)
