@@ -54,3 +54,23 @@ def test_odd_tables(spark):
     assert U.judge(df, rules.filter("false")).first().verdict == "allow"
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_many_path_rules_and_small_cells(spark, monkeypatch):
+    """Thousands of path rules on one host, groups dealt to several cells."""
+    import time
+    monkeypatch.setattr(U, "CELL_ROWS", 50)
+    r = random.Random(9)
+    path = lambda: "/" + "/".join(r.choice("abcdefgh") * r.randint(1, 2) for _ in range(r.randint(0, 5)))
+    rules = {("com", path()): r.choice(["allow", "block"]) for _ in range(300)}
+    rules |= {(f"h{i % 4}.com", path()): r.choice(["allow", "block"]) for i in range(300)}
+    rules = [(h, p, v) for (h, p), v in rules.items()]
+    urls = [f"http://x{i % 9}.h{i % 5}.com{path()}" for i in range(600)]
+    assert judged(spark, urls, rules) == [brute(u, rules) for u in urls]
+    monkeypatch.undo()
+    many = spark.range(4000).selectExpr("'com' as host", "concat('/p', id, '/') as path", "'block' as verdict")
+    pages = spark.range(20_000).selectExpr("id as page_id", "concat('http://a', id % 70, '.com/p', id, '/x') as url")
+    began = time.monotonic()
+    got = U.judge(pages, many).groupBy("verdict").count().collect()
+    assert {x.verdict: x["count"] for x in got} == {"block": 4000, "allow": 16_000}
+    assert time.monotonic() - began < 40
