@@ -19,6 +19,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -34,6 +35,7 @@ COMPONENTS = 16
 BLOCK_ROWS = 4096          # 2 MB of doubles at 64 components
 BLOCKS_TOGETHER = 8        # blocks that one task of the scatter multiplies
 PANEL_ROWS = 1 << 24
+KEPT = StorageLevel.MEMORY_AND_DISK     # made again from the written fit list if lost
 LOW_BITS = 33              # a generated row number: partition above, position below
 
 
@@ -176,7 +178,12 @@ def whiten(vectors: DataFrame, vector_col: str = "embedding", components: int =
         blocks = block_matrix(part.select("at", centred.alias("y")), size, width,
                               min(block_rows, size))
         panels.append((blocks, -(-size // block_rows)))
-    v = sum(scatter(blocks, count) for blocks, count in panels) / n
+    v = np.zeros((width, width))
+    for blocks, count in panels:
+        blocks.persist(KEPT)            # a multiplication reads its blocks four times
+        v += scatter(blocks, count)
+        blocks._java_matrix_wrapper.call("blocks").unpersist(False)
+    v /= n
     values, u = principal(v, components)
     model = Whitening(n, sums, values, float(np.trace(v)), u / np.sqrt(values))
     k = len(values)
@@ -187,11 +194,13 @@ def whiten(vectors: DataFrame, vector_col: str = "embedding", components: int =
     total = np.zeros((k, k))
     for p, (blocks, count) in enumerate(panels):
         white = _projected(spark, blocks, model.matrix)
+        white.persist(KEPT)
         (_indexed_rows(white)
          .select((F.col("index") + p * panel_rows).alias("at"),
                  vector_to_array("vector").alias("values"))
          .write.mode("append").parquet(out))
         total += scatter(white, count)
+        white._java_matrix_wrapper.call("blocks").unpersist(False)
     error = float(np.abs(total / n - np.eye(k)).max())
     whitened = (fit.select("at", "key", deviation(F.col("x"), n, sums).alias("deviation"))
                 .join(spark.read.parquet(out), "at")
