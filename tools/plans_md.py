@@ -31,9 +31,9 @@ NOTES = {
                   "expression",
     "point_overwrite": "panel materialised once, reused by history, horizon and rollout",
     "rollout_var": "SQL higher-order rollout over a materialised panel: no Python",
-    "ols_multi": "feature frame materialised before the concurrent per-target fits; each "
-                 "configuration scores all targets in one scan",
-    "ols_wide": "26 targets scored in one scan of the written feature frame",
+    "ols_multi": "written feature arrays, one scan for the statistics of all targets and both "
+                 "configurations, one more a configuration for its certificate",
+    "ols_wide": "26 targets fitted from one scan of the written feature arrays",
     "split_time": "reads the materialised (nation, day) table",
 }
 
