@@ -4,7 +4,8 @@ A least-squares fit is right if its residuals are orthogonal to the features (up
 ridge term); a forecast is right if every step equals the model applied to the filled
 feature matrix.  Both are one distributed pass over the rows, independent of how the
 coefficients or the forecasts were found, so a result can be certified where no SQL or
-second library could solve it.
+second library could solve it.  The filled matrix and the submission of a job are checked as
+written: lag cells against the matrix's own cells, submitted numbers against the forecasts.
 """
 
 from __future__ import annotations
@@ -166,3 +167,63 @@ def certify_forecast(history: DataFrame, forecasts: DataFrame, keys: Sequence[st
                 F.count_distinct("__key").alias("n_series"), F.count(F.lit(1)).alias("n_rows"),
                 F.min(date_col).alias("first_day"), F.max(date_col).alias("last_day"),
                 F.count_if("__ok").alias("n_hold")))
+
+
+def certify_lags(matrix_df: DataFrame, keys: Sequence[str], date_col: str,
+                 measures: Sequence[str], lags: Sequence[int],
+                 first: DataFrame | None = None) -> DataFrame:
+    """Per measure: ``n_cells`` lag cells and the ``n_cells_hold`` of them that hold.
+
+    A cell ``{measure}_{lag}`` holds if it equals the measure's own cell of the key's row that
+    many days before, and is null where there is no such row or its cell is null.  ``first``
+    (keys and a ``first`` day, one row per key, or one row without keys) restricts the check
+    to the rows from that day on.  Each cell is joined to its source on (key, measure, day),
+    so neither a key nor a day is gathered, and windows have no part in it.
+    """
+    days = matrix_df.withColumn(date_col, F.col(date_col).cast("date"))
+    if first is not None:
+        first = first.select(*keys, F.col("first").alias("__first"))
+        days = days.join(first, list(keys)) if keys else days.join(F.broadcast(first))
+    else:
+        days = days.withColumn("__first", F.lit(None).cast("date"))
+    begin = F.coalesce(F.col("__first"), F.col(date_col))
+
+    def long(df: DataFrame, cells: list, day) -> DataFrame:
+        return (df.select(*keys, F.col(date_col).alias("__day"), F.explode(F.array(*cells)).alias("__c"))
+                .select(*keys, F.col("__c.measure").alias("__measure"), day.alias("__day"),
+                        F.col("__c.cell").alias("__cell")))
+
+    cell = lambda m, name, i: F.struct(
+        F.lit(m).alias("measure"), F.lit(i).alias("lag"), F.col(name).cast("double").alias("cell"))
+    got = long(days.filter(F.col(date_col) >= begin),
+               [cell(m, f"{m}_{i}", i) for m in measures for i in lags],
+               F.date_sub(F.col("__day"), F.col("__c.lag")))
+    source = long(days.filter(F.col(date_col) >= F.date_sub(begin, max(lags))),
+                  [cell(m, m, 0) for m in measures], F.col("__day"))
+    on = [*keys, "__measure", "__day"]
+    both = got.join(source.withColumnRenamed("__cell", "__source"), on, "left")
+    return both.groupBy(F.col("__measure").alias("target")).agg(
+        F.count(F.lit(1)).alias("n_cells"),
+        F.count_if(F.col("__cell").eqNullSafe(F.col("__source"))).alias("n_cells_hold"))
+
+
+def certify_submission(submitted: DataFrame, forecasts: DataFrame, keys: Sequence[str],
+                       date_col: str, columns: Mapping[str, str]) -> DataFrame:
+    """Per target: ``n_submitted`` rows of the submission and the ``n_submitted_hold`` that are
+    its forecast of that key and yyyyMMdd day, cut to a whole number.
+
+    A row without a forecast, or the second one of a key and day, does not hold; a forecast
+    without a row is missing from ``n_submitted``.
+    """
+    day = F.date_format(date_col, "yyyyMMdd")
+    want = forecasts.select(*keys, day.alias(date_col), F.lit(True).alias("__found"), *[
+        F.col(t).cast("bigint").alias(f"__{t}") for t in columns.values()])
+    got = submitted.select(*keys, F.col(date_col).cast("string").alias(date_col), *columns)
+    one = got.groupBy(*keys, date_col).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in columns])
+    held = one.join(want, [*keys, date_col], "left").select("__n", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("target"), (F.col("__found").isNotNull()
+                 & F.col(c).eqNullSafe(F.col(f"__{t}"))).alias("ok"))
+        for c, t in columns.items()])).alias("__c"))
+    return held.groupBy("__c.target").agg(F.sum("__n").alias("n_submitted"),
+                                          F.count_if("__c.ok").alias("n_submitted_hold"))

@@ -517,6 +517,53 @@ def _job(spark, p, spec, params, name):
                     header=False)
 
 
+def certified_job(spark, p, keys, spec, params, name):
+    """The whole job, then what it published read back and certified, per target: forecasts by
+    the saved models, lag cells of the horizon in the written matrix, submitted numbers."""
+    root = scratch_path(spark, name)
+    jobs.train_job(p, keys, "report_date", spec, params, f"{root}/models", SPLIT_K)
+    fc, matrix = jobs.forecast_job(p, keys, "report_date", spec, f"{root}/models", HORIZON)
+    fields = ", ".join([*[f"{k} int" for k in keys], "report_date date"])
+    cells = [*spec.targets, *[f"{m}_{i}" for m in spec.targets for i in spec.lags]]
+    write_csv(matrix.select(*keys, "report_date", *cells), f"{root}/filled", mode="overwrite")
+    filled = read_csv(spark, f"{root}/filled",
+                      ", ".join([fields, *[f"{c} double" for c in cells]]))
+    columns = {t: t for t in spec.targets}
+    write_csv(jobs.submission(fc, keys, "report_date", columns), f"{root}/submission", header=False)
+    sent = read_csv(spark, f"{root}/submission", ", ".join(
+        [fields.replace("report_date date", "report_date string"),
+         *[f"{t} bigint" for t in columns]]), header=False)
+    coefs = rollout.model_coefficients(load_models(f"{root}/models", spec.targets))
+    first = fc.groupBy(*keys).agg(F.min("report_date").alias("first"))
+    return (certificates.certify_forecast(p, fc, keys, "report_date", spec, coefs)
+            .join(certificates.certify_lags(filled, keys, "report_date", spec.targets, spec.lags,
+                                            first), "target")
+            .join(certificates.certify_submission(sent, fc, keys, "report_date", columns),
+                  "target"))
+
+
+def certified_job_sql(targets, lags, series_sql: str) -> str:
+    """Rows and days as SQL counts them; ``series_sql``: number of series and last day."""
+    n = f"CAST(n_series * {HORIZON} AS BIGINT)"
+    return f"""
+SELECT target, CAST(n_series AS BIGINT) AS n_series, {n} AS n_rows,
+       CAST(last + 1 AS DATE) AS first_day, CAST(last + {HORIZON} AS DATE) AS last_day,
+       {n} AS n_hold, {n} * {len(lags)} AS n_cells, {n} * {len(lags)} AS n_cells_hold,
+       {n} AS n_submitted, {n} AS n_submitted_hold
+FROM ({series_sql}) s, (SELECT unnest({list(targets)}) AS target) t
+"""
+
+
+@register("forecast_job_certified", certified_job_sql(SPEC.targets, SPEC.lags, f"""
+SELECT COUNT(DISTINCT c_nationkey) AS n_series, MAX(report_date) AS last
+FROM ({NATION_DAILY_SQL}) nd"""))
+def forecast_job_certified(spark, sf_dir):
+    """Train, save, load, 30-day forecast, filled matrix and submission of 4 targets x 61
+    features per nation: what was published, read back and certified per target."""
+    p = materialize(model_panel(spark, sf_dir), "model-panel")
+    return certified_job(spark, p, KEYS, SPEC, model.SLIM_PARAMS, "job-certified")
+
+
 # --- the small job: fit, coefficients, metrics, rollout and submission with an oracle ---
 SMALL_TRAIN_SQL = f"""
 SELECT a.c_nationkey, a.report_date, CAST(a.purchase AS DOUBLE) AS purchase,
@@ -719,3 +766,11 @@ def rollout_wide(spark, sf_dir):
     p = wide_panel(spark, sf_dir)
     coefs = one_pass_fit(wide_features(spark, sf_dir, p), WIDE_SPEC)
     return certified_rollout(p, [], WIDE_SPEC, coefs, "companion")
+
+
+@register("forecast_job_wide", certified_job_sql(WIDE_TARGETS, WIDE_SPEC.lags, """
+SELECT 1 AS n_series, MAX(CAST(o_orderdate AS DATE)) AS last FROM orders"""))
+def forecast_job_wide(spark, sf_dir):
+    """The whole job at 26 targets x 371 features of the one global series, certified."""
+    return certified_job(spark, wide_panel(spark, sf_dir), [], WIDE_SPEC, model.WIDE_PARAMS,
+                         "job-wide")

@@ -169,3 +169,56 @@ def test_raw_tables_to_submission(spark, tmp_path):
     back = read_csv(spark, out, "report_date string, purchase bigint, redeem bigint", header=False)
     assert back.count() == 30 and back.agg(F.min("report_date")).first()[0] == "20140729"
     assert filled.count() == 180 and back.filter("purchase is null").count() == 0
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_changed_matrix_and_submission_fail_their_certificates(spark, tmp_path, keys):
+    from pyspark.sql import functions as F
+    from dayflow.operators import certificates
+
+    rows = [(k, D(2014, 7, 1) + dt.timedelta(days=i), 100.0 + 2 * i * (k + 1) + (i % 7), 40.0 + i % 3)
+            for k in (range(2) if keys else [0]) for i in range(40)
+            if (k, i) != (0, 20)]                       # a gap: later rows have null cells
+    p = spark.createDataFrame(rows, "k int, d date, p double, r double").select(*keys, "d", "p", "r")
+    spec = model.FeatureSpec(targets=("p", "r"), lag_measures=("p", "r"), lags=(1, 2, 7),
+                             calendar=())
+    jobs.train_job(p, keys, "d", spec, model.SLIM_PARAMS, str(tmp_path / "m"))
+    fc, matrix = jobs.forecast_job(p, keys, "d", spec, str(tmp_path / "m"), 5)
+    n = 2 if keys else 1
+    first = fc.groupBy(*keys).agg(F.min("d").alias("first"))
+
+    def lags(m, **kw):
+        out = certificates.certify_lags(m, keys, "d", spec.targets, spec.lags, **kw).collect()
+        return {r.target: (r.n_cells, r.n_cells_hold) for r in out}
+
+    whole = n * 5 * 3
+    assert lags(matrix, first=first) == {"p": (whole, whole), "r": (whole, whole)}
+    every = (len(rows) + n * 5) * 3
+    assert lags(matrix) == {"p": (every, every), "r": (every, every)}
+    day = D(2014, 8, 11)                                 # second day of the horizon
+    at = (F.col("d") == F.lit(day)) & (F.col("k") == 0 if keys else F.lit(True))
+    off = matrix.withColumn("p_2", F.when(at, F.col("p_2") + 1).otherwise(F.col("p_2")))
+    assert lags(off, first=first) == {"p": (whole, whole - 1), "r": (whole, whole)}
+    none = matrix.withColumn("r_7", F.when(at, F.lit(None)).otherwise(F.col("r_7")))
+    assert lags(none, first=first) == {"p": (whole, whole), "r": (whole, whole - 1)}
+    # a changed cell is missed by the lag cells of one and two days later that read it
+    moved = matrix.withColumn("p", F.when(at, F.col("p") + 1).otherwise(F.col("p")))
+    assert lags(moved, first=first)["p"] == (whole, whole - 2)
+    assert lags(matrix.limit(0), first=first) == {}
+
+    columns = {"purchase": "p", "redeem": "r"}
+    sub = jobs.submission(fc, keys, "d", columns)
+
+    def sent(s):
+        out = certificates.certify_submission(s, fc, keys, "d", columns).collect()
+        return {r.target: (r.n_submitted, r.n_submitted_hold) for r in out}
+
+    m = n * 5
+    assert sent(sub) == {"p": (m, m), "r": (m, m)}
+    here = (F.col("d") == "20140811") & (F.col("k") == 0 if keys else F.lit(True))
+    assert sent(sub.withColumn("redeem", F.when(here, F.col("redeem") + 1).otherwise(
+        F.col("redeem")))) == {"p": (m, m), "r": (m, m - 1)}
+    assert sent(sub.filter(~here)) == {"p": (m - 1, m - 1), "r": (m - 1, m - 1)}
+    assert sent(sub.unionByName(sub.filter(here))) == {"p": (m + 1, m), "r": (m + 1, m)}
+    assert sent(sub.withColumn("d", F.when(here, "20150101").otherwise(F.col("d")))) == {
+        "p": (m, m - 1), "r": (m, m - 1)}
