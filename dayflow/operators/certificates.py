@@ -181,11 +181,12 @@ def certify_lags(matrix_df: DataFrame, keys: Sequence[str], date_col: str,
     so neither a key nor a day is gathered, and windows have no part in it.
     """
     days = matrix_df.withColumn(date_col, F.col(date_col).cast("date"))
-    if first is not None:
-        first = first.select(*keys, F.col("first").alias("__first"))
-        days = days.join(first, list(keys)) if keys else days.join(F.broadcast(first))
-    else:
+    if first is None:
         days = days.withColumn("__first", F.lit(None).cast("date"))
+    elif keys:
+        days = days.join(first.select(*keys, F.col("first").alias("__first")), list(keys))
+    else:
+        days = days.withColumn("__first", first.select("first").scalar())
     begin = F.coalesce(F.col("__first"), F.col(date_col))
 
     def long(df: DataFrame, cells: list, day) -> DataFrame:
