@@ -7,8 +7,11 @@ first, which also keeps values beyond the int range (they become bigint).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # The reference's validation rule for integer amounts.
 DIGITS = r"^\d+$"
@@ -45,6 +48,33 @@ def money_sum(c: str | Column) -> Column:
     return F.sum(money(c)).cast(MONEY_SUM)
 
 
+def cents(df: DataFrame, column: str) -> Column:
+    """``money(column)`` as a bigint number of cents.
+
+    A cast of a double to a decimal goes through its text.  A double below 10^12 that is the
+    quotient of whole cents and 100 is that amount (15 digits tell decimals apart), so its
+    cents are taken by arithmetic; every other value is cast.
+    """
+    cast = (money(column) * 100).cast("bigint")
+    if not isinstance(df.schema[column].dataType, DoubleType):
+        return cast
+    value = F.col(column)
+    near = F.floor(value * 100 + 0.5)
+    return F.when((F.abs(value) < 1e12) & (near / 100 == value), near).otherwise(cast)
+
+
+def cents_sum(c: str | Column) -> Column:
+    """Exact sum of ``cents``, typed ``decimal(38,2)``: the amounts' ``money_sum``.
+
+    Upper and lower bits are summed apart, both as bigint (enough for 8 * 10^9 of the
+    largest amounts), and put together once a group.
+    """
+    c = _c(c)
+    high = F.sum(F.shiftright(c, 30)).cast("decimal(19,0)")
+    low = F.sum(c.bitwiseAND(F.lit(2 ** 30 - 1))).cast("decimal(19,0)")
+    return ((high * F.lit(Decimal(2 ** 30)) + low) * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
+
+
 def to_day(c: str | Column) -> Column:
     """Timestamp / timestamp_ntz / date -> date."""
     return _c(c).cast("date")

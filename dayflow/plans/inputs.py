@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayflow.functions.clean import MONEY, MONEY_SUM, money, to_day
-from dayflow.operators.flows import exact_avg
+from dayflow.functions.clean import MONEY, MONEY_SUM, cents, cents_sum, money, to_day
 from dayflow.sources.tables import load
 
 PURCHASE_STATUS = ("O", "P")
@@ -85,7 +84,9 @@ def weekday_exog(lineitem: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Exogenous business-day series: exact daily averages (out name -> column),
     Mon-Fri only, all computed in one scan and one aggregate."""
     d = to_day("l_shipdate")
-    return (lineitem.select(d.alias("report_date"), *set(columns.values()))
+    return (lineitem.select(d.alias("report_date"),
+                            *[cents(lineitem, c).alias(c) for c in set(columns.values())])
             .filter(~F.dayofweek("report_date").isin(1, 7))
             .groupBy("report_date")
-            .agg(*[exact_avg(F.col(c)).alias(out) for out, c in columns.items()]))
+            .agg(*[F.when(F.count(c) > 0, cents_sum(c).cast("double") / F.count(c)).alias(out)
+                   for out, c in columns.items()]))

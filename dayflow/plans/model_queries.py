@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from dayflow.functions.clean import MONEY_SUM, money, to_day
+from dayflow.functions.clean import MONEY_SUM, cents, cents_sum, to_day
 from dayflow.functions.fmt import yyyymmdd
 from dayflow.operators import certificates, model, moments, panel, rollout
 from dayflow.operators.lags import lag_features
@@ -696,9 +696,10 @@ def rollout_fixed(spark, sf_dir):
 def wide_panel(spark, sf_dir):
     """26 daily measures of the whole business, one row per day of the orders' range."""
     o = table(spark, sf_dir, "orders")
-    price = money("o_totalprice")
-    total = lambda cond: F.sum(F.when(cond, price).otherwise(0)).cast(MONEY_SUM)
-    orders = o.groupBy(to_day("o_orderdate").alias("report_date")).agg(
+    o = o.select(to_day("o_orderdate").alias("report_date"), "o_orderstatus", "o_orderpriority",
+                 cents(o, "o_totalprice").alias("price"))
+    total = lambda cond: cents_sum(F.when(cond, F.col("price")).otherwise(0))
+    orders = o.groupBy("report_date").agg(
         total(F.col("o_orderstatus").isin("O", "P")).alias("purchase"),
         total(F.col("o_orderstatus") == "F").alias("redeem"),
         F.count(F.lit(1)).alias("n_orders"),
@@ -708,17 +709,25 @@ def wide_panel(spark, sf_dir):
     value = {"quantity": "l_quantity", "price": "l_extendedprice", "discount": "l_discount",
              "tax": "l_tax"}
     part = {f: F.col("l_returnflag") == f.upper() for f in "anr"} | {"f": F.col("l_linestatus") == "F"}
-    # each line is added once, to its day and flags; a day's 16 measures are then sums of a
-    # few rows
-    flags = li.groupBy(to_day("l_shipdate").alias("report_date"), "l_returnflag", "l_linestatus") \
-        .agg(*[F.sum(money(c)).cast(MONEY_SUM).alias(m) for m, c in value.items()])
+    # each line is read and added once, to its day and flags; a day's 16 measures and the
+    # averages of its business-day series are then sums of a few rows
+    flags = li.select(to_day("l_shipdate").alias("report_date"), "l_returnflag", "l_linestatus",
+                      *[cents(li, c).alias(c) for c in value.values()]) \
+        .groupBy("report_date", "l_returnflag", "l_linestatus") \
+        .agg(*[cents_sum(c).alias(m) for m, c in value.items()],
+             *[F.count(c).alias(f"n_{m}") for m, c in value.items()])
+    measure = {c: m for m, c in value.items()}
+    average = lambda m: F.when(
+        ~F.dayofweek("report_date").isin(1, 7) & (F.sum(f"n_{m}") > 0),
+        F.sum(m).cast("double") / F.sum(f"n_{m}"))
     lines = flags.groupBy("report_date").agg(*[
         F.sum(F.when(cond, F.col(m)).otherwise(0)).cast(MONEY_SUM).alias(f"{m}_{f}")
-        for f, cond in part.items() for m in value])
+        for f, cond in part.items() for m in value],
+        *[average(measure[c]).alias(out) for out, c in WIDE_EXOG.items()])
     orders = materialize(orders, "wide-orders")
     days = panel.dense_panel(orders, [], "report_date", panel.day_range(orders, "report_date"),
                              {c: 0 for c in WIDE_ORDERS})
-    days = panel.join_daily_series(days, [lines, weekday_exog(li, WIDE_EXOG)], "report_date")
+    days = panel.join_daily_series(days, [lines], "report_date")
     days = days.withColumns({c: F.coalesce(c, F.lit(0)) for c in WIDE_LINES})
     return materialize(panel.forward_fill(days, [], "report_date", list(WIDE_EXOG)), "wide-panel")
 
